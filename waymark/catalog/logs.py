@@ -183,11 +183,24 @@ def _pipe(spark: SparkSession, sf: str) -> DataFrame:
     return _logs(spark, sf).select("log_id", F.size(items).alias("n_items"), F.array_join(items, ",").alias("items"))
 
 
-@query("spelling_sets", ["country_spellings"], """
-SELECT country_code, string_agg(spelling, '|' ORDER BY spelling) AS spellings
-FROM (SELECT DISTINCT country_code, spelling FROM country_spellings) GROUP BY country_code""")
+NAMES = """
+SELECT request_country AS country_code, CASE WHEN log_id % 3 = 0 THEN 'eng' ELSE 'en' END AS language, countryName AS name
+FROM search_logs"""
+CODES = """
+SELECT concat('N', CAST(n_nationkey AS STRING)) AS country_code, concat('NT', CAST(n_nationkey AS STRING)) AS iso3,
+  CASE WHEN n_nationkey % 2 = 0 THEN concat('Official ', n_name) END AS official_name FROM nation"""
+
+
+@query("spelling_sets", ["search_logs"], """
+SELECT country_code, string_agg(spelling, '|' ORDER BY spelling) AS spellings FROM (
+  SELECT country_code, name AS spelling FROM names WHERE length(language) = 2
+  UNION SELECT country_code, upper(country_code) FROM codes UNION SELECT country_code, iso3 FROM codes
+  UNION SELECT country_code, official_name FROM codes WHERE official_name IS NOT NULL) GROUP BY country_code""",
+       {"names": NAMES, "codes": CODES})
 def _sets(spark: SparkSession, sf: str) -> DataFrame:
-    return spelling_sets(_spellings(spark, sf)).select("country_code", F.array_join("spellings", "|").alias("spellings"))
+    _logs(spark, sf).createOrReplaceTempView("search_logs")
+    sets = spelling_sets(spark.sql(NAMES), spark.sql(CODES))
+    return sets.select("country_code", F.array_join("spellings", "|").alias("spellings"))
 
 
 @query("spelling_distinct", ["search_logs"], "SELECT DISTINCT request_country AS country_code, countryName AS spelling FROM search_logs")

@@ -63,7 +63,7 @@ def _growth(spark: SparkSession, sf: str) -> DataFrame:
     return growth_snapshots(view(spark, sf, "country_indicator")).withColumn("lifeExp", F.round("lifeExp", 6))
 
 
-@query("indicator_filter", ["country_indicator"], "SELECT * FROM snapshots WHERE year = 2007 AND date = DATE '2022-03-01'", {"snapshots": SNAPSHOTS})
+@query("indicator_filter", ["country_indicator"], "SELECT * FROM snapshots WHERE year = 2007 AND lifeExp IS NOT NULL AND date = DATE '2022-03-01'", {"snapshots": SNAPSHOTS})
 def _indicator(spark: SparkSession, sf: str) -> DataFrame:
     snapshots = growth_snapshots(indicator_year(view(spark, sf, "country_indicator")))
     return on_dates(snapshots, [dt.date(2022, 3, 1)]).withColumn("lifeExp", F.round("lifeExp", 6))

@@ -87,8 +87,8 @@ SELECT c_custkey AS id, concat('R', CAST(c_nationkey % 5 AS STRING)) AS order_1_
 FROM customer""")
 
 VIEWS["country_indicator"] = ([], """
-SELECT n_name AS country, concat('N', CAST(n_nationkey AS STRING)) AS iso_alpha, 2002 + 5 * (n_nationkey % 2) AS year,
-  CAST(50 + n_nationkey AS DOUBLE) AS lifeExp FROM nation""")
+SELECT c_name AS country, concat('N', CAST(c_nationkey AS STRING)) AS iso_alpha, 2002 + 5 * CAST(c_custkey % 2 AS INT) AS year,
+  CASE WHEN c_custkey % 50 = 1 THEN NULL ELSE CAST(50 + c_custkey % 40 AS DOUBLE) END AS lifeExp FROM customer""")
 
 # Points to be looked up: one per log row, so that a hot query is a hot point.
 VIEWS["points"] = ([], """

@@ -22,10 +22,18 @@ def spelling_pairs(spellings: DataFrame) -> DataFrame:
     return spellings.select("country_code", "spelling").distinct()
 
 
-def spelling_sets(spellings: DataFrame) -> DataFrame:
-    """One sorted array of spellings per country. A country has a few hundred spellings at most."""
-    return spelling_pairs(spellings).groupBy("country_code").agg(
-        F.array_sort(F.collect_set("spelling")).alias("spellings")
+def spelling_sets(names: DataFrame, codes: DataFrame, languages: Sequence[str] | None = None) -> DataFrame:
+    """One sorted array of spellings per country: its names in the languages, by default all with two-letter
+    codes, its two codes, and its official name where it has one.
+
+    `names` holds (country_code, language, name), `codes` (country_code, iso3, official_name). A country has
+    a few hundred distinct spellings at most; repeats are dropped before they are put together.
+    """
+    spoken = F.length("language") == 2 if languages is None else F.col("language").isin(list(languages))
+    own = F.explode(F.array(F.upper("country_code"), F.col("iso3"), F.col("official_name"))).alias("spelling")
+    pairs = names.where(spoken).select("country_code", F.col("name").alias("spelling")).union(codes.select("country_code", own))
+    return pairs.where(F.col("spelling").isNotNull()).distinct().groupBy("country_code").agg(
+        F.array_sort(F.collect_list("spelling")).alias("spellings")
     )
 
 
@@ -61,6 +69,13 @@ def country_to_iso2(df: DataFrame, spellings: DataFrame, column: str, to: str =
     )
 
 
+def iso2_codes(countries: Sequence[str] | str, spellings: DataFrame) -> list[str]:
+    """The codes of one or several country names, in their order."""
+    named = [countries] if isinstance(countries, str) else list(countries)
+    asked = spellings.sparkSession.createDataFrame(list(enumerate(named)), "position int, name string")
+    return [row["iso2"] for row in country_to_iso2(asked, spellings, "name").orderBy("position").collect()]
+
+
 def _unknown(item: Column) -> Column:
     return F.raise_error(F.concat(F.lit("unknown populated field: "), item)).cast("string")
 

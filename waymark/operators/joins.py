@@ -18,21 +18,21 @@ HOT_KEYS = 10_000
 NULL_SPREAD = 1 << 20
 
 
-def fits_broadcast(df: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+def fits_broadcast(df: DataFrame) -> bool:
     """Whether `df`, measured, stays below both bounds."""
     width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(0))
     n, total = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(width.cast("long")), F.lit(0))).first()
-    return n <= rows and total <= size
+    return n <= BROADCAST_ROWS and total <= BROADCAST_BYTES
 
 
 def salted_join(
     facts: DataFrame, other: DataFrame, on: Sequence[str], how: str = "inner", counts: DataFrame | None = None,
-    spread_by: Sequence[str] | None = None, rows_per_task: int = ROWS_PER_TASK, hot_keys: int = HOT_KEYS,
+    spread_by: Sequence[str] | None = None,
 ) -> DataFrame:
     """Shuffled join in which the facts of frequent keys are spread over tasks.
 
-    A key with n facts gets ceil(n / rows_per_task) salts, and only the rows of `other` for such a key are
-    copied, once per salt: over all keys fewer copies than facts / rows_per_task + hot_keys. Facts without a
+    A key with n facts gets ceil(n / ROWS_PER_TASK) salts, and only the rows of `other` for such a key are
+    copied, once per salt: over all keys fewer copies than facts / ROWS_PER_TASK + HOT_KEYS. Facts without a
     key are spread too. The salt is a hash of `spread_by`, so it comes out the same when a lost task is run
     again; name columns that tell the facts of a key apart, by default all. `counts` gives the number of
     facts per key in `_rows` where the caller has it.
@@ -41,8 +41,8 @@ def salted_join(
     if counts is None:
         counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
     hot = (
-        counts.where(F.col("_rows") > rows_per_task).orderBy(F.desc("_rows"), *on).limit(hot_keys)
-        .select(*on, F.ceil(F.col("_rows") / rows_per_task).cast("int").alias("_salts"))
+        counts.where(F.col("_rows") > ROWS_PER_TASK).orderBy(F.desc("_rows"), *on).limit(HOT_KEYS)
+        .select(*on, F.ceil(F.col("_rows") / ROWS_PER_TASK).cast("int").alias("_salts"))
     )
     content = F.xxhash64(*[F.col(f"`{c}`") for c in (spread_by or facts.columns)])
     missing = F.lit(False)

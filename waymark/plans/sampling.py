@@ -19,6 +19,11 @@ from waymark.schemas import POI_ENDPOINT
 MOST_COUNTRIES = 26 * 26
 
 
+def sample_name(only_full_addresses: bool, run_date: dt.date) -> str:
+    """Name a sample is saved under, before the country."""
+    return f"{'' if only_full_addresses else 'in'}complete_responses_{run_date:%d-%m-%Y}"
+
+
 def select_logs(
     logs: DataFrame, spellings: DataFrame, countries: Sequence[str] | None, endpoints: f.Names = None,
     exclude_endpoints: f.Names = POI_ENDPOINT, developer_emails: f.Names = None, populated_fields: f.Names = None,

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import json
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,3 +99,28 @@ def read_rounds(pois: DataFrame, rounds: Rounds) -> DataFrame:
     saved = [read_saved(spark, folder, rounds.schema) for folder in rounds.folders]
     kept = [part.where(F.col("api_status") == 1) for part in saved[:-1]] + [saved[-1]]
     return union_all(kept).drop("api_status")
+
+
+def client_filler(make_client: Callable[[], Callable[[dict], list[dict] | None]], columns: list[str]) -> Filler:
+    """A filler that asks a Python client, made once per task, row by row.
+
+    The client gets the row's `columns` as a dict and gives a list of results, or None when it has no answer
+    yet; nested values are kept as JSON text. Rows that have results are not asked for. Rows reach Python in
+    Arrow batches.
+    """
+
+    def fill(rows: DataFrame, number: int) -> DataFrame:
+        asked = rows.withColumns({"apiResults": F.to_json("apiResults"), "found": F.lit(None).cast("string")})
+
+        def ask(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            client = make_client()
+            for batch in batches:
+                waiting = batch["apiResults"].isna()
+                answers = [client(row) for row in batch.loc[waiting, columns].to_dict("records")]
+                batch.loc[waiting, "found"] = [None if a is None else json.dumps(a) for a in answers]
+                yield batch
+
+        answered = asked.mapInPandas(ask, asked.schema)
+        return answered.withColumns({c: F.from_json(c, RESULT_LIST) for c in ("apiResults", "found")})
+
+    return fill
