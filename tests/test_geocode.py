@@ -1,0 +1,141 @@
+"""Responses, results and points of interest."""
+
+from __future__ import annotations
+
+import json
+import math
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import bag
+from waymark.functions.geo import haversine_m, point_text
+from waymark.functions.geocode import read_response, result_columns
+from waymark.functions.poi import read_results, split_classification
+from waymark.plans.geocoding import geocode_enrich, geocode_results, request_table
+from waymark.plans.poi import poi_flatten, poi_table
+from waymark.schemas import POI_COLUMNS
+
+
+def response(score=0.9, box=True, results=True):
+    first = {"type": "Street", "matchConfidence": {"score": score}, "position": {"lat": 1.5, "lon": -2.5}}
+    if box:
+        first["boundingBox"] = {"topLeftPoint": {"lat": 1.5}}
+    return json.dumps({"summary": {"query": "formatted"}, "results": [first, {"type": "other"}] if results else []})
+
+
+def parsed(spark, text, threshold=0.85, strict=False):
+    reply = spark.createDataFrame([(text,)], "t string").select(read_response(F.col("t"), strict).alias("r"))
+    return reply.select(*[c.alias(n) for n, c in result_columns(F.col("r"), threshold).items()]).first().asDict()
+
+
+def test_first_result(spark):
+    assert parsed(spark, response()) == {
+        "original_formatted_query": "formatted", "confidence": 0.9, "lat": 1.5, "lon": -2.5, "query_type": "Street",
+        "bounding_box": '{"topLeftPoint":{"lat":1.5}}', "match": 1,
+    }
+    assert parsed(spark, response(box=False))["bounding_box"] == "None"
+
+
+def test_no_result_and_no_response(spark):
+    assert parsed(spark, response(results=False)) == {
+        "original_formatted_query": None, "confidence": -1.0, "lat": None, "lon": None, "query_type": None,
+        "bounding_box": None, "match": -1,
+    }
+    assert set(parsed(spark, None).values()) == {None}
+    assert set(parsed(spark, '{"error":"x"}').values()) == {None}
+    with pytest.raises(Exception, match="response without results"):
+        parsed(spark, '{"error":"x"}', strict=True)
+
+
+def test_threshold(spark):
+    assert parsed(spark, response(0.85))["match"] == 0
+    assert parsed(spark, response(0.85), None)["match"] is None
+    for wrong in (-0.1, 1.1):
+        with pytest.raises(ValueError):
+            result_columns(F.col("r"), wrong)
+
+
+def log_rows(spark):
+    rows = [("hot", "search 2 search")] * 9 + [("weak", "m"), ("edge", "m"), ("empty", "m"), ("unasked", "m"), (None, "m"), ("hot", "search 2 nearbySearch")]
+    return spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "n int, searched_query string, method_name string")
+
+
+def responses(spark):
+    return spark.createDataFrame(
+        [("hot", response()), ("weak", response(0.5)), ("edge", response(0.85)), ("empty", response(results=False))],
+        "searched_query string, response string")
+
+
+@pytest.mark.parametrize("hot", [False, True])
+def test_results_keep_row_numbers_and_the_threshold_itself(spark, request, hot):
+    if hot:
+        request.getfixturevalue("nothing_fits")
+    got = geocode_results(log_rows(spark), responses(spark), ["n"])
+    assert bag(got, "id", "searched_query", "match") == Counter([(i, "hot", 1) for i in range(9)] + [(10, "edge", 0)])
+    everything = geocode_enrich(log_rows(spark), responses(spark), threshold=None, limit=0, id_column="n")
+    assert everything.count() == 15
+    assert {r["confidence"] for r in everything.collect()} == {None, -1.0}
+
+
+def test_results_of_a_seeded_sample(spark):
+    ids = {r["id"] for r in geocode_results(log_rows(spark), responses(spark), ["n"], test_size=5).collect()}
+    assert ids <= set(range(11)) and len(ids) <= 5
+    assert ids == {r["id"] for r in geocode_results(log_rows(spark), responses(spark), ["n"], test_size=5).collect()}
+    assert geocode_results(log_rows(spark), responses(spark), ["n"], test_size=0).count() == 10
+
+
+def test_requests_are_made_once_per_query_and_country(spark):
+    df = spark.createDataFrame([("a b", "es"), ("a b", "es"), ("a b", "kr"), (None, "es")], "searched_query string, country string")
+    assert bag(request_table(df, "h", "k"), "country", "request_url") == Counter({
+        ("es", "h/search/2/geocode/a%20b.json?limit=5"): 1, ("kr", "k/search/2/geocode/a%20b.json?limit=5"): 1,
+    })
+
+
+@pytest.mark.parametrize("text, parts", [
+    ('{"(food,cafe)"}', ["food", "cafe"]), ('{"(food)"}', ["food"]), ('{"{"}', ["}"]), ("", [""]), (None, None),
+])
+def test_classification(spark, text, parts):
+    assert spark.createDataFrame([(text,)], "t string").select(split_classification(F.col("t")).alias("p")).first()["p"] == parts
+
+
+def pois(spark, results):
+    row = (1, 1, 1, 2, '{"(food,cafe)"}', 3, "s", "OK", "n", 40.0, -3.0, 500, "g", results)
+    names = (
+        "reference_id int, sample_id int, sample_run_id int, importance_rank int, classification string, search_rank int, "
+        "search_request_string string, business_status string, name string, lat double, lon double, search_radius_m int, "
+        "search_group string, _r string"
+    )
+    return spark.createDataFrame([row], names).withColumn("apiResults", read_results(F.col("_r"))).drop("_r")
+
+
+def test_flat_results(spark):
+    results = json.dumps([
+        {"id": "p", "score": "2.5", "poi": {"name": "z", "brands": [{"name": "b"}, {"name": "c"}], "categorySet": [{"id": 7}], "classifications": []},
+         "address": {"streetName": "s", "countryCode": "ES"}, "position": {"lat": 40.0, "lon": -3.0}},
+        {"id": "q"},
+    ])
+    flat = poi_flatten(pois(spark, results)).orderBy("api_search_rank").collect()
+    assert [r["api_search_rank"] for r in flat] == [0, 1]
+    first, second = flat
+    assert (first["category"], first["subcategory"], first["cat_subcat"]) == ("food", "cafe", ["food", "cafe"])
+    assert (first["api_poiName"], first["api_poiBrand"], first["api_categoryId"], first["api_code"]) == ("z", "b", "7", None)
+    assert (first["api_streetName"], first["api_countryCode"], first["api_lat"], first["api_provider_id"]) == ("s", "ES", "40.0", "tt")
+    assert second["api_poi_id"] == "q" and second["api_poiName"] is None
+    table = poi_table(poi_flatten(pois(spark, results)))
+    assert table.columns == POI_COLUMNS and len(POI_COLUMNS) == 41
+    assert sorted([r["location_distance_m"] for r in table.collect()], key=str) == [0.0, None]
+
+
+@pytest.mark.parametrize("results", [None, "[]"])
+def test_a_reference_without_results_stays(spark, results):
+    rows = poi_flatten(pois(spark, results)).collect()
+    assert len(rows) == 1 and rows[0]["api_search_rank"] is None and rows[0]["category"] == "food"
+
+
+def test_distance(spark):
+    df = spark.createDataFrame([(0.0, 0.0, 0.0, 180.0), (0.0, 0.0, 0.0, 90.0), (52.0, 4.0, 52.0, 4.0)], "a double, b double, c double, d double")
+    got = [r[0] for r in df.select(haversine_m(*[F.col(c) for c in "abcd"])).collect()]
+    assert got == pytest.approx([math.pi * 6371008.8, math.pi * 6371008.8 / 2, 0.0])
+    assert df.select(point_text(F.col("a"), F.col("d"))).first()[0] == "POINT (180.0 0.0)"

@@ -176,9 +176,9 @@ FROM poi_items""",
     }
 
 
-DISTANCE = """round(2 * 6371008.8 * asin(least(1.0, sqrt(
+DISTANCE = """round(2 * 6371008.8 * asin(sqrt(
   pow(sin(radians(CAST(api_lat AS DOUBLE) - ref_lat) / 2), 2)
-  + cos(radians(ref_lat)) * cos(radians(CAST(api_lat AS DOUBLE))) * pow(sin(radians(CAST(api_lon AS DOUBLE) - ref_lon) / 2), 2)))), 2)"""
+  + cos(radians(ref_lat)) * cos(radians(CAST(api_lat AS DOUBLE))) * pow(sin(radians(CAST(api_lon AS DOUBLE) - ref_lon) / 2), 2))), 2)"""
 
 AREA_OF_POINT = """
 SELECT p.*, a.area_id, a.area_name FROM points p JOIN areas a

@@ -13,7 +13,8 @@ def haversine_m(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Colum
     half_lat = F.radians(lat2 - lat1) / 2
     half_lon = F.radians(lon2 - lon1) / 2
     a = F.pow(F.sin(half_lat), 2) + F.cos(F.radians(lat1)) * F.cos(F.radians(lat2)) * F.pow(F.sin(half_lon), 2)
-    return F.asin(F.least(F.sqrt(a), F.lit(1.0))) * (2 * EARTH_RADIUS_M)
+    # Rounding may carry `a` past 1; a missing coordinate stays missing, which least() would not give.
+    return F.asin(F.when(a > 1, F.lit(1.0)).otherwise(F.sqrt(a))) * (2 * EARTH_RADIUS_M)
 
 
 def point_text(lat: Column, lon: Column) -> Column:
