@@ -50,24 +50,23 @@ def first_n(
         return df.limit(0)
     columns = df.columns
     ties = list(tie_columns or [c for c in columns if c not in (*by, count, copies)])
-    key = list(by) or ["_all"]
+    key = list(by)
     amount = F.col(copies) if copies else F.lit(1)
     extra = [] if seed is None else [str(seed)]
-    ranked = df if by else df.withColumn("_all", F.lit(0))
-    ranked = ranked.withColumns({
+    ranked = df.withColumns({
         "_count": F.col(count).cast("bigint") if count else F.lit(1).cast("bigint"),
         "_hash": row_hash(ties, *extra),
     }).withColumn("_slot", _slot(F.col("_count")))
 
     histogram = ranked.groupBy(*key, "_count", "_slot").agg(F.sum(amount).alias("_size"))
-    earlier = Window.partitionBy(*key).orderBy(F.desc("_count"), "_slot").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = Window.partitionBy(*(key or [F.lit(0)])).orderBy(F.desc("_count"), "_slot").rowsBetween(Window.unboundedPreceding, -1)
     last = (
         histogram.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
         .where(F.col("_before") < n)
         .groupBy(*key)
         .agg(F.max_by(F.struct("_count", "_slot", "_before"), "_before").alias("_last"))
     )
-    near = group_join(ranked, last, key, groups if by else 1)
+    near = group_join(ranked, last, key, groups) if by else ranked.withColumn("_last", last.scalar())
     ahead = (F.col("_count") > F.col("_last._count")) | (
         (F.col("_count") == F.col("_last._count")) & (F.col("_slot") < F.col("_last._slot"))
     )
