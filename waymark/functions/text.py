@@ -12,8 +12,10 @@ SPACE = r"[\s\x1c-\x1f]"
 
 
 def collapse_quotes(text: Column) -> Column:
-    """Runs of single quotes, then runs of double quotes, cut down to one."""
-    return F.regexp_replace(F.regexp_replace(text, "'+", "'"), '"+', '"')
+    """Runs of single quotes, then runs of double quotes, cut down to one. Texts without runs are left alone."""
+    for quote in ("'", '"'):
+        text = F.when(text.contains(quote * 2), F.regexp_replace(text, f"{quote}+", quote)).otherwise(text)
+    return text
 
 
 def strip_space(text: Column) -> Column:

@@ -77,8 +77,10 @@ def bootstrap_replicates(
     drawn = sums.select(
         "_cell", "_above", "_below", F.explode(F.sequence(F.lit(0), F.lit(last_block))).alias("_block")
     ).withColumn("_draws", F.md5(F.concat_ws("-", F.col("_cell").cast("string"), F.col("_block").cast("string"), F.lit(str(seed)))))
-    weights = {f"_w{i}": poisson_weight(F.substring("_draws", 1 + 8 * i, 8)) for i in range(PER_HASH)}
-    summed = drawn.withColumns(weights).groupBy("_block").agg(*[
+    # The draws are columns of their own, so that each is cut out once and not for every limit it is compared to.
+    cut = drawn.withColumns({f"_d{i}": F.substring("_draws", 1 + 8 * i, 8) for i in range(PER_HASH)})
+    weights = {f"_w{i}": poisson_weight(F.col(f"_d{i}")) for i in range(PER_HASH)}
+    summed = cut.withColumns(weights).groupBy("_block").agg(*[
         F.sum(F.col(f"_w{i}") * F.col(side)).alias(f"{side}{i}") for i in range(PER_HASH) for side in ("_above", "_below")
     ])
     above, below = F.col("_r._above"), F.col("_r._below")
