@@ -9,7 +9,7 @@ from waymark.catalog.pieces import (
     DECODED, DEVELOPER, FIXTURE_KEYS, KEY_ORDER, KEYS, chosen_sql, counted_sql, finished_sql, hash_of,
 )
 from waymark.catalog.registry import query
-from waymark.fixtures import NOW, view
+from waymark.fixtures import NOW, read_table, view
 from waymark.functions.text import pipe_items
 from waymark.operators import filters as f
 from waymark.operators.backfill import window_edges
@@ -199,6 +199,7 @@ SELECT country_code, string_agg(spelling, '|' ORDER BY spelling) AS spellings FR
        {"names": NAMES, "codes": CODES})
 def _sets(spark: SparkSession, sf: str) -> DataFrame:
     _logs(spark, sf).createOrReplaceTempView("search_logs")
+    read_table(spark, sf, "nation").createOrReplaceTempView("nation")
     sets = spelling_sets(spark.sql(NAMES), spark.sql(CODES))
     return sets.select("country_code", F.array_join("spellings", "|").alias("spellings"))
 

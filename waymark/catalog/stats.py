@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from waymark.catalog.pieces import bootstrap_steps
 from waymark.catalog.registry import query
-from waymark.fixtures import view
+from waymark.fixtures import read_table, view
 from waymark.functions.text import parse_dmy, run_label
 from waymark.operators.ordering import running_sum
 from waymark.operators.snapshots import growth_snapshots, indicator_year, on_dates
@@ -21,7 +21,7 @@ LOW = (1 - 0.9) / 2
 
 
 def _events(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/events.parquet")
+    return read_table(spark, sf, "events")
 
 
 @query("bootstrap_replicates", [], "SELECT CAST(replicate AS INTEGER) AS replicate, round(estimate, 6) AS estimate FROM replicates", STEPS)

@@ -5,9 +5,16 @@ The same SQL text runs in Spark and in DuckDB, so queries and their oracles star
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
-BASE_TABLES = ["events", "customer", "nation", "supplier"]
+BASE_TABLES = {
+    "events": "event_id long, ts timestamp_ntz, user_id long, event_type string, value double, props string",
+    "customer": "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int, s_acctbal double",
+}
 
 # The instant every look-back is taken from; the events end on 2024-01-30.
 NOW = "2024-01-31 00:00:00"
@@ -103,10 +110,15 @@ UNION ALL SELECT 'he', lat, lon, concat('{"road":"he ', CAST(CAST(floor(lat) AS
 UNION ALL SELECT 'gg', lat, lon, concat('{"road":"gg ', CAST(CAST(floor(lon) AS INT) AS STRING), '"}') FROM p WHERE lon < -65""")
 
 
-def register_tables(spark: SparkSession, sf_dir: str) -> None:
-    """Name the given tables as temporary views."""
+def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    return spark.read.schema(BASE_TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
+
+
+def register_tables(spark: SparkSession, sf_dir: str, sql: str) -> None:
+    """Name the given tables that `sql` reads as temporary views."""
     for table in BASE_TABLES:
-        spark.read.parquet(f"{sf_dir}/{table}.parquet").createOrReplaceTempView(table)
+        if re.search(rf"\b{table}\b", sql):
+            read_table(spark, sf_dir, table).createOrReplaceTempView(table)
 
 
 def _ordered(names: list[str]) -> list[str]:
@@ -128,5 +140,6 @@ def with_views(names: list[str], body: str, steps: dict[str, str] | None = None)
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the views above as a DataFrame over the tables in `sf_dir`."""
-    register_tables(spark, sf_dir)
-    return spark.sql(with_views([name], f"SELECT * FROM {name}"))
+    sql = with_views([name], f"SELECT * FROM {name}")
+    register_tables(spark, sf_dir, sql)
+    return spark.sql(sql)

@@ -49,7 +49,9 @@ def adaptive_backfill(
     numbered = inside.withColumn("window_id", window_number(edges, column))
     counted = dedup_count(numbered, ["country", "window_id"])
     # At most EDGES - 1 rows per country.
-    sizes = counted.groupBy("country", "window_id").agg(F.least(F.count(F.lit(1)), F.lit(sample)).alias("_size"))
+    # Counting by the count column keeps the shuffle of `counted` equal to the one below, so it is made once.
+    found = F.count_if(F.col(COUNT) > 0)
+    sizes = counted.groupBy("country", "window_id").agg(F.least(found, F.lit(sample)).alias("_size"))
     newer = Window.partitionBy("country").orderBy("window_id").rowsBetween(Window.unboundedPreceding, -1)
     taken = (
         sizes.withColumn("_newer", F.coalesce(F.sum("_size").over(newer), F.lit(0)))

@@ -51,29 +51,50 @@ def provider_fanout(points: DataFrame, providers: Sequence[str] = tuple(PROVIDER
     return points.withColumn("provider_id", F.explode(F.array(*[F.lit(p) for p in providers])))
 
 
-def answered_by_request(points: DataFrame, responses: DataFrame, providers: Sequence[str], id_column: str = "id") -> DataFrame:
-    """Rows per provider with the provider's answer for their point, NULL where it has none.
+PLACE = ["lat", "lon"]
+
+
+def _request_answers(responses: DataFrame, providers: Sequence[str]) -> DataFrame:
+    """One row per point with a column per provider; a point has a handful of answers."""
+    return responses.where(F.col("provider_id").isin(list(providers))).groupBy(*PLACE).agg(*[
+        F.max(F.when(F.col("provider_id") == p, F.col("results"))).alias(f"_{p}") for p in providers
+    ])
 
-    `responses` holds at most one row per provider and point.
+
+def _area_answers(places: DataFrame, areas: DataFrame, providers: Sequence[str]) -> DataFrame:
+    """One row per point with its area components as JSON text; of areas that overlap the least id counts."""
+    found = locate(places, areas).groupBy(*PLACE).agg(F.min(F.struct("area_id", "area_name")).alias("_area"))
+    return found.select(*PLACE, *[F.to_json("_area").alias(f"_{p}") for p in providers])
+
+
+def _answered(
+    points: DataFrame, providers: Sequence[str], responses: DataFrame | None, areas: DataFrame | None, id_column: str,
+) -> DataFrame:
+    """Every row once per provider, with the provider's answer.
+
+    The answers of all providers are put side by side for each distinct point, so the rows are shuffled once
+    and multiplied by the providers only after that; a point that many rows share is looked up once.
     """
-    place = ["lat", "lon"]
-    asked = provider_fanout(points, providers)
-    counted = provider_fanout(points.groupBy(*place).agg(F.count(F.lit(1)).alias("_rows")), providers)
-    answers = responses.select("provider_id", *place, "results")
-    return salted_join(asked, answers, ["provider_id", *place], "left", counted, [id_column, "provider_id"])
+    counts = points.groupBy(*PLACE).agg(F.count(F.lit(1)).alias("_rows"))
+    by_area = [p for p in providers if p in AREA_PROVIDERS] if areas is not None else []
+    by_request = [p for p in providers if p not in by_area]
+    answers = counts.select(*PLACE)
+    if by_request:
+        answers = answers.join(_request_answers(responses, by_request), PLACE, "left")
+    if by_area:
+        answers = answers.join(_area_answers(counts.select(*PLACE), areas, by_area), PLACE, "left")
+    joined = salted_join(points, answers, PLACE, "left", counts, [id_column])
+    each = F.array(*[F.struct(F.lit(p).alias("provider_id"), F.col(f"_{p}").alias("results")) for p in providers])
+    return joined.select(*points.columns, F.inline(each))
 
 
-def answered_by_area(points: DataFrame, areas: DataFrame, providers: Sequence[str], id_column: str = "id") -> DataFrame:
-    """Rows per provider with the area components of their point as JSON text, NULL outside all areas.
+def answered_by_request(points: DataFrame, responses: DataFrame, providers: Sequence[str], id_column: str = "id") -> DataFrame:
+    """Rows per provider with the provider's answer for their point, NULL where it has none.
 
-    A point that many rows share is looked up once; of areas that overlap the one with the least id counts.
+    `responses` holds (provider_id, lat, lon, results), at most one per provider and point.
     """
-    place = ["lat", "lon"]
-    counted = points.groupBy(*place).agg(F.count(F.lit(1)).alias("_rows"))
-    found = locate(counted.select(*place), areas).groupBy(*place).agg(
-        F.to_json(F.min(F.struct("area_id", "area_name"))).alias("results")
-    )
-    return provider_fanout(salted_join(points, found, place, "left", counted, [id_column]), providers)
+    check_providers(providers)
+    return _answered(points, providers, responses, None, id_column)
 
 
 def compare_providers(
@@ -82,17 +103,10 @@ def compare_providers(
 ) -> DataFrame:
     """All rows answered by all providers, tagged with provider_id. Map providers answer from `areas`."""
     check_providers(providers)
-    if not {"lat", "lon"} <= set(points.columns):
+    if not set(PLACE) <= set(points.columns):
         raise ValueError("points need the columns lat and lon")
-    placed = points.withColumns({c: F.col(c).try_cast("double") for c in ("lat", "lon")})
-    by_area = [p for p in providers if p in AREA_PROVIDERS]
-    by_request = [p for p in providers if p not in AREA_PROVIDERS]
-    parts = []
-    if by_request:
-        parts.append(answered_by_request(placed, responses, by_request, id_column))
-    if by_area:
-        parts.append(answered_by_area(placed, areas, by_area, id_column))
-    return union_all(parts)
+    placed = points.withColumns({c: F.col(c).try_cast("double") for c in PLACE})
+    return _answered(placed, providers, responses, areas, id_column)
 
 
 def union_all(parts: Sequence[DataFrame]) -> DataFrame:

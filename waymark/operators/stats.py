@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 from waymark.schemas import FLAG_COLUMNS
 
 CELLS = 1 << 14
+# Tasks the weights are drawn in; the cells alone would be too few bytes for more than one.
+DRAW_TASKS = 64
 # One md5 gives four numbers of eight hex digits.
 PER_HASH = 4
 # Rows a single task may hold for a statistic that only exists as Python code.
@@ -74,7 +76,7 @@ def bootstrap_replicates(
         F.coalesce(F.sum(below.cast("double")), F.lit(0.0)).alias("_below"),
     )
     last_block = (times - 1) // PER_HASH
-    drawn = sums.select(
+    drawn = sums.repartition(DRAW_TASKS, "_cell").select(
         "_cell", "_above", "_below", F.explode(F.sequence(F.lit(0), F.lit(last_block))).alias("_block")
     ).withColumn("_draws", F.md5(F.concat_ws("-", F.col("_cell").cast("string"), F.col("_block").cast("string"), F.lit(str(seed)))))
     # The draws are columns of their own, so that each is cut out once and not for every limit it is compared to.

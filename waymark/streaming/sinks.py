@@ -19,7 +19,7 @@ def append_stream(
 
 
 def read_stream(
-    spark: SparkSession, path: str, schema: T.StructType, file_format: str = "parquet", files_per_batch: int | None = None,
+    spark: SparkSession, path: str, schema: T.StructType | str, file_format: str = "parquet", files_per_batch: int | None = None,
 ) -> DataFrame:
     """A folder as a stream; `files_per_batch` bounds how much one micro-batch takes."""
     reader = spark.readStream.schema(schema).format(file_format)
