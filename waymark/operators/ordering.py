@@ -20,11 +20,13 @@ POSITION_MASK = (1 << 33) - 1
 def row_index(df: DataFrame, order: Sequence[str], to: str = "id") -> DataFrame:
     """Adds consecutive numbers from 0 in the stated order.
 
-    Rows equal in `order` are told apart by their position in the input, so that many equal rows still
-    spread over partitions. The offsets are one row per partition.
+    Rows equal in `order` follow each other by a hash of their content, and exact copies by their position in
+    the input, so that many equal rows still spread over partitions. Only copies can change places when a
+    lost task is run again. The offsets are one row per partition.
     """
-    placed = df.withColumn("_tie", F.monotonically_increasing_id())
-    sort = [*order, "_tie"]
+    content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+    placed = df.withColumns({"_content": content, "_tie": F.monotonically_increasing_id()})
+    sort = [*order, "_content", "_tie"]
     fixed = fix_partitions(placed.repartitionByRange(*sort).sortWithinPartitions(*sort))
     marked = fixed.withColumns({
         "_part": F.spark_partition_id(),
@@ -36,7 +38,7 @@ def row_index(df: DataFrame, order: Sequence[str], to: str = "id") -> DataFrame:
     return (
         marked.join(F.broadcast(offsets), "_part")
         .withColumn(to, F.col("_offset") + F.col("_position"))
-        .drop("_part", "_position", "_offset", "_tie")
+        .drop("_part", "_position", "_offset", "_content", "_tie")
     )
 
 

@@ -47,9 +47,9 @@ def geocode_enrich(
     )
     if limit is not None:
         replies = replies.withColumn("_reply", F.col("_reply").withField("results", limit_results(F.col("_reply.results"), limit)))
-    parsed = replies.select("searched_query", *[
-        column.alias(name) for name, column in result_columns(F.col("_reply"), threshold).items()
-    ])
+    columns = F.struct(*[column.alias(name) for name, column in result_columns(F.col("_reply"), threshold).items()])
+    # Through inline() a later filter on a result stays behind the parsing instead of parsing again before it.
+    parsed = replies.select("searched_query", F.inline(F.array(columns)))
     return salted_join(rows, parsed, ["searched_query"], "left", queries, [id_column])
 
 
