@@ -27,9 +27,8 @@ def random_areas(draw, n=40):
 AREA = "area_id int, area_name string, min_lat double, max_lat double, min_lon double, max_lon double"
 
 
-@pytest.mark.parametrize("cell", [0.25, 3.0])
 @pytest.mark.parametrize("hot", [False, True])
-def test_locate_against_brute_force(spark, request, cell, hot):
+def test_locate_against_brute_force(spark, request, hot):
     if hot:
         request.getfixturevalue("nothing_fits")
     draw = random.Random(4)
@@ -39,12 +38,18 @@ def test_locate_against_brute_force(spark, request, cell, hot):
     expected = Counter(
         (p[0], a[0]) for p in points for a in areas if a[2] <= p[1] < a[3] and a[4] <= p[2] < a[5]
     )
-    made = locate(spark.createDataFrame(points, "id int, lat double, lon double"), spark.createDataFrame(areas, AREA), cell)
+    made = locate(spark.createDataFrame(points, "id int, lat double, lon double"), spark.createDataFrame(areas, AREA))
     assert bag(made, "id", "area_id") == expected
-    cells = area_cells(spark.createDataFrame(areas, AREA), cell).groupBy("area_id").count().collect()
+    cells = area_cells(spark.createDataFrame(areas, AREA)).groupBy("area_id").count().collect()
     assert max(r["count"] for r in cells) <= 4
 
 
+def test_small_boxes_share_no_large_cell(spark):
+    tiles = [(i * 50 + j, "t", i / 100, (i + 1) / 100, j / 100, (j + 1) / 100) for i in range(50) for j in range(50)]
+    cells = area_cells(spark.createDataFrame(tiles, AREA)).groupBy("_level", "_lat", "_lon").count()
+    assert max(r["count"] for r in cells.collect()) <= 16
+
+
 def points(spark):
     rows = [(i, 1.5, 2.5, "ES") for i in range(8)] + [(8, 50.0, 50.0, "FR"), (9, None, 1.0, "FR")]
     return spark.createDataFrame(rows, "id int, lat double, lon double, country string")

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.catalog.pieces import (
-    DECODED, DEVELOPER, FIXTURE_KEYS, KEY_ORDER, KEYS, chosen_sql, counted_sql, finished_sql, hash_of,
+    DECODED, DEVELOPER, FIXTURE_KEYS, KEY_ORDER, KEYS, chosen_sql, counted_sql, finished_sql, hash_of, time_sql, time_text,
 )
 from waymark.catalog.registry import query
 from waymark.fixtures import NOW, read_table, view
@@ -42,13 +42,14 @@ def _fields(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "populated_fields_master")
 
 
-SCANNED = "log_id, client_received_start_timestamp, request_uri, method_name, developer_email"
+SCANNED = "log_id, request_uri, method_name, developer_email"
+SEEN_SQL = time_sql("client_received_start_timestamp", "seen")
 
 
-@query("scan_logs", LOGS, f"SELECT {SCANNED} FROM search_logs")
+@query("scan_logs", LOGS, f"SELECT {SCANNED}, {SEEN_SQL} FROM search_logs")
 def _scan(spark: SparkSession, sf: str) -> DataFrame:
     _logs(spark, sf).createOrReplaceTempView("search_logs_insights")
-    return scan_logs(spark, "search_logs_insights").select(*SCANNED.split(", "))
+    return scan_logs(spark, "search_logs_insights").select(*SCANNED.split(", "), time_text(f.TIMESTAMP, "seen"))
 
 
 @query("read_by_format", LOGS, f"""
@@ -80,18 +81,18 @@ def _sink(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("filter_lookback", LOGS, f"""
-SELECT log_id, client_received_start_timestamp FROM search_logs
+SELECT log_id, {SEEN_SQL} FROM search_logs
 WHERE client_received_start_timestamp > TIMESTAMP '{NOW}' - INTERVAL 20 DAY""")
 def _lookback(spark: SparkSession, sf: str) -> DataFrame:
-    return _logs(spark, sf).where(f.looked_back(NOW, "20")).select("log_id", f.TIMESTAMP)
+    return _logs(spark, sf).where(f.looked_back(NOW, "20")).select("log_id", time_text(f.TIMESTAMP, "seen"))
 
 
 @query("filter_date_range", LOGS, f"""
-SELECT log_id, client_received_start_timestamp FROM search_logs
+SELECT log_id, {SEEN_SQL} FROM search_logs
 WHERE client_received_start_timestamp >= TIMESTAMP '{NOW}' - INTERVAL 25 DAY
   AND client_received_start_timestamp < TIMESTAMP '{NOW}' - INTERVAL 10 DAY""")
 def _date_range(spark: SparkSession, sf: str) -> DataFrame:
-    return _logs(spark, sf).where(f.in_date_range(NOW, 25, 10)).select("log_id", f.TIMESTAMP)
+    return _logs(spark, sf).where(f.in_date_range(NOW, 25, 10)).select("log_id", time_text(f.TIMESTAMP, "seen"))
 
 
 @query("filter_full_address", LOGS, "SELECT log_id, who_searched FROM search_logs WHERE who_searched = 'Full Address Search'")

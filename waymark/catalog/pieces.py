@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+
 from waymark.fixtures import NOW
 from waymark.operators.stats import PER_HASH, poisson_limits
 from waymark.schemas import ALL_ESCAPES, COMMA_PARTS, COMPONENT_COLUMNS, LOG_KEYS, SPACED_PARTS, STRUCTURED_COLUMNS
@@ -14,6 +17,17 @@ FIXTURE_KEYS = [
     }
 ]
 KEYS = ", ".join(FIXTURE_KEYS)
+
+
+def time_text(column: str, name: str) -> Column:
+    """A time as text, to compare it without regard to the type it has in an engine."""
+    return F.date_format(column, "yyyy-MM-dd HH:mm:ss.SSSSSS").alias(name)
+
+
+def time_sql(column: str, name: str) -> str:
+    return f"strftime({column}, '%Y-%m-%d %H:%M:%S.%f') AS {name}"
+
+
 DEVELOPER = "dev.metrics@example.com"
 
 

@@ -7,7 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.catalog.pieces import bootstrap_steps
+from waymark.catalog.pieces import bootstrap_steps, time_sql, time_text
 from waymark.catalog.registry import query
 from waymark.fixtures import read_table, view
 from waymark.functions.text import parse_dmy, run_label
@@ -37,40 +37,46 @@ def _interval(spark: SparkSession, sf: str) -> DataFrame:
     return bounds.select(*[F.round(c, 6).alias(c) for c in bounds.columns])
 
 
-@query("running_sum", [], """
-SELECT user_id, ts, round(sum(v) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS running_value
+@query("running_sum", [], f"""
+SELECT user_id, {time_sql('ts', 'seen')}, round(sum(v) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS running_value
 FROM (SELECT user_id, ts, sum(value) AS v FROM events GROUP BY user_id, ts)""")
 def _running(spark: SparkSession, sf: str) -> DataFrame:
     summed = running_sum(_events(spark, sf), "ts", ["value"], ["user_id"])
-    return summed.withColumn("running_value", F.round("running_value", 4))
+    return summed.select("user_id", time_text("ts", "seen"), F.round("running_value", 4).alias("running_value"))
 
 
-@query("running_sum_global", [], """
-SELECT ts, round(sum(v) OVER (ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS running_value
+@query("running_sum_global", [], f"""
+SELECT {time_sql('ts', 'seen')}, round(sum(v) OVER (ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS running_value
 FROM (SELECT ts, sum(value) AS v FROM events GROUP BY ts)""")
 def _running_global(spark: SparkSession, sf: str) -> DataFrame:
-    return running_sum(_events(spark, sf), "ts", ["value"]).withColumn("running_value", F.round("running_value", 4))
+    summed = running_sum(_events(spark, sf), "ts", ["value"])
+    return summed.select(time_text("ts", "seen"), F.round("running_value", 4).alias("running_value"))
 
 
 SNAPSHOTS = """
 SELECT country, iso_alpha, year, round(lifeExp * pow(1.1, k), 6) AS lifeExp,
-  CAST(DATE '2022-01-01' + to_months(CAST(k - 1 AS INTEGER)) AS DATE) AS date
+  strftime(DATE '2022-01-01' + to_months(CAST(k - 1 AS INTEGER)), '%Y-%m-%d') AS date
 FROM country_indicator, (SELECT unnest(range(1, 18)) AS k)"""
 
 
+def _plain(snapshots: DataFrame) -> DataFrame:
+    return snapshots.withColumns({"lifeExp": F.round("lifeExp", 6), "date": F.col("date").cast("string")})
+
+
 @query("growth_snapshots", ["country_indicator"], SNAPSHOTS)
 def _growth(spark: SparkSession, sf: str) -> DataFrame:
-    return growth_snapshots(view(spark, sf, "country_indicator")).withColumn("lifeExp", F.round("lifeExp", 6))
+    return _plain(growth_snapshots(view(spark, sf, "country_indicator")))
 
 
-@query("indicator_filter", ["country_indicator"], "SELECT * FROM snapshots WHERE year = 2007 AND lifeExp IS NOT NULL AND date = DATE '2022-03-01'", {"snapshots": SNAPSHOTS})
+@query("indicator_filter", ["country_indicator"], "SELECT * FROM snapshots WHERE year = 2007 AND lifeExp IS NOT NULL AND date = '2022-03-01'", {"snapshots": SNAPSHOTS})
 def _indicator(spark: SparkSession, sf: str) -> DataFrame:
     snapshots = growth_snapshots(indicator_year(view(spark, sf, "country_indicator")))
-    return on_dates(snapshots, [dt.date(2022, 3, 1)]).withColumn("lifeExp", F.round("lifeExp", 6))
+    return _plain(on_dates(snapshots, [dt.date(2022, 3, 1)]))
 
 
 @query("parse_dmy", [], """
-SELECT event_id, CAST(ts AS DATE) AS day, strftime(ts, '%d-%m-%Y') AS label FROM events""")
+SELECT event_id, strftime(ts, '%Y-%m-%d') AS day, strftime(ts, '%d-%m-%Y') AS label FROM events""")
 def _dmy(spark: SparkSession, sf: str) -> DataFrame:
     texts = _events(spark, sf).select("event_id", F.date_format("ts", "d/M/yyyy").alias("text"))
-    return texts.select("event_id", parse_dmy(F.col("text")).alias("day")).withColumn("label", run_label(F.col("day")))
+    days = texts.select("event_id", parse_dmy(F.col("text")).alias("_day"))
+    return days.select("event_id", F.col("_day").cast("string").alias("day"), run_label(F.col("_day")).alias("label"))

@@ -1,8 +1,9 @@
 """Points looked up in boxes, as an equi-join on grid cells.
 
-A box is filed at the grid level whose cells are at least as large as the box, so it touches at most four
-cells; a point asks for its cell at each level in use. Neither the size of the boxes nor of the grid makes
-the join fan out.
+Each grid level has cells four times as wide as the one below. A box is filed at the least level whose
+cells are as large as the box, so it touches at most four cells, and a cell holds few boxes that do not
+overlap; a point asks for its cell at each level in use. So neither large boxes nor a crowd of small ones
+makes the join fan out.
 """
 
 from __future__ import annotations
@@ -12,38 +13,32 @@ from pyspark.sql import functions as F
 
 from waymark.operators.joins import dimension_join
 
-CELL_DEGREES = 0.25
+STEP = 4.0
+# Cells of two metres; with the whole globe at level 5 there are fourteen levels.
+LEAST_LEVEL = -8
 
 
-def _cell(value: Column, level: Column, cell: float) -> Column:
-    return F.floor(value / (F.lit(cell) * F.pow(F.lit(2.0), level))).cast("int")
+def _cell(axis: str, bound: str = "") -> Column:
+    return F.floor(F.col(f"{bound}{axis}") / F.pow(F.lit(STEP), F.col("_level"))).cast("int")
 
 
-def _level(cell: float) -> Column:
-    extent = F.greatest(F.col("max_lat") - F.col("min_lat"), F.col("max_lon") - F.col("min_lon"))
-    return F.greatest(F.ceil(F.log2(F.greatest(extent, F.lit(cell)) / cell)), F.lit(0)).cast("int")
-
-
-def area_cells(areas: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
+def area_cells(areas: DataFrame) -> DataFrame:
     """Boxes with the cells they touch at their level."""
-    levelled = areas.withColumn("_level", _level(cell))
-    spans = {
-        f"_{axis}": F.explode(F.sequence(
-            _cell(F.col(f"min_{axis}"), F.col("_level"), cell), _cell(F.col(f"max_{axis}"), F.col("_level"), cell)
-        )) for axis in ("lat", "lon")
-    }
-    return levelled.withColumn("_lat", spans["_lat"]).withColumn("_lon", spans["_lon"])
+    extent = F.greatest(F.col("max_lat") - F.col("min_lat"), F.col("max_lon") - F.col("min_lon"), F.lit(STEP ** LEAST_LEVEL))
+    filed = areas.withColumn("_level", F.ceil(F.log(extent) / F.log(F.lit(STEP))).cast("int"))
+    for axis in ("lat", "lon"):
+        filed = filed.withColumn(f"_{axis}", F.explode(F.sequence(_cell(axis, "min_"), _cell(axis, "max_"))))
+    return filed
 
 
-def locate(points: DataFrame, areas: DataFrame, cell: float = CELL_DEGREES) -> DataFrame:
+def locate(points: DataFrame, areas: DataFrame) -> DataFrame:
     """Points (lat, lon) with each area they lie in; lower bounds belong to a box, upper bounds do not."""
     if not {"lat", "lon"} <= set(points.columns):
         raise ValueError("points need the columns lat and lon")
-    filed = area_cells(areas, cell)
-    # Each level doubles the cell, so a dozen levels reach around the globe.
+    filed = area_cells(areas)
     levels = sorted(row["_level"] for row in filed.select("_level").distinct().collect()) or [0]
     asking = points.withColumn("_level", F.explode(F.array(*[F.lit(v) for v in levels])))
-    asking = asking.withColumns({f"_{axis}": _cell(F.col(axis), F.col("_level"), cell) for axis in ("lat", "lon")})
+    asking = asking.withColumns({f"_{axis}": _cell(axis) for axis in ("lat", "lon")})
     met = dimension_join(asking, filed, ["_level", "_lat", "_lon"])
     inside = (
         (F.col("lat") >= F.col("min_lat")) & (F.col("lat") < F.col("max_lat"))

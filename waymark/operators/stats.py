@@ -24,7 +24,7 @@ DRAW_TASKS = 64
 # One md5 gives four numbers of eight hex digits.
 PER_HASH = 4
 # Rows a single task may hold for a statistic that only exists as Python code.
-EXACT_ROWS = 1_000_000
+EXACT_ROWS = 100_000
 
 
 def poisson_limits(last: int = 12) -> list[str]:

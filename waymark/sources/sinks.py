@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from waymark.functions.geo import point_text
-from waymark.operators.reports import country_status
 from waymark.schemas import SAMPLE_COLUMNS
-from waymark.sources.tables import read_by_format
 
 CSV_OPTIONS = {"quote": '"', "escape": '"', "header": "true"}
 ROWS_PER_FILE = 1_000_000
@@ -56,11 +54,13 @@ def write_results(df: DataFrame, path: str | None, mode: str = "overwrite") -> N
 def write_country_results(results: DataFrame, countries: Sequence[str], path: str, mode: str = "overwrite") -> DataFrame:
     """Provider results as tab-separated files, one folder per country, and the status of each country.
 
-    Coordinates become numbers, and one text. The status is counted on the files.
+    Coordinates become numbers, and one text. Which countries have rows is observed while they are written.
     """
     placed = results.withColumns({c: F.col(c).try_cast("double") for c in ("lat", "lon")})
     placed = placed.withColumn("coordinates", point_text(F.col("lat"), F.col("lon")))
     listed = placed.where(F.col("country").isin(list(countries)))
-    _write(by_country(listed), path, "csv", "\t", "country", mode)
-    saved = read_by_format(results.sparkSession, path, schema=listed.schema, sep="\t", file_format="csv")
-    return country_status(saved, countries)
+    seen = Observation()
+    found = {f"c{i}": F.max((F.col("country") == c).cast("int")).alias(f"c{i}") for i, c in enumerate(countries)}
+    _write(by_country(listed.observe(seen, *found.values())), path, "csv", "\t", "country", mode)
+    rows = [(c, "Done" if seen.get[name] == 1 else "Incomplete") for name, c in zip(found, countries)]
+    return results.sparkSession.createDataFrame(rows, "country string, status string")
