@@ -156,6 +156,14 @@ def test_rounds_end_at_the_bound_or_when_idle(spark):
     assert read_rounds(pois(spark), none).count() == 9
 
 
+def test_rounds_are_kept_where_asked(spark, tmp_path):
+    rounds = retry_until_filled(pois(spark, 4), answers_from(spark, 1), max_rounds=1, folder=str(tmp_path / "r"))
+    assert rounds.folders == [str(tmp_path / "r" / "round=1")]
+    assert read_saved(spark, rounds.folders[0]).where("api_status = 1").count() == 3
+    with pytest.raises(Exception, match="already exists"):
+        retry_until_filled(pois(spark, 4), answers_from(spark, 1), folder=str(tmp_path / "r"))
+
+
 def test_rounds_over_an_empty_table(spark):
     rounds = retry_until_filled(pois(spark, 0), answers_from(spark))
     assert rounds.remaining == 0 and read_rounds(pois(spark, 0), rounds).count() == 0

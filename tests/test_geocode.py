@@ -93,6 +93,18 @@ def test_requests_are_made_once_per_query_and_country(spark):
     })
 
 
+def test_requests_of_other_kinds(spark):
+    df = spark.createDataFrame([("a b", 1.5, 2.0, 500, "es"), ("a b", 1.5, 2.0, 500, "kr"), (None, None, 1.0, 1, "es")],
+                               "name string, lat double, lon double, search_radius_m int, country string")
+    for kind in ("reverseGeocode", "fullReverseGeocode"):
+        assert bag(request_table(df, "h", "k", 1, kind), "request_url") == Counter({
+            ("h/search/2/reverseGeocode/1.5%2C2.0.json?limit=1",): 1, ("k/search/2/reverseGeocode/1.5%2C2.0.json?limit=1",): 1,
+        })
+    assert request_table(df, "h", call_type="poiSearch").count() == 1
+    with pytest.raises(ValueError):
+        request_table(df, "h", call_type="other")
+
+
 @pytest.mark.parametrize("text, parts", [
     ('{"(food,cafe)"}', ["food", "cafe"]), ('{"(food)"}', ["food"]), ('{"{"}', ["}"]), ("", [""]), (None, None),
 ])

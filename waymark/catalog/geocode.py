@@ -10,10 +10,8 @@ from waymark.catalog.registry import query
 from waymark.fixtures import view
 from waymark.functions.geocode import read_response, result_columns
 from waymark.operators.filters import confident
-from waymark.plans.geocoding import RESULT_COLUMNS, geocode_enrich, geocode_results, request_table
+from waymark.plans.geocoding import geocode_enrich, geocode_results, request_table
 from waymark.session import new_path
-from waymark.sources.sinks import write_results
-from waymark.sources.tables import read_by_format
 
 VIEWS = ["search_logs", "geocode_responses"]
 PARSED = {"replies": f"SELECT searched_query, {reply_columns()} FROM geocode_responses"}
@@ -62,10 +60,7 @@ def _results(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("result_csv_roundtrip", VIEWS, RESULTS, PARSED)
 def _csv(spark: SparkSession, sf: str) -> DataFrame:
-    results = geocode_results(_logs(spark, sf), _responses(spark, sf), ["log_id"]).select(*RESULT_COLUMNS)
-    path = f"{new_path(spark, 'results')}.csv"
-    write_results(results, path)
-    return read_by_format(spark, path, schema=results.schema, sep=",")
+    return geocode_results(_logs(spark, sf), _responses(spark, sf), ["log_id"], save_path=new_path(spark, "results"))
 
 
 @query("request_table", ["search_logs"], """

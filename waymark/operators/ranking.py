@@ -27,7 +27,7 @@ def check_size(n: int | None, argument: str = "sample") -> None:
 
 
 def _slot(count: Column) -> Column:
-    slots = F.greatest(F.ceil(F.lit(SLOTS) / count), F.lit(1))
+    slots = F.ceil(F.lit(SLOTS) / F.greatest(count, F.lit(1)))
     head = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("bigint")
     return F.floor(head * slots / F.lit(HASH_RANGE)).cast("bigint")
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from waymark.functions.geocode import check_threshold, limit_results, read_response, result_columns
-from waymark.functions.text import geocode_url
+from waymark.functions.text import geocode_url, poi_url, reverse_url
 from waymark.operators.filters import confident, not_nearby
 from waymark.operators.joins import salted_join
 from waymark.operators.ordering import row_index
@@ -22,12 +22,31 @@ RESULT_COLUMNS = [
 SAMPLE_SEED = 101
 
 
+# What a request of each kind is made of.
+REQUESTS = {
+    "geocode": ["searched_query", "country"],
+    "reverseGeocode": ["lat", "lon", "country"],
+    "fullReverseGeocode": ["lat", "lon", "country"],
+    "poiSearch": ["name", "lat", "lon", "search_radius_m"],
+}
+
+
 def request_table(
-    df: DataFrame, host: str, kr_host: str | None = None, limit: int = 5, column: str = "searched_query",
+    df: DataFrame, host: str, kr_host: str | None = None, limit: int = 5, call_type: str = "geocode",
 ) -> DataFrame:
-    """One row per distinct query and country with the address to request, for a client outside Spark."""
-    asked = df.select(column, "country").where(F.col(column).isNotNull()).distinct()
-    return asked.withColumn("request_url", geocode_url(F.col(column), F.col("country"), host, kr_host or host, limit))
+    """One row per distinct request with its address, for a client outside Spark. Countries may be missing."""
+    if call_type not in REQUESTS:
+        raise ValueError(f"call_type must be one of {list(REQUESTS)}, not {call_type!r}")
+    parts = REQUESTS[call_type]
+    asked = df.select(*parts).na.drop(subset=[p for p in parts if p != "country"]).distinct()
+    columns = [F.col(p) for p in parts]
+    if call_type == "geocode":
+        url = geocode_url(*columns, host, kr_host or host, limit)
+    elif call_type == "poiSearch":
+        url = poi_url(*columns, host, limit)
+    else:
+        url = reverse_url(*columns, host, kr_host or host, limit)
+    return asked.withColumn("request_url", url)
 
 
 def geocode_enrich(
@@ -59,7 +78,8 @@ def geocode_results(
 ) -> DataFrame:
     """The result table of a log: rows numbered in the stated order, geocoded, kept from the threshold on.
 
-    `test_size` takes a seeded sample of that many rows; None or 0 takes all.
+    `test_size` takes a seeded sample of that many rows; None or 0 takes all. With a `save_path` the results
+    are written there once and come back from there.
     """
     needed = dict.fromkeys(["searched_query", "method_name", *order])
     numbered = row_index(logs.select(*needed), order)
@@ -67,8 +87,10 @@ def geocode_results(
         numbered = random_sample(numbered, test_size, SAMPLE_SEED, id_columns=["id"])
     asked = numbered.where(not_nearby()).select("id", "searched_query")
     results = geocode_enrich(asked, responses, threshold, limit, strict).where(confident(threshold)).select(*RESULT_COLUMNS)
+    if not save_path:
+        return results
     write_results(results, save_path)
-    return results
+    return read_by_format(logs.sparkSession, save_path, schema=results.schema, sep=",", file_format="csv")
 
 
 def geocode_file(spark: SparkSession, path: str, responses: DataFrame, order: Sequence[str], **options) -> DataFrame:

@@ -15,15 +15,26 @@ SETTINGS = {
     "spark.ui.enabled": "false",
 }
 
+# What one shuffle partition should hold.
+PARTITION_BYTES = 256 * 1024 * 1024
+
 _own_folders: dict[str, str] = {}
 
 
-def build_session(app: str = "waymark", master: str | None = None, **extra: str) -> SparkSession:
+def sized_for(input_bytes: int) -> dict[str, str]:
+    """Shuffle partitions for an input of this size; adaptive execution joins those that turn out small."""
+    return {"spark.sql.shuffle.partitions": str(max(200, -(-input_bytes // PARTITION_BYTES)))}
+
+
+def build_session(
+    app: str = "waymark", master: str | None = None, input_bytes: int | None = None, **extra: str,
+) -> SparkSession:
     """A session with the settings the jobs are written for; `extra` wins over them."""
     builder = SparkSession.builder.appName(app)
     if master is not None:
         builder = builder.master(master)
-    for key, value in {**SETTINGS, **extra}.items():
+    sized = {} if input_bytes is None else sized_for(input_bytes)
+    for key, value in {**SETTINGS, **sized, **extra}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 

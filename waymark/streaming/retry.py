@@ -52,16 +52,17 @@ class Rounds:
 
 def retry_until_filled(
     pois: DataFrame, fill: Filler, max_rounds: int = MOST_ROUNDS, stop_when_idle: bool = False,
-    files_per_batch: int | None = None,
+    files_per_batch: int | None = None, folder: str | None = None,
 ) -> Rounds:
     """Streams the unanswered rows through `fill`, round by round, until none is left.
 
     A round writes its answered and unanswered rows to partitions of its own, and the next round reads only
     the latter, so an answered row is written once and no round is computed twice. `stop_when_idle` ends
-    after a round without a new answer, for a filler that would not answer later either.
+    after a round without a new answer, for a filler that would not answer later either. The rounds are
+    kept in `folder`, by default a new one in the shared folder.
     """
     spark = pois.sparkSession
-    root = new_path(spark, "rounds")
+    root = folder or new_path(spark, "rounds")
     first = start_unanswered(pois)
     first.withColumn("api_status", F.lit(0)).write.partitionBy("api_status").parquet(f"{root}/round=0")
     rounds = Rounds(count=1, remaining=1, schema=_with_status(first.schema))
@@ -71,11 +72,11 @@ def retry_until_filled(
         before = read_stream(spark, f"{root}/round={number - 1}", rounds.schema, files_per_batch=files_per_batch)
         waiting = before.where(F.col("api_status") == 0).drop("api_status")
         step = fill_if_null(waiting, fill, number).withColumn("api_status", F.col("apiResults").isNotNull().cast("int"))
-        folder = f"{root}/round={number}"
-        append_stream(step, folder, f"{root}/checkpoint={number}", by=["api_status"])
-        rounds.folders.append(folder)
+        saved = f"{root}/round={number}"
+        append_stream(step, saved, f"{root}/checkpoint={number}", by=["api_status"])
+        rounds.folders.append(saved)
         # Rows of a round by status and calls: two counts, as all its rows made the same number of calls.
-        written = read_saved(spark, folder, rounds.schema)
+        written = read_saved(spark, saved, rounds.schema)
         report = sorted((r["api_status"], r["apiCalls"], r["count"]) for r in api_status_report(written).collect())
         rounds.reports.append(report)
         left = sum(n for status, _, n in report if status == 0)
