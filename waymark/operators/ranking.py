@@ -1,10 +1,10 @@
 """The first n rows per group, and random samples, without sorting a group in one task.
 
-Rows are ordered by a count, highest first, and among equal counts by a hash of their key. The hash range
-of a count is cut into slots, the more the smaller the count, and a histogram over (count, slot) gives the
-slot in which the n-th row lies. Rows before that slot are kept unsorted; only that slot is ranked.
-With SLOTS = 2**16, a slot holds about 1/SLOTS of the rows and the histogram has below a million entries
-per group: rows with count c number at most rows/c, and get SLOTS/c slots.
+Rows are ordered by a count, highest first, and among equal counts by a hash of their key. The sizes of all
+counts give the count at which the n-th row lies; among the rows of that count, and only for them, the
+sizes of hash slots give the slot in which it lies. Everything before that slot is kept unsorted, and only
+the slot, about 1/16**DIGITS of the group, is ranked. A group has few distinct counts (k of them need k*k/2
+rows of log) and 16**DIGITS slots, so the tables of sizes are small.
 """
 
 from __future__ import annotations
@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 from waymark.functions.text import row_hash
 from waymark.operators.joins import group_join
 
-SLOTS = 1 << 16
-HASH_RANGE = 1 << 32
+# Hex digits of the hash that make a slot.
+DIGITS = 4
 
 
 def check_size(n: int | None, argument: str = "sample") -> None:
@@ -26,10 +26,15 @@ def check_size(n: int | None, argument: str = "sample") -> None:
         raise ValueError(f"{argument} must be a count or None, not {n!r}")
 
 
-def _slot(count: Column) -> Column:
-    slots = F.ceil(F.lit(SLOTS) / F.greatest(count, F.lit(1)))
-    head = F.conv(F.substring("_hash", 1, 8), 16, 10).cast("bigint")
-    return F.floor(head * slots / F.lit(HASH_RANGE)).cast("bigint")
+def _last(sizes: DataFrame, by: list[str], order: Sequence[str | Column], n: int, start: Column) -> DataFrame:
+    """The entry of each group in which its n-th row lies, or its last one, and the rows before it."""
+    earlier = Window.partitionBy(*(by or [F.lit(0)])).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    reached = sizes.withColumn("_before", start + F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
+    return reached.where(F.col("_before") < n).groupBy(*by).agg(F.max_by(F.struct("_entry", "_before"), "_before").alias("_last"))
+
+
+def _attach(rows: DataFrame, last: DataFrame, by: list[str], groups: int | None) -> DataFrame:
+    return group_join(rows, last, by, groups) if by else rows.withColumn("_last", last.scalar())
 
 
 def first_n(
@@ -48,42 +53,33 @@ def first_n(
         return df
     if n == 0:
         return df.limit(0)
-    columns = df.columns
+    columns, key = df.columns, list(by)
     ties = list(tie_columns or [c for c in columns if c not in (*by, count, copies)])
-    key = list(by)
     amount = F.col(copies) if copies else F.lit(1)
     extra = [] if seed is None else [str(seed)]
-    ranked = df.withColumns({
-        "_count": F.col(count).cast("bigint") if count else F.lit(1).cast("bigint"),
-        "_hash": row_hash(ties, *extra),
-    }).withColumn("_slot", _slot(F.col("_count")))
-
-    histogram = ranked.groupBy(*key, "_count", "_slot").agg(F.sum(amount).alias("_size"))
-    earlier = Window.partitionBy(*(key or [F.lit(0)])).orderBy(F.desc("_count"), "_slot").rowsBetween(Window.unboundedPreceding, -1)
-    last = (
-        histogram.withColumn("_before", F.coalesce(F.sum("_size").over(earlier), F.lit(0)))
-        .where(F.col("_before") < n)
-        .groupBy(*key)
-        .agg(F.max_by(F.struct("_count", "_slot", "_before"), "_before").alias("_last"))
-    )
-    near = group_join(ranked, last, key, groups) if by else ranked.withColumn("_last", last.scalar())
-    ahead = (F.col("_count") > F.col("_last._count")) | (
-        (F.col("_count") == F.col("_last._count")) & (F.col("_slot") < F.col("_last._slot"))
-    )
-    within = (F.col("_count") == F.col("_last._count")) & (F.col("_slot") == F.col("_last._slot"))
-    in_slot = (
-        Window.partitionBy(*key, "_count", "_slot").orderBy("_hash", *ties)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+
+    if count:
+        sizes = df.groupBy(*key, F.col(count).alias("_entry")).agg(F.sum(amount).alias("_size"))
+        edges = _last(sizes, key, [F.desc("_entry")], n, F.lit(0))
+        near = _attach(df, edges, key, groups).where(F.col(count) >= F.col("_last._entry"))
+        near = near.withColumns({"_tied": F.col(count) == F.col("_last._entry"), "_above": F.col("_last._before")}).drop("_last")
+    else:
+        near = df.withColumns({"_tied": F.lit(True), "_above": F.lit(0).cast("bigint")})
+    hashed = near.withColumn("_hash", F.when(F.col("_tied"), row_hash(ties, *extra)))
+    slotted = hashed.withColumn("_slot", F.substring("_hash", 1, DIGITS))
+
+    tied = slotted.where("_tied").groupBy(*key, F.col("_slot").alias("_entry"))
+    slots = tied.agg(F.sum(amount).alias("_size"), F.max("_above").alias("_above"))
+    kept = _attach(slotted, _last(slots, key, ["_entry"], n, F.col("_above")), key, groups)
+    kept = kept.where(~F.col("_tied") | (F.col("_slot") <= F.col("_last._entry")))
+    order = [count] if count else []
+    in_slot = Window.partitionBy(*key, *order, "_slot").orderBy("_hash", *ties).rowsBetween(Window.unboundedPreceding, -1)
     room = F.lit(n) - F.col("_last._before") - F.coalesce(F.sum(amount).over(in_slot), F.lit(0))
-    kept = (
-        near.withColumn("_ahead", ahead).where(F.col("_ahead") | within)
-        .withColumn("_taken", F.when(F.col("_ahead"), amount).otherwise(F.least(amount, room)))
-        .where(F.col("_taken") > 0)
-    )
+    within = F.col("_tied") & (F.col("_slot") == F.col("_last._entry"))
+    taken = kept.withColumn("_taken", F.when(within, F.least(amount, room)).otherwise(amount)).where(F.col("_taken") > 0)
     if copies:
-        kept = kept.withColumn(copies, F.col("_taken"))
-    return kept.select(*columns)
+        taken = taken.withColumn(copies, F.col("_taken"))
+    return taken.select(*columns)
 
 
 def order_by_count(df: DataFrame, count: str = "search_query_counts") -> DataFrame:
