@@ -173,7 +173,7 @@ def ranked_rows(rows, n):
 def test_first_n_against_brute_force(spark, monkeypatch, digits, n, groups):
     monkeypatch.setattr(ranking, "DIGITS", digits)
     draw = random.Random(digits * n)
-    rows = [("hot" if i % 3 else f"g{i % 4}", f"k{i}", draw.choice([1, 1, 1, 2, 3, 50])) for i in range(300)]
+    rows = [("hot" if i % 3 else [None, "g1", "g2"][i // 3 % 3], f"k{i}", draw.choice([1, 1, 1, 2, 3, 50])) for i in range(300)]
     df = spark.createDataFrame(rows, "g string, k string, c int")
     got = first_n(df, n, ["g"], count="c", tie_columns=["k"], groups=groups)
     assert bag(got, "g", "k", "c") == ranked_rows(rows, n)

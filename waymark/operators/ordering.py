@@ -48,10 +48,13 @@ def running_sum(df: DataFrame, index: str, values: Sequence[str], by: Sequence[s
     Rows of one index value are summed up first, so the result has one row per (key and) index value and
     a key or an index value that holds most rows is small before it is shuffled.
     """
-    keys = list(by)
-    points = df.groupBy(*keys, index).agg(*[F.sum(v).alias(v) for v in values])
-    fixed = fix_partitions(points.repartitionByRange(*keys, index))
+    columns = list(by)
+    points = df.groupBy(*columns, index).agg(*[F.sum(v).alias(v) for v in values])
+    fixed = fix_partitions(points.repartitionByRange(*columns, index))
     marked = fixed.withColumn("_part", F.spark_partition_id())
+    # As a struct, missing keys are equal to each other and join like any other.
+    keys = ["_group"] if columns else []
+    marked = marked.withColumn("_group", F.struct(*columns)) if columns else marked
     # At most one row per partition and key start.
     totals = marked.groupBy(*keys, "_part").agg(*[F.sum(v).alias(f"_sum_{v}") for v in values])
     earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -59,9 +62,9 @@ def running_sum(df: DataFrame, index: str, values: Sequence[str], by: Sequence[s
         *keys, "_part", *[F.coalesce(F.sum(f"_sum_{v}").over(earlier), F.lit(0)).alias(f"_before_{v}") for v in values]
     )
     along = Window.partitionBy(*keys, "_part").orderBy(index).rowsBetween(Window.unboundedPreceding, 0)
-    inside = marked.select(*keys, "_part", index, *[F.sum(v).over(along).alias(f"_inside_{v}") for v in values])
+    inside = marked.select(*keys, *columns, "_part", index, *[F.sum(v).over(along).alias(f"_inside_{v}") for v in values])
     # `inside` is already partitioned by the join keys; without keys there is one offset per partition.
     joined = inside.join(offsets if keys else F.broadcast(offsets), [*keys, "_part"])
     return joined.select(
-        *keys, index, *[(F.col(f"_before_{v}") + F.col(f"_inside_{v}")).alias(f"running_{v}") for v in values]
+        *columns, index, *[(F.col(f"_before_{v}") + F.col(f"_inside_{v}")).alias(f"running_{v}") for v in values]
     )

@@ -53,8 +53,10 @@ def first_n(
         return df
     if n == 0:
         return df.limit(0)
-    columns, key = df.columns, list(by)
+    columns, key = df.columns, ["_group"] if by else []
     ties = list(tie_columns or [c for c in columns if c not in (*by, count, copies)])
+    # As a struct, missing group values are equal to each other and join like any other.
+    df = df.withColumn("_group", F.struct(*by)) if by else df
     amount = F.col(copies) if copies else F.lit(1)
     extra = [] if seed is None else [str(seed)]
 
