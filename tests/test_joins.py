@@ -90,3 +90,20 @@ def test_running_sums(spark, by):
             running += points[t]
             expected[(k, t, running) if by else (t, running)] += 1
     assert bag(running_sum(df, "t", ["v"], by), *by, "t", "running_v") == expected
+
+
+def test_running_sums_over_missing_values(spark):
+    from pyspark.sql import Window
+
+    draw = random.Random(3)
+    rows = [(t, None if t < 5 or draw.random() < 0.6 else draw.randint(1, 9)) for t in range(200)]
+    df = spark.createDataFrame(rows, "t int, v int").repartition(6)
+    plain = df.withColumn("running_v", F.sum("v").over(Window.orderBy("t"))).select("t", "running_v")
+    assert bag(running_sum(df, "t", ["v"])) == bag(plain)
+
+
+def test_rows_with_maps(spark, nothing_fits):
+    df = facts(spark).withColumn("m", F.create_map(F.col("id"), F.col("k")))
+    assert row_index(df, ["id"], to="n").where("n = id").count() == 120
+    made = salted_join(df, dimension(spark), ["k"], "left")
+    assert made.count() == df.join(dimension(spark), ["k"], "left").count()

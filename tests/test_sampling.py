@@ -221,6 +221,10 @@ def test_sample_of_a_country(spark):
         countries=["ES"],
     )
     assert {r["searched_query"] for r in everything.collect()} == {"hot", "warm", "cold", "poi", "partial", "old"}
+    lone = sample_logs(df, spellings(spark), fields(spark), NOW, countries="es", sample=1)
+    assert bag(lone, "searched_query", "country") == Counter({("hot", "ES"): 1})
+    with pytest.raises(ValueError):
+        sample_logs(df, spellings(spark), fields(spark), NOW, countries=5)
     rows = sample_logs(df, spellings(spark), fields(spark), NOW, sample=4, deduplicate=False)
     assert rows.count() in (3, 4) and COUNT not in rows.columns
 

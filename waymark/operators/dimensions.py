@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymark.functions.text import pipe_items
+from waymark.operators.filters import Names, as_names
 from waymark.operators.joins import dimension_join, salted_join
 
 # Field names kept as a literal map; a larger list is joined.
@@ -37,21 +38,22 @@ def spelling_sets(names: DataFrame, codes: DataFrame, languages: Sequence[str] |
     )
 
 
-def _lowered(spellings: DataFrame, countries: Sequence[str] | None) -> DataFrame:
+def _lowered(spellings: DataFrame, countries: Names) -> DataFrame:
     pairs = spelling_pairs(spellings)
-    if countries is not None:
-        pairs = pairs.where(F.col("country_code").isin(list(countries)))
+    codes = as_names(countries, "countries")
+    if codes is not None:
+        pairs = pairs.where(F.upper("country_code").isin([c.upper() for c in codes]))
     return pairs.select(F.lower("spelling").alias("_spelling"), "country_code").distinct()
 
 
-def match_countries(logs: DataFrame, spellings: DataFrame, countries: Sequence[str] | None = None) -> DataFrame:
+def match_countries(logs: DataFrame, spellings: DataFrame, countries: Names = None) -> DataFrame:
     """Logs with `country`, the code their countryName spells; a spelling of two codes gives two rows."""
     dimension = _lowered(spellings, countries).withColumnRenamed("country_code", "country")
     named = logs.withColumn("_spelling", F.lower("countryName"))
     return dimension_join(named, dimension, ["_spelling"]).drop("_spelling")
 
 
-def in_countries(logs: DataFrame, spellings: DataFrame, countries: Sequence[str] | None = None) -> DataFrame:
+def in_countries(logs: DataFrame, spellings: DataFrame, countries: Names = None) -> DataFrame:
     """Logs whose countryName spells one of the countries, each once."""
     dimension = _lowered(spellings, countries).select("_spelling").distinct()
     named = logs.withColumn("_spelling", F.lower("countryName"))

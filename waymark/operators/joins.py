@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # What one executor is asked to hold for a broadcast side.
@@ -18,6 +18,12 @@ HOT_KEYS = 10_000
 NULL_SPREAD = 1 << 20
 
 
+def content_hash(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
+    """Hash of the columns, by default of all; maps have no hash and are left out."""
+    kinds = {field.name: field.dataType.simpleString() for field in df.schema.fields}
+    return F.xxhash64(*[F.col(f"`{c}`") for c in (columns or df.columns) if "map<" not in kinds[c]])
+
+
 def fits_broadcast(df: DataFrame) -> bool:
     """Whether `df`, measured, stays below both bounds."""
     width = sum((F.coalesce(F.octet_length(F.col(f"`{c}`").cast("string")), F.lit(0)) + 16 for c in df.columns), F.lit(0))
@@ -44,7 +50,7 @@ def salted_join(
         counts.where(F.col("_rows") > ROWS_PER_TASK).orderBy(F.desc("_rows"), *on).limit(HOT_KEYS)
         .select(*on, F.ceil(F.col("_rows") / ROWS_PER_TASK).cast("int").alias("_salts"))
     )
-    content = F.xxhash64(*[F.col(f"`{c}`") for c in (spread_by or facts.columns)])
+    content = content_hash(facts, spread_by)
     missing = F.lit(False)
     for key in on:
         missing = missing | F.col(key).isNull()

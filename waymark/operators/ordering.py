@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from waymark.operators.joins import content_hash
 from waymark.session import fix_partitions
 
 # monotonically_increasing_id keeps the position within the partition in its lower bits.
@@ -24,8 +25,7 @@ def row_index(df: DataFrame, order: Sequence[str], to: str = "id") -> DataFrame:
     the input, so that many equal rows still spread over partitions. Only copies can change places when a
     lost task is run again. The offsets are one row per partition.
     """
-    content = F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
-    placed = df.withColumns({"_content": content, "_tie": F.monotonically_increasing_id()})
+    placed = df.withColumns({"_content": content_hash(df), "_tie": F.monotonically_increasing_id()})
     sort = [*order, "_content", "_tie"]
     fixed = fix_partitions(placed.repartitionByRange(*sort).sortWithinPartitions(*sort))
     marked = fixed.withColumns({
@@ -59,12 +59,14 @@ def running_sum(df: DataFrame, index: str, values: Sequence[str], by: Sequence[s
     totals = marked.groupBy(*keys, "_part").agg(*[F.sum(v).alias(f"_sum_{v}") for v in values])
     earlier = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys, "_part", *[F.coalesce(F.sum(f"_sum_{v}").over(earlier), F.lit(0)).alias(f"_before_{v}") for v in values]
+        *keys, "_part", *[F.sum(f"_sum_{v}").over(earlier).alias(f"_before_{v}") for v in values]
     )
     along = Window.partitionBy(*keys, "_part").orderBy(index).rowsBetween(Window.unboundedPreceding, 0)
     inside = marked.select(*keys, *columns, "_part", index, *[F.sum(v).over(along).alias(f"_inside_{v}") for v in values])
     # `inside` is already partitioned by the join keys; without keys there is one offset per partition.
     joined = inside.join(offsets if keys else F.broadcast(offsets), [*keys, "_part"])
+    # Missing values add nothing; a sum is missing as long as there was no value.
+    total = {v: (F.col(f"_before_{v}"), F.col(f"_inside_{v}")) for v in values}
     return joined.select(
-        *columns, index, *[(F.col(f"_before_{v}") + F.col(f"_inside_{v}")).alias(f"running_{v}") for v in values]
+        *columns, index, *[F.coalesce(before + inner, before, inner).alias(f"running_{v}") for v, (before, inner) in total.items()]
     )

@@ -25,7 +25,7 @@ def sample_name(only_full_addresses: bool, run_date: dt.date) -> str:
 
 
 def select_logs(
-    logs: DataFrame, spellings: DataFrame, countries: Sequence[str] | None, endpoints: f.Names = None,
+    logs: DataFrame, spellings: DataFrame, countries: f.Names, endpoints: f.Names = None,
     exclude_endpoints: f.Names = POI_ENDPOINT, developer_emails: f.Names = None, populated_fields: f.Names = None,
     only_full_addresses: bool = True,
 ) -> DataFrame:
@@ -41,6 +41,11 @@ def select_logs(
     return match_countries(kept, spellings, countries)
 
 
+def _most_groups(countries: f.Names) -> int:
+    codes = f.as_names(countries, "countries")
+    return MOST_COUNTRIES if codes is None else len(codes)
+
+
 def finish_sample(sample: DataFrame, fields: DataFrame) -> DataFrame:
     """Decoded fields, upper-case country names, a developer_email column, and no broken text."""
     decoded = decode_fields(sample, fields).withColumn("countryName", F.upper("countryName"))
@@ -51,7 +56,7 @@ def finish_sample(sample: DataFrame, fields: DataFrame) -> DataFrame:
 
 def sample_logs(
     logs: DataFrame, spellings: DataFrame, fields: DataFrame, now: str | dt.datetime,
-    countries: Sequence[str] | None = None, sample: int | None = 10_000, ago: int | str | None = 365,
+    countries: f.Names = None, sample: int | None = 10_000, ago: int | str | None = 365,
     deduplicate: bool = True, pre_cap: int | None = None, id_columns: Sequence[str] | None = None, seed: int = 0,
     **selection,
 ) -> DataFrame:
@@ -63,7 +68,7 @@ def sample_logs(
     check_size(sample)
     check_size(pre_cap, "pre_cap")
     chosen = select_logs(logs.where(f.looked_back(now, ago)), spellings, countries, **selection)
-    groups = MOST_COUNTRIES if countries is None else len(countries)
+    groups = _most_groups(countries)
     if pre_cap is not None:
         chosen = random_sample(chosen, pre_cap, seed, ["country"], id_columns, groups)
     if deduplicate:
@@ -76,9 +81,9 @@ def sample_logs(
 
 def backfill_logs(
     logs: DataFrame, spellings: DataFrame, fields: DataFrame, now: str | dt.datetime,
-    countries: Sequence[str] | None = None, sample: int = 10_000, ago: int | str = 365, **selection,
+    countries: f.Names = None, sample: int = 10_000, ago: int | str = 365, **selection,
 ) -> DataFrame:
     """The sample of every country gathered from date windows, newest first."""
     chosen = select_logs(logs, spellings, countries, **selection)
-    groups = MOST_COUNTRIES if countries is None else len(countries)
+    groups = _most_groups(countries)
     return finish_sample(adaptive_backfill(chosen, now, sample, ago, groups), fields)
