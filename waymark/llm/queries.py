@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from waymark.llm.common import table
+from waymark.llm.packing import pack_documents
 from waymark.llm.sharding import shard_documents
+from waymark.llm.token_counts import token_counts
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -16,8 +18,18 @@ def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return shard_documents(table(spark, sf, "documents"))
 
 
+def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return token_counts(table(spark, sf, "documents"))
+
+
+def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack_documents(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Job] = {
     "op2_sharding": op2_sharding,
+    "op8_token_counts": op8_token_counts,
+    "op10_packing": op10_packing,
 }
 
 ORACLES: dict[str, str] = {}
