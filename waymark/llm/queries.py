@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from waymark.llm.common import table
+from waymark.llm.decontamination import find_benchmark, items_digest
 from waymark.llm.packing import pack_documents
+from waymark.llm.quality import clean_lines
 from waymark.llm.sharding import shard_documents
 from waymark.llm.token_counts import token_counts
 
@@ -18,6 +20,15 @@ def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return shard_documents(table(spark, sf, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return clean_lines(table(spark, sf, "documents")).drop("clean_text")
+
+
+def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    found = find_benchmark(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+    return found.select("doc_id", "n_words", "n_hit", *items_digest(), "contaminated")
+
+
 def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(table(spark, sf, "documents"))
 
@@ -28,6 +39,8 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Job] = {
     "op2_sharding": op2_sharding,
+    "op4_quality": op4_quality,
+    "op6_decontamination": op6_decontamination,
     "op8_token_counts": op8_token_counts,
     "op10_packing": op10_packing,
 }
