@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from waymark.llm.common import table
 from waymark.llm.decontamination import find_benchmark, items_digest
+from waymark.llm.language import identify_language
 from waymark.llm.packing import pack_documents
 from waymark.llm.quality import clean_lines
 from waymark.llm.sharding import shard_documents
@@ -24,6 +25,10 @@ def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
     return clean_lines(table(spark, sf, "documents")).drop("clean_text")
 
 
+def op5_language(spark: SparkSession, sf: str) -> DataFrame:
+    return identify_language(table(spark, sf, "documents"))
+
+
 def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     found = find_benchmark(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
     return found.select("doc_id", "n_words", "n_hit", *items_digest(), "contaminated")
@@ -40,6 +45,7 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES: dict[str, Job] = {
     "op2_sharding": op2_sharding,
     "op4_quality": op4_quality,
+    "op5_language": op5_language,
     "op6_decontamination": op6_decontamination,
     "op8_token_counts": op8_token_counts,
     "op10_packing": op10_packing,
