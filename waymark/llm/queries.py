@@ -10,8 +10,10 @@ from waymark.llm.common import table
 from waymark.llm.decontamination import find_benchmark, items_digest
 from waymark.llm.language import identify_language
 from waymark.llm.packing import pack_documents
+from waymark.llm.pii import pseudonymise
 from waymark.llm.quality import clean_lines
 from waymark.llm.sharding import shard_documents
+from waymark.llm.substrings import remove_repeats
 from waymark.llm.token_counts import token_counts
 
 Job = Callable[[SparkSession, str], DataFrame]
@@ -34,10 +36,18 @@ def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", *items_digest(), "contaminated")
 
 
+def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
+    return pseudonymise(table(spark, sf, "documents"))
+
+
 def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts(table(spark, sf, "documents"))
 
 
+def op9_substrings(spark: SparkSession, sf: str) -> DataFrame:
+    return remove_repeats(table(spark, sf, "documents"))
+
+
 def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(table(spark, sf, "documents"))
 
@@ -47,7 +57,9 @@ QUERIES: dict[str, Job] = {
     "op4_quality": op4_quality,
     "op5_language": op5_language,
     "op6_decontamination": op6_decontamination,
+    "op7_pii": op7_pii,
     "op8_token_counts": op8_token_counts,
+    "op9_substrings": op9_substrings,
     "op10_packing": op10_packing,
 }
 
