@@ -37,7 +37,7 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _slices(batch: pa.RecordBatch, widest: int) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, widest: int, slice_bytes: int, slice_rows: int) -> Iterator[pa.RecordBatch]:
     sizes = np.zeros(batch.num_rows, dtype=np.int64)
     column = batch.column(widest)
     if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
@@ -48,8 +48,8 @@ def _slices(batch: pa.RecordBatch, widest: int) -> Iterator[pa.RecordBatch]:
     start = 0
     while start < batch.num_rows:
         before = ends[start - 1] if start else 0
-        stop = int(np.searchsorted(ends, before + SLICE_BYTES, side="right"))
-        stop = min(max(stop, start + 1), start + SLICE_ROWS, batch.num_rows)
+        stop = int(np.searchsorted(ends, before + slice_bytes, side="right"))
+        stop = min(max(stop, start + 1), start + slice_rows, batch.num_rows)
         yield batch.slice(start, stop - start)
         start = stop
 
@@ -63,7 +63,10 @@ def _values(column: pa.Array) -> list[Any]:
     return column.to_pylist()
 
 
-def map_slices(df: DataFrame, begin: Callable[[], Work], schema: str, widest: int = 1, end: bool = False) -> DataFrame:
+def map_slices(
+    df: DataFrame, begin: Callable[[], Work], schema: str, widest: int = 1, end: bool = False,
+    slice_bytes: int = SLICE_BYTES, slice_rows: int = SLICE_ROWS,
+) -> DataFrame:
     """Runs Python over slices of the rows, in Arrow batches.
 
     `begin()` is called once per task and gives a function from the columns' values (lists; strings as UTF-8 bytes)
@@ -80,7 +83,7 @@ def map_slices(df: DataFrame, begin: Callable[[], Work], schema: str, widest: in
             return pa.RecordBatch.from_arrays(arrays, schema=arrow)
 
         for batch in batches:
-            for part in _slices(batch, widest) if batch.num_rows else ():
+            for part in _slices(batch, widest, slice_bytes, slice_rows) if batch.num_rows else ():
                 yield made(work(*[_values(c) for c in part.columns]))
         if end:
             yield made(work())

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from waymark.llm.common import table
 from waymark.llm.decontamination import find_benchmark, items_digest
 from waymark.llm.language import identify_language
+from waymark.llm.language_model import score_documents
 from waymark.llm.packing import pack_documents
 from waymark.llm.pii import pseudonymise
 from waymark.llm.quality import clean_lines
@@ -23,6 +24,10 @@ def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return shard_documents(table(spark, sf, "documents"))
 
 
+def op3_lm_scoring(spark: SparkSession, sf: str) -> DataFrame:
+    return score_documents(table(spark, sf, "documents"))
+
+
 def op4_quality(spark: SparkSession, sf: str) -> DataFrame:
     return clean_lines(table(spark, sf, "documents")).drop("clean_text")
 
@@ -54,6 +59,7 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Job] = {
     "op2_sharding": op2_sharding,
+    "op3_lm_scoring": op3_lm_scoring,
     "op4_quality": op4_quality,
     "op5_language": op5_language,
     "op6_decontamination": op6_decontamination,
