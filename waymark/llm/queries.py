@@ -10,6 +10,7 @@ from waymark.llm.common import table
 from waymark.llm.decontamination import find_benchmark, items_digest
 from waymark.llm.language import identify_language
 from waymark.llm.language_model import score_documents
+from waymark.llm.ngram_join import similar_groups
 from waymark.llm.packing import pack_documents
 from waymark.llm.pii import pseudonymise
 from waymark.llm.quality import clean_lines
@@ -20,6 +21,10 @@ from waymark.llm.token_counts import token_counts
 Job = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
+    return similar_groups(table(spark, sf, "documents"), shingle=3, percent=90)
+
+
 def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return shard_documents(table(spark, sf, "documents"))
 
@@ -58,6 +63,7 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Job] = {
+    "op1_ngram_join": op1_ngram_join,
     "op2_sharding": op2_sharding,
     "op3_lm_scoring": op3_lm_scoring,
     "op4_quality": op4_quality,
