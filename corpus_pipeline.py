@@ -1,16 +1,73 @@
-"""The corpus pipeline: documents through the operators of waymark.llm, one Parquet table per stage."""
+"""The corpus pipeline: documents through five operators of waymark.llm, one Parquet table per stage.
+
+Each stage takes (spark, docs, sf_dir) and returns rows with the columns of `docs`, the last one the packed pieces.
+Stages read a table, which gives the same rows in the same order whenever it is read.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from waymark.llm.common import saved, table
+from waymark.llm.decontamination import find_benchmark
+from waymark.llm.language import UNKNOWN, identify_language
+from waymark.llm.ngram_join import similar_groups
+from waymark.llm.packing import pack_documents
+from waymark.llm.pii import pseudonymise
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-STAGES: list[tuple[str, Stage]] = []
+# A document is rejected where no language has this share of its positions.
+LEAST_SCORE = 0.4
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a language that the network knows; those without letters or between languages go."""
+    known = identify_language(docs, keep=True).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
+    return known.select("_doc.*")
+
+
+def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first row of each group of near copies (word shingles of five, similarity 0.8)."""
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    groups = similar_groups(numbered, id="_row")
+    copies = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_row"))
+    return numbered.join(copies, "_row", "left_anti").select(*docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that benchmark passages do not fill to a twentieth or more."""
+    found = find_benchmark(docs, table(spark, sf_dir, "benchmark"), keep=True)
+    return found.where(~F.col("contaminated")).select("_doc.*")
+
+
+def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, with pseudonyms in their texts; where n_chars was the text's length it follows the new text."""
+    fresh = pseudonymise(docs, keep=True)
+    columns = {c: F.col(f"_doc.`{c}`") for c in docs.columns}
+    if "n_chars" in columns:
+        kind = docs.schema["n_chars"].dataType
+        same = columns["n_chars"] == F.length(columns["text"])
+        columns["n_chars"] = F.when(same, F.length("text").cast(kind)).otherwise(columns["n_chars"])
+    columns["text"] = F.col("text")
+    return fresh.select(*[value.alias(c) for c, value in columns.items()])
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents in sequences of 2048 tokens."""
+    return pack_documents(docs)
+
+
+STAGES: list[tuple[str, Stage]] = [
+    ("language_id", language_id),
+    ("ngram_join", ngram_join),
+    ("decontamination", decontamination),
+    ("pii", pii),
+    ("packing", packing),
+]
 
 # Models and trained state are not expressible in SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
@@ -21,4 +78,4 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = saved(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return STAGES[-1][1](spark, docs, sf_dir) if STAGES else docs
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -25,9 +25,13 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def pick(df: DataFrame, **columns: str) -> DataFrame:
-    """Only the named columns, under the names of the arguments; all others, clashing or not, are left out."""
-    return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()])
+def pick(df: DataFrame, keep: bool = False, **columns: str) -> DataFrame:
+    """Only the named columns, under the names of the arguments; all others, clashing or not, are left out.
+
+    With `keep` the whole row is a last column `_doc`, whose column names cannot clash.
+    """
+    row = [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("_doc")] if keep else []
+    return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()], *row)
 
 
 def saved(df: DataFrame, name: str) -> DataFrame:
@@ -65,30 +69,33 @@ def _values(column: pa.Array) -> list[Any]:
 
 def map_slices(
     df: DataFrame, begin: Callable[[], Work], schema: str, widest: int = 1, end: bool = False,
-    slice_bytes: int = SLICE_BYTES, slice_rows: int = SLICE_ROWS,
+    slice_bytes: int = SLICE_BYTES, slice_rows: int = SLICE_ROWS, keep: bool = False,
 ) -> DataFrame:
     """Runs Python over slices of the rows, in Arrow batches.
 
     `begin()` is called once per task and gives a function from the columns' values (lists; strings as UTF-8 bytes)
     to the columns of `schema`. With `end` it is called once more without arguments after the last row. `widest` is
-    the column whose bytes bound a slice.
+    the column whose bytes bound a slice. With `keep` the last column is not read but handed on, row by row.
     """
+    kept = df.schema.fields[-1:] if keep else []
     arrow = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = begin()
 
-        def made(columns: list[Any]) -> pa.RecordBatch:
+        def made(columns: list[Any], rest: list[pa.Array]) -> pa.RecordBatch:
             arrays = [c if isinstance(c, pa.Array) and c.type == f.type else pa.array(c, f.type) for c, f in zip(columns, arrow)]
-            return pa.RecordBatch.from_arrays(arrays, schema=arrow)
+            fields = [*arrow, *[pa.field(f.name, c.type) for f, c in zip(kept, rest)]]
+            return pa.RecordBatch.from_arrays([*arrays, *rest], schema=pa.schema(fields))
 
         for batch in batches:
             for part in _slices(batch, widest, slice_bytes, slice_rows) if batch.num_rows else ():
-                yield made(work(*[_values(c) for c in part.columns]))
+                read = part.columns[:len(part.columns) - len(kept)]
+                yield made(work(*[_values(c) for c in read]), part.columns[len(read):])
         if end:
-            yield made(work())
+            yield made(work(), [])
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(run, T.StructType([*T.StructType.fromDDL(schema).fields, *kept]))
 
 
 def ascii_words(text: bytes | None) -> list[bytes]:

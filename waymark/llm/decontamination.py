@@ -178,7 +178,7 @@ def merged_spans(covered: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist()))
 
 
-def find_block(rows: DataFrame, items: list[tuple[str | None, bytes | None]], size: int) -> DataFrame:
+def find_block(rows: DataFrame, items: list[tuple[str | None, bytes | None]], size: int, keep: bool) -> DataFrame:
     """What one block of items finds in each document: merged word spans and item ids."""
     content = rows.sparkSession.sparkContext.broadcast(items)
 
@@ -211,7 +211,7 @@ def find_block(rows: DataFrame, items: list[tuple[str | None, bytes | None]], si
 
         return work
 
-    return map_slices(rows, begin, FOUND)
+    return map_slices(rows, begin, FOUND, keep=keep)
 
 
 def merge_blocks(found: DataFrame) -> DataFrame:
@@ -233,29 +233,34 @@ def merge_blocks(found: DataFrame) -> DataFrame:
 
 def find_benchmark(
     docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, id: str = "doc_id", text: str = "text",
-    item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES,
+    item_id: str = "item_id", item_text: str = "text", block_bytes: int = BLOCK_BYTES, keep: bool = False,
 ) -> DataFrame:
     """doc_id, n_words, spans of hit words, items, n_hit and contaminated of every document row.
 
     Missing and empty texts have no words and are never contaminated; an empty benchmark finds nothing. Items without
-    id hit words but are not listed; items of one id count as one. Repeated rows are judged one by one.
+    id hit words but are not listed; items of one id count as one. Repeated rows are judged one by one. With `keep` the
+    row itself is a last column `_doc`.
     """
     tests = pick(benchmark, item=item_id, text=item_text).select(F.col("item").cast("string"), "text").where("text is not null")
     total = tests.agg(F.coalesce(F.sum(F.octet_length("text") + 64), F.lit(0))).first()[0]
     blocks = max(1, math.ceil(total / block_bytes))
-    rows = pick(docs, doc_id=id, text=text).select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("_row"))
+    rows = pick(docs, keep, doc_id=id, text=text).select(
+        F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("_row"), *(["_doc"] if keep else [])
+    )
     # An item of more than a block would be a block of its own.
     numbered = saved(tests, "benchmark") if blocks > 1 else tests
     parts = []
     for block in range(blocks):
         # About block_bytes of text, by a hash of the item.
         own = numbered.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block) if blocks > 1 else numbered
-        parts.append(find_block(rows, [(r["item"], r["text"].encode()) for r in own.toLocalIterator()], size))
+        items = [(r["item"], r["text"].encode()) for r in own.toLocalIterator()]
+        parts.append(find_block(rows, items, size, True) if keep and blocks == 1 else find_block(rows.drop("_doc"), items, size, False))
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)
     if blocks > 1:
         found = merge_blocks(found)
+        found = found.join(rows.select("_row", "_doc"), "_row") if keep else found
     n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, span: n + span["past"] - span["first"])
     return found.withColumn("n_hit", n_hit).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (HIT_PARTS * F.col("n_hit") >= F.col("n_words"))

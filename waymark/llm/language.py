@@ -179,17 +179,17 @@ def fit(rows: DataFrame, folds: int, per_language: int) -> tuple[list[str], gru.
 
 def identify_language(
     docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = FOLDS,
-    per_language: int = DOCS_PER_LANGUAGE,
+    per_language: int = DOCS_PER_LANGUAGE, keep: bool = False,
 ) -> DataFrame:
     """doc_id, held_out, lang_pred and score of every row.
 
     Labels of the held-out fold are never read. A missing text, one without letters, and every text where nothing could
     be learnt get `und` with score 0. Map-only after training; equal texts get equal results, a missing id is its own
-    value of the fold.
+    value of the fold. With `keep` the row itself is a last column `_doc`.
     """
-    rows = pick(docs, doc_id=id, text=text, lang=lang).select(
-        F.col("doc_id").cast("long"), "text", F.col("lang").cast("string"), held_out(F.col("doc_id"), folds).alias("held_out")
-    )
+    rows = pick(docs, keep, doc_id=id, text=text, lang=lang).withColumns({
+        "doc_id": F.col("doc_id").cast("long"), "lang": F.col("lang").cast("string"), "held_out": held_out(F.col("doc_id"), folds),
+    })
     languages, weights = fit(rows, folds, per_language)
     content = docs.sparkSession.sparkContext.broadcast(weights)
 
@@ -209,4 +209,5 @@ def identify_language(
 
         return work
 
-    return map_slices(rows.select("doc_id", "text", "held_out"), begin, "doc_id long, held_out boolean, lang_pred string, score double")
+    read = rows.select("doc_id", "text", "held_out", *(["_doc"] if keep else []))
+    return map_slices(read, begin, "doc_id long, held_out boolean, lang_pred string, score double", keep=keep)

@@ -237,11 +237,11 @@ class Pseudonyms:
         return "".join([*parts, text[last:]]), [(name, start, past) for start, past, name, _ in found]
 
 
-def pseudonymise(docs: DataFrame, key: str | None = None, id: str = "doc_id", text: str = "text") -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str | None = None, id: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
     """doc_id, text with pseudonyms, n_replaced and spans (kind, start, past; code points of the original) of every row.
 
     The key comes from the argument or the option spark.waymark.pseudonym.key. Map-only. Missing texts stay missing,
-    empty ones empty, both without spans; texts without a valid value are unchanged. Equal rows give equal rows.
+    empty ones empty, both without spans; texts without a valid value are unchanged. Equal rows give equal rows. With `keep` the row as it was is a last column `_doc`.
     """
     secret = (key or docs.sparkSession.conf.get(KEY_OPTION, DEFAULT_KEY)).encode()
 
@@ -255,4 +255,5 @@ def pseudonymise(docs: DataFrame, key: str | None = None, id: str = "doc_id", te
 
         return work
 
-    return map_slices(pick(docs, doc_id=id, text=text).select(F.col("doc_id").cast("long"), "text"), begin, SCHEMA)
+    rows = pick(docs, keep, doc_id=id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
+    return map_slices(rows, begin, SCHEMA, keep=keep)
