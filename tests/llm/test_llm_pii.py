@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import datetime as dt
+import re
+from collections import Counter
+
+import pytest
+
+from waymark.llm.pii import Feistel, Pseudonyms, digits_of, iban_check, luhn, pseudonymise
+from waymark.llm.queries import op7_pii
+
+
+@pytest.fixture(scope="module")
+def pseudonyms():
+    return Pseudonyms(b"test")
+
+
+def test_query_replaces_every_planted_value(spark, sf, documents):
+    texts = {r["doc_id"]: r["text"] for r in documents.collect()}
+    rows = op7_pii(spark, sf).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(texts)
+    fresh_of: dict[str, set[str]] = {}
+    for r in rows:
+        old, new, moved = texts[r["doc_id"]], r["text"], 0
+        outside, last = [], 0
+        for span in r["spans"]:
+            outside.append(old[last:span["start"]])
+            last = span["past"]
+        # What is between the values stays, in order.
+        place = 0
+        for number, part in enumerate([*outside, old[last:]]):
+            at = new.index(part, place)
+            if number:
+                fresh_of.setdefault(old[r["spans"][number - 1]["start"]:r["spans"][number - 1]["past"]], set()).add(new[place:at] if part else new[place:])
+            place = at + len(part)
+            moved += 1
+        assert r["n_replaced"] == len(r["spans"]) == moved - 1
+        for found in re.finditer(r"(?<![\w.+-])[a-z]+\.\d+@[\w.]+|(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?!\w)|\+1 \(\d{3}\) \d{3}-\d{4}", old):
+            assert any(s["start"] <= found.start() and found.end() <= s["past"] for s in r["spans"])
+    assert fresh_of and all(old not in fresh for old, fresh in fresh_of.items())
+
+
+def test_odd_rows(edge, empty):
+    rows = pseudonymise(edge, keep=True).collect()
+    assert Counter((r["doc_id"], r["text"]) for r in rows if not r["n_replaced"]) == Counter(
+        (r["doc_id"], r["text"]) for r in edge.collect())
+    assert pseudonymise(edge, keep=True).select("_doc.*").columns == edge.columns
+    assert pseudonymise(empty).collect() == []
+
+
+@pytest.mark.parametrize(("base", "length"), [(10, 1), (10, 2), (10, 3), (26, 2), (256, 2), (2, 9)])
+def test_feistel_is_a_permutation(base, length):
+    feistel = Feistel(b"k" * 32)
+    values = [[v // base**i % base for i in range(length)] for v in range(base**length)]
+    out = {tuple(feistel.permute(v, base, "kind")) for v in values}
+    assert len(out) == len(values) and all(0 <= d < base for v in out for d in v)
+
+
+@pytest.mark.parametrize(("text", "kind"), [
+    ("4111 1111 1111 1111", "card"), ("4111111111111111", "card"), ("123-45-6789", "social"), ("GB82 WEST 1234 5698 7654 32", "iban"),
+    ("DE89370400440532013000", "iban"), ("1999-02-28", "date"), ("28/02/1999", "date"), ("28.2.1999", "date"), ("10.0.0.1", "ipv4"),
+    ("a.b+c1@example.co.uk", "mail"), ("+1 (017) 555-7713", "phone"), ("743-555-3824", "phone"), ("+44 20 7946 0958", "phone"),
+    ('token = "24be64439e3e49cf46b2d7c90f3602a3d0b907ff"', "secret"),
+])
+def test_values_keep_their_format(pseudonyms, text, kind):
+    fresh, spans = pseudonyms.replace(f"x {text} y")
+    assert [s[0] for s in spans] == [kind]
+    value = fresh[2:-2]
+    assert value != text
+    if kind in ("card", "social", "date", "phone", "iban"):
+        assert re.sub("[A-Z]", "A", re.sub(r"\d", "0", value)) == re.sub("[A-Z]", "A", re.sub(r"\d", "0", text))
+    if kind == "card":
+        assert luhn(digits_of(value)[:-1]) == digits_of(value)[-1]
+    if kind == "iban":
+        plain = value.replace(" ", "")
+        assert plain[:2] == text[:2] and iban_check(plain[:2], plain[4:]) == plain[2:4]
+    if kind == "date" and "-" in text:
+        assert dt.date.fromisoformat(value)
+    if kind == "ipv4":
+        assert all(0 <= int(p) <= 255 for p in value.split("."))
+
+
+@pytest.mark.parametrize("text", [
+    "4111111111111112", "1234", "999.1.1.1", "2024-13-45", "version 1.2.3", "000-12-3456", "GB83 WEST 1234 5698 7654 32", "a@b", "12-345-678",
+    "0000000000000000",
+])
+def test_other_numbers_stay(pseudonyms, text):
+    assert pseudonyms.replace(f"x {text} y") == (f"x {text} y", [])
+
+
+def test_equal_values_stay_linked(pseudonyms):
+    one, _ = pseudonyms.replace("4111 1111 1111 1111 and 1999-02-28")
+    two, _ = pseudonyms.replace("4111111111111111, 28.02.1999")
+    assert digits_of(one.split(" and ")[0]) == digits_of(two.split(",")[0])
+    assert one.split(" and ")[1] == "-".join(reversed(two.split(", ")[1].split(".")))
+    assert Pseudonyms(b"other").replace("1999-02-28") != Pseudonyms(b"test").replace("1999-02-28")

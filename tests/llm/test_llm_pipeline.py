@@ -1,0 +1,102 @@
+"""The pipeline's stages on their own inputs, and the entry points."""
+
+from __future__ import annotations
+
+from collections import Counter
+
+import __spark_entry__ as entry_points
+import corpus_pipeline
+import pytest
+from pyspark.sql import functions as F
+
+from test_llm_decontamination import by_windows
+from test_llm_ngram_join import by_all_pairs
+from waymark.llm import language
+from waymark.llm.common import saved
+from waymark.llm.packing import pack_documents
+
+
+@pytest.fixture(autouse=True)
+def short_training(monkeypatch):
+    monkeypatch.setattr(language, "STEPS", 400)
+
+
+@pytest.fixture(scope="module")
+def input_table(both, documents):
+    """Documents and odd rows with the columns of documents, as a table."""
+    columns = {"source": F.lit("s"), "n_chars": F.length("text").cast("long")}
+    return saved(both.withColumns(columns).select(*documents.columns), "pipeline-test")
+
+
+def bag(df):
+    return Counter(tuple(r) for r in df.collect())
+
+
+def test_names_and_order():
+    assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "ngram_join", "decontamination", "pii", "packing"]
+
+
+def test_language_stage_rejects_what_has_no_letters(spark, sf, input_table):
+    left = bag(corpus_pipeline.language_id(spark, input_table, sf))
+    gone = bag(input_table) - left
+    assert not left - bag(input_table)
+    for row in gone:
+        assert row[1] is None or not any(c.isalpha() for c in row[1]) or len(row[1]) < 100
+    assert sum(gone.values()) < 12
+
+
+def test_one_row_of_each_group_stays(spark, sf, input_table):
+    numbered = list(enumerate(r["text"] for r in input_table.collect()))
+    groups = Counter(component for (_, _, component), n in by_all_pairs(numbered, 5, 80).items() for _ in range(n))
+    left = corpus_pipeline.ngram_join(spark, input_table, sf)
+    assert left.columns == input_table.columns and left.count() == len(groups)
+    assert not bag(left) - bag(input_table)
+
+
+def test_contaminated_documents_go(spark, sf, input_table):
+    items = [(r["item_id"], r["text"]) for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()]
+    rows = list(enumerate(input_table.collect()))
+    clean = Counter(
+        tuple(rows[key[0]][1]) for key in by_windows([(n, r["text"]) for n, r in rows], items) if not key[-1]
+    )
+    assert bag(corpus_pipeline.decontamination(spark, input_table, sf)) == clean
+
+
+def test_pii_stage_changes_texts_only(spark, sf, input_table):
+    fresh = corpus_pipeline.pii(spark, input_table, sf)
+    assert fresh.schema.simpleString() == input_table.schema.simpleString()
+    others = ["doc_id", "lang", "source"]
+    assert bag(fresh.select(*others)) == bag(input_table.select(*others))
+    assert fresh.where("n_chars <> length(text)").count() == 0
+
+
+def test_stages_on_an_empty_table(spark, sf, input_table):
+    docs = saved(input_table.where("false"), "pipeline-empty")
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, sf)
+        assert docs.columns == input_table.columns
+        docs = saved(docs, "pipeline-empty")
+    assert corpus_pipeline.packing(spark, docs, sf).count() == 0
+
+
+def test_run_is_the_stages_in_turn(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = saved(stage(spark, docs, sf), name)
+    columns = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert bag(corpus_pipeline.run(spark, sf).select(*columns)) == bag(pack_documents(docs).select(*columns))
+
+
+def test_extra_columns_with_clashing_names(spark, sf, edge):
+    docs = saved(edge, "pipeline-clash")
+    for stage in (corpus_pipeline.language_id, corpus_pipeline.decontamination, corpus_pipeline.pii):
+        assert stage(spark, docs, sf).columns == edge.columns
+
+
+def test_entry_points_have_every_query():
+    names = entry_points.queries()
+    assert {"pipeline"} | {n for n in names if n.startswith("op")} == {
+        "pipeline", "op1_ngram_join", "op2_sharding", "op3_lm_scoring", "op4_quality", "op5_language", "op6_decontamination", "op7_pii",
+        "op8_token_counts", "op9_substrings", "op10_packing",
+    }
+    assert set(entry_points.oracle_sql()) <= set(names)
