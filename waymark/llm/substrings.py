@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from waymark.llm.bitmaps import bitmap, marked
+from waymark.llm.bitmaps import bitmap, marked, parted
 from waymark.llm.common import Work, map_slices, pick, saved
 
 CUT_BITS = 5  # a cut after one byte in 32, behind the least length
@@ -153,5 +153,8 @@ def remove_repeats(docs: DataFrame, least_bytes: int = LEAST_SPAN, id: str = "do
 
         return work
 
-    joined = rows.join(spans, "_row", "left").select("doc_id", "text", "spans")
+    # Texts without spans stay where they are. The others are always shuffled: their number grows with the table.
+    without, some = parted(rows, spans, "_row")
+    joined = some.join(spans.hint("merge"), "_row", "left").unionByName(without.withColumn("spans", F.lit(None).cast(SPANS)))
+    joined = joined.select("doc_id", "text", "spans")
     return map_slices(joined, begin, f"doc_id long, text string, n_bytes long, n_removed long, spans {SPANS}")
