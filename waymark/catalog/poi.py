@@ -16,7 +16,6 @@ from waymark.schemas import POI_COLUMNS
 from waymark.streaming.retry import Filler, fill_if_null, read_rounds, retry_until_filled, start_unanswered
 
 VIEWS = ["reference_pois"]
-ROUNDS = 4
 # The round in which the answers to a point of interest first come back.
 ANSWERED_IN = "reference_id % 3 + 1"
 # What the first round leaves behind.
@@ -74,11 +73,13 @@ def _nulls(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @query("retry_until_filled", VIEWS, f"""
-SELECT reference_id, CAST(CASE WHEN api_results_json IS NULL THEN {ROUNDS} ELSE {ANSWERED_IN} END AS INTEGER) AS apiCalls, {N_RESULTS}
+SELECT reference_id, CAST(CASE WHEN api_results_json IS NULL
+  THEN (SELECT max({ANSWERED_IN}) FROM reference_pois WHERE api_results_json IS NOT NULL) + 1 ELSE {ANSWERED_IN} END AS INTEGER) AS apiCalls,
+  {N_RESULTS}
 FROM reference_pois""")
 def _retry(spark: SparkSession, sf: str) -> DataFrame:
     pois = _pois(spark, sf)
-    rounds = retry_until_filled(pois, _filler(spark, sf), max_rounds=ROUNDS)
+    rounds = retry_until_filled(pois, _filler(spark, sf), stop_when_idle=True)
     return read_rounds(pois, rounds).select("reference_id", "apiCalls", F.size("apiResults").alias("n_results"))
 
 
@@ -123,8 +124,8 @@ def _distance(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query("poi_pipeline", VIEWS, TABLE, poi_steps(f"{ANSWERED_IN} <= 2"))
+@query("poi_pipeline", VIEWS, TABLE, poi_steps())
 def _pipeline(spark: SparkSession, sf: str) -> DataFrame:
     pois = _pois(spark, sf)
-    rounds = retry_until_filled(pois, _filler(spark, sf), max_rounds=2)
+    rounds = retry_until_filled(pois, _filler(spark, sf), stop_when_idle=True)
     return _table(read_rounds(pois, rounds))

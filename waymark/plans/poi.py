@@ -7,18 +7,13 @@ from pyspark.sql import functions as F
 
 from waymark.functions.geo import haversine_m
 from waymark.functions.poi import first_of, nested_map, split_classification
-from waymark.schemas import POI_ADDRESS_FIELDS, POI_COLUMNS
-
-KEPT = [
-    "reference_id", "sample_id", "sample_run_id", "importance_rank", "search_rank", "search_request_string",
-    "business_status", "name", "search_radius_m", "search_group",
-]
+from waymark.schemas import POI_ADDRESS_FIELDS, POI_COLUMNS, POI_KEPT
 
 
 def poi_flatten(pois: DataFrame, provider_id: str = "tt") -> DataFrame:
     """One row per reference and result, ranked from 0; a reference without results keeps one row."""
     exploded = pois.select(
-        *KEPT, F.col("lat").alias("ref_lat"), F.col("lon").alias("ref_lon"),
+        *POI_KEPT, F.col("lat").alias("ref_lat"), F.col("lon").alias("ref_lon"),
         split_classification(F.col("classification")).alias("cat_subcat"),
         F.posexplode_outer("apiResults").alias("api_search_rank", "api_results"),
     )

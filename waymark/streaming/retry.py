@@ -7,16 +7,15 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from waymark.operators.filters import unanswered
-from waymark.operators.providers import union_all
 from waymark.operators.reports import api_status_report
 from waymark.schemas import RESULT_LIST
 from waymark.session import new_path
-from waymark.streaming.sinks import append_stream, read_saved, read_stream
+from waymark.streaming.sinks import read_saved, read_stream
 
 MOST_ROUNDS = 1000
 
@@ -41,15 +40,19 @@ def fill_if_null(rows: DataFrame, fill: Filler, round_number: int = 1) -> DataFr
 
 @dataclass
 class Rounds:
-    """What the rounds wrote: `count` is one above their number; answered rows stay with their round."""
+    """The rounds made: their number, the rows still unanswered, and the folder that holds the rows of all rounds."""
 
     count: int
     remaining: int
+    folder: str
     schema: T.StructType
-    folders: list[str] = field(default_factory=list)
     reports: list[list[tuple[int, int, int]]] = field(default_factory=list)
 
 
+# Columns that the folders of a round's rows stand for.
+PLACES = ("round", "batch", "api_status")
+
+
 def retry_until_filled(
     pois: DataFrame, fill: Filler, max_rounds: int = MOST_ROUNDS, stop_when_idle: bool = False,
     files_per_batch: int | None = None, folder: str | None = None,
@@ -57,49 +60,60 @@ def retry_until_filled(
     """Streams the unanswered rows through `fill`, round by round, until none is left.
 
     A round writes its answered and unanswered rows to partitions of its own, and the next round reads only
-    the latter, so an answered row is written once and no round is computed twice. `stop_when_idle` ends
-    after a round without a new answer, for a filler that would not answer later either. The rounds are
-    kept in `folder`, by default a new one in the shared folder.
+    the latter, so an answered row is written once and no round is computed twice. A micro-batch replaces its
+    folder, so one that runs again leaves nothing behind. `stop_when_idle` ends after a round without a new
+    answer, for a filler that would not answer later either. The rounds are kept in `folder`, by default a new
+    one in the shared folder.
     """
     spark = pois.sparkSession
     root = folder or new_path(spark, "rounds")
     first = start_unanswered(pois)
-    first.withColumn("api_status", F.lit(0)).write.partitionBy("api_status").parquet(f"{root}/round=0")
-    rounds = Rounds(count=1, remaining=1, schema=_with_status(first.schema))
-    while rounds.remaining > 0 and rounds.count <= max_rounds:
-        number = rounds.count
-        # Read from the folder's top: the sink's own log there leaves out what a lost task left behind.
-        before = read_stream(spark, f"{root}/round={number - 1}", rounds.schema, files_per_batch=files_per_batch)
-        waiting = before.where(F.col("api_status") == 0).drop("api_status")
-        step = fill_if_null(waiting, fill, number).withColumn("api_status", F.col("apiResults").isNotNull().cast("int"))
-        saved = f"{root}/round={number}"
-        append_stream(step, saved, f"{root}/checkpoint={number}", by=["api_status"])
-        rounds.folders.append(saved)
+    schema = T.StructType([*first.schema.fields, *[T.StructField(name, T.IntegerType()) for name in PLACES]])
+    _save_batch(first, f"{root}/rows", 0, 0, mode="errorifexists")
+    rounds = Rounds(count=0, remaining=-1, folder=root, schema=schema)
+    while rounds.remaining != 0 and rounds.count < max_rounds:
+        number = rounds.count + 1
+        before = read_stream(spark, f"{root}/rows/round={number - 1}", _without_round(schema), files_per_batch=files_per_batch)
+        waiting = before.where(F.col("api_status") == 0).select(*first.columns)
+        _run_round(fill_if_null(waiting, fill, number), f"{root}/rows", number, f"{root}/checkpoint={number}")
         # Rows of a round by status and calls: two counts, as all its rows made the same number of calls.
-        written = read_saved(spark, saved, rounds.schema)
+        written = _rows(spark, rounds).where(F.col("round") == number)
         report = sorted((r["api_status"], r["apiCalls"], r["count"]) for r in api_status_report(written).collect())
         rounds.reports.append(report)
-        left = sum(n for status, _, n in report if status == 0)
-        answered = sum(n for status, _, n in report if status == 1)
-        rounds.remaining = left
-        rounds.count += 1
-        if stop_when_idle and answered == 0:
+        rounds.count = number
+        rounds.remaining = sum(n for status, _, n in report if status == 0)
+        if stop_when_idle and not any(status == 1 for status, _, _ in report):
             break
+    rounds.remaining = max(rounds.remaining, 0)
     return rounds
 
 
-def _with_status(schema: T.StructType) -> T.StructType:
-    return T.StructType([*schema.fields, T.StructField("api_status", T.IntegerType())])
+def _without_round(schema: T.StructType) -> T.StructType:
+    return T.StructType([f for f in schema.fields if f.name != "round"])
+
+
+def _save_batch(rows: DataFrame, folder: str, number: int, batch: int, mode: str = "overwrite") -> None:
+    marked = rows.withColumn("api_status", F.col("apiResults").isNotNull().cast("int"))
+    marked.write.mode(mode).partitionBy("api_status").parquet(f"{folder}/round={number}/batch={batch}")
+
+
+def _run_round(step: DataFrame, folder: str, number: int, checkpoint: str) -> None:
+    def save(rows: DataFrame, batch: int) -> None:
+        _save_batch(rows, folder, number, batch)
+
+    stream = step.writeStream.foreachBatch(save).option("checkpointLocation", checkpoint)
+    stream.trigger(availableNow=True).start().awaitTermination()
+
+
+def _rows(spark: SparkSession, rounds: Rounds) -> DataFrame:
+    """The rows of all rounds as one table, partitioned by round, micro-batch and status."""
+    return read_saved(spark, f"{rounds.folder}/rows", rounds.schema)
 
 
 def read_rounds(pois: DataFrame, rounds: Rounds) -> DataFrame:
     """Every row once: answered rows from the round that answered them, the others from the last round."""
-    spark = pois.sparkSession
-    if not rounds.folders:
-        return start_unanswered(pois)
-    saved = [read_saved(spark, folder, rounds.schema) for folder in rounds.folders]
-    kept = [part.where(F.col("api_status") == 1) for part in saved[:-1]] + [saved[-1]]
-    return union_all(kept).drop("api_status")
+    last = (F.col("api_status") == 1) | (F.col("round") == rounds.count)
+    return _rows(pois.sparkSession, rounds).where(last).drop(*PLACES)
 
 
 def client_filler(make_client: Callable[[], Callable[[dict], list[dict] | None]], columns: list[str]) -> Filler:
