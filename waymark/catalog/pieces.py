@@ -6,7 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from waymark.fixtures import NOW
-from waymark.operators.stats import PER_HASH, poisson_limits
 from waymark.schemas import ALL_ESCAPES, COMMA_PARTS, COMPONENT_COLUMNS, LOG_KEYS, SPACED_PARTS, STRUCTURED_COLUMNS
 
 FIXTURE_KEYS = [
@@ -134,20 +133,34 @@ CASE WHEN {none} THEN NULL ELSE coalesce(CAST(json_extract(response, '$.results[
 CAST(CASE WHEN {none} THEN -1 WHEN {score} > {threshold} THEN 1 ELSE 0 END AS INTEGER) AS match"""
 
 
+# The cumulative Poisson(1) probabilities times 2^32, in hexadecimal.
+POISSON_LIMITS = [
+    "5e2d58d8", "bc5ab1b1", "eb715e1d", "fb239797", "ff1025f5", "ffd90f3b",
+    "fffa8b71", "ffff540c", "ffffed1f", "fffffe21", "ffffffd4", "fffffffc",
+]
+
+
 def poisson_sql(draw: str) -> str:
-    limits = poisson_limits()
-    whens = " ".join(f"WHEN {draw} < '{limit}' THEN {k}" for k, limit in enumerate(limits))
-    return f"CASE {whens} ELSE {len(limits)} END"
+    whens = " ".join(f"WHEN {draw} < '{limit}' THEN {k}" for k, limit in enumerate(POISSON_LIMITS))
+    return f"CASE {whens} ELSE {len(POISSON_LIMITS)} END"
+
+
+ESTIMATES = {
+    "mean": "sum(w * above) / sum(w * below)", "ratio": "sum(w * above) / sum(w * below)",
+    "sum": "sum(rows) * sum(w * above) / sum(w * rows)", "count": "sum(rows) * sum(w * below) / sum(w * rows)",
+}
 
 
-def bootstrap_steps(source: str, id_column: str, value: str, times: int, seed: int, cells: int) -> dict[str, str]:
-    """Cells and replicates of a weighted mean."""
-    draw = f"substr(md5(concat(CAST(cell AS VARCHAR), '-', CAST(t // {PER_HASH} AS VARCHAR), '-{seed}')), CAST(1 + 8 * (t % {PER_HASH}) AS INTEGER), 8)"
+def bootstrap_steps(
+    source: str, id_column: str, value: str, times: int, statistic: str = "mean", below: str | None = None,
+) -> dict[str, str]:
+    """Replicates over 16384 cells, four draws to each hash of cell, block and seed 0."""
+    draw = "substr(md5(concat(CAST(cell AS VARCHAR), '-', CAST(t // 4 AS VARCHAR), '-0')), CAST(1 + 8 * (t % 4) AS INTEGER), 8)"
     return {
-        "cells": f"""SELECT CAST(concat('0x', substr(md5(CAST({id_column} AS VARCHAR)), 1, 8)) AS BIGINT) % {cells} AS cell,
-sum({value}) AS above, CAST(count({value}) AS DOUBLE) AS below FROM {source} GROUP BY 1""",
-        "weighted": f"SELECT t, above, below, {poisson_sql(draw)} AS w FROM cells, (SELECT unnest(range({times})) AS t)",
-        "replicates": "SELECT t AS replicate, sum(w * above) / sum(w * below) AS estimate FROM weighted GROUP BY t",
+        "cells": f"""SELECT CAST(concat('0x', substr(md5(CAST({id_column} AS VARCHAR)), 1, 8)) AS BIGINT) % 16384 AS cell,
+coalesce(sum({value}), 0) AS above, CAST({below or f'count({value})'} AS DOUBLE) AS below, CAST(count(*) AS DOUBLE) AS rows FROM {source} GROUP BY 1""",
+        "weighted": f"SELECT t, above, below, rows, {poisson_sql(draw)} AS w FROM cells, (SELECT unnest(range({times})) AS t)",
+        "replicates": f"SELECT t AS replicate, {ESTIMATES[statistic]} AS estimate FROM weighted GROUP BY t",
     }
 
 

@@ -13,10 +13,10 @@ from waymark.fixtures import read_table, view
 from waymark.functions.text import parse_dmy, run_label
 from waymark.operators.ordering import running_sum
 from waymark.operators.snapshots import growth_snapshots, indicator_year, on_dates
-from waymark.operators.stats import CELLS, bootstrap_ci, bootstrap_replicates
+from waymark.operators.stats import bootstrap_ci, bootstrap_replicates
 
 TIMES = 1000
-STEPS = bootstrap_steps("events", "event_id", "value", TIMES, 0, CELLS)
+STEPS = bootstrap_steps("events", "event_id", "value", TIMES)
 LOW = (1 - 0.9) / 2
 
 
@@ -37,20 +37,63 @@ def _interval(spark: SparkSession, sf: str) -> DataFrame:
     return bounds.select(*[F.round(c, 6).alias(c) for c in bounds.columns])
 
 
+# In cents: sums of whole numbers are the same in any order.
+@query("bootstrap_sum", [], "SELECT CAST(replicate AS INTEGER) AS replicate, round(estimate, 4) AS estimate FROM replicates",
+       bootstrap_steps("(SELECT event_id, round(value * 100) AS cents FROM events)", "event_id", "cents", TIMES, "sum"))
+def _sums(spark: SparkSession, sf: str) -> DataFrame:
+    events = _events(spark, sf).select("event_id", F.round(F.col("value") * 100).alias("cents"))
+    return bootstrap_replicates(events, "event_id", "cents", "sum", TIMES).withColumn("estimate", F.round("estimate", 4))
+
+
+# Clicks per value, and the number of events with a value above 50.
+CLICKS = "(SELECT *, CASE WHEN event_type = 'click' THEN 1 ELSE 0 END AS clicked, CASE WHEN value > 50 THEN value END AS high FROM events)"
+
+
+@query("bootstrap_ratio", [], "SELECT CAST(replicate AS INTEGER) AS replicate, round(estimate, 6) AS estimate FROM replicates",
+       bootstrap_steps(CLICKS, "event_id", "clicked", TIMES, "ratio", "sum(value)"))
+def _ratio(spark: SparkSession, sf: str) -> DataFrame:
+    clicks = _events(spark, sf).withColumn("clicked", (F.col("event_type") == "click").cast("int"))
+    drawn = bootstrap_replicates(clicks, "event_id", "clicked", "ratio", TIMES, denominator="value")
+    return drawn.withColumn("estimate", F.round("estimate", 6))
+
+
+@query("bootstrap_count", [], "SELECT CAST(replicate AS INTEGER) AS replicate, round(estimate, 4) AS estimate FROM replicates",
+       bootstrap_steps(CLICKS, "event_id", "high", TIMES, "count"))
+def _counts(spark: SparkSession, sf: str) -> DataFrame:
+    events = _events(spark, sf).withColumn("high", F.when(F.col("value") > 50, F.col("value")))
+    return bootstrap_replicates(events, "event_id", "high", "count", TIMES).withColumn("estimate", F.round("estimate", 4))
+
+
+# The hour makes many events equal in the index.
+HOURLY = "(SELECT *, date_trunc('hour', ts) AS hour FROM events)"
+
+
+def _hourly(spark: SparkSession, sf: str) -> DataFrame:
+    return _events(spark, sf).withColumn("hour", F.date_trunc("hour", "ts").cast("timestamp_ntz"))
+
+
 @query("running_sum", [], f"""
-SELECT user_id, {time_sql('ts', 'seen')}, round(sum(v) OVER (PARTITION BY user_id ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS running_value
-FROM (SELECT user_id, ts, sum(value) AS v FROM events GROUP BY user_id, ts)""")
+SELECT event_id, user_id, {time_sql('hour', 'seen')}, round(sum(value) OVER (
+  PARTITION BY user_id ORDER BY hour, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS running_value FROM {HOURLY}""")
 def _running(spark: SparkSession, sf: str) -> DataFrame:
-    summed = running_sum(_events(spark, sf), "ts", ["value"], ["user_id"])
-    return summed.select("user_id", time_text("ts", "seen"), F.round("running_value", 4).alias("running_value"))
+    summed = running_sum(_hourly(spark, sf), "hour", ["value"], ["user_id"], ties=["event_id"])
+    return summed.select("event_id", "user_id", time_text("hour", "seen"), F.round("running_value", 4).alias("running_value"))
 
 
 @query("running_sum_global", [], f"""
-SELECT {time_sql('ts', 'seen')}, round(sum(v) OVER (ORDER BY ts ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS running_value
-FROM (SELECT ts, sum(value) AS v FROM events GROUP BY ts)""")
+SELECT event_id, {time_sql('hour', 'seen')}, round(sum(value) OVER (
+  ORDER BY hour, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS running_value FROM {HOURLY}""")
 def _running_global(spark: SparkSession, sf: str) -> DataFrame:
-    summed = running_sum(_events(spark, sf), "ts", ["value"])
-    return summed.select(time_text("ts", "seen"), F.round("running_value", 4).alias("running_value"))
+    summed = running_sum(_hourly(spark, sf), "hour", ["value"], ties=["event_id"])
+    return summed.select("event_id", time_text("hour", "seen"), F.round("running_value", 4).alias("running_value"))
+
+
+@query("running_sum_merged", [], f"""
+SELECT {time_sql('hour', 'seen')}, round(sum(v) OVER (ORDER BY hour ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW), 4) AS running_value
+FROM (SELECT hour, sum(value) AS v FROM {HOURLY} GROUP BY hour)""")
+def _running_merged(spark: SparkSession, sf: str) -> DataFrame:
+    summed = running_sum(_hourly(spark, sf), "hour", ["value"], merge=True)
+    return summed.select(time_text("hour", "seen"), F.round("running_value", 4).alias("running_value"))
 
 
 SNAPSHOTS = """

@@ -1,18 +1,17 @@
 """Bootstrap replicates and intervals, and component coverage.
 
-Replicates weigh rows by independent Poisson(1) numbers instead of drawing n of n rows, so a replicate is a
-weighted sum and its size varies around n. Rows are first summed up in cells by a hash of their id, and the
-weights are drawn per cell: one pass over the rows with a partial aggregation, and a cost of cells x times
-after it, whatever the number of rows. With m cells the standard error of the interval ends grows by a
-relative 1 / sqrt(2 m), well below the noise of a thousand replicates.
+Replicates weigh rows by independent Poisson(1) numbers instead of drawing n of n rows, and are scaled to n rows.
+Rows are first summed up in cells by a hash of their id, and the weights are drawn per cell: one pass over the
+rows with a partial aggregation, and a cost of cells x times after it, whatever the number of rows. A mean is a
+ratio of two weighted sums; a sum or a count is n times the weighted mean per row. So all of them spread as in
+draws of n of n rows, up to a relative 1 / sqrt(2 m) with m cells, well below the noise of a thousand replicates.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,8 +22,8 @@ CELLS = 1 << 14
 DRAW_TASKS = 64
 # One md5 gives four numbers of eight hex digits.
 PER_HASH = 4
-# Rows a single task may hold for a statistic that only exists as Python code.
-EXACT_ROWS = 100_000
+# What is summed up per cell: numerators, denominators, rows.
+SIDES = ("_above", "_below", "_rows")
 
 
 def poisson_limits(last: int = 12) -> list[str]:
@@ -65,7 +64,7 @@ def bootstrap_replicates(
 ) -> DataFrame:
     """(replicate, estimate) of a sum, a count, a mean or the ratio of `value` to `denominator`.
 
-    NULL values count for nothing. `id_column` must be unique.
+    NULL values count for nothing, but their rows are drawn like others. `id_column` must be unique.
     """
     check_bootstrap(times)
     if statistic not in ("sum", "count", "mean", "ratio") or (statistic == "ratio") != (denominator is not None):
@@ -74,25 +73,27 @@ def bootstrap_replicates(
     sums = df.groupBy(cell_of(id_column, cells).alias("_cell")).agg(
         F.coalesce(F.sum(F.col(value).cast("double")), F.lit(0.0)).alias("_above"),
         F.coalesce(F.sum(below.cast("double")), F.lit(0.0)).alias("_below"),
+        F.count(F.lit(1)).cast("double").alias("_rows"),
     )
     last_block = (times - 1) // PER_HASH
     drawn = sums.repartition(DRAW_TASKS, "_cell").select(
-        "_cell", "_above", "_below", F.explode(F.sequence(F.lit(0), F.lit(last_block))).alias("_block")
+        "_cell", *SIDES, F.explode(F.sequence(F.lit(0), F.lit(last_block))).alias("_block")
     ).withColumn("_draws", F.md5(F.concat_ws("-", F.col("_cell").cast("string"), F.col("_block").cast("string"), F.lit(str(seed)))))
     # The draws are columns of their own, so that each is cut out once and not for every limit it is compared to.
     cut = drawn.withColumns({f"_d{i}": F.substring("_draws", 1 + 8 * i, 8) for i in range(PER_HASH)})
     weights = {f"_w{i}": poisson_weight(F.col(f"_d{i}")) for i in range(PER_HASH)}
     summed = cut.withColumns(weights).groupBy("_block").agg(*[
-        F.sum(F.col(f"_w{i}") * F.col(side)).alias(f"{side}{i}") for i in range(PER_HASH) for side in ("_above", "_below")
-    ])
-    above, below = F.col("_r._above"), F.col("_r._below")
+        F.sum(F.col(f"_w{i}") * F.col(side)).alias(f"{side}{i}") for i in range(PER_HASH) for side in SIDES
+    ], F.sum("_rows").alias("_all"))
+    above, below, drawn_rows, all_rows = F.col("_r._above"), F.col("_r._below"), F.col("_r._rows"), F.col("_r._all")
     estimate = {
-        "sum": above, "count": below, "mean": F.try_divide(above, below), "ratio": F.try_divide(above, below),
+        "sum": F.try_divide(all_rows * above, drawn_rows), "count": F.try_divide(all_rows * below, drawn_rows),
+        "mean": F.try_divide(above, below), "ratio": F.try_divide(above, below),
     }[statistic]
     each = F.explode(F.array(*[
         F.struct(
-            (F.col("_block") * PER_HASH + i).alias("replicate"), F.col(f"_above{i}").alias("_above"),
-            F.col(f"_below{i}").alias("_below"),
+            (F.col("_block") * PER_HASH + i).alias("replicate"), F.col("_all"),
+            *[F.col(f"{side}{i}").alias(side) for side in SIDES],
         ) for i in range(PER_HASH)
     ])).alias("_r")
     return (
@@ -121,30 +122,6 @@ def bootstrap_ci(
     )
 
 
-def bootstrap_apply(
-    df: DataFrame, id_column: str, value: str, agg_fun: Callable[[pd.Series], float], times: int = 1000,
-    seed: int = 0, max_rows: int = EXACT_ROWS,
-) -> DataFrame:
-    """(replicate, estimate) of any Python statistic, each on n of n rows drawn with replacement.
-
-    Replicate t sees the values in id order and draws with seed t + seed. One task holds the whole sample,
-    so a sample above `max_rows` is refused: use `bootstrap_replicates` for it.
-    """
-    check_bootstrap(times)
-    n = df.count()
-    if n > max_rows:
-        raise ValueError(f"{n} rows are too many for a Python statistic (at most {max_rows}); use bootstrap_replicates")
-
-    def one_replicate(key: tuple, rows: pd.DataFrame) -> pd.DataFrame:
-        values = rows.sort_values("_id")["_value"].reset_index(drop=True)
-        drawn = values.sample(frac=1, replace=True, random_state=key[0] + seed)
-        return pd.DataFrame({"replicate": [key[0]], "estimate": [float(agg_fun(drawn))]})
-
-    rows = df.select(F.col(id_column).alias("_id"), F.col(value).alias("_value"))
-    copies = rows.withColumn("replicate", F.explode(F.sequence(F.lit(0), F.lit(times - 1))))
-    return copies.groupBy("replicate").applyInPandas(one_replicate, "replicate int, estimate double")
-
-
 def component_coverage(flags: DataFrame, by: Sequence[str] = ("country",)) -> DataFrame:
     """Rows and rows with each component, per country."""
     return flags.groupBy(*by).agg(
