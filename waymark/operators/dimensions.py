@@ -83,16 +83,19 @@ def _unknown(item: Column) -> Column:
 
 
 def _fields(fields: DataFrame) -> DataFrame:
-    return fields.select(
-        F.col("populated_field_id").cast("string").alias("_id"), F.col("populated_field_description").alias("_name")
+    """One name per id; an id with two different names fails, whatever the size of the table."""
+    named = fields.groupBy(F.col("populated_field_id").cast("string").alias("_id")).agg(
+        F.min("populated_field_description").alias("_name"), F.max("populated_field_description").alias("_other")
     )
+    unclear = F.raise_error(F.concat(F.lit("populated field with two names: "), F.col("_id"))).cast("string")
+    return named.select("_id", F.when(F.col("_name") != F.col("_other"), unclear).otherwise(F.col("_name")).alias("_name"))
 
 
 def decode_fields(df: DataFrame, fields: DataFrame, strict: bool = True) -> DataFrame:
     """Adds `components`, the names of the coded populated_fields joined by a pipe, and `number_components`.
 
-    An unknown id fails when `strict`, else it is left out. The names are a literal map in the plan as long
-    as there are few of them; a larger table goes to `decode_fields_join`.
+    An unknown id fails when `strict`, else it is left out; an id with two names always fails. The names are a literal
+    map in the plan as long as there are few of them; a larger table goes to `decode_fields_join`, with equal results.
     """
     rows = _fields(fields).limit(LITERAL_FIELDS + 1).collect()
     if not rows or len(rows) > LITERAL_FIELDS:

@@ -12,8 +12,6 @@ BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 # A key with more rows than this is spread over one task for each such number of rows.
 ROWS_PER_TASK = 1_000_000
-# Most keys that are spread; any other key holds less than 1/HOT_KEYS of the rows.
-HOT_KEYS = 10_000
 # Values facts without a key are spread over.
 NULL_SPREAD = 1 << 20
 
@@ -37,19 +35,22 @@ def salted_join(
 ) -> DataFrame:
     """Shuffled join in which the facts of frequent keys are spread over tasks.
 
-    A key with n facts gets ceil(n / ROWS_PER_TASK) salts, and only the rows of `other` for such a key are
-    copied, once per salt: over all keys fewer copies than facts / ROWS_PER_TASK + HOT_KEYS. Facts without a
+    Every key with n facts above ROWS_PER_TASK gets ceil(n / ROWS_PER_TASK) salts, and only the rows of `other` for
+    such a key are copied, once per salt: over all keys fewer than 2 x facts / ROWS_PER_TASK copies. Facts without a
     key are spread too. The salt is a hash of `spread_by`, so it comes out the same when a lost task is run
     again; name columns that tell the facts of a key apart, by default all. `counts` gives the number of
-    facts per key in `_rows` where the caller has it.
+    facts per key in `_rows` where the caller has it. Streamed facts have no counts: they are joined as they are, whatever
+    the size of `other`.
     """
     on = list(on)
+    if facts.isStreaming:
+        return facts.join(other, on, how)
     if counts is None:
         counts = facts.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = (
-        counts.where(F.col("_rows") > ROWS_PER_TASK).orderBy(F.desc("_rows"), *on).limit(HOT_KEYS)
-        .select(*on, F.ceil(F.col("_rows") / ROWS_PER_TASK).cast("int").alias("_salts"))
-    )
+    hot = counts.where(F.col("_rows") > ROWS_PER_TASK).select(*on, F.ceil(F.col("_rows") / ROWS_PER_TASK).cast("int").alias("_salts"))
+    # Measured and then used twice. The list is short, and is made again from the counts if an executor is lost.
+    hot = hot.persist()
+    hot = F.broadcast(hot) if fits_broadcast(hot) else hot
     content = content_hash(facts, spread_by)
     missing = F.lit(False)
     for key in on:
@@ -57,23 +58,23 @@ def salted_join(
     salt = F.when(missing, -1 - F.pmod(content, F.lit(NULL_SPREAD))).otherwise(
         F.pmod(content, F.coalesce(F.col("_salts"), F.lit(1)))
     )
-    salted = facts.join(F.broadcast(hot), on, "left").withColumn("_salt", salt.cast("int")).drop("_salts")
+    salted = facts.join(hot, on, "left").withColumn("_salt", salt.cast("int")).drop("_salts")
     each = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts"), F.lit(1)) - 1))
-    copied = other.join(F.broadcast(hot), on, "left").withColumn("_salt", each).drop("_salts")
+    copied = other.join(hot, on, "left").withColumn("_salt", each).drop("_salts")
     return salted.join(copied, [*on, "_salt"], how).drop("_salt")
 
 
 def dimension_join(facts: DataFrame, dimension: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
     """Join to a dimension that may hold several rows per key: broadcast while its measured size allows, salted
-    beyond that."""
+    beyond that, or shuffled where the facts are a stream."""
     if fits_broadcast(dimension):
         return facts.join(F.broadcast(dimension), list(on), how)
     return salted_join(facts, dimension, on, how)
 
 
 def group_join(facts: DataFrame, groups: DataFrame, on: Sequence[str], bound: int | None, how: str = "inner") -> DataFrame:
-    """Join to a table of one row per group. `bound` is what the caller knows about the number of groups;
-    measuring it would run the plan behind `groups` twice. Without a bound the join is salted."""
+    """Join to a table of one row per group. `bound` is a measured bound on the number of groups; measuring `groups`
+    itself would run the plan behind it twice. Without a bound the join is salted."""
     if bound is not None and bound <= BROADCAST_ROWS:
         return facts.join(F.broadcast(groups), list(on), how)
     return salted_join(facts, groups, on, how)

@@ -2,9 +2,9 @@
 
 Rows are ordered by a count, highest first, and among equal counts by a hash of their key. The sizes of all
 counts give the count at which the n-th row lies; among the rows of that count, and only for them, the
-sizes of hash slots give the slot in which it lies. Everything before that slot is kept unsorted, and only
+sizes of hash slots give the slot in which it lies. Everything before that slot is kept and dealt out evenly, and only
 the slot, about 1/16**DIGITS of the group, is ranked. A group has few distinct counts (k of them need k*k/2
-rows of log) and 16**DIGITS slots, so the tables of sizes are small.
+rows of log, so `count` must count rows) and 16**DIGITS slots, so the tables of sizes are small.
 """
 
 from __future__ import annotations
@@ -19,6 +19,8 @@ from waymark.operators.joins import group_join
 
 # Hex digits of the hash that make a slot.
 DIGITS = 4
+# Numbers that decided rows are dealt out by.
+SPREAD = 1 << 30
 
 
 def check_size(n: int | None, argument: str = "sample") -> None:
@@ -74,10 +76,13 @@ def first_n(
     slots = tied.agg(F.sum(amount).alias("_size"), F.max("_above").alias("_above"))
     kept = _attach(slotted, _last(slots, key, ["_entry"], n, F.col("_above")), key, groups)
     kept = kept.where(~F.col("_tied") | (F.col("_slot") <= F.col("_last._entry")))
-    order = [count] if count else []
-    in_slot = Window.partitionBy(*key, *order, "_slot").orderBy("_hash", *ties).rowsBetween(Window.unboundedPreceding, -1)
-    room = F.lit(n) - F.col("_last._before") - F.coalesce(F.sum(amount).over(in_slot), F.lit(0))
+    # Rows of the slot, the only ones to be ranked, meet in one task. All others are decided; a number of their own keeps
+    # them apart, so that the window neither gathers nor sorts them.
     within = F.col("_tied") & (F.col("_slot") == F.col("_last._entry"))
+    kept = kept.withColumn("_apart", F.when(within, F.lit(-1)).otherwise(F.pmod(F.xxhash64(*ties), F.lit(SPREAD))))
+    in_slot = Window.partitionBy(*key, "_apart").orderBy("_rank_hash", *ties).rowsBetween(Window.unboundedPreceding, -1)
+    kept = kept.withColumn("_rank_hash", F.when(within, F.col("_hash")))
+    room = F.lit(n) - F.col("_last._before") - F.coalesce(F.sum(amount).over(in_slot), F.lit(0))
     taken = kept.withColumn("_taken", F.when(within, F.least(amount, room)).otherwise(amount)).where(F.col("_taken") > 0)
     if copies:
         taken = taken.withColumn(copies, F.col("_taken"))
