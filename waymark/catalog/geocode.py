@@ -71,3 +71,34 @@ def _requests(spark: SparkSession, sf: str) -> DataFrame:
     country = F.when(F.col("request_country") == "N3", "kr").otherwise(F.lower("request_country"))
     logs = _logs(spark, sf).select("searched_query", country.alias("country"))
     return request_table(logs, "https://geocoder.example", "https://kr.geocoder.example")
+
+
+HOSTS = ("https://geocoder.example", "https://kr.geocoder.example")
+LOCAL_HOST = "CASE WHEN country = 'kr' THEN 'https://kr.geocoder.example' ELSE 'https://geocoder.example' END"
+PLACES_SQL = "SELECT lat, lon, CASE WHEN country = 'N3' THEN 'kr' ELSE lower(country) END AS country FROM points"
+REVERSE = f"""
+SELECT DISTINCT lat, lon, country, concat({LOCAL_HOST}, '/search/2/reverseGeocode/', CAST(lat AS VARCHAR), '%2C', CAST(lon AS VARCHAR),
+  '.json?limit=5') AS request_url FROM ({PLACES_SQL})"""
+
+
+def _places(spark: SparkSession, sf: str) -> DataFrame:
+    country = F.when(F.col("country") == "N3", "kr").otherwise(F.lower("country"))
+    return view(spark, sf, "points").select("lat", "lon", country.alias("country"))
+
+
+@query("request_table_reverse", ["points"], REVERSE)
+def _reverse(spark: SparkSession, sf: str) -> DataFrame:
+    return request_table(_places(spark, sf), *HOSTS, call_type="reverseGeocode")
+
+
+@query("request_table_full_reverse", ["points"], REVERSE)
+def _full_reverse(spark: SparkSession, sf: str) -> DataFrame:
+    return request_table(_places(spark, sf), *HOSTS, call_type="fullReverseGeocode")
+
+
+@query("request_table_poi", ["reference_pois"], """
+SELECT DISTINCT name, lat, lon, search_radius_m, concat('https://geocoder.example/search/2/poiSearch/', url_encode(name),
+  '.json?limit=5&openingHours=nextSevenDays&relatedPois=all&lat=', CAST(lat AS VARCHAR), '&lon=', CAST(lon AS VARCHAR),
+  '&radius=', CAST(search_radius_m AS VARCHAR)) AS request_url FROM reference_pois""")
+def _poi_requests(spark: SparkSession, sf: str) -> DataFrame:
+    return request_table(view(spark, sf, "reference_pois"), HOSTS[0], call_type="poiSearch")

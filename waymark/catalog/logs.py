@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -19,7 +21,7 @@ from waymark.operators.dimensions import (
 )
 from waymark.operators.ordering import row_index
 from waymark.operators.ranking import first_n, random_sample
-from waymark.plans.sampling import MOST_COUNTRIES, backfill_logs, sample_logs
+from waymark.plans.sampling import backfill_logs, country_count, ranked_sample, sample_logs, sample_name
 from waymark.schemas import SAMPLE_COLUMNS
 from waymark.session import new_path
 from waymark.sources.sinks import write_country_samples
@@ -48,8 +50,8 @@ SEEN_SQL = time_sql("client_received_start_timestamp", "seen")
 
 @query("scan_logs", LOGS, f"SELECT {SCANNED}, {SEEN_SQL} FROM search_logs")
 def _scan(spark: SparkSession, sf: str) -> DataFrame:
-    _logs(spark, sf).createOrReplaceTempView("search_logs_insights")
-    return scan_logs(spark, "search_logs_insights").select(*SCANNED.split(", "), time_text(f.TIMESTAMP, "seen"))
+    _logs(spark, sf).createOrReplaceTempView("waymark_scanned_logs")
+    return scan_logs(spark, "waymark_scanned_logs").select(*SCANNED.split(", "), time_text(f.TIMESTAMP, "seen"))
 
 
 @query("read_by_format", LOGS, f"""
@@ -75,8 +77,7 @@ SELECT request_uri, searched_query, populated_fields, countryName, who_searched,
 })
 def _sink(spark: SparkSession, sf: str) -> DataFrame:
     sample = _sampler(spark, sf)
-    path = new_path(spark, "samples")
-    write_country_samples(sample, path, "csv")
+    path = write_country_samples(sample, new_path(spark, "samples"), "csv", name=sample_name(True, dt.date(2024, 1, 31)))
     return read_by_format(spark, path, schema=sample.select(*SAMPLE_COLUMNS).schema, file_format="csv")
 
 
@@ -199,9 +200,8 @@ SELECT country_code, string_agg(spelling, '|' ORDER BY spelling) AS spellings FR
   UNION SELECT country_code, official_name FROM codes WHERE official_name IS NOT NULL) GROUP BY country_code""",
        {"names": NAMES, "codes": CODES})
 def _sets(spark: SparkSession, sf: str) -> DataFrame:
-    _logs(spark, sf).createOrReplaceTempView("search_logs")
-    read_table(spark, sf, "nation").createOrReplaceTempView("nation")
-    sets = spelling_sets(spark.sql(NAMES), spark.sql(CODES))
+    sets = spelling_sets(*[spark.sql(text, search_logs=_logs(spark, sf), nation=read_table(spark, sf, "nation")) for text in (
+        NAMES.replace("FROM search_logs", "FROM {search_logs}"), CODES.replace("FROM nation", "FROM {nation}"))])
     return sets.select("country_code", F.array_join("spellings", "|").alias("spellings"))
 
 
@@ -223,8 +223,9 @@ FROM (SELECT *, row_number() OVER (PARTITION BY country ORDER BY {KEY_ORDER}) AS
 })
 def _topk(spark: SparkSession, sf: str) -> DataFrame:
     logs = _logs(spark, sf).where(f.not_named("method_name", "search 2 poiSearch"))
-    counted = dedup_count(match_countries(logs, _spellings(spark, sf)), ["country"])
-    return first_n(counted, 5, ["country"], count=COUNT, tie_columns=FIXTURE_KEYS, groups=MOST_COUNTRIES)
+    spellings = _spellings(spark, sf)
+    counted = dedup_count(match_countries(logs, spellings), ["country"])
+    return first_n(counted, 5, ["country"], count=COUNT, tie_columns=FIXTURE_KEYS, groups=country_count(spellings))
 
 
 CUT = {
@@ -240,6 +241,13 @@ def _sampler(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("sampler_ordered", SAMPLER_VIEWS, f"""
+SELECT CAST(row_number() OVER (ORDER BY search_query_counts DESC, country NULLS FIRST, {", ".join(f"{k} NULLS FIRST" for k in FIXTURE_KEYS)}) AS BIGINT) AS rank,
+  country, searched_query, search_query_counts FROM finished""", {"chosen": chosen_sql(20), "counted": counted_sql("chosen"), **CUT})
+def _ordered(spark: SparkSession, sf: str) -> DataFrame:
+    return ranked_sample(_sampler(spark, sf)).select("rank", "country", "searched_query", COUNT)
+
+
 @query("precap_sampler", SAMPLER_VIEWS, "SELECT * FROM finished", {
     "chosen": chosen_sql(20),
     "capped": f"""SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY country ORDER BY {hash_of(['log_id'], '0')}) AS cap
@@ -284,24 +292,46 @@ def _row_index(spark: SparkSession, sf: str) -> DataFrame:
 
 BACKFILL_SIZE, BACKFILL_AGO = 12, 30
 _edges = window_edges(NOW, BACKFILL_AGO)
+WINDOWED = "SELECT c.*, w.window_id FROM chosen c JOIN (" + " UNION ALL ".join(
+    f"SELECT {i} AS window_id, TIMESTAMP '{older}' AS older, TIMESTAMP '{newer}' AS newer"
+    for i, (newer, older) in enumerate(zip(_edges, _edges[1:]))
+) + ") w ON c.client_received_start_timestamp >= w.older AND c.client_received_start_timestamp < w.newer"
+SIZES = """
+SELECT country, window_id, coalesce(sum(count(*)) OVER (PARTITION BY country ORDER BY window_id
+  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM capped GROUP BY country, window_id"""
+TAKEN = f"SELECT c.* FROM capped c JOIN sizes z USING (country, window_id) WHERE z.before < {BACKFILL_SIZE}"
 
 
 @query("adaptive_backfill", SAMPLER_VIEWS, "SELECT * FROM finished", {
     "chosen": chosen_sql(None),
-    "windowed": "SELECT c.*, w.window_id FROM chosen c JOIN (" + " UNION ALL ".join(
-        f"SELECT {i} AS window_id, TIMESTAMP '{older}' AS older, TIMESTAMP '{newer}' AS newer"
-        for i, (newer, older) in enumerate(zip(_edges, _edges[1:]))
-    ) + ") w ON c.client_received_start_timestamp >= w.older AND c.client_received_start_timestamp < w.newer",
+    "windowed": WINDOWED,
     "counted": counted_sql("windowed", "country, window_id"),
     "ranked": f"SELECT *, row_number() OVER (PARTITION BY country, window_id ORDER BY {KEY_ORDER}) AS rn FROM counted",
     "capped": f"SELECT * FROM ranked WHERE rn <= {BACKFILL_SIZE}",
-    "sizes": """SELECT country, window_id, coalesce(sum(count(*)) OVER (PARTITION BY country ORDER BY window_id
-                ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM capped GROUP BY country, window_id""",
-    "cut": f"SELECT c.* FROM capped c JOIN sizes z USING (country, window_id) WHERE z.before < {BACKFILL_SIZE}",
-    "decoded": DECODED, "finished": finished_sql("cut", "CAST(window_id AS INTEGER) AS window_id,"),
+    "sizes": SIZES, "cut": TAKEN, "decoded": DECODED, "finished": finished_sql("cut", "CAST(window_id AS INTEGER) AS window_id,"),
 })
 def _backfill(spark: SparkSession, sf: str) -> DataFrame:
     return backfill_logs(
         _logs(spark, sf), _spellings(spark, sf), _fields(spark, sf), NOW, sample=BACKFILL_SIZE, ago=BACKFILL_AGO,
         developer_emails=DEVELOPER,
     )
+
+
+RANDOM_ORDER = hash_of(["log_id"], "7")
+
+
+@query("backfill_random", SAMPLER_VIEWS, """
+SELECT log_id, country, CAST(window_id AS INTEGER) AS window_id, searched_query, d.components, d.number_components
+FROM cut JOIN decoded d ON populated_fields = d.pf WHERE searched_query NOT LIKE '%�%'""", {
+    "chosen": chosen_sql(None),
+    "windowed": WINDOWED,
+    "ranked": f"SELECT *, row_number() OVER (PARTITION BY country, window_id ORDER BY {RANDOM_ORDER}) AS rn FROM windowed",
+    "capped": f"SELECT * FROM ranked WHERE rn <= {BACKFILL_SIZE}",
+    "sizes": SIZES, "cut": TAKEN, "decoded": DECODED,
+})
+def _backfill_random(spark: SparkSession, sf: str) -> DataFrame:
+    drawn = backfill_logs(
+        _logs(spark, sf), _spellings(spark, sf), _fields(spark, sf), NOW, sample=BACKFILL_SIZE, ago=BACKFILL_AGO,
+        deduplicate=False, id_columns=["log_id"], seed=7, developer_emails=DEVELOPER,
+    )
+    return drawn.select("log_id", "country", "window_id", "searched_query", "components", "number_components")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from waymark.operators.dedup import COUNT, dedup_count, present_keys
 from waymark.operators.filters import TIMESTAMP, as_datetime, instant
 from waymark.operators.joins import group_join
-from waymark.operators.ranking import check_size, first_n
+from waymark.operators.ranking import check_size, first_n, random_sample
 
 # The first window ends this many days back, and this many edges are spread evenly.
 FIRST_DAY = 15
@@ -35,31 +36,33 @@ def window_number(edges: list[dt.datetime], column: str = TIMESTAMP) -> Column:
 
 def adaptive_backfill(
     logs: DataFrame, now: str | dt.datetime, sample: int, ago: int | str = 365, countries: int | None = None,
-    column: str = TIMESTAMP,
+    column: str = TIMESTAMP, deduplicate: bool = True, id_columns: Sequence[str] | None = None, seed: int = 0,
 ) -> DataFrame:
-    """Deduplicated rows of the newest windows of each country, taken until there are `sample` rows.
+    """Rows of the newest windows of each country, taken until there are `sample` rows.
 
-    Expects `country`. Each window is deduplicated by itself and cut to its `sample` most repeated rows;
-    a window is taken whole while the windows before it hold fewer than `sample` rows. All windows are
-    made in one pass; rows younger than the first edge are out. `countries` bounds their number.
+    Expects `country`. Each window is cut to its `sample` most repeated requests, or without `deduplicate` to `sample`
+    random rows, which `id_columns` tell apart; a window is taken whole while the windows before it hold fewer than
+    `sample` rows. All windows are made in one pass; rows younger than the first edge are out. `countries` bounds
+    their number.
     """
     check_size(sample)
     edges = window_edges(now, ago)
     inside = logs.where((F.col(column) >= instant(edges[-1])) & (F.col(column) < instant(edges[0])))
     numbered = inside.withColumn("window_id", window_number(edges, column))
-    counted = dedup_count(numbered, ["country", "window_id"])
+    by = ["country", "window_id"]
+    rows = dedup_count(numbered, by) if deduplicate else numbered
     # At most EDGES - 1 rows per country.
-    # Counting by the count column keeps the shuffle of `counted` equal to the one below, so it is made once.
-    found = F.count_if(F.col(COUNT) > 0)
-    sizes = counted.groupBy("country", "window_id").agg(F.least(found, F.lit(sample)).alias("_size"))
+    # Counting by the count column keeps the shuffle of `rows` equal to the one below, so it is made once.
+    found = F.count_if(F.col(COUNT) > 0) if deduplicate else F.count(F.lit(1))
+    sizes = rows.groupBy(*by).agg(F.least(found, F.lit(sample)).alias("_size"))
     newer = Window.partitionBy("country").orderBy("window_id").rowsBetween(Window.unboundedPreceding, -1)
     taken = (
         sizes.withColumn("_newer", F.coalesce(F.sum("_size").over(newer), F.lit(0)))
         .where(F.col("_newer") < sample)
-        .select("country", "window_id")
+        .select(*by)
     )
     groups = countries and countries * (EDGES - 1)
-    chosen = group_join(counted, taken, ["country", "window_id"], groups, "left_semi")
-    return first_n(
-        chosen, sample, ["country", "window_id"], count=COUNT, tie_columns=present_keys(logs), groups=groups
-    )
+    chosen = group_join(rows, taken, by, groups, "left_semi")
+    if deduplicate:
+        return first_n(chosen, sample, by, count=COUNT, tie_columns=present_keys(logs), groups=groups)
+    return random_sample(chosen, sample, seed, by, id_columns, groups)

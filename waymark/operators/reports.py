@@ -1,9 +1,7 @@
-"""Status counts of enrichment rounds and of saved countries."""
+"""Status counts of enrichment rounds."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -19,12 +17,3 @@ def null_result_count(df: DataFrame, column: str = "apiResults") -> DataFrame:
     return df.agg(
         F.count(F.lit(1)).alias("total_rows"), F.count(F.when(F.col(column).isNull(), True)).alias("null_rows")
     )
-
-
-def country_status(results: DataFrame, countries: Sequence[str]) -> DataFrame:
-    """(country, status) for each listed country: Done where it has results, else Incomplete."""
-    spark = results.sparkSession
-    listed = spark.createDataFrame([(c,) for c in countries], "country string")
-    found = results.where(F.col("country").isin(list(countries))).groupBy("country").agg(F.count(F.lit(1)).alias("_n"))
-    status = F.when(F.col("_n") > 0, "Done").otherwise("Incomplete")
-    return listed.join(found, "country", "left").select("country", status.alias("status"))

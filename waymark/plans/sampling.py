@@ -12,12 +12,10 @@ from waymark.operators import filters as f
 from waymark.operators.backfill import adaptive_backfill
 from waymark.operators.dedup import COUNT, dedup_count, present_keys
 from waymark.operators.dimensions import decode_fields, match_countries
+from waymark.operators.ordering import row_index
 from waymark.operators.ranking import check_size, first_n, random_sample
 from waymark.schemas import POI_ENDPOINT
 
-# Two-letter codes: no more countries than that.
-MOST_COUNTRIES = 26 * 26
-
 
 def sample_name(only_full_addresses: bool, run_date: dt.date) -> str:
     """Name a sample is saved under, before the country."""
@@ -41,9 +39,10 @@ def select_logs(
     return match_countries(kept, spellings, countries)
 
 
-def _most_groups(countries: f.Names) -> int:
+def country_count(spellings: DataFrame, countries: f.Names = None) -> int:
+    """How many countries a match can give, counted in the spellings."""
     codes = f.as_names(countries, "countries")
-    return MOST_COUNTRIES if codes is None else len(codes)
+    return spellings.select("country_code").distinct().count() if codes is None else len(codes)
 
 
 def finish_sample(sample: DataFrame, fields: DataFrame) -> DataFrame:
@@ -68,7 +67,7 @@ def sample_logs(
     check_size(sample)
     check_size(pre_cap, "pre_cap")
     chosen = select_logs(logs.where(f.looked_back(now, ago)), spellings, countries, **selection)
-    groups = _most_groups(countries)
+    groups = country_count(spellings, countries)
     if pre_cap is not None:
         chosen = random_sample(chosen, pre_cap, seed, ["country"], id_columns, groups)
     if deduplicate:
@@ -81,9 +80,20 @@ def sample_logs(
 
 def backfill_logs(
     logs: DataFrame, spellings: DataFrame, fields: DataFrame, now: str | dt.datetime,
-    countries: f.Names = None, sample: int = 10_000, ago: int | str = 365, **selection,
+    countries: f.Names = None, sample: int = 10_000, ago: int | str = 365, deduplicate: bool = True,
+    id_columns: Sequence[str] | None = None, seed: int = 0, **selection,
 ) -> DataFrame:
-    """The sample of every country gathered from date windows, newest first."""
+    """The sample of every country gathered from date windows, newest first: the most repeated requests of each
+    window, or random rows without `deduplicate`."""
     chosen = select_logs(logs, spellings, countries, **selection)
-    groups = _most_groups(countries)
-    return finish_sample(adaptive_backfill(chosen, now, sample, ago, groups), fields)
+    groups = country_count(spellings, countries)
+    return finish_sample(adaptive_backfill(chosen, now, sample, ago, groups, deduplicate=deduplicate, id_columns=id_columns, seed=seed), fields)
+
+
+def ranked_sample(sample: DataFrame) -> DataFrame:
+    """A sample in its order, most repeated requests first, with that order as `rank` from 1.
+
+    Equal counts follow each other by country and log keys. The table is ordered by range partitions.
+    """
+    numbered = row_index(sample, [F.desc(COUNT), *present_keys(sample, ["country"])], to="rank")
+    return numbered.withColumn("rank", F.col("rank") + 1)

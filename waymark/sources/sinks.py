@@ -34,11 +34,13 @@ def by_country(df: DataFrame) -> DataFrame:
 
 def write_country_samples(
     df: DataFrame, path: str, file_format: str = "parquet", sep: str = ";",
-    columns: Sequence[str] | None = tuple(SAMPLE_COLUMNS), mode: str = "overwrite",
-) -> None:
-    """One folder per country."""
+    columns: Sequence[str] | None = tuple(SAMPLE_COLUMNS), mode: str = "overwrite", name: str | None = None,
+) -> str:
+    """One folder per country, under the sample's name where one is given; returns the folder above them."""
     chosen = df if columns is None else df.select(*columns)
-    _write(by_country(chosen), path, file_format, sep, "country", mode)
+    folder = path if name is None else f"{path}/{name}"
+    _write(by_country(chosen), folder, file_format, sep, "country", mode)
+    return folder
 
 
 def write_parsed(df: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -9,13 +9,16 @@ from pyspark.sql import types as T
 
 # An empty field is NULL and a quoted empty one is empty text; they are told apart only if the mark that
 # stands for NULL while reading is not empty itself.
-CSV_OPTIONS = {"quote": '"', "escape": '"', "multiLine": "true", "nullValue": "\u0001", "emptyValue": ""}
+CSV_OPTIONS = {"quote": '"', "escape": '"', "nullValue": "\u0001", "emptyValue": ""}
 
 
-def scan_logs(spark: SparkSession, table: str = "search_logs_insights", path: str | None = None,
-              schema: T.StructType | None = None) -> DataFrame:
+def scan_logs(
+    spark: SparkSession, table: str | None = None, path: str | None = None, schema: T.StructType | str | None = None,
+) -> DataFrame:
     """The log table by name, or the parquet files under `path`."""
-    if path is None:
+    if (table is None) == (path is None):
+        raise ValueError("name either a table or a path")
+    if table is not None:
         return spark.table(table)
     reader = spark.read if schema is None else spark.read.schema(schema)
     return reader.parquet(path)
@@ -29,16 +32,16 @@ def path_format(path: str) -> str | None:
 
 def read_by_format(
     spark: SparkSession, path: str, schema: T.StructType | str | None = None, sep: str = ";", header: bool = True,
-    file_format: str | None = None,
+    file_format: str | None = None, line_breaks: bool = False,
 ) -> DataFrame:
     """CSV or parquet by the ending of the path, or as `file_format` says. Without a schema CSV columns are text.
 
-    Quoted line breaks are read, so a CSV file is one task: write CSV in many files.
+    With `line_breaks` quoted values may hold line breaks, but then each CSV file is one task: write CSV in many files.
     """
     kind = file_format or path_format(path)
     reader = spark.read if schema is None else spark.read.schema(schema)
     if kind == "csv":
-        return reader.options(sep=sep, header=header, **CSV_OPTIONS).csv(path)
+        return reader.options(sep=sep, header=header, multiLine=line_breaks, **CSV_OPTIONS).csv(path)
     if kind == "parquet":
         return reader.parquet(path)
     raise ValueError(f"the path must end in .csv or .parquet: {path}")
