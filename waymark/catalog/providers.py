@@ -18,15 +18,21 @@ from waymark.sources.sinks import write_country_results
 
 LEVELS, PAIR = ["order_1", "country"], ["pa", "pb"]
 FANNED = f"SELECT p.*, u.provider_id FROM points p, (SELECT unnest({PROVIDERS}) AS provider_id) u"
-AREA_JSON = """concat('{"area_id":', CAST(area_id AS VARCHAR), ',"area_name":"', area_name, '"}')"""
+AREA_JSON = """concat('{"area_id":', CAST(a.area_id AS VARCHAR), ',"area_name":"', a.area_name, '"}')"""
 COMPARED = {
-    "fanned": FANNED, "located": AREA_OF_POINT,
+    "fanned": FANNED,
+    "in_areas": f"""
+SELECT p.id, a.provider_id, concat('[', string_agg({AREA_JSON}, ',' ORDER BY a.area_id), ']') AS listed
+FROM points p JOIN provider_areas a ON p.country = a.country
+  AND p.lat >= a.min_lat AND p.lat < a.max_lat AND p.lon >= a.min_lon AND p.lon < a.max_lon
+GROUP BY p.id, a.provider_id""",
     "compared": f"""
 SELECT f.id, f.lat, f.lon, f.country, f.provider_id,
-  CASE WHEN f.provider_id IN ({', '.join(f"'{p}'" for p in AREA_PROVIDERS)}) THEN {AREA_JSON} ELSE r.results END AS results
+  CASE WHEN f.provider_id IN ({', '.join(f"'{p}'" for p in AREA_PROVIDERS)}) THEN l.listed ELSE r.results END AS results
 FROM fanned f LEFT JOIN provider_responses r ON f.provider_id = r.provider_id AND f.lat = r.lat AND f.lon = r.lon
-LEFT JOIN located l ON f.id = l.id""",
+LEFT JOIN in_areas l ON f.id = l.id AND f.provider_id = l.provider_id""",
 }
+COMPARED_VIEWS = ["points", "provider_responses", "provider_areas"]
 
 
 def _points(spark: SparkSession, sf: str) -> DataFrame:
@@ -34,7 +40,7 @@ def _points(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _compared(spark: SparkSession, sf: str) -> DataFrame:
-    return compare_providers(_points(spark, sf), view(spark, sf, "provider_responses"), view(spark, sf, "areas"))
+    return compare_providers(_points(spark, sf), view(spark, sf, "provider_responses"), view(spark, sf, "provider_areas"))
 
 
 @query("reverse_lookup", ["points", "areas"], "SELECT id, lat, lon, area_id, area_name FROM located", {"located": AREA_OF_POINT})
@@ -60,12 +66,12 @@ def _union(spark: SparkSession, sf: str) -> DataFrame:
     return union_all([by_request, by_area])
 
 
-@query("provider_compare", ["points", "provider_responses", "areas"], "SELECT * FROM compared", COMPARED)
+@query("provider_compare", COMPARED_VIEWS, "SELECT * FROM compared", COMPARED)
 def _compare(spark: SparkSession, sf: str) -> DataFrame:
     return _compared(spark, sf)
 
 
-@query("country_status", ["points", "provider_responses", "areas"], """
+@query("country_status", COMPARED_VIEWS, """
 SELECT c.country, CASE WHEN count(p.id) > 0 THEN 'Done' ELSE 'Incomplete' END AS status
 FROM (SELECT unnest(['N1', 'N2', 'N5', 'ZZ']) AS country) c LEFT JOIN compared p ON p.country = c.country GROUP BY c.country""", COMPARED)
 def _status(spark: SparkSession, sf: str) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from waymark.catalog.address import PARSED
 from waymark.catalog.pieces import PREPROCESS_STEPS
 from waymark.catalog.registry import query
-from waymark.fixtures import BASE_TABLES, register_tables, with_views
+from waymark.fixtures import BASE_TABLES, view
 from waymark.plans.preprocess import preprocess
 from waymark.session import new_path
 from waymark.streaming.sinks import append_stream, read_saved, read_stream
@@ -15,14 +15,8 @@ from waymark.streaming.sinks import append_stream, read_saved, read_stream
 
 def _log_stream(spark: SparkSession, sf: str) -> DataFrame:
     """The search logs derived from a stream of events."""
-    sql = with_views(["search_logs"], "SELECT * FROM search_logs")
-    register_tables(spark, sf, sql)
     # A pattern, since a stream does not take the path of a single file.
-    read_stream(spark, f"{sf}/events.parquet*", BASE_TABLES["events"]).createOrReplaceTempView("events")
-    try:
-        return spark.sql(sql)
-    finally:
-        register_tables(spark, sf, "events")
+    return view(spark, sf, "search_logs", events=read_stream(spark, f"{sf}/events.parquet*", BASE_TABLES["events"]))
 
 
 SAVED = "log_id, request_uri, searched_query, countryName, method_name"

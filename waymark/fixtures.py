@@ -87,6 +87,15 @@ SELECT n_nationkey AS area_id, n_name AS area_name,
   CAST(-90 + CAST(floor(n_nationkey / 5) AS INT) * 6 AS DOUBLE) AS min_lon, CAST(-84 + CAST(floor(n_nationkey / 5) AS INT) * 6 AS DOUBLE) AS max_lon
 FROM nation""")
 
+# Boxes of the map providers: they differ by provider, lie in each other by level, and belong to a country.
+VIEWS["provider_areas"] = ([], " UNION ALL ".join(f"""
+SELECT '{provider}' AS provider_id, concat('N', CAST(n_nationkey % 7 AS STRING)) AS country, n_nationkey * 10 + {number} AS area_id,
+  concat('{provider} ', n_name, ' level {level}') AS area_name,
+  CAST(30 + (n_nationkey % 5) * 4 + {level + shift} AS DOUBLE) AS min_lat, CAST(34 + (n_nationkey % 5) * 4 - {level} AS DOUBLE) AS max_lat,
+  CAST(-90 + CAST(floor(n_nationkey / 5) AS INT) * 6 + {level} AS DOUBLE) AS min_lon,
+  CAST(-84 + CAST(floor(n_nationkey / 5) AS INT) * 6 - {level} AS DOUBLE) AS max_lon FROM nation"""
+    for number, (provider, level, shift) in enumerate([("mnr", 0, 0), ("mnr", 1, 0), ("os", 0, 1), ("os", 1, 1), ("or", 0, 0)])))
+
 VIEWS["provider_levels"] = ([], """
 SELECT c_custkey AS id, concat('R', CAST(c_nationkey % 5 AS STRING)) AS order_1_pa, concat('R', CAST(c_custkey % 5 AS STRING)) AS order_1_pb,
   concat('N', CAST(c_nationkey AS STRING)) AS country_pa,
@@ -114,11 +123,13 @@ def read_table(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.schema(BASE_TABLES[table]).parquet(f"{sf_dir}/{table}.parquet")
 
 
-def register_tables(spark: SparkSession, sf_dir: str, sql: str) -> None:
-    """Name the given tables that `sql` reads as temporary views."""
-    for table in BASE_TABLES:
-        if re.search(rf"\b{table}\b", sql):
-            read_table(spark, sf_dir, table).createOrReplaceTempView(table)
+def run_sql(spark: SparkSession, sf_dir: str, sql: str, **given: DataFrame) -> DataFrame:
+    """`sql` over the given tables, without leaving views behind in the session; `given` replaces some of the tables."""
+    tables = {t: given[t] if t in given else read_table(spark, sf_dir, t) for t in BASE_TABLES if re.search(rf"\b{t}\b", sql)}
+    text = sql.replace("{", "{{").replace("}", "}}")
+    for table in tables:
+        text = re.sub(rf"\b(FROM|JOIN) {table}\b", rf"\1 {{{table}}}", text)
+    return spark.sql(text, **tables)
 
 
 def _ordered(names: list[str]) -> list[str]:
@@ -138,8 +149,6 @@ def with_views(names: list[str], body: str, steps: dict[str, str] | None = None)
     return "WITH " + ",\n".join(f"{name} AS ({sql.strip()})" for name, sql in parts.items()) + "\n" + body
 
 
-def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+def view(spark: SparkSession, sf_dir: str, name: str, **given: DataFrame) -> DataFrame:
     """One of the views above as a DataFrame over the tables in `sf_dir`."""
-    sql = with_views([name], f"SELECT * FROM {name}")
-    register_tables(spark, sf_dir, sql)
-    return spark.sql(sql)
+    return run_sql(spark, sf_dir, with_views([name], f"SELECT * FROM {name}"), **given)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from waymark.operators.areas import locate
 from waymark.operators.joins import salted_join
 from waymark.schemas import AREA_PROVIDERS, PROVIDERS
+from waymark.session import new_path
 
 
 def level_columns(levels: Sequence[str], providers: Sequence[str], suffix: str | None = None) -> dict[str, tuple[str, str]]:
@@ -62,9 +63,17 @@ def _request_answers(responses: DataFrame, providers: Sequence[str]) -> DataFram
 
 
 def _area_answers(places: DataFrame, areas: DataFrame, providers: Sequence[str]) -> DataFrame:
-    """One row per point with its area components as JSON text; of areas that overlap the least id counts."""
-    found = locate(places, areas).groupBy(*PLACE).agg(F.min(F.struct("area_id", "area_name")).alias("_area"))
-    return found.select(*PLACE, *[F.to_json("_area").alias(f"_{p}") for p in providers])
+    """One row per point and country, with all areas that a provider has there as a JSON list, by area id.
+
+    An area answers for points of its own country only; levels that lie in each other are all in the list.
+    """
+    own = areas.where(F.col("provider_id").isin(list(providers))).withColumnRenamed("country", "_area_country")
+    found = locate(places, own).where(F.col("_area_country") == F.col("_country"))
+    listed = [
+        F.array_sort(F.collect_list(F.when(F.col("provider_id") == p, F.struct("area_id", "area_name")))).alias(f"_{p}") for p in providers
+    ]
+    answers = found.groupBy(*PLACE, "_country").agg(*listed)
+    return answers.select(*PLACE, "_country", *[F.when(F.size(f"_{p}") > 0, F.to_json(f"_{p}")).alias(f"_{p}") for p in providers])
 
 
 def _answered(
@@ -72,22 +81,31 @@ def _answered(
 ) -> DataFrame:
     """Every row once per provider, with the provider's answer.
 
-    The answers of all providers are put side by side for each distinct point, so the rows are shuffled once
-    and multiplied by the providers only after that; a point that many rows share is looked up once.
+    Points are counted once, and that table is saved: all answers are put side by side for each distinct point from it, so the
+    rows are shuffled once and multiplied by the providers only after that; a point that many rows share is
+    looked up once.
     """
-    counts = points.groupBy(*PLACE).agg(F.count(F.lit(1)).alias("_rows"))
     by_area = [p for p in providers if p in AREA_PROVIDERS] if areas is not None else []
     by_request = [p for p in providers if p not in by_area]
-    answers = counts.select(*PLACE)
+    keys = [*PLACE, "_country"] if by_area else PLACE
+    placed = points.withColumn("_country", F.coalesce(F.col("country").cast("string"), F.lit(""))) if by_area else points
+    counts = _saved(placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")))
+    answers = counts.select(*keys)
     if by_request:
         answers = answers.join(_request_answers(responses, by_request), PLACE, "left")
     if by_area:
-        answers = answers.join(_area_answers(counts.select(*PLACE), areas, by_area), PLACE, "left")
-    joined = salted_join(points, answers, PLACE, "left", counts, [id_column])
+        answers = answers.join(_area_answers(counts.select(*keys), areas, by_area), keys, "left")
+    joined = salted_join(placed, answers, keys, "left", counts, [id_column])
     each = F.array(*[F.struct(F.lit(p).alias("provider_id"), F.col(f"_{p}").alias("results")) for p in providers])
     return joined.select(*points.columns, F.inline(each))
 
 
+def _saved(df: DataFrame) -> DataFrame:
+    path = new_path(df.sparkSession, "places")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def answered_by_request(points: DataFrame, responses: DataFrame, providers: Sequence[str], id_column: str = "id") -> DataFrame:
     """Rows per provider with the provider's answer for their point, NULL where it has none.
 
@@ -101,10 +119,14 @@ def compare_providers(
     points: DataFrame, responses: DataFrame, areas: DataFrame, providers: Sequence[str] = tuple(PROVIDERS),
     id_column: str = "id",
 ) -> DataFrame:
-    """All rows answered by all providers, tagged with provider_id. Map providers answer from `areas`."""
+    """All rows answered by all providers, tagged with provider_id.
+
+    Map providers answer from `areas` (provider_id, country, area_id, area_name and the bounds), each from its own areas
+    of the point's country.
+    """
     check_providers(providers)
-    if not set(PLACE) <= set(points.columns):
-        raise ValueError("points need the columns lat and lon")
+    if not {*PLACE, "country"} <= set(points.columns):
+        raise ValueError("points need the columns lat, lon and country")
     placed = points.withColumns({c: F.col(c).try_cast("double") for c in PLACE})
     return _answered(placed, providers, responses, areas, id_column)
 

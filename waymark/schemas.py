@@ -89,6 +89,12 @@ RESPONSE_SCHEMA = T.StructType([
 TEXT_MAP = T.MapType(T.StringType(), T.StringType())
 RESULT_LIST = T.ArrayType(TEXT_MAP)
 
+# Columns of a reference point that its rows keep.
+POI_KEPT = [
+    "reference_id", "sample_id", "sample_run_id", "importance_rank", "search_rank", "search_request_string",
+    "business_status", "name", "search_radius_m", "search_group",
+]
+
 # Address fields read from one point-of-interest result.
 POI_ADDRESS_FIELDS = [
     "countrySecondarySubdivision", "streetNumber", "postalCode", "municipality", "countrySubdivision",
