@@ -8,7 +8,9 @@ from __future__ import annotations
 
 import json
 import os
+import shutil
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -27,9 +29,10 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
+    folder = tempfile.mkdtemp(prefix="waymark-bench-")
     spark = build_session(
         "waymark-bench", master=f"local[{cpus}]",
-        **{"spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.checkpoint.dir": folder, "spark.sql.shuffle.partitions": cpus, "spark.driver.memory": "8g", "spark.ui.showConsoleProgress": "false"},
     )
     spark.sparkContext.setLogLevel("ERROR")
     seconds = {}
@@ -45,6 +48,7 @@ def main() -> None:
         "queries": seconds, "sf": os.path.basename(sf_dir).removeprefix("sf"), "cpus": int(cpus),
     }))
     spark.stop()
+    shutil.rmtree(folder, ignore_errors=True)
 
 
 if __name__ == "__main__":

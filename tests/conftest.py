@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import os
+import shutil
 import sys
+import tempfile
 
 import pytest
 
@@ -14,13 +16,15 @@ TESTDATA = "/root/testdata"
 
 @pytest.fixture(scope="session")
 def spark():
+    folder = tempfile.mkdtemp(prefix="waymark-tests-")
     session = build_session(
         "waymark-tests", master="local[*]",
-        **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false"},
+        **{"spark.checkpoint.dir": folder, "spark.sql.shuffle.partitions": "8", "spark.driver.memory": "4g", "spark.ui.showConsoleProgress": "false"},
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
+    shutil.rmtree(folder, ignore_errors=True)
 
 
 @pytest.fixture(scope="session")

@@ -9,7 +9,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import bag
+from helpers import bag, plan
 from waymark.plans.geocoding import geocode_file
 from waymark.plans.preprocess import preprocess, preprocess_file
 from waymark.sources.sinks import write_country_results, write_country_samples, write_results
@@ -36,8 +36,20 @@ def test_files_come_back_as_written(spark, tmp_path, kind):
         df.write.options(sep=";", header=True, escape='"').csv(path)
     else:
         df.write.parquet(path)
-    assert bag(read_by_format(spark, path)) == bag(df)
-    assert bag(read_by_format(spark, path, schema=df.schema)) == bag(df)
+    assert bag(read_by_format(spark, path, line_breaks=True)) == bag(df)
+    assert bag(read_by_format(spark, path, schema=df.schema, line_breaks=True)) == bag(df)
+
+
+def test_one_large_csv_is_many_tasks(spark, tmp_path):
+    path = str(tmp_path / "large.csv")
+    spark.range(20_000).withColumn("t", F.repeat(F.lit("x"), 500)).coalesce(1).write.options(sep=";", header=True).csv(path)
+    limit = "spark.sql.files.maxPartitionBytes"
+    spark.conf.set(limit, "1m")
+    try:
+        assert read_by_format(spark, path).rdd.getNumPartitions() > 4
+        assert read_by_format(spark, path).count() == 20_000
+    finally:
+        spark.conf.unset(limit)
 
 
 def test_other_formats_are_refused(spark, tmp_path):
@@ -53,6 +65,8 @@ def test_scan_by_name_and_path(spark, tmp_path):
     assert scan_logs(spark, "some_logs").count() == 3
     spark.range(4).write.parquet(str(tmp_path / "p"))
     assert scan_logs(spark, path=str(tmp_path / "p"), schema="id long").count() == 4
+    with pytest.raises(ValueError):
+        scan_logs(spark)
 
 
 @pytest.mark.parametrize("kind", ["csv", "parquet"])
@@ -60,7 +74,7 @@ def test_samples_by_country(spark, tmp_path, kind):
     df = spark.createDataFrame([(a, b, c) for (a, b), c in zip(AWKWARD, ["ES", "ES", "NO", "US"])], "a string, b string, country string")
     write_country_samples(df, str(tmp_path / "s"), kind, columns=["country", "a", "b"])
     assert {n for n in os.listdir(tmp_path / "s") if n.startswith("country=")} == {"country=ES", "country=NO", "country=US"}
-    saved = read_by_format(spark, str(tmp_path / "s"), schema=df.select("country", "a", "b").schema, file_format=kind)
+    saved = read_by_format(spark, str(tmp_path / "s"), schema=df.select("country", "a", "b").schema, file_format=kind, line_breaks=True)
     assert bag(saved, "a", "b", "country") == bag(df, "a", "b", "country")
 
 
@@ -69,7 +83,7 @@ def test_results_are_not_written_without_a_path(spark, tmp_path):
     write_results(df, "")
     write_results(df, None)
     write_results(df, str(tmp_path / "r.csv"))
-    assert bag(read_by_format(spark, str(tmp_path / "r.csv"), sep=",")) == bag(df)
+    assert bag(read_by_format(spark, str(tmp_path / "r.csv"), sep=",", line_breaks=True)) == bag(df)
 
 
 def test_country_results_and_status(spark, tmp_path):
@@ -137,7 +151,7 @@ def answers_from(spark, last=3):
 def test_rounds_until_filled(spark):
     df = pois(spark).where("reference_id % 5 > 0")
     rounds = retry_until_filled(df, answers_from(spark))
-    assert (rounds.count, rounds.remaining, len(rounds.folders)) == (4, 0, 3)
+    assert (rounds.count, rounds.remaining) == (3, 0)
     assert rounds.reports == [[(0, 1, 5), (1, 1, 2)], [(0, 2, 2), (1, 2, 3)], [(1, 3, 2)]]
     rows = read_rounds(df, rounds).collect()
     assert {r["reference_id"]: (r["apiCalls"], r["apiResults"]) for r in rows} == {
@@ -147,19 +161,20 @@ def test_rounds_until_filled(spark):
 
 def test_rounds_end_at_the_bound_or_when_idle(spark):
     rounds = retry_until_filled(pois(spark), answers_from(spark), max_rounds=4)
-    assert (rounds.count, rounds.remaining) == (5, 2)
+    assert (rounds.count, rounds.remaining) == (4, 2)
     rows = {r["reference_id"]: (r["apiCalls"], r["apiResults"]) for r in read_rounds(pois(spark), rounds).collect()}
     assert rows[0] == (4, None) and rows[5] == (4, None) and len(rows) == 9
     idle = retry_until_filled(pois(spark), answers_from(spark), stop_when_idle=True)
-    assert (idle.count, idle.remaining) == (5, 2)
+    assert (idle.count, idle.remaining) == (4, 2)
+    assert bag(read_rounds(pois(spark), idle).drop("apiResults")) == bag(read_rounds(pois(spark), rounds).drop("apiResults"))
     none = retry_until_filled(pois(spark), answers_from(spark), max_rounds=0)
     assert read_rounds(pois(spark), none).count() == 9
 
 
 def test_rounds_are_kept_where_asked(spark, tmp_path):
     rounds = retry_until_filled(pois(spark, 4), answers_from(spark, 1), max_rounds=1, folder=str(tmp_path / "r"))
-    assert rounds.folders == [str(tmp_path / "r" / "round=1")]
-    assert read_saved(spark, rounds.folders[0]).where("api_status = 1").count() == 3
+    assert rounds.folder == str(tmp_path / "r")
+    assert read_saved(spark, str(tmp_path / "r" / "rows" / "round=1")).where("api_status = 1").count() == 3
     with pytest.raises(Exception, match="already exists"):
         retry_until_filled(pois(spark, 4), answers_from(spark, 1), folder=str(tmp_path / "r"))
 
@@ -169,6 +184,18 @@ def test_rounds_over_an_empty_table(spark):
     assert rounds.remaining == 0 and read_rounds(pois(spark, 0), rounds).count() == 0
 
 
+def test_rounds_are_read_in_one_scan(spark):
+    rounds = retry_until_filled(pois(spark), answers_from(spark), stop_when_idle=True)
+    assert plan(read_rounds(pois(spark), rounds)).count("Scan parquet") == 2  # once in the tree, once in the details
+
+
+def test_a_round_in_several_batches(spark):
+    df = pois(spark, 40).repartition(4)
+    rounds = retry_until_filled(df, answers_from(spark), stop_when_idle=True, files_per_batch=1)
+    rows = {r["reference_id"]: (r["apiCalls"], r["apiResults"]) for r in read_rounds(df, rounds).collect()}
+    assert rows == {i: (i % 3 + 1, [{"id": str(i)}]) if i % 5 else (4, None) for i in range(40)}
+
+
 def even_names():
     """Makes a client that answers names with an even number."""
 

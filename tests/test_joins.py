@@ -75,13 +75,28 @@ def test_row_numbers_of_equal_rows(spark):
     assert max(r["n"] for r in fixed if r["v"] == "a") == 299
 
 
+def running_rows():
+    draw = random.Random(2)
+    return [("hot" if i % 3 else [None, "k1", "k2"][i // 3 % 3], draw.randint(0, 80), draw.randint(-5, 9), i) for i in range(600)]
+
+
 @pytest.mark.parametrize("by", [[], ["k"]])
 def test_running_sums(spark, by):
-    draw = random.Random(2)
-    rows = [("hot" if i % 3 else [None, "k1", "k2"][i // 3 % 3], draw.randint(0, 80), draw.randint(-5, 9)) for i in range(600)]
-    df = spark.createDataFrame(rows, "k string, t int, v int")
+    rows = running_rows()
+    df = spark.createDataFrame(rows, "k string, t int, v int, i int")
+    expected, running = Counter(), Counter()
+    for k, t, v, i in sorted(rows, key=lambda r: (r[1], r[3])):
+        running[k if by else None] += v
+        expected[(k, t, i, running[k]) if by else (t, i, running[None])] += 1
+    assert sum(expected.values()) == len(rows)
+    assert bag(running_sum(df, "t", ["v"], by, ties=["i"]), *by, "t", "i", "running_v") == expected
+
+
+@pytest.mark.parametrize("by", [[], ["k"]])
+def test_merged_running_sums(spark, by):
+    rows = running_rows()
     totals: dict = defaultdict(Counter)
-    for k, t, v in rows:
+    for k, t, v, _ in rows:
         totals[k if by else None][t] += v
     expected = Counter()
     for k, points in totals.items():
@@ -89,7 +104,33 @@ def test_running_sums(spark, by):
         for t in sorted(points):
             running += points[t]
             expected[(k, t, running) if by else (t, running)] += 1
-    assert bag(running_sum(df, "t", ["v"], by), *by, "t", "running_v") == expected
+    df = spark.createDataFrame(rows, "k string, t int, v int, i int")
+    assert bag(running_sum(df, "t", ["v"], by, merge=True), *by, "t", "running_v") == expected
+
+
+def test_running_sums_keep_equal_rows(spark):
+    df = spark.createDataFrame([(1, 5), (1, 5), (2, 1)], "t int, v int")
+    assert bag(running_sum(df, "t", ["v"]), "t", "running_v") == Counter({(1, 5): 1, (1, 10): 1, (2, 11): 1})
+
+
+def test_every_hot_key_is_spread(spark, monkeypatch):
+    monkeypatch.setattr(joins, "ROWS_PER_TASK", 1)
+    keys = 12_000
+    facts = spark.range(2 * keys).select(F.col("id"), (F.col("id") % keys).alias("k"))
+    other = spark.range(keys).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    for rows in (1 << 20, 100):
+        monkeypatch.setattr(joins, "BROADCAST_ROWS", rows)
+        made = salted_join(facts, other, ["k"], spread_by=["id"])
+        assert made.count() == 2 * keys and made.where("v <> 2 * k").count() == 0
+
+
+def test_streams_are_joined_whatever_the_size(spark, nothing_fits, tmp_path):
+    spark.range(20).withColumn("k", F.col("id") % 3).write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("id long, k long").parquet(str(tmp_path / "in"))
+    dimension = spark.createDataFrame([(0, "a"), (1, "b")], "k long, name string")
+    query = dimension_join(stream, dimension, ["k"]).writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "c"))
+    query.trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 14
 
 
 def test_running_sums_over_missing_values(spark):

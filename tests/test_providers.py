@@ -24,6 +24,7 @@ def random_areas(draw, n=40):
     return areas
 
 
+PROVIDER_AREA = "provider_id string, country string, area_id int, area_name string, min_lat double, max_lat double, min_lon double, max_lon double"
 AREA = "area_id int, area_name string, min_lat double, max_lat double, min_lon double, max_lon double"
 
 
@@ -51,7 +52,7 @@ def test_small_boxes_share_no_large_cell(spark):
 
 
 def points(spark):
-    rows = [(i, 1.5, 2.5, "ES") for i in range(8)] + [(8, 50.0, 50.0, "FR"), (9, None, 1.0, "FR")]
+    rows = [(i, 1.5, 2.5, "ES") for i in range(8)] + [(8, 50.0, 50.0, "FR"), (9, None, 1.0, "FR"), (10, 1.5, 2.5, None)]
     return spark.createDataFrame(rows, "id int, lat double, lon double, country string")
 
 
@@ -60,22 +61,29 @@ def test_comparison(spark, request, hot):
     if hot:
         request.getfixturevalue("nothing_fits")
     responses = spark.createDataFrame([("tt", 1.5, 2.5, "x"), ("gg", 50.0, 50.0, "y")], "provider_id string, lat double, lon double, results string")
-    areas = spark.createDataFrame([(2, "b", 0.0, 5.0, 0.0, 5.0), (1, "a", 1.0, 5.0, 0.0, 5.0)], AREA)
-    got = compare_providers(points(spark), responses, areas, ["tt", "gg", "or"])
+    areas = spark.createDataFrame([
+        ("or", "ES", 2, "outer", 0.0, 5.0, 0.0, 5.0), ("or", "ES", 1, "inner", 1.0, 5.0, 0.0, 5.0), ("os", "ES", 3, "own", 0.0, 5.0, 0.0, 5.0),
+        ("mnr", "FR", 4, "abroad", 0.0, 5.0, 0.0, 5.0),
+    ], PROVIDER_AREA)
+    got = compare_providers(points(spark), responses, areas, ["tt", "gg", "or", "os", "mnr"])
+    both = '[{"area_id":1,"area_name":"inner"},{"area_id":2,"area_name":"outer"}]'
     expected = Counter()
-    for i in range(10):
-        expected[(i, "tt", "x" if i < 8 else None)] += 1
+    for i in range(11):
+        here = i < 8
+        expected[(i, "tt", "x" if here or i == 10 else None)] += 1
         expected[(i, "gg", "y" if i == 8 else None)] += 1
-        expected[(i, "or", '{"area_id":1,"area_name":"a"}' if i < 8 else None)] += 1
+        expected[(i, "or", both if here else None)] += 1
+        expected[(i, "os", '[{"area_id":3,"area_name":"own"}]' if here else None)] += 1
+        expected[(i, "mnr", None)] += 1
     assert bag(got, "id", "provider_id", "results") == expected
-    assert bag(answered_by_request(points(spark), responses, ["he"]), "results") == Counter({(None,): 10})
+    assert bag(answered_by_request(points(spark), responses, ["he"]), "results") == Counter({(None,): 11})
 
 
 def test_comparison_casts_text_coordinates(spark):
     texts = points(spark).selectExpr("id", "cast(lat as string) lat", "'bad' lon", "country")
     responses = spark.createDataFrame([], "provider_id string, lat double, lon double, results string")
-    got = compare_providers(texts, responses, spark.createDataFrame([], AREA), ["tt", "os"])
-    assert got.count() == 20 and got.where("lon is not null").count() == 0
+    got = compare_providers(texts, responses, spark.createDataFrame([], PROVIDER_AREA), ["tt", "os"])
+    assert got.count() == 22 and got.where("lon is not null").count() == 0
 
 
 def test_wrong_providers_and_columns(spark):
@@ -87,7 +95,7 @@ def test_wrong_providers_and_columns(spark):
         compare_providers(points(spark).drop("lon"), points(spark), points(spark))
     with pytest.raises(ValueError):
         locate(points(spark).drop("lat"), points(spark))
-    assert provider_fanout(points(spark)).count() == 10 * len(PROVIDERS)
+    assert provider_fanout(points(spark)).count() == 11 * len(PROVIDERS)
 
 
 def test_levels(spark):

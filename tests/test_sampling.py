@@ -268,3 +268,32 @@ def test_backfill_against_brute_force(spark, sample, countries):
 def test_backfill_needs_more_than_fifteen_days():
     with pytest.raises(ValueError):
         window_edges(NOW, 15)
+
+
+def test_chosen_rows_spread_evenly(spark):
+    # Two counts: all rows of the first are chosen, and a part of the second.
+    df = spark.range(80_000).select(F.lit("ES").alias("country"), F.col("id"), F.when(F.col("id") % 2 == 0, 2).otherwise(1).alias(COUNT))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        made = first_n(df, 50_000, ["country"], count=COUNT, tie_columns=["id"], groups=1)
+        sizes = [r["count"] for r in made.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert sum(sizes) == 50_000 and made.where(F.col(COUNT) == 2).count() == 40_000
+    assert max(sizes) < 2 * 50_000 / int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@pytest.mark.parametrize("decode", [decode_fields, decode_fields_join])
+def test_repeated_field_ids(spark, decode):
+    logs = spark.createDataFrame([("1|2",), ("2",)], "populated_fields string")
+    same = spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "populated_field_id int, populated_field_description string")
+    assert bag(decode(logs, same), "populated_fields", "components") == Counter({("1|2", "a|b"): 1, ("2", "b"): 1})
+    two = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "populated_field_id int, populated_field_description string")
+    with pytest.raises(Exception, match="two names"):
+        decode(logs, two).collect()
+
+
+def test_both_decoders_agree_on_many_names(spark):
+    fields = spark.range(600).select(F.col("id").alias("populated_field_id"), F.concat(F.lit("f"), "id").alias("populated_field_description"))
+    logs = spark.range(300).select(F.concat_ws("|", F.col("id"), F.col("id") * 2, F.lit("")).alias("populated_fields"))
+    assert bag(decode_fields(logs, fields)) == bag(decode_fields_join(logs, fields))

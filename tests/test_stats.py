@@ -12,10 +12,10 @@ from pyspark.sql import functions as F
 
 from helpers import bag
 from waymark.functions.text import parse_dmy, run_label
-from waymark.operators.reports import api_status_report, country_status, null_result_count
+from waymark.operators.reports import api_status_report, null_result_count
 from waymark.operators.snapshots import growth_snapshots, indicator_year, on_dates
 from waymark.operators.stats import (
-    bootstrap_apply, bootstrap_ci, bootstrap_replicates, component_coverage, percentile_interval, poisson_limits, poisson_weight,
+    bootstrap_ci, bootstrap_replicates, component_coverage, percentile_interval, poisson_limits, poisson_weight,
 )
 from waymark.schemas import FLAG_COLUMNS
 
@@ -70,13 +70,24 @@ def test_statistics_and_seeds(numbers):
             bootstrap_replicates(df, "id", "v", **wrong)
 
 
-def test_python_statistic_draws_like_pandas(spark):
-    values = pd.Series(np.random.default_rng(1).normal(size=50))
-    df = spark.createDataFrame(pd.DataFrame({"id": range(50), "v": values})).repartition(4)
-    got = dict(bootstrap_apply(df, "id", "v", lambda s: s.median(), times=12, seed=3).collect())
-    assert got == {t: values.sample(frac=1, replace=True, random_state=t + 3).median() for t in range(12)}
-    with pytest.raises(ValueError, match="too many"):
-        bootstrap_apply(df, "id", "v", lambda s: s.median(), max_rows=49)
+@pytest.mark.parametrize(("rows", "cells"), [(4000, 1 << 14), (200_000, 1 << 14)])
+def test_replicates_spread_like_draws_of_n_of_n(spark, rows, cells):
+    draw = np.random.default_rng(11)
+    values, below = draw.normal(10, 2, rows), draw.uniform(1, 3, rows)
+    present = draw.random(rows) < 0.7
+    df = spark.createDataFrame(pd.DataFrame({"id": range(rows), "v": values, "b": below, "p": present})).withColumn("w", F.when(F.col("p"), F.col("v")))
+    drawn = [draw.integers(0, rows, rows) for _ in range(400)]
+    expected = {
+        ("v", "sum"): [values[d].sum() for d in drawn], ("v", "mean"): [values[d].mean() for d in drawn],
+        ("v", "ratio"): [values[d].sum() / below[d].sum() for d in drawn], ("w", "count"): [present[d].sum() for d in drawn],
+        ("w", "sum"): [(values * present)[d].sum() for d in drawn],
+    }
+    for (column, statistic), want in expected.items():
+        got = bootstrap_replicates(df, "id", column, statistic, times=1000, cells=cells, denominator="b" if statistic == "ratio" else None)
+        mean, spread = got.agg(F.mean("estimate"), F.stddev("estimate")).first()
+        # 400 draws know the spread to about 3.5 %.
+        assert mean == pytest.approx(np.mean(want), rel=0.01) and spread == pytest.approx(np.std(want), rel=0.12)
+    assert {round(r["estimate"], 6) for r in bootstrap_replicates(df, "id", "v", "count", times=50).collect()} == {rows}
 
 
 def test_interval_interpolates_like_numpy(spark):
@@ -114,5 +125,3 @@ def test_reports(spark):
     df = spark.createDataFrame([([{"a": "b"}], 1), (None, 2), (None, 2)], "apiResults array<map<string,string>>, apiCalls int")
     assert bag(api_status_report(df), "api_status", "apiCalls", "count") == Counter({(1, 1, 1): 1, (0, 2, 2): 1})
     assert tuple(null_result_count(df).first()) == (3, 2)
-    found = spark.createDataFrame([("ES",), ("ES",), ("FR",)], "country string")
-    assert bag(country_status(found, ["ES", "US"]), "country", "status") == Counter({("ES", "Done"): 1, ("US", "Incomplete"): 1})

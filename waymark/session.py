@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import tempfile
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,8 +19,6 @@ SETTINGS = {
 # What one shuffle partition should hold.
 PARTITION_BYTES = 256 * 1024 * 1024
 
-_own_folders: dict[str, str] = {}
-
 
 def sized_for(input_bytes: int) -> dict[str, str]:
     """Shuffle partitions for an input of this size; adaptive execution joins those that turn out small."""
@@ -41,14 +39,18 @@ def build_session(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by spark.checkpoint.dir; a temporary one only where none is set (tests)."""
+    """The folder named by spark.checkpoint.dir, which the driver and all executors share.
+
+    Without that setting a local session uses a folder of its own under spark.local.dir; any other master is refused,
+    since executors would not see each other's files.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
-    app = spark.sparkContext.applicationId
-    if app not in _own_folders:
-        _own_folders[app] = tempfile.mkdtemp(prefix="waymark-")
-    return _own_folders[app]
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+        raise ValueError(f"spark.checkpoint.dir must name a folder that all executors share (master {context.master})")
+    return f"{context.getConf().get('spark.local.dir', '/tmp').split(',')[0]}/waymark-{context.applicationId}"
 
 
 def new_path(spark: SparkSession, name: str) -> str:
