@@ -44,38 +44,43 @@ def forward(xs: np.ndarray, h: np.ndarray, U: np.ndarray, b: np.ndarray) -> np.n
     return out
 
 
-def train_forward(xs: np.ndarray, h: np.ndarray, U: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, list]:
-    out, kept = np.empty((len(xs), *h.shape), np.float32), []
+def train_forward(xs: np.ndarray, h: np.ndarray, U: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, tuple]:
+    """The states, and what the way back needs: states before, gates, candidates and state shares of all positions."""
+    steps, (batch, size) = len(xs), h.shape
+    states, gates = np.empty((steps + 1, batch, size), np.float32), np.empty((steps, batch, 2 * size), np.float32)
+    candidates, shares = np.empty((steps, batch, size), np.float32), np.empty((steps, batch, size), np.float32)
+    states[0] = h
     for t, x in enumerate(xs):
-        before = h
-        h, gates, candidate, share = step(x, before, U, b)
-        out[t] = h
-        kept.append((before, gates, candidate, share))
-    return out, kept
+        states[t + 1], gates[t], candidates[t], shares[t] = step(x, states[t], U, b)
+    return states[1:], (states[:-1], gates, candidates, shares)
 
 
-def backward(d_out: np.ndarray, kept: list, U: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def backward(d_out: np.ndarray, kept: tuple, U: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Gradients of the inputs, of U and of b from those of the states; what came before the first is a constant."""
     steps, batch, size = d_out.shape
+    before, gates, candidates, shares = kept
+    update, reset = gates[:, :, :size], gates[:, :, size:]
+    # What does not depend on the way back, for all positions at once.
+    keep = 1 - update
+    to_update = (candidates - before) * (update * keep)
+    to_candidate = update - update * (candidates * candidates)
+    to_reset = shares * (reset - reset * reset)
     d_xs = np.empty((steps, batch, 3 * size), np.float32)
-    d_U, d_b = np.zeros_like(U), np.zeros(3 * size, np.float32)
+    d_states = np.empty((steps, batch, 3 * size), np.float32)
+    back = np.ascontiguousarray(U.T)
     d_h = np.zeros((batch, size), np.float32)
     for t in range(steps - 1, -1, -1):
-        before, gates, candidate, share = kept[t]
-        update, reset = gates[:, :size], gates[:, size:]
         d_h += d_out[t]
-        d_candidate = d_h * update * (1 - candidate * candidate)
-        d_x = d_xs[t]
-        d_x[:, :size] = d_h * (candidate - before) * update * (1 - update)
-        d_x[:, size:2 * size] = d_candidate * share * reset * (1 - reset)
-        d_x[:, 2 * size:] = d_candidate
-        d_state = d_x.copy()
-        d_state[:, 2 * size:] *= reset
-        d_U += before.T @ d_state
-        d_b += d_state.sum(0)
-        d_h *= 1 - update
-        d_h += d_state @ U.T
-    return d_xs, d_U, d_b
+        d_x, d_state = d_xs[t], d_states[t]
+        d_candidate = np.multiply(d_h, to_candidate[t], out=d_x[:, 2 * size:])
+        np.multiply(d_h, to_update[t], out=d_x[:, :size])
+        np.multiply(d_candidate, to_reset[t], out=d_x[:, size:2 * size])
+        d_state[:, :2 * size] = d_x[:, :2 * size]
+        np.multiply(d_candidate, reset[t], out=d_state[:, 2 * size:])
+        d_h *= keep[t]
+        d_h += d_state @ back
+    flat = d_states.reshape(-1, 3 * size)
+    return d_xs, before.reshape(-1, size).T @ flat, flat.sum(0)
 
 
 class Adam:

@@ -62,11 +62,13 @@ class Words:
         """What makes an equal object; plain data, so that tasks can read it."""
         return self.words, self.counts, self.tokens, self.distinct
 
-    def numbers(self) -> dict[bytes, int]:
-        return {word.encode(): n for n, word in enumerate(self.words)}
+    def numbers(self, most: int | None = None) -> dict[bytes, int]:
+        return {word.encode(): n for n, word in enumerate(self.words[:most])}
 
 
 class Network:
+    """The last column of `word` and the last row of `class` are biases, met by a state that is always 1."""
+
     def __init__(self, words: Words, weights: gru.Weights | None = None) -> None:
         self.words = words
         if weights is None:
@@ -76,31 +78,33 @@ class Network:
             weights = {
                 "in": rng.normal(0, 0.1, (words.head + 1, 3 * STATE)).astype(np.float32),
                 "U": gru.uniform(rng, STATE, 3 * STATE), "b": np.zeros(3 * STATE, np.float32),
-                "class": np.zeros((STATE, CLASSES + 1), np.float32),
-                "class_b": np.log(np.maximum([*sums, words.rest], SMOOTH) / max(words.tokens, 1)).astype(np.float32),
-                "word": np.zeros((words.head, STATE), np.float32), "word_b": np.log(counts).astype(np.float32),
+                "class": np.zeros((STATE + 1, CLASSES + 1), np.float32), "word": np.zeros((words.head, STATE + 1), np.float32),
             }
+            weights["class"][-1] = np.log(np.maximum([*sums, words.rest], SMOOTH) / max(words.tokens, 1))
+            weights["word"][:, -1] = np.log(counts / counts.max())
         self.weights = weights
 
+    def bound(self) -> None:
+        """Keeps every logit within 60 of zero: their exponentials then need no shift by the row's maximum."""
+        for weights, axis in ((self.weights["class"], 0), (self.weights["word"], 1)):
+            weights /= np.maximum(np.abs(weights).sum(axis, keepdims=True) / 60, 1)
+
     def _by_class(self, classes: np.ndarray) -> Iterator[tuple[np.ndarray, int, int]]:
         """Positions whose word is of a class with several words, with the class's first and past-last word."""
-        order = np.argsort(classes, kind="stable")
-        edges = np.searchsorted(classes[order], np.arange(CLASSES + 1))
+        order = np.argsort(classes.astype(np.uint8), kind="stable")
+        edges = np.cumsum(np.bincount(classes, minlength=CLASSES + 1))
         for k in range(CLASSES):
             first, past = int(self.words.starts[k]), int(self.words.starts[k + 1])
-            if edges[k] < edges[k + 1] and past - first > 1:
-                yield order[edges[k]:edges[k + 1]], first, past
+            rows = order[edges[k - 1] if k else 0:edges[k]]
+            if len(rows) and past - first > 1:
+                yield rows, first, past
 
     def log_probs(self, states: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Natural log of each word's probability; for words beyond the head that of their class."""
         w, classes = self.weights, self.words.class_of[words]
-        logits = states @ w["class"]
-        logits += w["class_b"]
-        out = _log_softmax_at(logits, classes)
+        out = _log_softmax_at(states @ w["class"], classes)
         for rows, first, past in self._by_class(classes):
-            logits = states[rows] @ w["word"][first:past].T
-            logits += w["word_b"][first:past]
-            out[rows] += _log_softmax_at(logits, words[rows] - first)
+            out[rows] += _log_softmax_at(states[rows] @ w["word"][first:past].T, words[rows] - first)
         return out
 
     def train(self, adam: gru.Adam, tokens: np.ndarray) -> None:
@@ -116,29 +120,35 @@ class Network:
         before = np.concatenate([np.full((1, streams), end), stream[:-1]])
         h = np.zeros((streams, STATE), np.float32)
         for t in range(0, length, STEPS):
-            symbols, target = before[t:t + STEPS], stream[t:t + STEPS].reshape(-1)
-            counts = real[t:t + STEPS].reshape(-1)
-            weight = (counts / max(counts.sum(), 1)).astype(np.float32)[:, None]
+            symbols, target, counts = before[t:t + STEPS], stream[t:t + STEPS].reshape(-1), real[t:t + STEPS].reshape(-1)
+            number = int(counts.sum())
+            if not number:
+                break
             out, kept = gru.train_forward(w["in"][symbols], h, w["U"], w["b"])
             h = out[-1]
-            states = out.reshape(-1, STATE)
+            states = with_one(out)
             classes = self.words.class_of[target]
-            d = _softmax_gradient(states @ w["class"] + w["class_b"], classes, weight)
-            gradients = {"class": states.T @ d, "class_b": d.sum(0)}
-            d_states = d @ w["class"].T
-            d_word, d_word_b = np.zeros_like(w["word"]), np.zeros_like(w["word_b"])
+            d = _softmax_gradient(states @ w["class"], classes)
+            if number < len(counts):
+                d[~counts] = 0
+            gradients = {"class": states.T @ d / number, "word": np.zeros_like(w["word"])}
+            d_states = d @ w["class"][:-1].T
+            if number < len(counts):
+                classes = np.where(counts, classes, CLASSES)
             for rows, first, past in self._by_class(classes):
                 own = states[rows]
-                d = _softmax_gradient(own @ w["word"][first:past].T + w["word_b"][first:past], target[rows] - first, weight[rows])
-                d_word[first:past], d_word_b[first:past] = d.T @ own, d.sum(0)
-                d_states[rows] += d @ w["word"][first:past]
-            gradients["word"], gradients["word_b"] = d_word, d_word_b
+                d = _softmax_gradient(own @ w["word"][first:past].T, target[rows] - first)
+                gradients["word"][first:past] = d.T @ own / number
+                d_states[rows] += d @ w["word"][first:past, :-1]
+            d_states /= number
             d_x, gradients["U"], gradients["b"] = gru.backward(d_states.reshape(out.shape), kept, w["U"])
-            flat = symbols.reshape(-1)
+            flat = symbols.reshape(-1).astype(np.uint16 if self.words.head < 1 << 16 else np.int64)
             order = np.argsort(flat, kind="stable")
-            rows, starts = np.unique(flat[order], return_index=True)
+            rows = flat[order]
+            starts = np.flatnonzero(np.concatenate([[True], rows[1:] != rows[:-1]]))
             gradients["in"] = np.add.reduceat(d_x.reshape(-1, 3 * STATE)[order], starts, axis=0)
-            adam.update(gradients, rows={"in": rows})
+            adam.update(gradients, rows={"in": rows[starts].astype(np.int64)})
+            self.bound()
 
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
         """Sum of log_probs over each document's words, which are numbers below head, or head for all others."""
@@ -162,23 +172,27 @@ class Network:
                 h, last = states[-1], words[:, -1]
                 inside = (np.arange(steps)[:, None] + t < sizes[None, :active]).reshape(-1)
                 logs = np.zeros(steps * active, np.float32)
-                logs[inside] = self.log_probs(states.reshape(-1, STATE)[inside], words.T.reshape(-1)[inside])
+                logs[inside] = self.log_probs(with_one(states)[inside], words.T.reshape(-1)[inside])
                 out[group[:active]] += logs.reshape(steps, active).sum(0, dtype=np.float64)
         return out
 
 
+def with_one(states: np.ndarray) -> np.ndarray:
+    """All positions' states in rows, each with a 1 behind."""
+    out = np.ones((*states.shape[:-1], states.shape[-1] + 1), np.float32)
+    out[..., :-1] = states
+    return out.reshape(-1, out.shape[-1])
+
+
 def _log_softmax_at(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
-    logits -= logits.max(1, keepdims=True)
     at = logits[np.arange(len(chosen)), chosen]
     return at - np.log(np.exp(logits, out=logits).sum(1))
 
 
-def _softmax_gradient(logits: np.ndarray, chosen: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    logits -= logits.max(1, keepdims=True)
+def _softmax_gradient(logits: np.ndarray, chosen: np.ndarray) -> np.ndarray:
     np.exp(logits, out=logits)
-    logits /= logits.sum(1, keepdims=True)
+    logits *= 1 / logits.sum(1, keepdims=True)
     logits[np.arange(len(chosen)), chosen] -= 1
-    logits *= weight
     return logits
 
 
@@ -214,13 +228,13 @@ def frequent(counts: DataFrame) -> Words | None:
 
 
 def _sequence(texts: list[bytes | None], numbers: dict[bytes, int], words: Words) -> np.ndarray:
-    """The words of all texts as the network sees them, an end after each text."""
+    """The words of all texts by the numbers of the head, an end after each text."""
     out = []
     for text in texts:
         own = ascii_words(text)
         out.append(np.fromiter(map(numbers.get, own, repeat(words.head)), np.int64, len(own)))
         out.append(np.array([words.end]))
-    return np.minimum(np.concatenate(out), words.head)
+    return np.concatenate(out)
 
 
 def fit(rows: DataFrame, words: Words) -> gru.Weights:
@@ -230,20 +244,23 @@ def fit(rows: DataFrame, words: Words) -> gru.Weights:
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = Words(*known.value)
-        network, numbers = Network(words), words.numbers()
+        network, numbers = Network(words), words.numbers(words.head)
         adam = gru.Adam(network.weights, WARM_RATE)
         texts = [t.encode() if t else b"" for batch in batches for t in batch.column(0).to_pylist()]
         if texts:
             network.train(adam, _sequence(texts, numbers, words))
         yield pa.RecordBatch.from_arrays([pa.array([gru.packed(network.weights)])], names=["weights"])
 
-    sample = rows.orderBy(F.xxhash64("doc_id", "text")).limit(WARM_DOCS).select("text").coalesce(1)
+    # A share of the rows by a hash of their place; there are as many rows as ends.
+    share = WARM_DOCS / int(words.counts[words.end])
+    chosen = F.pmod(F.xxhash64("_row"), F.lit(1 << 40)) < int(share * (1 << 40))
+    sample = rows.where(chosen).select("text").repartition(1)
     warm = spark.sparkContext.broadcast(bytes(sample.mapInArrow(start, "weights binary").head()["weights"]))
     shapes = {name: value.shape for name, value in gru.unpacked(warm.value).items()}
 
     def begin() -> Work:
         words = Words(*known.value)
-        network, numbers = Network(words, gru.unpacked(warm.value)), words.numbers()
+        network, numbers = Network(words, gru.unpacked(warm.value)), words.numbers(words.head)
         adam = gru.Adam(network.weights, RATE)
         seen = 0
 
