@@ -11,7 +11,7 @@ import pytest
 
 from waymark.llm import ngram_join
 from waymark.llm.components import components
-from waymark.llm.ngram_join import Shingles, needed, prefix_length, similar_groups
+from waymark.llm.ngram_join import Shingles, choose_k, most_shared, needed, similar_groups
 from waymark.llm.queries import op1_ngram_join
 
 
@@ -111,15 +111,21 @@ def test_similar_sets_share_k_prefix_shingles(seed):
 
 
 def test_costly_lists_ask_for_more_shared_shingles():
-    assert prefix_length(np.zeros(100), needed(100, 80)) == 1
-    assert prefix_length(np.full(100, 50.0), needed(100, 80)) > 1
+    places = np.arange(20)
+    assert choose_k(places[:0], places[:0], 100, 80) == 1
+    assert 1 < choose_k(places, np.full(20, 50), 100, 80) <= most_shared(100, 80)
+    assert choose_k(places[:1], np.ones(1, int), 1, 80) == 1
 
 
 def test_shingle_hashes_are_distinct_and_sorted():
     shingles = Shingles(3)
-    own = shingles.of(b"a b c d e a b c")
-    assert len(own) == 5 and np.all(own[1:] > own[:-1])
-    assert len(shingles.of(b"a b")) == 1 and len(shingles.of(b" \n")) == 0
+    texts = [b"a b c d e a b c", b"a b", b" \n", None, b"x a b c", b"a", b"b a"]
+    sets = shingles.of(texts)
+    assert [len(s) for s in sets] == [5, 1, 0, 0, 2, 1, 1]
+    assert all(np.all(s[1:] > s[:-1]) for s in sets)
+    # A set does not depend on its neighbours, and shares just the equal shingles.
+    assert all((shingles.of([t])[0] == s).all() for t, s in zip(texts, sets))
+    assert len(np.intersect1d(sets[0], sets[4])) == 1 and sets[1] != sets[6]
 
 
 @pytest.mark.parametrize("seed", range(3))

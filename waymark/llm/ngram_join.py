@@ -4,9 +4,10 @@ All documents' shingles are put in one order, rare ones first. Two sets similar
 size - needed + k ones, for every k. Each document chooses its k by estimated cost: a longer prefix touches
 longer lists, but a partner must then share k of its shingles before it is verified. A pair uses the lesser k of the two.
 
-1. One pass counts shingles in a sketch of fixed size, which gives the order and the estimates (it decides about cost
-   only, never about results), and a digest of each document's set. Documents of equal sets are one class from here on.
-2. One pass gives each class its prefix. Shingles of prefixes are shuffled packed; those of one class alone go.
+1. One pass counts shingles in a sketch of fixed size, which gives the order (it decides about cost only, never about
+   results), and a digest of each document's set. Documents of equal sets are one class from here on.
+2. One pass gives each class its longest prefix. Its shingles are shuffled packed; those of one class alone go. The
+   lengths of the lists that are left tell each class's cost for every k, and it keeps the prefix of the cheapest.
 3. Each class is compared with one hub, the class that it shares most lists' least members with. Classes so
    connected need no comparison with each other, so large groups of near copies cost one comparison per member.
 4. All pairs of different components that share enough of their prefixes are verified on their whole sets.
@@ -19,10 +20,11 @@ from __future__ import annotations
 import hashlib
 import math
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from waymark.llm.bitmaps import bitmap, marked
@@ -34,42 +36,63 @@ SKETCH_BITS = 22
 SKETCH_PARTS = 64
 MEMO_WORDS = 400_000
 SEEN_CLASSES = 200_000
+SLICE = 16 << 20
 POSTINGS_PER_BUCKET = 250_000
 HOT_LIST = 20_000
-POSTING_SHARE = 50  # a posting costs as much as comparing so many shingles
-LONGEST = np.uint64(0x9E3779B97F4A7C15)
+POSTING_SHARE = 200  # a posting costs as much as comparing so many shingles
+MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)  # 2^64 divided by the golden ratio, odd
+
+
+class WordHashes(dict):
+    """64-bit hashes of words, kept for words seen before."""
+
+    def __init__(self) -> None:
+        import xxhash
+
+        self.hash = xxhash.xxh3_64_intdigest
+
+    def __missing__(self, word: bytes) -> int:
+        value = self[word] = self.hash(word)
+        return value
 
 
 class Shingles:
     """Sorted distinct 64-bit hashes of a text's word n-grams; a shorter text is one n-gram, one without words none."""
 
     def __init__(self, size: int) -> None:
-        import xxhash
-
         self.size = size
-        self.hash = xxhash.xxh3_64_intdigest
-        self.words: dict[bytes, int] = {}
-        self.factors = [(2 * int(n) + 1) & (2**64 - 1) for n in np.random.default_rng(size).integers(1 << 62, 1 << 63, size)]
-
-    def of(self, text: bytes | None) -> np.ndarray:
-        words = ascii_words(text)
-        if not words:
-            return np.zeros(0, np.uint64)
-        known = self.words
-        if len(known) > MEMO_WORDS:
-            known.clear()
-        for word in set(words).difference(known):
-            known[word] = self.hash(word)
-        hashes = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-        size = min(self.size, len(words))
-        mixed = np.full(len(words) - size + 1, size, np.uint64)
+        self.words = WordHashes()
+        odd = np.random.default_rng(size).integers(1 << 62, 1 << 63, size)
+        self.factors = [np.uint64((2 * int(n) + 1) & (2**64 - 1)) for n in odd]
+
+    def _mixed(self, hashes: np.ndarray, size: int) -> np.ndarray:
+        """A hash of every run of `size` words, and of the size."""
+        mixed = np.full(len(hashes) - size + 1, size, np.uint64)
         for place in range(size):
-            mixed += hashes[place:len(words) - size + 1 + place] * np.uint64(self.factors[place])
+            mixed += hashes[place:len(hashes) - size + 1 + place] * self.factors[place]
         for shift in (30, 27, 31):
             mixed ^= mixed >> np.uint64(shift)
-            mixed *= LONGEST
+            mixed *= MULTIPLIER
         mixed ^= mixed >> np.uint64(32)
-        return np.unique(mixed)
+        return mixed
+
+    def of(self, texts: list[bytes | None]) -> list[np.ndarray]:
+        words = [ascii_words(t) for t in texts]
+        if len(self.words) > MEMO_WORDS:
+            self.words.clear()
+        sizes = [len(w) for w in words]
+        hashes = np.fromiter(map(self.words.__getitem__, chain.from_iterable(words)), np.uint64, sum(sizes))
+        # All runs at once; those that reach into the next text are left out below.
+        runs = self._mixed(hashes, self.size) if len(hashes) >= self.size else hashes[:0]
+        out, first = [], 0
+        for size in sizes:
+            if size >= self.size:
+                own = np.sort(runs[first:first + size - self.size + 1])
+                out.append(own[np.concatenate([[True], own[1:] != own[:-1]])])
+            else:
+                out.append(self._mixed(hashes[first:first + size], size) if size else hashes[:0])
+            first += size
+        return out
 
 
 def class_of(shingles: np.ndarray) -> bytes:
@@ -92,7 +115,7 @@ def sketch(rows: DataFrame, shingle: int) -> tuple[DataFrame, np.ndarray]:
                 parts = counts.reshape(SKETCH_PARTS, -1)
                 none = [None] * SKETCH_PARTS
                 return [none, none, none, list(range(SKETCH_PARTS)), [zlib.compress(p.tobytes(), 1) for p in parts]]
-            sets = [shingles.of(t) for t in texts]
+            sets = shingles.of(texts)
             low = np.concatenate(sets) & np.uint64((1 << SKETCH_BITS) - 1)
             np.add.at(counts, low.astype(np.int64), np.uint32(1))
             none = [None] * len(ids)
@@ -123,28 +146,34 @@ def sketch(rows: DataFrame, shingle: int) -> tuple[DataFrame, np.ndarray]:
     return both.where("part is null").select("doc_id", "n", "cls"), np.minimum(np.log2(1 + excess) * 8, 255).astype(np.uint8)
 
 
-def prefix_length(estimates: np.ndarray, least: int) -> int:
-    """How many shared prefix shingles k to ask for. `estimates`: list lengths in order; the prefix has size - least + k."""
-    size = len(estimates)
-    most = min(least, 1 + (size - least) // 2)
-    touched = np.cumsum(estimates)[size - least:size - least + most]
-    k = np.arange(1, most + 1)
-    # At most touched / k partners share k shingles or more.
-    return int(np.argmin(touched + touched / k * (4 + size / POSTING_SHARE))) + 1
+def most_shared(size: np.ndarray | int, percent: int) -> np.ndarray | int:
+    """The greatest k asked for: up to half as many shingles more in the prefix as for k = 1."""
+    return np.minimum(needed(size, percent), 1 + (size - needed(size, percent)) // 2)
+
+
+def choose_k(places: np.ndarray, others: np.ndarray, size: int, percent: int) -> int:
+    """How many shared shingles to ask for, by estimated cost.
+
+    `places` are those of the set's shingles that `others` more classes have in their prefixes. With partners of its
+    own size the prefix for k touches the lists of its first shingles, and at most touched / k partners are in k of them.
+    """
+    first = size - -(-2 * percent * size // (100 + percent))
+    k = np.arange(1, int(most_shared(size, percent)) + 1)
+    inside = places < first + len(k)
+    touched = np.bincount(np.maximum(places[inside] - first, 0), others[inside], len(k)).cumsum()
+    return int(np.argmin(touched + touched / k * (1 + size / POSTING_SHARE))) + 1
 
 
 def prefixes(rows: DataFrame, shingle: int, percent: int, scale: np.ndarray) -> DataFrame:
-    """id, cls, n, k and prefix (bytes of hashes in order) of every class of equal sets; saved."""
+    """id, cls, n, the longest prefix (bytes of hashes in order) and a text's key of every class of equal sets; saved."""
     content = rows.sparkSession.sparkContext.broadcast(scale)
 
     def begin() -> Work:
         shingles, scale, seen = Shingles(shingle), content.value, set()
-        lists = 2.0 ** (np.arange(256) / 8) - 1
 
-        def work(texts: list[bytes | None]) -> list:
+        def work(texts: list[bytes | None], keys: list[int]) -> list:
             columns: list[list] = [[] for _ in range(4)]
-            for text in texts:
-                own = shingles.of(text)
+            for own, key in zip(shingles.of(texts), keys):
                 if not len(own) or (cls := class_of(own)) in seen:
                     continue
                 if len(seen) > SEEN_CLASSES:
@@ -152,21 +181,26 @@ def prefixes(rows: DataFrame, shingle: int, percent: int, scale: np.ndarray) ->
                 seen.add(cls)
                 rank = scale[(own & np.uint64(len(scale) - 1)).astype(np.int64)]
                 order = np.argsort(rank, kind="stable")
-                least = needed(len(own), percent)
-                k = prefix_length(lists[rank[order]], least)
-                for column, value in zip(columns, (cls, len(own), k, own[order[:len(own) - least + k]].tobytes())):
+                length = len(own) - needed(len(own), percent) + int(most_shared(len(own), percent))
+                for column, value in zip(columns, (cls, len(own), own[order[:length]].tobytes(), key)):
                     column.append(value)
             return columns
 
         return work
 
-    found = map_slices(rows.select("text"), begin, "cls binary, n int, k int, prefix binary", widest=0)
-    classes = found.groupBy("cls").agg(*[F.first(c).alias(c) for c in ("n", "k", "prefix")])
+    keyed = rows.select("text", F.xxhash64("text").alias("_key"))
+    found = map_slices(keyed, begin, "cls binary, n int, prefix binary, key long", widest=0)
+    # `key` is the hash of one text of the class; it finds the set's text again.
+    classes = found.groupBy("cls").agg(*[F.first(c).alias(c) for c in ("n", "prefix")], F.min("key").alias("key"))
     return saved(classes.withColumn("id", F.monotonically_increasing_id()), "shingle-classes")
 
 
-def shared_postings(classes: DataFrame, percent: int, scale: np.ndarray) -> DataFrame:
-    """token, id, n, k and level of prefix shingles that more than one class has; level: the least k whose prefix has it."""
+def shared_postings(classes: DataFrame, scale: np.ndarray) -> DataFrame:
+    """token, id, n, place and others of the prefix shingles that more than one class has.
+
+    `others` is how many more classes have it in their prefixes; for the hottest ones, which are dealt out by class
+    instead of by shingle, the sketch's estimate.
+    """
     content = classes.sparkSession.sparkContext.broadcast(scale)
     total = classes.agg(F.coalesce(F.sum(F.octet_length("prefix")), F.lit(0)) / 8).first()[0]
     buckets = max(256, math.ceil(total / POSTINGS_PER_BUCKET))
@@ -175,20 +209,17 @@ def shared_postings(classes: DataFrame, percent: int, scale: np.ndarray) -> Data
     def begin() -> Work:
         scale = content.value
 
-        def work(prefix: list[bytes], ids: list[int], n: list[int], k: list[int]) -> list:
+        def work(prefix: list[bytes], ids: list[int], n: list[int]) -> list:
             sizes = np.array([len(p) // 8 for p in prefix], np.int64)
             tokens = np.frombuffer(b"".join(prefix), np.uint64)
             doc = np.repeat(np.arange(len(ids)), sizes)
             place = np.arange(len(tokens)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            n, k = np.array(n, np.int64), np.array(k, np.int64)
-            level = np.maximum(1, place - (n - needed(n, percent))[doc] + 1)
             bucket = (tokens >> np.uint64(24)).astype(np.int64) % buckets
-            # Certainly shared ones, dealt out by class instead of by shingle.
             hot = scale[(tokens & np.uint64(len(scale) - 1)).astype(np.int64)] >= hot_rank
             bucket[hot] = -1 - (doc[hot] + place[hot]) % buckets
             order = np.argsort(bucket, kind="stable")
             edges = np.flatnonzero(np.diff(bucket[order], prepend=bucket[order][:1] - 1)) if len(order) else []
-            packed = np.stack([np.array(ids, np.int64)[doc], n[doc], k[doc], level])[:, order]
+            packed = np.stack([np.array(ids, np.int64)[doc], np.array(n, np.int64)[doc], place])[:, order]
             tokens = tokens[order]
             out: list[list] = [[], [], []]
             for first, past in zip(edges, [*edges[1:], len(order)]):
@@ -202,64 +233,82 @@ def shared_postings(classes: DataFrame, percent: int, scale: np.ndarray) -> Data
 
         return work
 
-    packed = map_slices(classes.select("prefix", "id", "n", "k"), begin, "bucket int, tokens binary, rest binary", widest=0)
+    packed = map_slices(classes.select("prefix", "id", "n"), begin, "bucket int, tokens binary, rest binary", widest=0, slice_bytes=SLICE)
 
     def unpack(key: tuple, table: pa.Table) -> pa.Table:
         tokens = np.frombuffer(b"".join(table["tokens"].to_pylist()), np.uint64)
-        rest = [np.frombuffer(zlib.decompress(r), np.int64).reshape(4, -1) for r in table["rest"].to_pylist()]
+        rest = [np.frombuffer(zlib.decompress(r), np.int64).reshape(3, -1) for r in table["rest"].to_pylist()]
         ids = np.concatenate([np.cumsum(r[0]) for r in rest])
-        _, n, k, level = np.concatenate(rest, axis=1)
-        rows = np.arange(len(tokens))
+        _, n, place = np.concatenate(rest, axis=1)
         if key[0].as_py() >= 0:
-            order = np.argsort(tokens, kind="stable")
-            same = tokens[order][1:] == tokens[order][:-1]
-            shared = np.zeros(len(order), bool)
-            shared[1:] |= same
-            shared[:-1] |= same
-            rows = order[shared]
+            _, number, count = np.unique(tokens, return_inverse=True, return_counts=True)
+            others = count[number] - 1
+        else:
+            ranks = content.value[(tokens & np.uint64(len(content.value) - 1)).astype(np.int64)]
+            others = (2.0 ** (ranks / 8)).astype(np.int64)
+        shared = others > 0
         return pa.table({
-            "token": tokens[rows].view(np.int64), "id": ids[rows], "n": n[rows].astype(np.int32), "k": k[rows].astype(np.int32),
-            "level": level[rows].astype(np.int32),
+            "token": tokens[shared].view(np.int64), "id": ids[shared], "n": n[shared].astype(np.int32),
+            "place": place[shared].astype(np.int32), "others": others[shared].astype(np.int32),
         })
 
-    return saved(packed.groupBy("bucket").applyInArrow(unpack, "token long, id long, n int, k int, level int"), "postings")
-
+    return packed.groupBy("bucket").applyInArrow(unpack, "token long, id long, n int, place int, others int")
 
-def whole_sets(rows: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
-    """id and the whole set (bytes) of the given classes (id, cls); saved. The sets are made anew from the texts."""
-    hashed = classes.select("id", "cls", F.xxhash64("cls").alias("_hash"))
-    content = rows.sparkSession.sparkContext.broadcast(bitmap(hashed, "_hash"))
-    tested = pick_hashes(rows, shingle, content)
-    sets = tested.groupBy("cls").agg(F.first("shingles").alias("shingles"))
-    return saved(sets.join(classes.select("id", "cls"), "cls").select("id", "shingles"), "shingle-sets")
 
+def chosen_postings(shared: DataFrame, percent: int) -> DataFrame:
+    """The postings of each class's own prefix, saved: token, id, n, k, place, lone and most.
 
-def pick_hashes(rows: DataFrame, shingle: int, bits) -> DataFrame:
-    """cls and shingles of texts whose class the bitmap may have, each once per task."""
+    `lone` counts the class's shingles before it that no other
+    class has in its prefix: no partner that shares this shingle has them. So a partner shares at most n - lone
+    shingles, and has at most `most` itself.
+    """
 
     def begin() -> Work:
-        import xxhash
+        def work(ids: list[int], sizes: list[int], postings: list) -> list:
+            out: list[list[np.ndarray]] = [[] for _ in range(7)]
+            for id, size, own in zip(ids, sizes, postings):
+                place, others, token = np.array(sorted((p["place"], p["others"], p["token"]) for p in own), np.int64).T
+                k = choose_k(place, others, size, percent)
+                lone = place - np.arange(len(place))
+                most = (size - lone) * (100 + percent) // percent - size
+                inside = place < size - needed(size, percent) + k
+                number = int(inside.sum())
+                for column, values in zip(out, (
+                    token[inside], np.full(number, id), np.full(number, size), np.full(number, k), place[inside], lone[inside], most[inside],
+                )):
+                    column.append(values)
+            return [np.concatenate(column).astype(np.int64 if n < 2 else np.int32) for n, column in enumerate(out)]
 
-        shingles, marks, seen = Shingles(shingle), bits.value, set()
+        return work
 
-        def work(texts: list[bytes | None]) -> list:
-            found: list[tuple[bytes, bytes]] = []
-            for text in texts:
-                own = shingles.of(text)
-                if not len(own) or (cls := class_of(own)) in seen:
-                    continue
-                if len(seen) > SEEN_CLASSES:
-                    seen.clear()
-                seen.add(cls)
-                # The hash that Spark's xxhash64 gives.
-                hashed = np.array([xxhash.xxh64_intdigest(cls, 42)], np.uint64).view(np.int64)
-                if marked(marks, hashed)[0]:
-                    found.append((cls, own.tobytes()))
-            return [[c for c, _ in found], [s for _, s in found]]
+    by_class = shared.groupBy("id").agg(F.first("n").alias("n"), F.collect_list(F.struct("place", "others", "token")).alias("postings"))
+    schema = "token long, id long, n int, k int, place int, lone int, most int"
+    return saved(map_slices(by_class, begin, schema, slice_rows=256), "postings")
+
+
+def whole_sets(rows: DataFrame, classes: DataFrame, shingle: int) -> DataFrame:
+    """id and the whole set (bytes) of the given classes (id, cls, key). Only texts whose key is among theirs are read into sets."""
+    content = rows.sparkSession.sparkContext.broadcast(bitmap(classes, "key"))
+
+    def begin() -> Work:
+        shingles, seen = Shingles(shingle), set()
+
+        def work(texts: list[bytes | None], keys: list[int]) -> list:
+            chosen = np.flatnonzero(marked(content.value, np.array(keys, np.int64)))
+            found: dict[bytes, bytes] = {}
+            for own in shingles.of([texts[i] for i in chosen]):
+                if len(own) and (cls := class_of(own)) not in seen:
+                    if len(seen) > SEEN_CLASSES:
+                        seen.clear()
+                    seen.add(cls)
+                    found[cls] = own.tobytes()
+            return [list(found), list(found.values())]
 
         return work
 
-    return map_slices(rows.select("text"), begin, "cls binary, shingles binary", widest=0)
+    keyed = rows.select("text", F.xxhash64("text").alias("_key"))
+    sets = map_slices(keyed, begin, "cls binary, shingles binary", widest=0).groupBy("cls").agg(F.first("shingles").alias("shingles"))
+    return sets.join(classes.select("id", "cls"), "cls").select("id", "shingles")
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -278,46 +327,79 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
         return work
 
+    sets = saved(sets, "shingle-sets")
     left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("_left"))
     right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("_right"))
     joined = pairs.select("a", "b").join(left, "a").join(right, "b")
     return map_slices(joined.select("_left", "_right", "a", "b"), begin, "a long, b long", widest=0)
 
 
+def may_match(a: dict[str, Column], b: dict[str, Column], percent: int) -> Column:
+    """Whether a shingle shared by two classes counts for them: it is in both prefixes for the overlap that their sizes
+    ask for and the lesser k, and what can be shared before and behind it is enough."""
+    overlap = F.ceil(F.lit(percent) * (a["n"] + b["n"]) / (100 + percent))
+    k = F.least(a["k"], b["k"])
+    inside = (a["place"] < a["n"] - overlap + k) & (b["place"] < b["n"] - overlap + k)
+    before = F.least(a["place"] - a["lone"], b["place"] - b["lone"])
+    return inside & (before + F.least(a["n"] - a["place"], b["n"] - b["place"]) >= overlap)
+
+
 def hub_pairs(postings: DataFrame, percent: int) -> DataFrame:
-    """For each class that shares a list, one other: the one that is most often the least of its size in those lists."""
-    band = F.floor(F.log("n") / (2 * math.log(100 / percent))).cast("int")
-    banded = postings.withColumn("_band", band) if percent < 100 else postings.withColumn("_band", F.col("n"))
-    hubs = banded.groupBy("token", "_band").agg(F.min(F.struct("id", "n")).alias("_hub"), F.count(F.lit(1)).alias("_size"))
-    near = banded.join(hubs.where("_size > 1"), ["token", "_band"]).where(
-        (F.col("id") != F.col("_hub.id")) & (100 * F.least("n", "_hub.n") >= percent * F.greatest("n", "_hub.n"))
+    """For each class that shares lists, one other: the one that is most often the hub of its size in those lists.
+
+    A list's hub is the class with the fewest lone shingles there, such as the text that copies were made from. Pairs
+    that do not share the lesser k of their prefixes in such lists are left to `cross_pairs`.
+    """
+    band = F.floor(F.log("n") / (2 * math.log(100 / percent))).cast("int") if percent < 100 else F.col("n")
+    banded = postings.withColumn("_band", band)
+    hub = F.min(F.struct("lone", "id", "n", "k", "place"))
+    hubs = banded.groupBy("token", "_band").agg(hub.alias("_hub"), F.count(F.lit(1)).alias("_size"))
+    own, other = ({c: F.col(f"{of}{c}") for c in ("n", "k", "place", "lone")} for of in ("", "_hub."))
+    near = banded.join(hubs.where("_size > 1").drop("_size"), ["token", "_band"]).where(
+        (F.col("id") != F.col("_hub.id")) & may_match(own, other, percent)
     )
-    counted = near.groupBy(F.col("id").alias("a"), F.col("_hub.id").alias("_b")).agg(F.count(F.lit(1)).alias("_times"))
-    best = counted.groupBy("a").agg(F.max(F.struct("_times", (-F.col("_b")).alias("_less"))).alias("_best"))
+    counted = near.groupBy(F.col("id").alias("a"), F.col("_hub.id").alias("_b")).agg(
+        F.count(F.lit(1)).alias("_times"), F.first(F.least("k", "_hub.k")).alias("_k"))
+    best = counted.where("_times >= _k").groupBy("a").agg(F.max(F.struct("_times", (-F.col("_b")).alias("_less"))).alias("_best"))
     return best.select("a", (-F.col("_best._less")).alias("b"))
 
 
 def cross_pairs(postings: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """Pairs of classes in different components that share at least the lesser k of their prefix shingles.
 
-    Lists are paired component by component, so members of one component never meet.
+    The smaller of two similar sets can have a partner of its own size or more (`most` >= n). A class that cannot stays
+    in a list only if such a one small enough is there too. Lists are then paired component by component, so
+    members of one component never meet.
     """
-    rooted = postings.join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id")).drop("node")
+    strong = F.when(F.col("most") >= F.col("n"), F.col("n"))
+    least = postings.groupBy("token").agg(F.min(strong).alias("_strong"), F.count(F.lit(1)).alias("_size"))
+    useful = postings.join(least.where("_strong is not null and _size > 1").drop("_size"), "token").where("most >= _strong").drop("_strong")
+    rooted = useful.join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id")).drop("node")
+    rooted = saved(rooted, "rooted-lists")
     mixed = rooted.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high")
     lists = saved(rooted.join(mixed.select("token"), "token"), "mixed-lists")
-    parts = lists.groupBy("token", "root").agg(F.min("n").alias("_least"), F.max("n").alias("_most"))
-    one = parts.select("token", F.col("root").alias("_ra"), F.col("_least").alias("_la"), F.col("_most").alias("_ma"))
-    two = parts.select("token", F.col("root").alias("_rb"), F.col("_least").alias("_lb"), F.col("_most").alias("_mb"))
-    meet = one.join(two, "token").where(
-        (F.col("_ra") < F.col("_rb")) & (100 * F.col("_mb") >= percent * F.col("_la")) & (100 * F.col("_ma") >= percent * F.col("_lb"))
+    parts = lists.groupBy("token", "root").agg(F.min("n").alias("_least"), F.max("n").alias("_largest"), F.max("most").alias("_most"))
+
+    def side(name: str) -> DataFrame:
+        return parts.select("token", F.col("root").alias(f"_r{name}"), *[F.col(c).alias(f"{c}_{name}") for c in ("_least", "_largest", "_most")])
+
+    meet = side("a").join(side("b"), "token").where(
+        (F.col("_ra") < F.col("_rb")) & (F.col("_least_a") <= F.col("_most_b")) & (F.col("_least_b") <= F.col("_most_a"))
+        & (100 * F.col("_largest_b") >= percent * F.col("_least_a")) & (100 * F.col("_largest_a") >= percent * F.col("_least_b"))
     ).select("token", "_ra", "_rb")
-    a = lists.select("token", F.col("root").alias("_ra"), F.col("id").alias("a"), F.col("n").alias("_na"), F.col("k").alias("_ka"), F.col("level").alias("_va"))
-    b = lists.select("token", F.col("root").alias("_rb"), F.col("id").alias("b"), F.col("n").alias("_nb"), F.col("k").alias("_kb"), F.col("level").alias("_vb"))
-    pairs = meet.join(a, ["token", "_ra"]).join(b, ["token", "_rb"]).where(
-        (100 * F.least("_na", "_nb") >= percent * F.greatest("_na", "_nb")) & (F.col("_va") <= F.col("_kb")) & (F.col("_vb") <= F.col("_ka"))
+
+    def members(name: str) -> DataFrame:
+        return lists.select("token", F.col("root").alias(f"_r{name}"), *[F.col(c).alias(f"{c}_{name}") for c in ("id", "n", "k", "place", "lone")])
+
+    a, b = ({c: F.col(f"{c}_{of}") for c in ("n", "k", "place", "lone")} for of in "ab")
+    pairs = meet.join(members("a"), ["token", "_ra"]).join(members("b"), ["token", "_rb"]).where(may_match(a, b, percent))
+    counted = pairs.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b")).agg(
+        F.count(F.lit(1)).alias("_times"), F.first(F.least("k_a", "k_b")).alias("_k"), F.first(F.col("n_a") + F.col("n_b")).alias("_sizes"),
+        F.least(F.first("n_a") - F.max("place_a"), F.first("n_b") - F.max("place_b")).alias("_behind"),
     )
-    counted = pairs.groupBy("a", "b").agg(F.count(F.lit(1)).alias("_times"), F.first(F.least("_ka", "_kb")).alias("_k"))
-    return counted.where("_times >= _k").select("a", "b")
+    # What is shared up to the last common prefix shingle is known; behind it, at most what the shorter rest has.
+    enough = (F.col("_times") + F.col("_behind") - 1) * (100 + percent) >= percent * F.col("_sizes")
+    return counted.where((F.col("_times") >= F.col("_k")) & enough).select("a", "b")
 
 
 def similar_groups(
@@ -332,12 +414,18 @@ def similar_groups(
     rows = pick(docs, doc_id=id, text=text).select(F.col("doc_id").cast("long"), "text")
     members, scale = sketch(rows, shingle)
     classes = prefixes(rows, shingle, percent, scale)
-    postings = shared_postings(classes, percent, scale)
-    wanted = postings.select("id").distinct().join(classes.select("id", "cls"), "id")
-    sets = whole_sets(rows, wanted, shingle)
-    near = saved(verified(hub_pairs(postings, percent), sets, percent), "hub-links")
+    postings = chosen_postings(shared_postings(classes, scale), percent)
+
+    def links(pairs: DataFrame) -> DataFrame:
+        """Those of the pairs that are similar; only sets of classes in pairs are made again and shuffled."""
+        pairs = saved(pairs, "pairs")
+        ids = pairs.select("a").union(pairs.select("b")).distinct()
+        wanted = saved(ids.join(classes.select("id", "cls", "key"), F.col("a") == F.col("id")).drop("a"), "pair-classes")
+        return saved(verified(pairs, whole_sets(rows, wanted, shingle), percent), "links")
+
+    near = links(hub_pairs(postings, percent))
     roots = components(near)
-    more = saved(verified(cross_pairs(postings, roots, percent), sets, percent), "cross-links")
+    more = links(cross_pairs(postings, roots, percent))
     if not more.isEmpty():
         roots = components(near.unionByName(more))
     of_class = classes.select("cls", F.col("id").alias("node")).join(roots, "node", "left").select("cls", F.coalesce("root", "node").alias("root"))
