@@ -20,8 +20,8 @@ UPPER = bytes(range(ord("A"), ord("Z") + 1))
 LETTERS = UPPER + UPPER.lower()
 SPACES = b" \t\n\r\x0b\x0c"
 # A sentence may end in these, also behind quotation marks and brackets.
-SENTENCE_ENDS = tuple(s.encode() for s in (".", "!", "?", ":", ";", "…", "。", "！", "？"))
-CLOSING = "\"'”’»)]*".encode()
+SENTENCE_ENDS = (".", "!", "?", ":", ";", "…", "。", "！", "？")
+CLOSING = " \t\n\r\x0b\x0c\"'”’»)]*"
 BOILERPLATE = re.compile(
     rb"all rights reserved|licensed under|released under the|terms of (?:use|service)|privacy policy|cookie|lorem ipsum"
     rb"|javascript|subscribe|sign (?:in|up)|log ?in|click here|read more|share this|copyright",
@@ -61,7 +61,7 @@ class LineRules:
         upper = size - len(line.translate(None, UPPER))
         if upper >= self.upper_letters and 100 * upper > self.upper_percent * (size - len(line.translate(None, LETTERS))):
             return True
-        if words >= self.unpunctuated_words and not line.rstrip(SPACES + CLOSING).endswith(SENTENCE_ENDS):
+        if words >= self.unpunctuated_words and not line.decode().rstrip(CLOSING).endswith(SENTENCE_ENDS):
             return True
         return words <= self.boilerplate_words and BOILERPLATE.search(line) is not None
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from waymark.llm import oracles
 from waymark.llm.common import table
 from waymark.llm.decontamination import find_benchmark, items_digest
 from waymark.llm.language import identify_language
@@ -22,7 +23,7 @@ Job = Callable[[SparkSession, str], DataFrame]
 
 
 def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
-    return similar_groups(table(spark, sf, "documents"), shingle=3, percent=90)
+    return similar_groups(table(spark, sf, "documents"), shingle=3, percent=90).drop("class_id")
 
 
 def op2_sharding(spark: SparkSession, sf: str) -> DataFrame:
@@ -75,4 +76,8 @@ QUERIES: dict[str, Job] = {
     "op10_packing": op10_packing,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op1_ngram_join": oracles.NGRAM_JOIN,
+    "op4_quality": oracles.QUALITY,
+    "op6_decontamination": oracles.DECONTAMINATION,
+}
