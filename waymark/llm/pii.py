@@ -188,10 +188,25 @@ def _secret(match: re.Match, feistel: Feistel) -> str | None:
     return match.group()[:match.start("value") - match.start()] + fresh + match.group()[match.end("value") - match.start():]
 
 
+BASE_32 = "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
+
+
+def _access_key(match: re.Match, feistel: Feistel) -> str | None:
+    """The prefix that tells the kind of key stays."""
+    value = match["value"]
+    if match["head"].isupper():
+        fresh = "".join(BASE_32[d] for d in feistel.permute([BASE_32.index(c) for c in value], 32, "access"))
+    else:
+        fresh = _letters(value, feistel, "access")
+    return match["head"] + fresh
+
+
 # In order of precedence where findings overlap.
 KINDS: list[tuple[str, str, Callable[[re.Match, Feistel], str | None]]] = [
     ("secret", r"(?i:\b(?:[a-z_-]*(?:token|secret|password|passwd|api[_-]?key|access[_-]?key))\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?)"
                r"(?P<value>[A-Za-z0-9_+/.\-]{12,})", _secret),
+    ("access_key", r"(?<![A-Za-z0-9])(?:(?P<head>AKIA|ASIA)(?P<value>[A-Z2-7]{16})(?![A-Za-z0-9]))", _access_key),
+    ("access_key", r"(?<![A-Za-z0-9])(?:(?P<head>gh[opsu]_|sk-)(?P<value>[A-Za-z0-9]{20,}))", _access_key),
     ("mail", r"(?<![\w.+-])(?P<local>[A-Za-z0-9][A-Za-z0-9._%+-]{0,63})@(?P<host>[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,})", _mail),
     ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", _iban),
     ("ipv4", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)", _address),
@@ -215,8 +230,8 @@ class Pseudonyms:
         found: list[tuple[int, int, str, str]] = []
         digits = any(c in text for c in "0123456789")
         for name, pattern, make in self.kinds:
-            # All kinds but two are made of digits.
-            if not (digits or name in ("mail", "secret")) or name == "mail" and "@" not in text:
+            # All other kinds are made of digits.
+            if not (digits or name in ("mail", "secret", "access_key")) or name == "mail" and "@" not in text:
                 continue
             for match in pattern.finditer(text):
                 start, past = match.span()
