@@ -152,7 +152,8 @@ def sample(rows: DataFrame, folds: int, per_language: int) -> DataFrame:
     usable = usable.select("lang", "text", F.xxhash64("doc_id", "text").alias("_hash"))
     sizes = usable.groupBy("lang").agg(F.count(F.lit(1)).alias("_rows"))
     share = 2.0 ** 65 * per_language / F.col("_rows") - 2.0 ** 63
-    near = usable.join(sizes, "lang").where(F.col("_hash") <= F.least(share, F.lit(2.0 ** 63)))
+    # One row per language; the network has a column for each, so they are few.
+    near = usable.join(F.broadcast(sizes), "lang").where(F.col("_hash") <= F.least(share, F.lit(2.0 ** 63)))
     # Repeated rows count once.
     near = near.groupBy("lang", "_hash").agg(F.min("text").alias("text"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("_hash"))
