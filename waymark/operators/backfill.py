@@ -12,6 +12,7 @@ from waymark.operators.dedup import COUNT, dedup_count, present_keys
 from waymark.operators.filters import TIMESTAMP, as_datetime, instant
 from waymark.operators.joins import group_join
 from waymark.operators.ranking import check_size, first_n, random_sample
+from waymark.session import saved
 
 # The first window ends this many days back, and this many edges are spread evenly.
 FIRST_DAY = 15
@@ -50,11 +51,10 @@ def adaptive_backfill(
     inside = logs.where((F.col(column) >= instant(edges[-1])) & (F.col(column) < instant(edges[0])))
     numbered = inside.withColumn("window_id", window_number(edges, column))
     by = ["country", "window_id"]
-    rows = dedup_count(numbered, by) if deduplicate else numbered
+    # Deduplicated once for the sizes and the rows.
+    rows = saved(dedup_count(numbered, by), "windows") if deduplicate else numbered
     # At most EDGES - 1 rows per country.
-    # Counting by the count column keeps the shuffle of `rows` equal to the one below, so it is made once.
-    found = F.count_if(F.col(COUNT) > 0) if deduplicate else F.count(F.lit(1))
-    sizes = rows.groupBy(*by).agg(F.least(found, F.lit(sample)).alias("_size"))
+    sizes = rows.groupBy(*by).agg(F.least(F.count(F.lit(1)), F.lit(sample)).alias("_size"))
     newer = Window.partitionBy("country").orderBy("window_id").rowsBetween(Window.unboundedPreceding, -1)
     taken = (
         sizes.withColumn("_newer", F.coalesce(F.sum("_size").over(newer), F.lit(0)))

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from waymark.operators.areas import locate
 from waymark.operators.joins import salted_join
 from waymark.schemas import AREA_PROVIDERS, PROVIDERS
-from waymark.session import new_path
+from waymark.session import saved
 
 
 def level_columns(levels: Sequence[str], providers: Sequence[str], suffix: str | None = None) -> dict[str, tuple[str, str]]:
@@ -89,7 +89,7 @@ def _answered(
     by_request = [p for p in providers if p not in by_area]
     keys = [*PLACE, "_country"] if by_area else PLACE
     placed = points.withColumn("_country", F.coalesce(F.col("country").cast("string"), F.lit(""))) if by_area else points
-    counts = _saved(placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")))
+    counts = saved(placed.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows")), "places")
     answers = counts.select(*keys)
     if by_request:
         answers = answers.join(_request_answers(responses, by_request), PLACE, "left")
@@ -100,12 +100,6 @@ def _answered(
     return joined.select(*points.columns, F.inline(each))
 
 
-def _saved(df: DataFrame) -> DataFrame:
-    path = new_path(df.sparkSession, "places")
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def answered_by_request(points: DataFrame, responses: DataFrame, providers: Sequence[str], id_column: str = "id") -> DataFrame:
     """Rows per provider with the provider's answer for their point, NULL where it has none.
 
