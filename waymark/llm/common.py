@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from waymark.session import new_path
+from waymark.session import saved
 
 # Texts are handed to Python code in slices of about so many bytes (one text may be longer) and at most so many rows.
 SLICE_BYTES = 4 << 20
@@ -20,6 +20,8 @@ SLICE_ROWS = 2048
 
 Work = Callable[..., list[Any]]
 
+__all__ = ["Work", "ascii_words", "held_out", "map_slices", "pick", "saved", "table"]
+
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
@@ -34,13 +36,6 @@ def pick(df: DataFrame, keep: bool = False, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()], *row)
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """`df` written to the shared folder and read back, which cuts its lineage and survives lost executors."""
-    path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def _slices(batch: pa.RecordBatch, widest: int, slice_bytes: int, slice_rows: int) -> Iterator[pa.RecordBatch]:
     sizes = np.zeros(batch.num_rows, dtype=np.int64)
     column = batch.column(widest)
