@@ -21,7 +21,7 @@ from waymark.llm.pii import pseudonymise
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 # A document is rejected where no language has this share of its positions.
-LEAST_SCORE = 0.4
+LEAST_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
