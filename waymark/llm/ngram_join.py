@@ -368,31 +368,26 @@ def cross_pairs(postings: DataFrame, roots: DataFrame, percent: int) -> DataFram
     """Pairs of classes in different components that share at least the lesser k of their prefix shingles.
 
     The smaller of two similar sets can have a partner of its own size or more (`most` >= n). A class that cannot stays
-    in a list only if such a one small enough is there too. Lists are then paired component by component, so
-    members of one component never meet.
+    in a list only if such a one small enough is there too. Of two classes in different components at least one is
+    outside the list's main component, so the members of that one never meet each other.
     """
     strong = F.when(F.col("most") >= F.col("n"), F.col("n"))
     least = postings.groupBy("token").agg(F.min(strong).alias("_strong"), F.count(F.lit(1)).alias("_size"))
     useful = postings.join(least.where("_strong is not null and _size > 1").drop("_size"), "token").where("most >= _strong").drop("_strong")
     rooted = useful.join(roots, F.col("id") == F.col("node"), "left").withColumn("root", F.coalesce("root", "id")).drop("node")
     rooted = saved(rooted, "rooted-lists")
-    mixed = rooted.groupBy("token").agg(F.min("root").alias("_low"), F.max("root").alias("_high")).where("_low <> _high")
-    lists = saved(rooted.join(mixed.select("token"), "token"), "mixed-lists")
-    parts = lists.groupBy("token", "root").agg(F.min("n").alias("_least"), F.max("n").alias("_largest"), F.max("most").alias("_most"))
+    sizes = rooted.groupBy("token", "root").agg(F.count(F.lit(1)).alias("_size"))
+    mixed = sizes.groupBy("token").agg(F.max(F.struct("_size", "root")).alias("_main"), F.count(F.lit(1)).alias("_roots")).where("_roots > 1")
+    lists = saved(rooted.join(mixed.select("token", F.col("_main.root").alias("_main")), "token"), "mixed-lists")
 
-    def side(name: str) -> DataFrame:
-        return parts.select("token", F.col("root").alias(f"_r{name}"), *[F.col(c).alias(f"{c}_{name}") for c in ("_least", "_largest", "_most")])
-
-    meet = side("a").join(side("b"), "token").where(
-        (F.col("_ra") < F.col("_rb")) & (F.col("_least_a") <= F.col("_most_b")) & (F.col("_least_b") <= F.col("_most_a"))
-        & (100 * F.col("_largest_b") >= percent * F.col("_least_a")) & (100 * F.col("_largest_a") >= percent * F.col("_least_b"))
-    ).select("token", "_ra", "_rb")
-
-    def members(name: str) -> DataFrame:
-        return lists.select("token", F.col("root").alias(f"_r{name}"), *[F.col(c).alias(f"{c}_{name}") for c in ("id", "n", "k", "place", "lone")])
+    def side(rows: DataFrame, name: str) -> DataFrame:
+        return rows.select("token", *[F.col(c).alias(f"{c}_{name}") for c in ("id", "root", "_main", "n", "k", "place", "lone")])
 
     a, b = ({c: F.col(f"{c}_{of}") for c in ("n", "k", "place", "lone")} for of in "ab")
-    pairs = meet.join(members("a"), ["token", "_ra"]).join(members("b"), ["token", "_rb"]).where(may_match(a, b, percent))
+    once = (F.col("root_b") == F.col("_main_b")) | (F.col("id_a") < F.col("id_b"))
+    pairs = side(lists.where("root <> _main"), "a").join(side(lists, "b"), "token").where(
+        (F.col("root_a") != F.col("root_b")) & once & may_match(a, b, percent)
+    )
     counted = pairs.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b")).agg(
         F.count(F.lit(1)).alias("_times"), F.first(F.least("k_a", "k_b")).alias("_k"), F.first(F.col("n_a") + F.col("n_b")).alias("_sizes"),
         F.least(F.first("n_a") - F.max("place_a"), F.first("n_b") - F.max("place_b")).alias("_behind"),
