@@ -36,9 +36,9 @@ def pick(df: DataFrame, keep: bool = False, **columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{source}`").alias(name) for name, source in columns.items()], *row)
 
 
-def _slices(batch: pa.RecordBatch, widest: int, slice_bytes: int, slice_rows: int) -> Iterator[pa.RecordBatch]:
+def _slices(batch: pa.RecordBatch, column: pa.Array, slice_bytes: int, slice_rows: int) -> Iterator[pa.RecordBatch]:
+    """Parts of the batch by the bytes of one column."""
     sizes = np.zeros(batch.num_rows, dtype=np.int64)
-    column = batch.column(widest)
     if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
         sizes += np.diff(np.frombuffer(column.buffers()[1], np.int32)[column.offset:column.offset + len(column) + 1])
     elif pa.types.is_large_string(column.type) or pa.types.is_large_binary(column.type):
@@ -64,15 +64,19 @@ def _values(column: pa.Array) -> list[Any]:
 
 def map_slices(
     df: DataFrame, begin: Callable[[], Work], schema: str, widest: int = 1, end: bool = False,
-    slice_bytes: int = SLICE_BYTES, slice_rows: int = SLICE_ROWS, keep: bool = False,
+    slice_bytes: int = SLICE_BYTES, slice_rows: int = SLICE_ROWS, keep: str | None = None,
 ) -> DataFrame:
     """Runs Python over slices of the rows, in Arrow batches.
 
     `begin()` is called once per task and gives a function from the columns' values (lists; strings as UTF-8 bytes)
     to the columns of `schema`. With `end` it is called once more without arguments after the last row. `widest` is
-    the column whose bytes bound a slice. With `keep` the last column is not read but handed on, row by row.
+    the column whose bytes bound a slice. With `keep` the last column, `_doc`, is handed on row by row, and its field of
+    that name is read as column 1 in place of a `text` column, so that texts are sent once.
     """
-    kept = df.schema.fields[-1:] if keep else []
+    if keep is not None:
+        df = df.select(*[c for c in df.columns if c != "text"])
+    kept = df.schema.fields[-1:] if keep is not None else []
+    inside = [f.name for f in kept[0].dataType.fields].index(keep) if kept else 0
     arrow = to_arrow_schema(T.StructType.fromDDL(schema))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,10 +87,15 @@ def map_slices(
             fields = [*arrow, *[pa.field(f.name, c.type) for f, c in zip(kept, rest)]]
             return pa.RecordBatch.from_arrays([*arrays, *rest], schema=pa.schema(fields))
 
+        def read(batch: pa.RecordBatch) -> list[pa.Array]:
+            columns = batch.columns[:len(batch.columns) - len(kept)]
+            return [*columns[:1], batch.columns[-1].field(inside), *columns[1:]] if kept else columns
+
         for batch in batches:
-            for part in _slices(batch, widest, slice_bytes, slice_rows) if batch.num_rows else ():
-                read = part.columns[:len(part.columns) - len(kept)]
-                yield made(work(*[_values(c) for c in read]), part.columns[len(read):])
+            for part in _slices(batch, read(batch)[widest], slice_bytes, slice_rows) if batch.num_rows else ():
+                yield made(work(*[_values(c) for c in read(part)]), part.columns[len(part.columns) - len(kept):])
+            # What the last batch took is free for other workers.
+            pa.default_memory_pool().release_unused()
         if end:
             yield made(work(), [])
 

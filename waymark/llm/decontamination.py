@@ -178,7 +178,7 @@ def merged_spans(covered: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist()))
 
 
-def find_block(rows: DataFrame, items: list[tuple[str | None, bytes | None]], size: int, keep: bool) -> DataFrame:
+def find_block(rows: DataFrame, items: list[tuple[str | None, bytes | None]], size: int, keep: str | None) -> DataFrame:
     """What one block of items finds in each document: merged word spans and item ids."""
     content = rows.sparkSession.sparkContext.broadcast(items)
 
@@ -254,7 +254,7 @@ def find_benchmark(
         # About block_bytes of text, by a hash of the item.
         own = numbered.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == block) if blocks > 1 else numbered
         items = [(r["item"], r["text"].encode()) for r in own.toLocalIterator()]
-        parts.append(find_block(rows, items, size, True) if keep and blocks == 1 else find_block(rows.drop("_doc"), items, size, False))
+        parts.append(find_block(rows, items, size, text) if keep and blocks == 1 else find_block(rows.drop("_doc"), items, size, None))
     found = parts[0]
     for part in parts[1:]:
         found = found.unionByName(part)

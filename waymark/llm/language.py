@@ -211,4 +211,4 @@ def identify_language(
         return work
 
     read = rows.select("doc_id", "text", "held_out", *(["_doc"] if keep else []))
-    return map_slices(read, begin, "doc_id long, held_out boolean, lang_pred string, score double", keep=keep)
+    return map_slices(read, begin, "doc_id long, held_out boolean, lang_pred string, score double", keep=text if keep else None)

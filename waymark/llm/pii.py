@@ -271,4 +271,4 @@ def pseudonymise(docs: DataFrame, key: str | None = None, id: str = "doc_id", te
         return work
 
     rows = pick(docs, keep, doc_id=id, text=text).withColumn("doc_id", F.col("doc_id").cast("long"))
-    return map_slices(rows, begin, SCHEMA, keep=keep)
+    return map_slices(rows, begin, SCHEMA, keep=text if keep else None)
