@@ -29,7 +29,7 @@ from waymark.llm.common import Work, ascii_words, held_out, map_slices, pick, sa
 
 FOLDS = 10
 HEAD = 2048
-CLASSES = 48
+CLASSES = 24
 COUNTED = 1 << 16
 STATE = 16
 STEPS = 32
