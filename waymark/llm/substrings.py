@@ -18,7 +18,7 @@ from waymark.llm.common import Work, map_slices, pick, saved
 CUT_BITS = 5  # a cut after one byte in 32, behind the least length
 LEAST_CHUNK = 16
 MOST_CHUNK = 256
-LEAST_SPAN = 160
+LEAST_SPAN = 120
 CHUNKS = "doc_id long, _row long, n_bytes long, digests array<long>, ends array<int>"
 SPANS = "array<struct<first:int,past:int>>"
 
