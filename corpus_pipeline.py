@@ -32,10 +32,13 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first row of each group of near copies (word shingles of five, similarity 0.8)."""
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
-    groups = similar_groups(numbered, id="_row")
-    copies = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("_row"))
-    return numbered.join(copies, "_row", "left_anti").select(*docs.columns)
+    row = "_row"
+    while row in (c.lower() for c in docs.columns):
+        row = f"_{row}"
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    groups = similar_groups(numbered, id=row)
+    copies = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(row))
+    return numbered.join(copies, row, "left_anti").drop(row)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
