@@ -11,7 +11,7 @@ import pytest
 
 from waymark.llm import ngram_join
 from waymark.llm.components import components
-from waymark.llm.ngram_join import Shingles, choose_k, most_shared, needed, similar_groups
+from waymark.llm.ngram_join import Shingles, choose_k, cross_pairs, most_shared, needed, similar_groups
 from waymark.llm.queries import op1_ngram_join
 
 
@@ -89,6 +89,35 @@ def test_chain_of_near_copies_is_one_group(spark):
     assert got(found) == by_all_pairs(rows, 3, 90)
 
 
+def edited_chains(seed, chains=6, steps=8, words=120):
+    """Copies of copies: each chain starts from one text, and each step changes a few words of the one before."""
+    draw = random.Random(seed)
+    base = [f"w{i}" for i in range(words)]
+    rows = []
+    for _ in range(chains):
+        own = list(base)
+        for _ in range(steps):
+            for _ in range(draw.randint(1, 4)):
+                own[draw.randrange(words)] = f"x{draw.randrange(10**6)}"
+            rows.append((draw.randrange(10**6), " ".join(own)))
+    return rows
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_chains_that_meet_in_lists_of_different_components(spark, seed):
+    rows = edited_chains(seed)
+    assert got(similar_groups(spark.createDataFrame(rows, "doc_id long, text string"), 3, 80)) == by_all_pairs(rows, 3, 80)
+
+
+def test_a_pair_is_counted_once_over_lists_of_either_main_component(spark):
+    # Classes 1 and 2 share four lists; 3 and 4 make the component of 1 the main one of two lists and that of 2 of the others.
+    lists = [(token, id) for token in range(4) for id in (1, 2, 3 if token < 2 else 4)]
+    postings = spark.createDataFrame(
+        [(token, id, 20, 4, token, 0, 25) for token, id in lists], "token long, id long, n int, k int, place int, lone int, most int")
+    roots = spark.createDataFrame([(1, 1), (3, 1), (2, 2), (4, 2)], "node long, root long")
+    assert [tuple(r) for r in cross_pairs(postings, roots, 80).collect()] == [(1, 2)]
+
+
 def test_no_rows(empty):
     assert similar_groups(empty).collect() == []
 

@@ -388,9 +388,10 @@ def cross_pairs(postings: DataFrame, roots: DataFrame, percent: int) -> DataFram
     pairs = side(lists.where("root <> _main"), "a").join(side(lists, "b"), "token").where(
         (F.col("root_a") != F.col("root_b")) & once & may_match(a, b, percent)
     )
-    counted = pairs.groupBy(F.col("id_a").alias("a"), F.col("id_b").alias("b")).agg(
+    # Which one is on side a differs from list to list; a pair is counted over all of its lists.
+    counted = pairs.groupBy(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b")).agg(
         F.count(F.lit(1)).alias("_times"), F.first(F.least("k_a", "k_b")).alias("_k"), F.first(F.col("n_a") + F.col("n_b")).alias("_sizes"),
-        F.least(F.first("n_a") - F.max("place_a"), F.first("n_b") - F.max("place_b")).alias("_behind"),
+        F.min(F.least(F.col("n_a") - F.col("place_a"), F.col("n_b") - F.col("place_b"))).alias("_behind"),
     )
     # What is shared up to the last common prefix shingle is known; behind it, at most what the shorter rest has.
     enough = (F.col("_times") + F.col("_behind") - 1) * (100 + percent) >= percent * F.col("_sizes")
