@@ -98,3 +98,30 @@ def test_equal_values_stay_linked(pseudonyms):
     assert digits_of(one.split(" and ")[0]) == digits_of(two.split(",")[0])
     assert one.split(" and ")[1] == "-".join(reversed(two.split(", ")[1].split(".")))
     assert Pseudonyms(b"other").replace("1999-02-28") != Pseudonyms(b"test").replace("1999-02-28")
+
+
+CARD, AUSTRIAN, GERMAN = "4111 1111 1111 1111", "AT61 1904 3002 3457 3201", "DE89 3704 0044 0532 0130 00"
+
+
+@pytest.mark.parametrize(("text", "kind", "values"), [
+    (f"{CARD} 123", "card", [CARD]), (f"{CARD} 12/27", "card", [CARD]), ("4111-1111-1111-1111 05", "card", ["4111-1111-1111-1111"]),
+    (f"2024 {CARD}", "card", [CARD]), (f"2024 {CARD} 05", "card", [CARD]), (f"{CARD} 5500 0000 0000 0004", "card", [CARD, "5500 0000 0000 0004"]),
+    (f"{AUSTRIAN} BIC", "iban", [AUSTRIAN]), (f"{AUSTRIAN} CODE", "iban", [AUSTRIAN]), (f"{AUSTRIAN} 12", "iban", [AUSTRIAN]),
+    (f"{AUSTRIAN} {GERMAN}", "iban", [AUSTRIAN, GERMAN]), (f"AB12 CODE 1234 {GERMAN}", "iban", [GERMAN]),
+    ("+14155550123", "phone", ["+14155550123"]), ("+33 1 23 45 67 89", "phone", ["+33 1 23 45 67 89"]),
+    ("+61 2 9374 4000", "phone", ["+61 2 9374 4000"]), ("+442079460958", "phone", ["+442079460958"]), ("+45 12 34 56 78", "phone", ["+45 12 34 56 78"]),
+])
+def test_values_beside_other_numbers_and_words(pseudonyms, text, kind, values):
+    text = f"x {text} y"
+    fresh, spans = pseudonyms.replace(text)
+    assert [text[a:b] for k, a, b in spans if k == kind] == values
+    assert len(fresh) == len(text) and all(v not in fresh for v in values)
+
+
+def test_a_card_behind_a_date(pseudonyms):
+    assert [k for k, _, _ in pseudonyms.replace(f"1999-02-28 {CARD}")[1]] == ["date", "card"]
+
+
+def test_compact_numbers_stay_linked(pseudonyms):
+    one, two = (pseudonyms.replace(t)[0] for t in ("+14155550123", "+1 (415) 555-0123"))
+    assert digits_of(one) == digits_of(two)

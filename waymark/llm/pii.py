@@ -12,7 +12,8 @@ import datetime as dt
 import hashlib
 import ipaddress
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -88,12 +89,54 @@ def refill(pattern: str, digits: Sequence[int]) -> str:
     return "".join(str(next(rest)) if c in "0123456789" else c for c in pattern)
 
 
-def _card(match: re.Match, feistel: Feistel) -> str | None:
-    digits = digits_of(match.group())
+def _card(written: str, feistel: Feistel) -> str | None:
+    digits = digits_of(written)
     if len(set(digits)) < 2 or luhn(digits[:-1]) != digits[-1]:
         return None
     body = feistel.walk(digits[:-1], 10, "card", lambda d: d[0] != 0)
-    return refill(match.group(), [*body, luhn(body)])
+    return refill(written, [*body, luhn(body)])
+
+
+IBAN_SIZES = {
+    "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28, "CH": 21, "CR": 22,
+    "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22,
+    "GE": 22, "GI": 23, "GL": 18, "GR": 27, "GT": 28, "HR": 21, "HU": 28, "IE": 22, "IL": 23, "IQ": 23, "IS": 26, "IT": 27, "JO": 30, "KW": 30,
+    "KZ": 20, "LB": 28, "LC": 32, "LI": 21, "LT": 20, "LU": 20, "LV": 21, "LY": 25, "MC": 27, "MD": 24, "ME": 22, "MK": 19, "MN": 20, "MR": 27,
+    "MT": 31, "MU": 30, "NI": 28, "NL": 18, "NO": 15, "OM": 23, "PK": 24, "PL": 28, "PS": 29, "PT": 25, "QA": 29, "RO": 24, "RS": 22, "RU": 33,
+    "SA": 24, "SC": 31, "SD": 18, "SE": 24, "SI": 19, "SK": 24, "SM": 27, "SO": 23, "ST": 25, "SV": 28, "TL": 23, "TN": 24, "TR": 26, "UA": 29,
+    "VA": 22, "VG": 24, "XK": 20, "YE": 30,
+}
+
+
+# Lengths and first digits of the known issuers; they only decide which of several valid readings is taken.
+ISSUERS = re.compile(r"4(?:\d{12}|\d{15}|\d{18})|5[1-5]\d{14}|2[2-7]\d{14}|3[47]\d{13}|3[0689]\d{12}|35\d{14}|6\d{15,18}")
+
+
+def card_readings(run: str) -> list[tuple[int, int]]:
+    """Parts of a run of digits that begin and end at a group's border and can be a card: those of known issuers first, long ones first."""
+    groups = [m.span() for m in re.finditer("[0-9]+", run)]
+    found = []
+    for n, (start, _) in enumerate(groups):
+        digits = ""
+        for first, past in groups[n:]:
+            digits += run[first:past]
+            if len(digits) > 19:
+                break
+            if len(digits) >= 13:
+                found.append((not ISSUERS.fullmatch(digits), -len(digits), start, past))
+    return [(start, past) for _, _, start, past in sorted(found)]
+
+
+def iban_readings(run: str) -> list[tuple[int, int]]:
+    """The part of its country's length, then all parts that end with a group, long ones first; without blanks at the end."""
+    ends = [m.end() for m in re.finditer("[A-Z0-9]+", run)][::-1]
+    size = IBAN_SIZES.get(run[:2])
+    if size is not None:
+        ends = sorted((e for e in ends if e - run.count(" ", 0, e) == size), reverse=True) + ends[:1]
+    return [(0, past) for past in ends]
+
+
+READINGS: dict[str, Callable[[str], list[tuple[int, int]]]] = {"card": card_readings, "iban": iban_readings}
 
 
 def _social(match: re.Match, feistel: Feistel) -> str | None:
@@ -107,7 +150,10 @@ def _social(match: re.Match, feistel: Feistel) -> str | None:
 
 def _phone(match: re.Match, feistel: Feistel) -> str | None:
     """With a country code 7 to 15 digits in all, without one the ten of a North American number; the code stays."""
-    code, rest = match["code"] or "", match["rest"]
+    if match["plus"]:
+        code, rest = match["plus"], match["number"]
+    else:
+        code, rest = match["code"] or "", match["rest"]
     digits, country = digits_of(rest), "".join(map(str, digits_of(code))) or "1"
     if len(digits) != 10 if not code else not 7 <= len(digits) + len(country) <= 15:
         return None
@@ -121,8 +167,7 @@ def _address(match: re.Match, feistel: Feistel) -> str | None:
     return str(ipaddress.IPv4Address(bytes(feistel.permute(octets, 256, "ipv4"))))
 
 
-def _iban(match: re.Match, feistel: Feistel) -> str | None:
-    written = match.group()
+def _iban(written: str, feistel: Feistel) -> str | None:
     value = written.replace(" ", "")
     country, account = value[:2], value[4:]
     if not 11 <= len(account) <= 30 or iban_check(country, account) != value[2:4]:
@@ -201,8 +246,11 @@ def _access_key(match: re.Match, feistel: Feistel) -> str | None:
     return match["head"] + fresh
 
 
+# Country codes of one and two digits; all others have three.
+COUNTRIES = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9]\\d{2}"
+
 # In order of precedence where findings overlap.
-KINDS: list[tuple[str, str, Callable[[re.Match, Feistel], str | None]]] = [
+KINDS: list[tuple[str, str, Callable[[Any, Feistel], str | None]]] = [
     ("secret", r"(?i:\b(?:[a-z_-]*(?:token|secret|password|passwd|api[_-]?key|access[_-]?key))\b[\"']?\s{0,3}[:=]\s{0,3}[\"']?)"
                r"(?P<value>[A-Za-z0-9_+/.\-]{12,})", _secret),
     ("access_key", r"(?<![A-Za-z0-9])(?:(?P<head>AKIA|ASIA)(?P<value>[A-Z2-7]{16})(?![A-Za-z0-9]))", _access_key),
@@ -211,9 +259,12 @@ KINDS: list[tuple[str, str, Callable[[re.Match, Feistel], str | None]]] = [
     ("iban", r"\b[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?\b", _iban),
     ("ipv4", r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)", _address),
     ("date", r"(?<![\w./-])(?P<a>\d{4}|\d{1,2})(?P<sep>[-/.])(?P<b>\d{1,2})(?P=sep)(?P<c>\d{4}|\d{1,2})(?![\w/-]|\.\d)", _date),
-    ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w-])", _card),
+    ("card", r"(?<![\w.-])\d(?:[ -]?\d){12,}(?![\w-])", _card),
     ("social", r"(?<![\w.-])\d{3}-\d{2}-\d{4}(?![\w-])", _social),
-    ("phone", r"(?<![\w.])(?P<code>\+\d{1,3}[ .-]?)?(?P<rest>(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4})(?![\w-])", _phone),
+    # The second form is for country codes before one digit of area, pairs, or digits without separators.
+    ("phone", r"(?<![\w.])(?:(?P<code>\+\d{1,3}[ .-]?)?(?P<rest>(?:\(\d{2,4}\) ?|\d{2,4}[ .-])\d{3,4}[ .-]?\d{3,4})|"
+              r"(?P<plus>\+(?:" + COUNTRIES + r")[ .-]?)(?P<number>\d{4,14}|(?:\(\d\) ?(?:\d{1,4}[ .-])?|\d[ .-])\d{3,4}[ .-]?\d{3,4}|"
+              r"\(?\d{1,3}\)?(?:[ .-]\d{2}){3,5}))(?![\w-])", _phone),
 ]
 
 
@@ -225,25 +276,39 @@ class Pseudonyms:
         self.kinds = [(name, re.compile(pattern), make) for name, pattern, make in KINDS]
         self.known: dict[tuple[str, str], str | None] = {}
 
+    def candidates(self, name: str, pattern: re.Pattern, text: str, found: list) -> Iterator[tuple[int, int, re.Match | str]]:
+        """Start, end and what to make a pseudonym of; of cards and IBANs all readings of a run, going on behind the one that is found."""
+        if name not in READINGS:
+            yield from ((*match.span(), match) for match in pattern.finditer(text))
+            return
+        place = 0
+        while match := pattern.search(text, place):
+            first, before = match.start(), len(found)
+            for start, past in READINGS[name](match.group()):
+                yield first + start, first + past, match.group()[start:past]
+            # All parts of a run of digits are tried; another IBAN may begin within what followed the last one.
+            place = match.end() if name == "card" else max([first + 1, *(past for _, past, _, _ in found[before:])])
+
     def replace(self, text: str) -> tuple[str, list[tuple[str, int, int]]]:
         """The text with pseudonyms, and kind, start and end of each value in the text as it was."""
         found: list[tuple[int, int, str, str]] = []
+        taken = bytearray(len(text))
         digits = any(c in text for c in "0123456789")
         for name, pattern, make in self.kinds:
             # All other kinds are made of digits.
             if not (digits or name in ("mail", "secret", "access_key")) or name == "mail" and "@" not in text:
                 continue
-            for match in pattern.finditer(text):
-                start, past = match.span()
-                if any(start < p and s < past for s, p, _, _ in found):
+            for start, past, given in self.candidates(name, pattern, text, found):
+                if taken.find(1, start, past) >= 0:
                     continue
-                known = (name, match.group())
+                known = (name, text[start:past])
                 if known not in self.known:
                     if len(self.known) >= MEMO_VALUES:
                         self.known.clear()
-                    self.known[known] = make(match, self.feistel)
+                    self.known[known] = make(given, self.feistel)
                 if (fresh := self.known[known]) is not None:
                     found.append((start, past, name, fresh))
+                    taken[start:past] = b"\1" * (past - start)
         found.sort()
         parts, last = [], 0
         for start, past, _, fresh in found:
