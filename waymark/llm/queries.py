@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from waymark.llm import oracles
+from waymark.llm.alignment import align_tokenizers, group_digest
 from waymark.llm.common import table
 from waymark.llm.decontamination import find_benchmark, items_digest
 from waymark.llm.language import identify_language
@@ -18,6 +19,7 @@ from waymark.llm.quality import clean_lines
 from waymark.llm.sharding import shard_documents
 from waymark.llm.substrings import remove_repeats
 from waymark.llm.token_counts import token_counts
+from waymark.llm.window_packing import pack_windows
 
 Job = Callable[[SparkSession, str], DataFrame]
 
@@ -63,6 +65,14 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_documents(table(spark, sf, "documents"))
 
 
+def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
+    return align_tokenizers(table(spark, sf, "documents"), groups=group_digest).withColumnRenamed("groups", "groups_sha256")
+
+
+def op12_window_packing(spark: SparkSession, sf: str) -> DataFrame:
+    return pack_windows(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Job] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_sharding": op2_sharding,
@@ -74,6 +84,8 @@ QUERIES: dict[str, Job] = {
     "op8_token_counts": op8_token_counts,
     "op9_substrings": op9_substrings,
     "op10_packing": op10_packing,
+    "op11_alignment": op11_alignment,
+    "op12_window_packing": op12_window_packing,
 }
 
 ORACLES: dict[str, str] = {
