@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import json
 import zlib
 from collections import Counter, defaultdict
 
@@ -133,5 +134,16 @@ def test_windows_against_a_plain_search(sizes, places):
         assert len(free) <= places and sorted((r, w) for w, r in free.items()) == windows.free
 
 
+def test_a_vocabulary_whose_ids_do_not_follow_its_merges(library):
+    model = json.loads(read_vocabulary(None, "word_bpe_49k.json"))
+    vocabulary = model["model"]["vocab"]
+    one, other = (next(t for t, i in vocabulary.items() if i == n) for n in (600, 601))
+    vocabulary[one], vocabulary[other] = 601, 600
+    encoder = WordIds(json.dumps(model))
+    moved = Tokenizer.from_str(json.dumps(model))
+    assert encoder.fast is None
+    assert [m.tolist() for m in encoder.texts([t.encode() for t in TEXTS])] == [moved.encode(t, add_special_tokens=False).ids for t in TEXTS]
+
+
 def test_closing_lengths():
     assert closing_lengths(0, 64) == [] and closing_lengths(64, 64) == [64] and closing_lengths(64 + 37, 64) == [64, 32, 4, 1]

@@ -9,9 +9,12 @@ The last tokens make windows whose lengths are powers of two, which need no padd
 
 from __future__ import annotations
 
+import json
+import re
 import zlib
 from bisect import insort
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +25,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from waymark.llm.common import Work, map_slices, pick, saved
-from waymark.llm.token_counts import read_vocabulary
+from waymark.llm.token_counts import END, PIECES, PLAIN, byte_symbols, read_vocabulary
 
 LENGTH = 4096
 OPEN_WINDOWS = 64
@@ -31,13 +34,32 @@ MEMO_WORDS = 600_000
 MEMO_TOKENS = 8_000_000
 BATCH_WORDS = 4096
 SLICE_BYTES = 8 << 20
+# Stands behind each piece; no plain word has this character.
+WORD_END = "\x01"
+PIECES_AND_BLANKS = re.compile(f" |{PIECES.pattern.replace('[^', '[^ ')}")
 PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 # Pieces of windows left open have their ids with them, and their place among the task's leftovers.
 PLACED = f"{PACKED}, task int, place long, ids binary"
 
 
+class WordNumbers(dict):
+    """A number for each word in the order in which words first came; `new` has those since it was last emptied."""
+
+    def __init__(self) -> None:
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 class WordIds:
-    """Ids of texts as the library gives them without added special tokens; words of a task are encoded once."""
+    """Ids of texts as the library gives them without added special tokens; words of a task are encoded once.
+
+    Words of printable ASCII and Latin letters are split by an equal pattern and merged by tiktoken, for which a word's end is a
+    byte of its own that joins the last symbol before all else; any others go to the library.
+    """
 
     def __init__(self, vocabulary: str) -> None:
         from tokenizers import Tokenizer
@@ -46,40 +68,76 @@ class WordIds:
         self.library.no_truncation()
         self.library.no_padding()
         self.special = [t.content.encode() for t in self.library.get_added_tokens_decoder().values()]
+        self.fast = self._merger(json.loads(vocabulary))
         self.clear()
 
+    def _merger(self, model: dict) -> Any:
+        """The vocabulary for tiktoken; none unless its ids ascend with the ranks of their merges, as tiktoken takes them."""
+        import tiktoken
+
+        vocabulary, merges = model["model"]["vocab"], model["model"]["merges"]
+        special = {t["content"] for t in model["added_tokens"]}
+        own = {t: i for t, i in vocabulary.items() if t not in special}
+        if [own.get("".join(pair).replace(END, "") + END * pair[1].endswith(END)) for pair in merges] != list(range(len(own) - len(merges), len(own))):
+            return None
+        byte_of = {symbol: byte for byte, symbol in enumerate(byte_symbols())}
+        ranks = {}
+        for token, id in own.items():
+            symbols = token.removesuffix(END)
+            ranks[bytes(byte_of[c] for c in symbols) + WORD_END.encode() * (token != symbols)] = id
+        self.ends = np.zeros(len(own), bool)
+        self.ends[[i for t, i in own.items() if t.endswith(END)]] = True
+        return tiktoken.Encoding("words", pat_str=f"[^{WORD_END}]+{WORD_END}", mergeable_ranks=ranks, special_tokens={})
+
     def clear(self) -> None:
-        self.number: dict[bytes, int] = {}
+        self.number = WordNumbers()
         self.ids = np.empty(0, np.uint32)
-        self.bounds = np.zeros(1, np.int64)
-
-    def _learn(self, words: list[bytes]) -> None:
-        """Adds new words. The vocabulary's normaliser and splitter never join what white space parts."""
-        new = [w for w in words if w not in self.number]
-        if len(self.number) + len(new) > MEMO_WORDS or len(self.ids) > MEMO_TOKENS:
-            self.clear()
-            new = words
-        ids, sizes = [self.ids], []
-        for i in range(0, len(new), BATCH_WORDS):
-            texts = [w.decode() for w in new[i:i + BATCH_WORDS]]
-            begins = np.cumsum([0, *[len(t) + 1 for t in texts]])
-            found = self.library.encode(" ".join(texts), add_special_tokens=False)
-            ids.append(np.array(found.ids, np.uint32))
-            word = np.searchsorted(begins, np.array([first for first, _ in found.offsets], np.int64), side="right") - 1
-            sizes.append(np.bincount(word, minlength=len(texts)))
+        self.first = self.size = np.empty(0, np.int64)
+
+    def _learn(self) -> None:
+        """Encodes new words. The vocabulary's normaliser and splitter never join what white space parts."""
+        new = [w.decode() for w in self.number.new]
+        self.number.new = []
+        plain = [self.fast is not None and PLAIN.fullmatch(w) is not None for w in new]
+        ids, places, sizes = [self.ids], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        for encode, kind in ((self._plain, True), (self._any, False)):
+            own = [i for i, p in enumerate(plain) if p == kind]
+            for i in range(0, len(own), BATCH_WORDS):
+                words = [new[j] for j in own[i:i + BATCH_WORDS]]
+                made, word = encode(words)
+                ids.append(made)
+                places.append(own[i:i + BATCH_WORDS])
+                sizes.append(np.bincount(word, minlength=len(words)))
+        size = np.concatenate(sizes)
+        first = np.cumsum(size) - size + len(self.ids)
+        order = np.argsort(np.concatenate(places))
         self.ids = np.concatenate(ids)
-        self.bounds = np.concatenate([self.bounds, self.bounds[-1] + np.cumsum(np.concatenate([np.zeros(0, np.int64), *sizes]))])
-        for word in new:
-            self.number[word] = len(self.number)
+        self.first, self.size = np.append(self.first, first[order]), np.append(self.size, size[order])
+
+    def _plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of the words, and the word of each id."""
+        pieces = PIECES_AND_BLANKS.findall(" ".join(words).lower())
+        blank = np.fromiter((p == " " for p in pieces), bool, len(pieces))
+        ids = np.array(self.fast.encode_ordinary("".join([p + WORD_END for p in pieces if p != " "])), np.int64)
+        word = np.cumsum(blank)[~blank]
+        ends = self.ends[ids]
+        return ids.astype(np.uint32), word[np.cumsum(ends) - ends]
+
+    def _any(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.library.encode(" ".join(words), add_special_tokens=False)
+        begins = np.cumsum([0, *[len(w) + 1 for w in words]])
+        return np.array(found.ids, np.uint32), np.searchsorted(begins, np.array([first for first, _ in found.offsets], np.int64), side="right") - 1
 
     def texts(self, texts: list[bytes | None]) -> list[np.ndarray]:
         """The ids of each text; those with a special string go through the library as a whole."""
         whole = {i: t for i, t in enumerate(texts) if t and any(s in t for s in self.special)}
         words = [[] if not t or i in whole else t.split() for i, t in enumerate(texts)]
-        self._learn(list(dict.fromkeys(w for own in words for w in own)))
-        number = self.number
-        numbers = np.fromiter((number[w] for own in words for w in own), np.int64)
-        first, size = self.bounds[numbers], np.diff(self.bounds)[numbers]
+        if len(self.number) > MEMO_WORDS or len(self.ids) > MEMO_TOKENS:
+            self.clear()
+        find = self.number.__getitem__
+        numbers = np.array([n for own in words for n in map(find, own)], np.int64)
+        self._learn()
+        first, size = self.first[numbers], self.size[numbers]
         ends = np.cumsum(size)
         flat = self.ids[np.repeat(first - ends + size, size) + np.arange(size.sum())]
         edges = np.concatenate([[0], ends])[np.cumsum([0, *map(len, words)])]
