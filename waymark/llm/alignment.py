@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from waymark.llm.common import Work, map_slices, pick, saved
+from waymark.llm.common import WordNumbers, Work, map_slices, pick, saved
 from waymark.llm.token_counts import byte_symbols, read_vocabulary
 
 BATCH_WORDS = 4096
@@ -132,54 +132,46 @@ class Tokenizers:
 
 
 class Memo:
-    """Tokens and groups of the words seen so far, in flat arrays; a word whose bytes cannot be had back is marked bad."""
+    """Tokens and groups of the words seen so far, in flat arrays; a word whose bytes cannot be had back has none."""
 
     def __init__(self, tokenizers: Tokenizers) -> None:
         self.tokenizers = tokenizers
         self.clear()
 
     def clear(self) -> None:
-        self.number: dict[str, int] = {}
+        self.number = WordNumbers()
         self.flat = [np.empty(0, np.int32) for _ in range(5)]
         # Where each word's A tokens, B tokens and groups begin, and their number.
         self.first, self.size = np.empty((3, 0), np.int64), np.empty((3, 0), np.int64)
-        self.bad = np.empty(0, bool)
 
-    def learn(self, words: list[str]) -> None:
-        """Adds words that are new, encoded together between blanks."""
-        words = list(dict.fromkeys(words))
-        new = [w for w in words if w not in self.number]
-        if len(self.number) + len(new) > MEMO_WORDS or len(self.flat[0]) > MEMO_TOKENS:
-            self.clear()
-            new = words
-        found: list[tuple[str, list[np.ndarray], np.ndarray]] = []
+    def _learn(self) -> None:
+        """Encodes the words that are new, many together between blanks."""
+        new, self.number.new = self.number.new, []
+        found: list[tuple[list[int], list[np.ndarray], np.ndarray]] = []
         batch, size = [], 0
-        for word in new:
+        for place, word in enumerate(new):
             # A word at the edge of a text may have white space at its own edge; it cannot stand between others.
             if not word or word[0].isspace() or word[-1].isspace():
-                found.extend(self._encoded([word]))
+                found.extend(self._encoded([word], [place]))
                 continue
-            batch.append(word)
+            batch.append(place)
             size += len(word)
             if len(batch) >= BATCH_WORDS or size >= BATCH_CHARACTERS:
-                found.extend(self._encoded(batch))
+                found.extend(self._encoded([new[i] for i in batch], batch))
                 batch, size = [], 0
         if batch:
-            found.extend(self._encoded(batch))
+            found.extend(self._encoded([new[i] for i in batch], batch))
         if not found:
             return
+        order = np.argsort(np.concatenate([places for places, _, _ in found]))
         sizes = np.concatenate([s for _, _, s in found], axis=1)
-        starts = np.array([len(self.flat[0]), len(self.flat[1]), len(self.flat[2])])[:, None]
-        self.first = np.concatenate([self.first, starts + np.cumsum(sizes, axis=1) - sizes], axis=1)
-        self.size = np.concatenate([self.size, sizes], axis=1)
-        self.bad = np.concatenate([self.bad, sizes[2] == 0])
-        self.flat = [np.concatenate([old, *[new[i] for _, new, _ in found]]) for i, old in enumerate(self.flat)]
-        for many, _, _ in found:
-            for word in many:
-                self.number[word] = len(self.number)
-
-    def _encoded(self, words: list[str]) -> Iterator[tuple[list[str], list[np.ndarray], np.ndarray]]:
-        """Words, their flat arrays (A ids, B ids, A tokens, B tokens and bytes of each group) and sizes (3 by word)."""
+        starts = np.array([len(self.flat[0]), len(self.flat[1]), len(self.flat[2])])[:, None] + np.cumsum(sizes, axis=1) - sizes
+        self.first = np.concatenate([self.first, starts[:, order]], axis=1)
+        self.size = np.concatenate([self.size, sizes[:, order]], axis=1)
+        self.flat = [np.concatenate([old, *[made[i] for _, made, _ in found]]) for i, old in enumerate(self.flat)]
+
+    def _encoded(self, words: list[str], places: list[int]) -> Iterator[tuple[list[int], list[np.ndarray], np.ndarray]]:
+        """The words' places, their flat arrays (A ids, B ids, A tokens, B tokens and bytes of each group) and sizes (3 by word)."""
         none = [np.empty(0, np.int32)] * 5
         made = self.tokenizers.encode(" ".join(words)) if words != [""] else None
         if made is not None:
@@ -189,22 +181,25 @@ class Memo:
             if np.isin(borders, shared).all():
                 flat = [a_ids, b_ids, *[np.diff(np.searchsorted(e, shared, side="right"), prepend=0) for e in (a_ends, b_ends)], np.diff(shared, prepend=0)]
                 sizes = [np.diff(np.searchsorted(e, borders, side="right"), prepend=0) for e in (a_ends, b_ends, shared)]
-                yield words, [f.astype(np.int32) for f in flat], np.array(sizes)
+                yield places, [f.astype(np.int32) for f in flat], np.array(sizes)
                 return
         if len(words) == 1:
-            yield words, none, np.zeros((3, 1), np.int64)
+            yield places, none, np.zeros((3, 1), np.int64)
             return
-        for word in words:
-            yield from self._encoded([word])
+        for word, place in zip(words, places):
+            yield from self._encoded([word], [place])
 
     def gather(self, texts: Sequence[list[str]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
         """The flat arrays of all texts' words in a row, and where each text begins in them (A tokens, B tokens, groups)."""
-        self.learn([w for words in texts for w in words])
-        numbers = np.fromiter((self.number[w] for words in texts for w in words), np.int64)
+        if len(self.number) > MEMO_WORDS or len(self.flat[0]) > MEMO_TOKENS:
+            self.clear()
+        find = self.number.__getitem__
+        numbers = np.array([n for words in texts for n in map(find, words)], np.int64)
+        self._learn()
         text = np.repeat(np.arange(len(texts)), [len(words) for words in texts])
-        # One bad word leaves the text without tokens.
+        # One word whose bytes cannot be had back leaves its text without tokens.
         spoilt = np.zeros(len(texts), bool)
-        spoilt[text[self.bad[numbers]]] = True
+        spoilt[text[self.size[2][numbers] == 0]] = True
         numbers, text = numbers[~spoilt[text]], text[~spoilt[text]]
         places, bounds = [], []
         for first, size in zip(self.first, self.size):

@@ -20,7 +20,7 @@ SLICE_ROWS = 2048
 
 Work = Callable[..., list[Any]]
 
-__all__ = ["Work", "ascii_words", "held_out", "map_slices", "pick", "saved", "table"]
+__all__ = ["WordNumbers", "Work", "ascii_words", "held_out", "map_slices", "pick", "saved", "table"]
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -102,6 +102,18 @@ def map_slices(
     return df.mapInArrow(run, T.StructType([*T.StructType.fromDDL(schema).fields, *kept]))
 
 
+class WordNumbers(dict):
+    """A number for each word in the order in which words first came; `new` has those since it was last emptied."""
+
+    def __init__(self) -> None:
+        self.new: list[Any] = []
+
+    def __missing__(self, word: Any) -> int:
+        number = self[word] = len(self)
+        self.new.append(word)
+        return number
+
+
 def ascii_words(text: bytes | None) -> list[bytes]:
     """Words between ASCII white space, A-Z lower-cased: what bytes.lower and bytes.split do; none for a missing text."""
     return text.lower().split() if text else []

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
-from waymark.llm.common import Work, map_slices, pick, saved
+from waymark.llm.common import WordNumbers, Work, map_slices, pick, saved
 from waymark.llm.token_counts import END, PIECES, PLAIN, byte_symbols, read_vocabulary
 
 LENGTH = 4096
@@ -42,18 +42,6 @@ PACKED = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long,
 PLACED = f"{PACKED}, task int, place long, ids binary"
 
 
-class WordNumbers(dict):
-    """A number for each word in the order in which words first came; `new` has those since it was last emptied."""
-
-    def __init__(self) -> None:
-        self.new: list[bytes] = []
-
-    def __missing__(self, word: bytes) -> int:
-        number = self[word] = len(self)
-        self.new.append(word)
-        return number
-
-
 class WordIds:
     """Ids of texts as the library gives them without added special tokens; words of a task are encoded once.
 
