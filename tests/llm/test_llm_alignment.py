@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from waymark.llm import alignment
-from waymark.llm.alignment import Memo, Tokenizers, align_tokenizers, group_digest, group_text, read_model, refined
+from waymark.llm.alignment import Memo, Tokenizers, align_tokenizers, aligned_spans, group_texts, read_model, refined, text_digest
 from waymark.llm.common import pick
 from waymark.llm.queries import op11_alignment
 from waymark.llm.token_counts import byte_symbols, read_vocabulary
@@ -48,11 +48,11 @@ class Plain:
         if b"".join(a_bytes) != whole or b"".join(b_bytes) != whole:
             return []
         ends = [np.cumsum(list(map(len, t))).tolist() for t in (a_bytes, b_bytes)]
-        cuts = sorted(set(ends[0]) & set(ends[1]))
-        out, last = [], 0
-        for cut in cuts:
-            out.append(tuple([i for i, e in zip(ids, own) if last < e <= cut] for ids, own in zip((a, b), ends)))
-            last = cut
+        out, past = [], [0, 0]
+        for cut in sorted(set(ends[0]) & set(ends[1])):
+            stop = [own.index(cut, p) + 1 for own, p in zip(ends, past)]
+            out.append(tuple(ids[p:q] for ids, p, q in zip((a, b), past, stop)))
+            past = stop
         return out
 
 
@@ -96,18 +96,18 @@ def test_query_against_whole_texts(spark, sf, documents, plain):
 
 
 def test_odd_texts_with_few_known_pairs(odd, plain):
-    found = align_tokenizers(odd, groups=group_digest, head=5)
+    found = align_tokenizers(odd, groups=text_digest, head=5)
     assert have(found, "groups") == want(odd.collect(), plain)
 
 
 def test_no_known_pairs_and_a_memo_that_begins_anew(spark, documents, plain, monkeypatch):
     monkeypatch.setattr(alignment, "MEMO_WORDS", 50)
     some = documents.where("doc_id < 40")
-    assert have(align_tokenizers(some, groups=group_digest, head=0), "groups") == want(some.collect(), plain)
+    assert have(align_tokenizers(some, groups=text_digest, head=0), "groups") == want(some.collect(), plain)
 
 
 def test_clashing_columns_and_no_rows(edge, empty, plain):
-    assert have(align_tokenizers(edge, groups=group_digest), "groups") == want(pick(edge, doc_id="doc_id", text="text").collect(), plain)
+    assert have(align_tokenizers(edge, groups=text_digest), "groups") == want(pick(edge, doc_id="doc_id", text="text").collect(), plain)
     assert align_tokenizers(empty).collect() == []
 
 
@@ -127,16 +127,25 @@ def test_any_text_like_the_whole(text):
         assert tokenizers.by_word
         _own.extend([tokenizers, Memo(tokenizers), Plain()])
     tokenizers, memo, whole = _own
-    flat, _ = memo.gather([tokenizers.words(text) if text else []])
-    a, b, a_sizes, b_sizes, n_bytes = flat
+    sizes, texts, (pairs, times, bounds) = memo.gather([tokenizers.words(text) if text else []])
     groups = whole.groups(text)
-    assert a.tolist() == [i for own, _ in groups for i in own] and b.tolist() == [i for _, own in groups for i in own]
-    assert list(zip(a_sizes.tolist(), b_sizes.tolist())) == [(len(x), len(y)) for x, y in groups]
-    assert n_bytes.sum() == (len(text.encode()) + 1 if groups else 0)
+    assert sizes[:, 0].tolist() == [sum(len(x) for x, _ in groups), sum(len(y) for _, y in groups), len(groups)]
+    assert texts == [";".join(",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups)]
+    links = Counter(x[-1] << 20 | y[-1] for x, y in groups)
+    assert dict(zip(pairs.tolist(), times.tolist())) == links and bounds.tolist() == [0, len(links)]
+
+
+def test_spans(odd, plain):
+    for row, text in zip(aligned_spans(odd).collect(), [r["text"] for r in odd.collect()]):
+        groups = plain.groups(text)
+        assert [(g["a_ids"], g["b_ids"]) for g in row["groups"]] == groups
+        assert [g["first"] for g in row["groups"]] == [0, *[g["past"] for g in row["groups"]]][:len(groups)]
+        assert not groups or row["groups"][-1]["past"] == len(text.encode()) + 1
 
 
 def test_group_text():
-    assert group_text(np.array([1, 2, 3]), np.array([4, 5, 6]), np.array([2, 1]), np.array([1, 2])) == "1,2|4;3|5,6"
+    a, b, a_sizes, b_sizes = map(np.array, ([1, 2, 3, 7], [4, 5, 6, 8], [2, 1, 1], [1, 2, 1]))
+    assert group_texts(a, b, a_sizes, b_sizes, np.array([1, 2])) == ["1,2|4;3|5,6", "7|8"]
 
 
 def test_spans_that_share_a_character_are_refined():

@@ -28,22 +28,22 @@ from waymark.llm.token_counts import byte_symbols, read_vocabulary
 
 BATCH_WORDS = 4096
 BATCH_CHARACTERS = 1 << 16
-# Words and tokens that a task remembers; past either it begins anew.
+# Words and groups that a task remembers; past either it begins anew.
 MEMO_WORDS = 600_000
-MEMO_TOKENS = 8_000_000
+MEMO_GROUPS = 4_000_000
 HEAD_PAIRS = 1 << 16
-SLICE_BYTES = 8 << 20
 BATCH_ROWS = 2048
+# Ids of either vocabulary have at most so many bits.
+ID_BITS = 20
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
 UNEVEN = re.compile(r"\s\s|^\s|\s$")
 
-ALIGNED = "doc_id long, _row long, a_ids array<int>, b_ids array<int>, a_sizes array<int>, b_sizes array<int>, n_bytes array<int>"
+ALIGNED = "doc_id long, _row long, n_a long, n_b long, n_groups long, groups string, a_ids array<int>, b_ids array<int>, times array<int>"
 LINKED = (
-    "doc_id long, _row long, n_a long, n_b long, n_groups long, n_links long, groups string, "
+    "doc_id long, _row long, n_a long, n_b long, n_groups long, groups string, "
     "head_best long, head_sum long, rare_pairs array<long>, rare_times array<long>"
 )
-
-Groups = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+SPANS = "doc_id long, groups array<struct<first:int,past:int,a_ids:array<int>,b_ids:array<int>>>"
 
 
 def read_model(path: str | None, default: str) -> bytes:
@@ -99,6 +99,8 @@ class Tokenizers:
         self.b = sentencepiece.SentencePieceProcessor(model_proto=b)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.b_bytes = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in enumerate(pieces)]
+        if max(len(self.a_bytes), len(self.b_bytes)) > 1 << ID_BITS:
+            raise ValueError(f"a vocabulary has more than {1 << ID_BITS} ids")
         self.a_lengths, self.b_lengths = (np.array(list(map(len, v)), np.int64) for v in (self.a_bytes, self.b_bytes))
         # A parts words before a blank by its pattern; B does where no piece goes on behind a blank and texts stay as they are.
         split = model["pre_tokenizer"] or {}
@@ -131,8 +133,31 @@ class Tokenizers:
         return BETWEEN.split(text) if UNEVEN.search(text) else text.split(" ")
 
 
+def grouped(tokens: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Where tokens of both end together, and each such group's number of A and of B tokens."""
+    _, a_ends, _, b_ends = tokens
+    shared = np.intersect1d(a_ends, b_ends, assume_unique=True)
+    a_sizes, b_sizes = (np.diff(np.searchsorted(ends, shared, side="right"), prepend=0) for ends in (a_ends, b_ends))
+    return shared, a_sizes, b_sizes
+
+
+def group_texts(a_ids: np.ndarray, b_ids: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray, last: np.ndarray) -> list[str]:
+    """`a1,a2|b1;a3|b2,b3` for each word; `last` are the groups that end one."""
+    group = np.repeat(np.arange(len(a_sizes)), a_sizes), np.repeat(np.arange(len(b_sizes)), b_sizes)
+    a_past, b_past = np.cumsum(a_sizes), np.cumsum(b_sizes)
+    ids = np.empty(len(a_ids) + len(b_ids), np.int64)
+    marks = np.zeros(len(ids), np.int64)
+    # Before an A token stand the B tokens of earlier groups, before a B token also the A tokens of its own group.
+    ids[np.arange(len(a_ids)) + (b_past - b_sizes)[group[0]]] = a_ids
+    ids[np.arange(len(b_ids)) + a_past[group[1]]] = b_ids
+    marks[a_past + b_past - b_sizes - 1] = 1
+    marks[a_past + b_past - 1] = 2
+    marks[(a_past + b_past - 1)[last]] = 3
+    return "".join([f"{i}{',|;#'[m]}" for i, m in zip(ids.tolist(), marks.tolist())]).split("#")[:-1]
+
+
 class Memo:
-    """Tokens and groups of the words seen so far, in flat arrays; a word whose bytes cannot be had back has none."""
+    """Groups of the words seen so far, in flat arrays; a word whose bytes cannot be had back has none."""
 
     def __init__(self, tokenizers: Tokenizers) -> None:
         self.tokenizers = tokenizers
@@ -140,14 +165,15 @@ class Memo:
 
     def clear(self) -> None:
         self.number = WordNumbers()
-        self.flat = [np.empty(0, np.int32) for _ in range(5)]
-        # Where each word's A tokens, B tokens and groups begin, and their number.
-        self.first, self.size = np.empty((3, 0), np.int64), np.empty((3, 0), np.int64)
+        self.texts: list[str] = []
+        self.pairs = np.empty(0, np.int64)
+        # Each word's A tokens, B tokens and groups, and where its groups begin.
+        self.size, self.first = np.empty((3, 0), np.int64), np.empty(0, np.int64)
 
     def _learn(self) -> None:
         """Encodes the words that are new, many together between blanks."""
         new, self.number.new = self.number.new, []
-        found: list[tuple[list[int], list[np.ndarray], np.ndarray]] = []
+        found: list[tuple[list[int], np.ndarray, list[str], np.ndarray]] = []
         batch, size = [], 0
         for place, word in enumerate(new):
             # A word at the edge of a text may have white space at its own edge; it cannot stand between others.
@@ -163,134 +189,142 @@ class Memo:
             found.extend(self._encoded([new[i] for i in batch], batch))
         if not found:
             return
-        order = np.argsort(np.concatenate([places for places, _, _ in found]))
-        sizes = np.concatenate([s for _, _, s in found], axis=1)
-        starts = np.array([len(self.flat[0]), len(self.flat[1]), len(self.flat[2])])[:, None] + np.cumsum(sizes, axis=1) - sizes
-        self.first = np.concatenate([self.first, starts[:, order]], axis=1)
+        order = np.argsort(np.concatenate([places for places, _, _, _ in found]))
+        sizes = np.concatenate([s for _, s, _, _ in found], axis=1)
+        self.first = np.append(self.first, (len(self.pairs) + np.cumsum(sizes[2]) - sizes[2])[order])
         self.size = np.concatenate([self.size, sizes[:, order]], axis=1)
-        self.flat = [np.concatenate([old, *[made[i] for _, made, _ in found]]) for i, old in enumerate(self.flat)]
+        self.pairs = np.concatenate([self.pairs, *[p for _, _, _, p in found]])
+        texts = [t for _, _, own, _ in found for t in own]
+        self.texts += [texts[i] for i in order.tolist()]
 
-    def _encoded(self, words: list[str], places: list[int]) -> Iterator[tuple[list[int], list[np.ndarray], np.ndarray]]:
-        """The words' places, their flat arrays (A ids, B ids, A tokens, B tokens and bytes of each group) and sizes (3 by word)."""
-        none = [np.empty(0, np.int32)] * 5
+    def _encoded(self, words: list[str], places: list[int]) -> Iterator[tuple[list[int], np.ndarray, list[str], np.ndarray]]:
+        """The words' places, their sizes (A tokens, B tokens, groups), texts, and the two tokens that end each group as one number."""
         made = self.tokenizers.encode(" ".join(words)) if words != [""] else None
         if made is not None:
             a_ids, a_ends, b_ids, b_ends = made
-            shared = np.intersect1d(a_ends, b_ends, assume_unique=True)
+            shared, a_sizes, b_sizes = grouped(made)
             borders = np.cumsum([len(w.encode()) + 1 for w in words])
-            if np.isin(borders, shared).all():
-                flat = [a_ids, b_ids, *[np.diff(np.searchsorted(e, shared, side="right"), prepend=0) for e in (a_ends, b_ends)], np.diff(shared, prepend=0)]
-                sizes = [np.diff(np.searchsorted(e, borders, side="right"), prepend=0) for e in (a_ends, b_ends, shared)]
-                yield places, [f.astype(np.int32) for f in flat], np.array(sizes)
+            last = np.searchsorted(shared, borders)
+            if last[-1] < len(shared) and (shared[last] == borders).all():
+                sizes = np.array([np.diff(np.searchsorted(e, borders, side="right"), prepend=0) for e in (a_ends, b_ends, shared)])
+                pairs = a_ids[np.cumsum(a_sizes) - 1] << ID_BITS | b_ids[np.cumsum(b_sizes) - 1]
+                yield places, sizes, group_texts(a_ids, b_ids, a_sizes, b_sizes, last), pairs
                 return
         if len(words) == 1:
-            yield places, none, np.zeros((3, 1), np.int64)
+            yield places, np.zeros((3, 1), np.int64), [""], np.empty(0, np.int64)
             return
         for word, place in zip(words, places):
             yield from self._encoded([word], [place])
 
-    def gather(self, texts: Sequence[list[str]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """The flat arrays of all texts' words in a row, and where each text begins in them (A tokens, B tokens, groups)."""
-        if len(self.number) > MEMO_WORDS or len(self.flat[0]) > MEMO_TOKENS:
+    def gather(self, texts: Sequence[list[str]]) -> tuple[np.ndarray, list[str], list[np.ndarray]]:
+        """Of texts as lists of words: sizes (A tokens, B tokens, groups), the groups' texts, and the different pairs of all texts in a
+        row with how often each is in its text and where each text begins."""
+        if len(self.number) > MEMO_WORDS or len(self.pairs) > MEMO_GROUPS:
             self.clear()
         find = self.number.__getitem__
-        numbers = np.array([n for words in texts for n in map(find, words)], np.int64)
+        numbers = [list(map(find, words)) for words in texts]
         self._learn()
+        flat = np.array([n for own in numbers for n in own], np.int64)
         text = np.repeat(np.arange(len(texts)), [len(words) for words in texts])
         # One word whose bytes cannot be had back leaves its text without tokens.
         spoilt = np.zeros(len(texts), bool)
-        spoilt[text[self.size[2][numbers] == 0]] = True
-        numbers, text = numbers[~spoilt[text]], text[~spoilt[text]]
-        places, bounds = [], []
-        for first, size in zip(self.first, self.size):
-            own = size[numbers]
-            ends = np.cumsum(own)
-            places.append(np.repeat(first[numbers] - ends + own, own) + np.arange(own.sum()))
-            bounds.append(np.concatenate([[0], np.cumsum(np.bincount(text, weights=own, minlength=len(texts)).astype(np.int64))]))
-        a, b, group = places
-        return [flat[place] for flat, place in zip(self.flat, (a, b, group, group, group))], bounds
-
-
-def aligned_tokens(docs: DataFrame, a: str | None = None, b: str | None = None, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, a_ids, b_ids, and of every group its A tokens, B tokens and bytes; `_row` numbers the rows.
-
-    A group ends where tokens of both end. Missing and empty texts, and texts whose tokens do not give back a blank and
-    their bytes, have no tokens. Map-only; `_row` holds for one reading of the input, so save what is read twice.
+        spoilt[text[self.size[2][flat] == 0]] = True
+        flat, text = flat[~spoilt[text]], text[~spoilt[text]]
+        own = self.size[:, flat]
+        sizes = np.array([np.bincount(text, weights=s, minlength=len(texts)) for s in own]).astype(np.int64)
+        groups = ["" if bad else ";".join([self.texts[n] for n in own]) for bad, own in zip(spoilt.tolist(), numbers)]
+        ends = np.cumsum(own[2])
+        pairs = self.pairs[np.repeat(self.first[flat] - ends + own[2], own[2]) + np.arange(own[2].sum())]
+        keys = np.sort(np.repeat(text, own[2]) << 2 * ID_BITS | pairs)
+        begins = np.flatnonzero(np.diff(keys, prepend=-1))
+        bounds = np.searchsorted(keys[begins] >> 2 * ID_BITS, np.arange(len(texts) + 1))
+        return sizes, groups, [keys[begins] & (1 << 2 * ID_BITS) - 1, np.diff(np.append(begins, len(keys))), bounds]
+
+
+def lists(values: np.ndarray, bounds: np.ndarray, kind: T.DataType) -> pa.ListArray:
+    """Values of all rows in a row as one list per row."""
+    arrow = to_arrow_schema(T.StructType([T.StructField("v", T.ArrayType(kind))])).field(0).type
+    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, arrow.value_type), type=arrow)
+
+
+def _tokenizers(docs: DataFrame, a: str | None, b: str | None) -> Callable[[], Tokenizers]:
+    content = docs.sparkSession.sparkContext.broadcast((read_vocabulary(a, "byte_bpe_50k.json"), read_model(b, "piece_bpe_32k.model")))
+    return lambda: Tokenizers(*content.value)
+
+
+def aligned_spans(docs: DataFrame, a: str | None = None, b: str | None = None, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id and groups (first and past byte in a blank and the text, A ids, B ids) of every row; map-only.
+
+    Rows without tokens, as in `align_tokenizers`, have no groups.
     """
-    context = docs.sparkSession.sparkContext
-    content = context.broadcast((read_vocabulary(a, "byte_bpe_50k.json"), read_model(b, "piece_bpe_32k.model")))
+    make = _tokenizers(docs, a, b)
 
     def begin() -> Work:
-        tokenizers = Tokenizers(*content.value)
-        memo = Memo(tokenizers)
+        tokenizers = make()
 
-        def work(ids: list, texts: list[bytes | None], rows: list[int]) -> list:
-            flat, (a, b, group) = memo.gather([tokenizers.words(t.decode()) if t else [] for t in texts])
-            return [ids, rows, *[lists(v, bound) for v, bound in zip(flat, (a, b, group, group, group))]]
+        def groups(text: bytes | None) -> list[dict]:
+            made = tokenizers.encode(text.decode()) if text else None
+            if made is None:
+                return []
+            shared, a_sizes, b_sizes = grouped(made)
+            own = (np.split(ids, np.cumsum(sizes)[:-1]) for ids, sizes in ((made[0], a_sizes), (made[2], b_sizes)))
+            edges = zip([0, *shared.tolist()], shared.tolist(), *own)
+            return [{"first": f, "past": p, "a_ids": x.tolist(), "b_ids": y.tolist()} for f, p, x, y in edges]
 
-        return work
+        return lambda ids, texts: [ids, list(map(groups, texts))]
 
-    rows = pick(docs, doc_id=id, text=text).select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("_row"))
-    return map_slices(rows, begin, ALIGNED, slice_bytes=SLICE_BYTES)
+    return map_slices(pick(docs, doc_id=id, text=text).select(F.col("doc_id").cast("long"), "text"), begin, SPANS)
 
 
-def lists(values: np.ndarray, bounds: np.ndarray) -> pa.ListArray:
-    kind = to_arrow_schema(T.StructType([T.StructField("v", T.ArrayType(T.IntegerType()))])).field(0).type
-    return pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(values, pa.int32()), type=kind)
+def aligned_documents(
+    docs: DataFrame, a: str | None, b: str | None, id: str, text: str, groups: Callable[[str], str],
+) -> DataFrame:
+    """Tokens, groups and the different pairs of ids that end a group, of every row; `_row` holds for one reading, so save it."""
+    make = _tokenizers(docs, a, b)
+
+    def begin() -> Work:
+        tokenizers = make()
+        memo = Memo(tokenizers)
+
+        def work(ids: list, texts: list[bytes | None], rows: list[int]) -> list:
+            sizes, made, (pairs, times, bounds) = memo.gather([tokenizers.words(t.decode()) if t else [] for t in texts])
+            columns = [lists(v, bounds, T.IntegerType()) for v in (pairs >> ID_BITS, pairs & (1 << ID_BITS) - 1, times)]
+            return [ids, rows, *sizes, list(map(groups, made)), *columns]
 
+        return work
 
-def _arrays(batch: pa.RecordBatch, names: Sequence[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """The flat values of list columns and where each row begins in them."""
-    columns = [batch.column(n) for n in names]
-    bounds = [np.asarray(c.offsets, np.int64) for c in columns]
-    return [np.asarray(c.flatten(), np.int64) for c in columns], [b - b[0] for b in bounds]
+    rows = pick(docs, doc_id=id, text=text).select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("_row"))
+    return map_slices(rows, begin, ALIGNED, slice_rows=BATCH_ROWS)
 
 
-def _pairs(a_ids: np.ndarray, b_ids: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray) -> np.ndarray:
-    """The two tokens that end each group, as one number."""
-    return a_ids[np.cumsum(a_sizes) - 1] << 32 | b_ids[np.cumsum(b_sizes) - 1]
+def _pairs(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs and their times of all rows in a row, and where each row begins."""
+    a_ids, b_ids, times = (np.asarray(batch.column(n).flatten(), np.int64) for n in ("a_ids", "b_ids", "times"))
+    bounds = np.asarray(batch.column("times").offsets, np.int64)
+    return a_ids << ID_BITS | b_ids, times, bounds - bounds[0]
 
 
 def link_counts(aligned: DataFrame) -> DataFrame:
-    """pair (A id in the upper 32 bits, B id in the lower), n (its links over all texts), best (none with that B id has more)."""
+    """pair (A id in the upper bits, B id in the lower ID_BITS), n (its links over all texts), best (none with that B id has more)."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            pairs, n = np.unique(_pairs(*_arrays(batch, batch.schema.names)[0]), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(pairs, pa.int64()), pa.array(n, pa.int64())], names=["pair", "n"])
+            pairs, times, _ = _pairs(batch)
+            order = np.argsort(pairs)
+            begins = np.flatnonzero(np.diff(pairs[order], prepend=-1))
+            n = np.add.reduceat(times[order], begins) if len(begins) else times
+            yield pa.RecordBatch.from_arrays([pa.array(pairs[order][begins], pa.int64()), pa.array(n, pa.int64())], names=["pair", "n"])
 
-    counted = aligned.select("a_ids", "b_ids", "a_sizes", "b_sizes").mapInArrow(count, "pair long, n long")
+    counted = aligned.select("a_ids", "b_ids", "times").mapInArrow(count, "pair long, n long")
     counts = saved(counted.groupBy("pair").agg(F.sum("n").alias("n")), "link-counts")
-    b_id = F.col("pair").bitwiseAND(0xFFFFFFFF)
+    b_id = F.col("pair").bitwiseAND((1 << ID_BITS) - 1)
     # One row per id of B's vocabulary.
     most = counts.groupBy(b_id.alias("_b")).agg(F.max("n").alias("_most"))
     return counts.join(F.broadcast(most), b_id == F.col("_b")).select("pair", "n", (F.col("n") == F.col("_most")).alias("best"))
 
 
-def group_text(a_ids: np.ndarray, b_ids: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray) -> str:
-    """`a1,a2|b1;a3|b2,b3`: ids within a group by commas, A's before B's."""
-    group = np.repeat(np.arange(len(a_sizes)), a_sizes), np.repeat(np.arange(len(b_sizes)), b_sizes)
-    ids = np.empty(len(a_ids) + len(b_ids), np.int64)
-    marks = np.zeros(len(ids), np.int64)
-    # Before an A token stand the B tokens of earlier groups, before a B token also the A tokens of its own group.
-    ids[np.arange(len(a_ids)) + (np.cumsum(b_sizes) - b_sizes)[group[0]]] = a_ids
-    ids[np.arange(len(b_ids)) + np.cumsum(a_sizes)[group[1]]] = b_ids
-    marks[np.cumsum(a_sizes) + np.cumsum(b_sizes) - b_sizes - 1] = 1
-    marks[np.cumsum(a_sizes) + np.cumsum(b_sizes) - 1] = 2
-    return "".join([f"{i}{',|;'[m]}" for i, m in zip(ids.tolist(), marks.tolist())])[:-1]
-
-
-def group_digest(a_ids: np.ndarray, b_ids: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray) -> str:
-    """Hexadecimal sha256 of the groups' text, without tokens an empty string."""
-    return hashlib.sha256(group_text(a_ids, b_ids, a_sizes, b_sizes).encode()).hexdigest() if len(a_ids) else ""
-
-
-def linked_documents(aligned: DataFrame, counts: DataFrame, groups: Callable[..., str] = group_text, head: int = HEAD_PAIRS) -> DataFrame:
-    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups of every row of a saved table of aligned tokens.
-
-    A link is an A and a B token that end together; n_best counts links whose pair is its B id's most frequent one,
-    count_sum adds up the pairs' counts. `groups` makes a text of the groups. `head` pairs go to all tasks.
-    """
+def linked_documents(aligned: DataFrame, counts: DataFrame, head: int = HEAD_PAIRS) -> DataFrame:
+    """The rows of a saved table of aligned documents with n_best and count_sum; `head` pairs go to all tasks."""
     top = counts.orderBy(F.desc("n"), "pair").limit(head).orderBy("pair").toArrow()
     content = aligned.sparkSession.sparkContext.broadcast([
         np.append(top.column("pair").to_numpy(), -1), np.append(top.column("n").to_numpy(), 0), np.append(top.column("best").to_numpy(), False),
@@ -298,54 +332,49 @@ def linked_documents(aligned: DataFrame, counts: DataFrame, groups: Callable[...
     schema = to_arrow_schema(T.StructType.fromDDL(LINKED))
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, times, best = content.value
+        known, counted, best = content.value
         for whole in batches:
             for start in range(0, whole.num_rows, BATCH_ROWS):
                 batch = whole.slice(start, BATCH_ROWS)
-                flat, bounds = _arrays(batch, ("a_ids", "b_ids", "a_sizes", "b_sizes"))
-                pairs = _pairs(*flat)
+                pairs, times, bounds = _pairs(batch)
                 place = np.searchsorted(known[:-1], pairs)
-                found = known[place] == pairs
-                place[~found] = len(known) - 1
-
-                def sums(values: np.ndarray) -> np.ndarray:
-                    return np.diff(np.concatenate([[0], np.cumsum(values)])[bounds[2]])
-
-                text = np.repeat(np.arange(batch.num_rows), np.diff(bounds[2]))[~found]
-                order = np.lexsort((pairs[~found], text))
-                text, rare = text[order], pairs[~found][order]
-                new = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (rare[1:] != rare[:-1])])[:len(rare)])
-                often = np.diff(np.append(new, len(rare)))
-                own = np.searchsorted(text[new], np.arange(batch.num_rows + 1))
-                made = [groups(*[v[b[i]:b[i + 1]] for v, b in zip(flat, bounds)]) for i in range(batch.num_rows)]
-                n_a, n_b, n_groups = (np.diff(b) for b in bounds[:3])
-                columns = [n_a, n_b, n_groups, n_groups, made, sums(best[place]), sums(times[place])]
-                arrays = [pa.array(c, f.type) for c, f in zip(columns, list(schema)[2:])]
-                rests = [pa.ListArray.from_arrays(pa.array(own, pa.int32()), pa.array(v, pa.int64()), type=schema.field("rare_pairs").type) for v in (rare[new], often)]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("_row"), *arrays, *rests], schema=schema)
-
-    linked = saved(aligned.select("doc_id", "_row", "a_ids", "b_ids", "a_sizes", "b_sizes").mapInArrow(link, LINKED), "linked")
+                rare = known[place] != pairs
+                place[rare] = len(known) - 1
+                sums = [np.diff(np.concatenate([[0], np.cumsum(v[place] * times)])[bounds]) for v in (best, counted)]
+                own = np.concatenate([[0], np.cumsum(rare)])[bounds]
+                rests = [lists(v[rare], own, T.LongType()) for v in (pairs, times)]
+                yield pa.RecordBatch.from_arrays([*batch.columns[:6], *[pa.array(s, pa.int64()) for s in sums], *rests], schema=schema)
+
+    linked = saved(aligned.mapInArrow(link, LINKED), "linked")
     rare = linked.select("_row", F.explode(F.arrays_zip("rare_pairs", "rare_times")).alias("_rare"))
     rare = rare.select("_row", F.col("_rare.rare_pairs").alias("pair"), F.col("_rare.rare_times").alias("_times")).join(counts, "pair")
     rests = rare.groupBy("_row").agg(
         F.sum(F.when(F.col("best"), F.col("_times")).otherwise(0)).alias("_best"), F.sum(F.col("n") * F.col("_times")).alias("_sum"),
     )
+    # A group ends with one token of each, which is its link.
     return linked.join(rests, "_row", "left").select(
-        "doc_id", "n_a", "n_b", "n_groups", "n_links", (F.col("head_best") + F.coalesce("_best", F.lit(0))).alias("n_best"),
+        "doc_id", "n_a", "n_b", "n_groups", F.col("n_groups").alias("n_links"), (F.col("head_best") + F.coalesce("_best", F.lit(0))).alias("n_best"),
         (F.col("head_sum") + F.coalesce("_sum", F.lit(0))).alias("count_sum"), "groups",
     )
 
 
 def align_tokenizers(
     docs: DataFrame, a: str | None = None, b: str | None = None, id: str = "doc_id", text: str = "text",
-    groups: Callable[..., str] = group_text, head: int = HEAD_PAIRS,
+    groups: Callable[[str], str] = str, head: int = HEAD_PAIRS,
 ) -> DataFrame:
-    """Both tokenizers' tokens aligned, their id pairs counted, and each row's links judged by the counts.
+    """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups of every row.
 
-    `a` is the path of a byte-level byte-pair file (.json), `b` of a sentencepiece model. Rows without tokens (missing or
-    empty texts, texts whose bytes the tokens do not give back) have zeros and no groups; repeated rows count each time; a missing id
-    stays missing; an empty table gives no rows.
+    A group ends where tokens of both end; its text is `a1,a2|b1`, groups are parted by `;`, and `groups` may make something shorter of
+    a row's text. A link is the A and the B token that end a group; n_best counts the links whose pair of ids is its B id's
+    most frequent one in all texts, count_sum adds up the pairs' counts. `a` is the path of a byte-level byte-pair file
+    (.json), `b` of a sentencepiece model. Rows without tokens (missing or empty texts, texts whose bytes the tokens do not give back)
+    have zeros; repeated rows count each time; a missing id stays missing; an empty table gives no rows.
     """
-    aligned = saved(aligned_tokens(docs, a, b, id, text), "aligned")
+    aligned = saved(aligned_documents(docs, a, b, id, text, groups), "aligned")
     counts = saved(link_counts(aligned), "link-pairs")
-    return linked_documents(aligned, counts, groups, head)
+    return linked_documents(aligned, counts, head)
+
+
+def text_digest(text: str) -> str:
+    """Hexadecimal sha256 of the text, of none an empty string."""
+    return hashlib.sha256(text.encode()).hexdigest() if text else ""

@@ -5,13 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from waymark.llm import oracles
-from waymark.llm.alignment import align_tokenizers, group_digest
+from waymark.llm.alignment import align_tokenizers, text_digest
 from waymark.llm.common import table
 from waymark.llm.decontamination import find_benchmark, items_digest
 from waymark.llm.language import identify_language
 from waymark.llm.language_model import score_documents
+from waymark.llm.manifest import folded, leaf_digest, merkle_manifest
 from waymark.llm.ngram_join import similar_groups
 from waymark.llm.packing import pack_documents
 from waymark.llm.pii import pseudonymise
@@ -66,13 +68,27 @@ def op10_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op11_alignment(spark: SparkSession, sf: str) -> DataFrame:
-    return align_tokenizers(table(spark, sf, "documents"), groups=group_digest).withColumnRenamed("groups", "groups_sha256")
+    return align_tokenizers(table(spark, sf, "documents"), groups=text_digest).withColumnRenamed("groups", "groups_sha256")
 
 
 def op12_window_packing(spark: SparkSession, sf: str) -> DataFrame:
     return pack_windows(table(spark, sf, "documents"))
 
 
+def manifest_check(docs: DataFrame) -> DataFrame:
+    """The manifest of documents, and the roots to which their leaves lead after every seventh id's n_chars was raised by one."""
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    tampered = [F.col("n_chars") + 1 if f == "n_chars" else f for f in fields]
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    changed = F.when(chosen, leaf_digest(tampered)).otherwise(leaf_digest(fields))
+    found = folded(merkle_manifest(docs, fields, keep=changed), "kept")
+    return found.select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    return manifest_check(table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Job] = {
     "op1_ngram_join": op1_ngram_join,
     "op2_sharding": op2_sharding,
@@ -86,6 +102,7 @@ QUERIES: dict[str, Job] = {
     "op10_packing": op10_packing,
     "op11_alignment": op11_alignment,
     "op12_window_packing": op12_window_packing,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
