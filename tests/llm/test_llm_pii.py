@@ -41,11 +41,21 @@ def test_query_replaces_every_planted_value(spark, sf, documents):
 
 
 def test_odd_rows(edge, empty):
-    rows = pseudonymise(edge, keep=True).collect()
+    rows = pseudonymise(edge, "k", keep=True).collect()
     assert Counter((r["doc_id"], r["text"]) for r in rows if not r["n_replaced"]) == Counter(
         (r["doc_id"], r["text"]) for r in edge.collect())
-    assert pseudonymise(edge, keep=True).select("_doc.*").columns == edge.columns
-    assert pseudonymise(empty).collect() == []
+    assert pseudonymise(edge, "k", keep=True).select("_doc.*").columns == edge.columns
+    assert pseudonymise(empty, "k").collect() == []
+
+
+def test_no_key_is_refused(spark, edge):
+    with pytest.raises(ValueError, match="key"):
+        pseudonymise(edge)
+    spark.conf.set("spark.waymark.pseudonym.key", "from the option")
+    try:
+        assert pseudonymise(edge).count() == edge.count()
+    finally:
+        spark.conf.unset("spark.waymark.pseudonym.key")
 
 
 @pytest.mark.parametrize(("base", "length"), [(10, 1), (10, 2), (10, 3), (26, 2), (256, 2), (2, 9)])

@@ -100,6 +100,6 @@ def test_entry_points_have_every_query():
     names = entry_points.queries()
     assert {"pipeline"} | {n for n in names if n.startswith("op")} == {
         "pipeline", "op1_ngram_join", "op2_sharding", "op3_lm_scoring", "op4_quality", "op5_language", "op6_decontamination", "op7_pii",
-        "op8_token_counts", "op9_substrings", "op10_packing",
+        "op8_token_counts", "op9_substrings", "op10_packing", "op11_alignment", "op12_window_packing", "op13_merkle_manifest",
     }
     assert set(entry_points.oracle_sql()) <= set(names)

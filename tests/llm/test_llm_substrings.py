@@ -91,3 +91,27 @@ def test_an_insertion_moves_only_near_cuts():
         return {data[a:b] for a, b in zip([0, *ends], ends)}
 
     assert len(chunks(text) - chunks(changed)) <= 6
+
+
+def test_rows_keep_their_numbers_when_cores_come_and_go(spark, documents, tmp_path, monkeypatch):
+    """A scan is split anew when executors are lost between two jobs."""
+    from waymark.llm import substrings
+
+    path = str(tmp_path / "documents")
+    documents.repartition(12).write.parquet(path)
+    setting, cores = "spark.sql.leafNodeDefaultParallelism", iter([3, 5, 2, 7, 3, 4, 6, 2, 5, 3])
+    plain = {(r["doc_id"], r["text"], r["n_removed"]) for r in remove_repeats(spark.read.parquet(path)).collect()}
+    own = substrings.saved
+
+    def saved(df, name):
+        out = own(df, name)
+        spark.conf.set(setting, next(cores))
+        return out
+
+    monkeypatch.setattr(substrings, "saved", saved)
+    try:
+        spark.conf.set(setting, 4)
+        moved = {(r["doc_id"], r["text"], r["n_removed"]) for r in remove_repeats(spark.read.parquet(path)).collect()}
+    finally:
+        spark.conf.unset(setting)
+    assert sum(n for _, _, n in moved) == sum(n for _, _, n in plain) and len(moved ^ plain) <= 0.02 * len(plain)

@@ -247,6 +247,8 @@ def find_benchmark(
     rows = pick(docs, keep, doc_id=id, text=text).select(
         F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("_row"), *(["_doc"] if keep else [])
     )
+    # The numbers follow the splits of the scan, which follow the cores alive; where the rows are read more than once they are made once.
+    rows = saved(rows, "numbered") if blocks > 1 else rows
     # An item of more than a block would be a block of its own.
     numbered = saved(tests, "benchmark") if blocks > 1 else tests
     parts = []

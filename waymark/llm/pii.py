@@ -23,7 +23,6 @@ from waymark.llm.common import Work, map_slices, pick
 ROUNDS = 10
 MEMO_VALUES = 200_000
 KEY_OPTION = "spark.waymark.pseudonym.key"
-DEFAULT_KEY = "waymark pseudonyms"
 FIRST_DAY, PAST_DAY = dt.date(1900, 1, 1).toordinal(), dt.date(2100, 1, 1).toordinal()
 SCHEMA = "doc_id long, text string, n_replaced long, spans array<struct<kind:string,start:int,past:int>>"
 
@@ -320,10 +319,13 @@ class Pseudonyms:
 def pseudonymise(docs: DataFrame, key: str | None = None, id: str = "doc_id", text: str = "text", keep: bool = False) -> DataFrame:
     """doc_id, text with pseudonyms, n_replaced and spans (kind, start, past; code points of the original) of every row.
 
-    The key comes from the argument or the option spark.waymark.pseudonym.key. Map-only. Missing texts stay missing,
+    The key comes from the argument or the option spark.waymark.pseudonym.key; without one a ValueError is raised, since anyone could undo
+    pseudonyms of a key that stands in the source. Map-only. Missing texts stay missing,
     empty ones empty, both without spans; texts without a valid value are unchanged. Equal rows give equal rows. With `keep` the row as it was is a last column `_doc`.
     """
-    secret = (key or docs.sparkSession.conf.get(KEY_OPTION, DEFAULT_KEY)).encode()
+    secret = (key or docs.sparkSession.conf.get(KEY_OPTION, "")).encode()
+    if not secret:
+        raise ValueError(f"pseudonyms need a key: an argument or the option {KEY_OPTION}")
 
     def begin() -> Work:
         pseudonyms = Pseudonyms(secret)

@@ -16,7 +16,7 @@ from waymark.llm.language_model import score_documents
 from waymark.llm.manifest import folded, leaf_digest, merkle_manifest
 from waymark.llm.ngram_join import similar_groups
 from waymark.llm.packing import pack_documents
-from waymark.llm.pii import pseudonymise
+from waymark.llm.pii import KEY_OPTION, pseudonymise
 from waymark.llm.quality import clean_lines
 from waymark.llm.sharding import shard_documents
 from waymark.llm.substrings import remove_repeats
@@ -25,6 +25,9 @@ from waymark.llm.window_packing import pack_windows
 
 Job = Callable[[SparkSession, str], DataFrame]
 
+# For trial runs of the query on generated tables; a real run sets the option.
+TRIAL_KEY = "trial"
+
 
 def op1_ngram_join(spark: SparkSession, sf: str) -> DataFrame:
     return similar_groups(table(spark, sf, "documents"), shingle=3, percent=90).drop("class_id")
@@ -52,7 +55,7 @@ def op6_decontamination(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_pii(spark: SparkSession, sf: str) -> DataFrame:
-    return pseudonymise(table(spark, sf, "documents"))
+    return pseudonymise(table(spark, sf, "documents"), spark.conf.get(KEY_OPTION, TRIAL_KEY))
 
 
 def op8_token_counts(spark: SparkSession, sf: str) -> DataFrame:

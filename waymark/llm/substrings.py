@@ -100,7 +100,8 @@ def repeated_chunks(chunks: DataFrame) -> DataFrame:
     found = map_slices(chunks.select("doc_id", "_row", "digests", "ends"), begin, "doc_id long, _row long, digest long, first int, past int")
     found = saved(found.join(repeated, "digest"), "repeated-chunks")
     place = F.struct(F.col("doc_id").isNull().alias("lost"), "doc_id", "_row", "first")
-    kept = found.groupBy("digest").agg(F.min(place).alias("_kept"))
+    # Saved, so that the join has two plain shuffles and Spark may split a digest that is most of the rows.
+    kept = saved(found.groupBy("digest").agg(F.min(place).alias("_kept")), "kept-chunks")
     later = found.join(kept, "digest").where((F.col("_row") != F.col("_kept._row")) | (F.col("first") != F.col("_kept.first")))
     return later.select("_row", "first", "past")
 
@@ -133,7 +134,9 @@ def remove_repeats(docs: DataFrame, least_bytes: int = LEAST_SPAN, id: str = "do
     Missing texts stay missing, empty ones empty; neither has spans. Of repeated rows all but one lose their whole text
     where it is long enough. A missing id counts as the greatest.
     """
-    rows = pick(docs, doc_id=id, text=text).select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("_row"))
+    numbered = pick(docs, doc_id=id, text=text).select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("_row"))
+    # The numbers follow the splits of the scan, which follow the cores alive; they are made once.
+    rows = saved(numbered, "numbered")
     chunks = saved(chunk_texts(rows), "chunks")
     spans = saved(long_spans(repeated_chunks(chunks), least_bytes), "spans")
 
