@@ -1,7 +1,7 @@
 """The corpus pipeline: documents through five operators of waymark.llm, one Parquet table per stage.
 
 Each stage takes (spark, docs, sf_dir) and returns rows with the columns of `docs`, the last one the packed pieces.
-Stages read a table, which gives the same rows in the same order whenever it is read.
+Spark splits a scan by the cores alive, so a stage that needs row numbers saves the rows with them.
 """
 
 from __future__ import annotations
@@ -16,7 +16,8 @@ from waymark.llm.decontamination import find_benchmark
 from waymark.llm.language import UNKNOWN, identify_language
 from waymark.llm.ngram_join import similar_groups
 from waymark.llm.packing import pack_documents
-from waymark.llm.pii import pseudonymise
+from waymark.llm.pii import KEY_OPTION, pseudonymise
+from waymark.llm.queries import TRIAL_KEY
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -35,7 +36,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     row = "_row"
     while row in (c.lower() for c in docs.columns):
         row = f"_{row}"
-    numbered = docs.withColumn(row, F.monotonically_increasing_id())
+    numbered = saved(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-numbered")
     groups = similar_groups(numbered, id=row)
     copies = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(row))
     return numbered.join(copies, row, "left_anti").drop(row)
@@ -49,7 +50,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, with pseudonyms in their texts; where n_chars was the text's length it follows the new text."""
-    fresh = pseudonymise(docs, keep=True)
+    fresh = pseudonymise(docs, spark.conf.get(KEY_OPTION, TRIAL_KEY), keep=True)
     columns = {c: F.col(f"_doc.`{c}`") for c in docs.columns}
     if "n_chars" in columns:
         kind = docs.schema["n_chars"].dataType
