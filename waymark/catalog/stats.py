@@ -7,11 +7,12 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from waymark.catalog.pieces import bootstrap_steps, time_sql, time_text
+from waymark.catalog.pieces import bootstrap_steps, poisson_sql, time_sql, time_text
 from waymark.catalog.registry import query
 from waymark.fixtures import read_table, view
 from waymark.functions.text import parse_dmy, run_label
 from waymark.operators.ordering import running_sum
+from waymark.operators.quantiles import CELLS as QUANTILE_CELLS, SLOTS, quantile_ci, quantile_replicates
 from waymark.operators.snapshots import growth_snapshots, indicator_year, on_dates
 from waymark.operators.stats import bootstrap_ci, bootstrap_replicates
 
@@ -64,6 +65,34 @@ def _counts(spark: SparkSession, sf: str) -> DataFrame:
     return bootstrap_replicates(events, "event_id", "high", "count", TIMES).withColumn("estimate", F.round("estimate", 4))
 
 
+def quantile_steps(q: float) -> dict[str, str]:
+    """Replicates of a quantile of the events' values over all slots between the least and the greatest."""
+    draw = "substr(md5(concat(CAST(cell AS VARCHAR), '-', CAST(t // 4 AS VARCHAR), '-0')), CAST(1 + 8 * (t % 4) AS INTEGER), 8)"
+    return {
+        "bounds": "SELECT min(value) AS low, max(value) AS high FROM events",
+        "placed": f"""SELECT CAST(concat('0x', substr(md5(CAST(event_id AS VARCHAR)), 1, 8)) AS BIGINT) % {QUANTILE_CELLS} AS cell,
+least(CAST(floor((value - low) / (high - low) * {SLOTS}) AS INTEGER), {SLOTS - 1}) AS slot FROM events, bounds""",
+        "weights": f"SELECT cell, t, {poisson_sql(draw)} AS w FROM (SELECT DISTINCT cell FROM placed), (SELECT unnest(range({TIMES})) AS t)",
+        "slots": "SELECT t, slot, CAST(sum(w * n) AS DOUBLE) AS w FROM (SELECT cell, slot, count(*) AS n FROM placed GROUP BY ALL) JOIN weights USING (cell) GROUP BY t, slot HAVING sum(w * n) > 0",
+        "summed": "SELECT *, sum(w) OVER (PARTITION BY t ORDER BY slot) AS past, sum(w) OVER (PARTITION BY t) AS total FROM slots",
+        "replicates": f"""SELECT t AS replicate, low + (slot + ({q} * total - (past - w)) / w) * ((high - low) / {SLOTS}) AS estimate
+FROM (SELECT * FROM summed WHERE past >= {q} * total QUALIFY row_number() OVER (PARTITION BY t ORDER BY slot) = 1), bounds""",
+    }
+
+
+@query("bootstrap_median", [], "SELECT CAST(replicate AS INTEGER) AS replicate, round(estimate, 6) AS estimate FROM replicates", quantile_steps(0.5))
+def _median(spark: SparkSession, sf: str) -> DataFrame:
+    return quantile_replicates(_events(spark, sf), "event_id", "value", times=TIMES).withColumn("estimate", F.round("estimate", 6))
+
+
+@query("bootstrap_quantile_ci", [], f"""
+SELECT round(quantile_cont(estimate, {LOW}), 6) AS lower_bound, round(quantile_cont(estimate, {LOW + 0.9}), 6) AS upper_bound
+FROM replicates""", quantile_steps(0.9))
+def _quantile_interval(spark: SparkSession, sf: str) -> DataFrame:
+    bounds = quantile_ci(_events(spark, sf), "event_id", "value", 0.9, times=TIMES)
+    return bounds.select(*[F.round(c, 6).alias(c) for c in bounds.columns])
+
+
 # The hour makes many events equal in the index.
 HOURLY = "(SELECT *, date_trunc('hour', ts) AS hour FROM events)"
 
