@@ -48,6 +48,14 @@ def _lookup(spark: SparkSession, sf: str) -> DataFrame:
     return locate(_points(spark, sf), view(spark, sf, "areas")).select("id", "lat", "lon", "area_id", "area_name")
 
 
+@query("reverse_lookup_date_line", ["ocean_points", "ocean_areas"], """
+SELECT id, p.lat, p.lon, area_id, area_name FROM ocean_points p JOIN ocean_areas a ON p.lat >= min_lat AND p.lat < max_lat
+  AND (p.lon + 360) % 360 >= min_lon AND (p.lon + 360) % 360 < (max_lon + 360) % 360""")
+def _lookup_ocean(spark: SparkSession, sf: str) -> DataFrame:
+    located = locate(view(spark, sf, "ocean_points"), view(spark, sf, "ocean_areas"))
+    return located.select("id", "lat", "lon", "area_id", "area_name")
+
+
 @query("provider_fanout", ["points", "provider_responses"], """
 SELECT f.*, r.results FROM fanned f
 LEFT JOIN provider_responses r ON f.provider_id = r.provider_id AND f.lat = r.lat AND f.lon = r.lon""", {"fanned": FANNED})

@@ -87,6 +87,17 @@ SELECT n_nationkey AS area_id, n_name AS area_name,
   CAST(-90 + CAST(floor(n_nationkey / 5) AS INT) * 6 AS DOUBLE) AS min_lon, CAST(-84 + CAST(floor(n_nationkey / 5) AS INT) * 6 AS DOUBLE) AS max_lon
 FROM nation""")
 
+# Points on both sides of the date line and boxes across it, some with bounds beyond it.
+VIEWS["ocean_points"] = ([], """
+SELECT event_id AS id, CAST(-20 + event_id % 41 AS DOUBLE) + 0.25 AS lat,
+  CASE WHEN event_id % 50 = 7 THEN 180.0 WHEN user_id % 2 = 0 THEN CAST(170 + event_id % 10 AS DOUBLE) + 0.5 ELSE CAST(-180 + event_id % 10 AS DOUBLE) + 0.5 END AS lon
+FROM events""")
+
+VIEWS["ocean_areas"] = ([], """
+SELECT n_nationkey AS area_id, n_name AS area_name, CAST(-20 + n_nationkey AS DOUBLE) AS min_lat, CAST(-10 + 2 * n_nationkey AS DOUBLE) AS max_lat,
+  CAST(171 + n_nationkey % 9 AS DOUBLE) AS min_lon, CAST(CASE WHEN n_nationkey % 3 = 0 THEN 182 + n_nationkey % 7 ELSE -178 + n_nationkey % 7 END AS DOUBLE) AS max_lon
+FROM nation""")
+
 # Boxes of the map providers: they differ by provider, lie in each other by level, and belong to a country.
 VIEWS["provider_areas"] = ([], " UNION ALL ".join(f"""
 SELECT '{provider}' AS provider_id, concat('N', CAST(n_nationkey % 7 AS STRING)) AS country, n_nationkey * 10 + {number} AS area_id,

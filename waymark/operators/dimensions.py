@@ -10,7 +10,8 @@ from pyspark.sql import types as T
 
 from waymark.functions.text import pipe_items
 from waymark.operators.filters import Names, as_names
-from waymark.operators.joins import dimension_join, salted_join
+from waymark.operators.joins import dimension_join, fits_broadcast, salted_join
+from waymark.session import saved
 
 # Field names kept as a literal map; a larger list is joined.
 LITERAL_FIELDS = 512
@@ -119,9 +120,11 @@ def decode_fields_join(
     """As `decode_fields`, for any number of field names.
 
     Each distinct list is decoded once: its items meet the names in a join and are put together again in
-    their order. The logs then look their list up, hot lists (such as the empty one) apart.
+    their order. The logs then look their list up: broadcast while the measured lists allow it, else with hot lists (such as the empty one) apart.
     """
-    lists = df.where(F.col("populated_fields").isNotNull()).groupBy("populated_fields").agg(F.count(F.lit(1)).alias("_rows"))
+    counted = df.where(F.col("populated_fields").isNotNull()).groupBy("populated_fields").agg(F.count(F.lit(1)).alias("_rows"))
+    # Counted once; a stream's lists cannot be.
+    lists = counted if df.isStreaming else saved(counted, "coded-lists")
     items = lists.select(
         "populated_fields", F.posexplode_outer(pipe_items(F.col("populated_fields"))).alias("_pos", "_id")
     )
@@ -134,4 +137,6 @@ def decode_fields_join(
     lookup = decoded.select(
         "populated_fields", F.array_join("_names", "|").alias("components"), F.size("_names").alias("number_components")
     )
+    if not df.isStreaming and fits_broadcast(lists):
+        return df.join(F.broadcast(lookup), "populated_fields", "left")
     return salted_join(df, lookup, ["populated_fields"], "left", lists, spread_by)
