@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import os
 from collections import Counter
 
@@ -10,10 +11,14 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import bag, plan
+from waymark.operators.dedup import dedup_count
 from waymark.plans.geocoding import geocode_file
 from waymark.plans.preprocess import preprocess, preprocess_file
+from waymark.sources.records import get_records, put_record
 from waymark.sources.sinks import write_country_results, write_country_samples, write_results
 from waymark.sources.tables import path_format, read_by_format, scan_logs
+from waymark.streaming import retry
+from waymark.streaming.counts import count_requests, request_counts
 from waymark.streaming.parse import parse_stream
 from waymark.streaming.retry import client_filler, fill_if_null, read_rounds, retry_until_filled, start_unanswered
 from waymark.streaming.sinks import append_stream, read_saved, read_stream
@@ -175,8 +180,142 @@ def test_rounds_are_kept_where_asked(spark, tmp_path):
     rounds = retry_until_filled(pois(spark, 4), answers_from(spark, 1), max_rounds=1, folder=str(tmp_path / "r"))
     assert rounds.folder == str(tmp_path / "r")
     assert read_saved(spark, str(tmp_path / "r" / "rows" / "round=1")).where("api_status = 1").count() == 3
-    with pytest.raises(Exception, match="already exists"):
-        retry_until_filled(pois(spark, 4), answers_from(spark, 1), folder=str(tmp_path / "r"))
+
+
+class Broken(Exception):
+    pass
+
+
+@pytest.mark.parametrize("at", [0, 4])
+def test_a_broken_run_goes_on(spark, tmp_path, at, monkeypatch):
+    """The driver's loop ends inside round 2, before its first micro-batch or between two of them."""
+    df = pois(spark, 30).repartition(4)
+    whole = retry_until_filled(df, answers_from(spark), stop_when_idle=True, files_per_batch=1)
+    folder, asked, batches = str(tmp_path / "rounds"), [], [0]
+    own = retry._save_batch
+
+    def save(rows, root, number, batch):
+        if number == 2:
+            batches[0] += 1
+            if at == 0 or batches[0] == 3:
+                raise Broken
+        lines = own(rows, root, number, batch)
+        asked.extend((number, r["reference_id"]) for r in rows.collect())
+        return lines
+
+    monkeypatch.setattr(retry, "_save_batch", save)
+    with pytest.raises(Exception, match="Broken"):
+        retry_until_filled(df, answers_from(spark), stop_when_idle=True, files_per_batch=1, folder=folder)
+    before = len(asked)
+    assert (len(asked) > 30 + 30) == (at > 0)
+    monkeypatch.setattr(retry, "_save_batch", lambda rows, root, number, batch: asked.extend(
+        (number, r["reference_id"]) for r in rows.collect()) or own(rows, root, number, batch))
+    rounds = retry_until_filled(df, answers_from(spark), stop_when_idle=True, files_per_batch=1, folder=folder)
+    assert len(asked) == len(set(asked)) and not {n for n, _ in asked[before:]} & {0, 1}
+    assert (rounds.count, rounds.remaining, rounds.reports) == (whole.count, whole.remaining, whole.reports)
+    assert bag(read_rounds(df, rounds).withColumn("apiResults", F.to_json("apiResults"))) == bag(
+        read_rounds(df, whole).withColumn("apiResults", F.to_json("apiResults")))
+    # Nothing is left to do: a third call asks nobody.
+    done = len(asked)
+    again = retry_until_filled(df, answers_from(spark), stop_when_idle=True, folder=folder)
+    assert len(asked) == done and again.reports == whole.reports
+
+
+def test_a_first_write_that_broke_off_is_made_again(spark, tmp_path):
+    folder = str(tmp_path / "rounds")
+    pois(spark, 2).write.parquet(f"{folder}/rows/round=0/batch=0")
+    rounds = retry_until_filled(pois(spark, 4), answers_from(spark, 1), stop_when_idle=True, folder=folder)
+    assert read_rounds(pois(spark, 4), rounds).count() == 4
+
+
+def test_records(spark, tmp_path):
+    folder = str(tmp_path / "records")
+    assert get_records(spark, folder) == {}
+    put_record(spark, folder, "a", {"n": 1})
+    put_record(spark, folder, "a", {"n": 2})
+    put_record(spark, folder, "b", {"n": 3})
+    assert get_records(spark, folder) == {"a": {"n": 2}, "b": {"n": 3}}
+
+
+def counting_client(folder, width):
+    """A client that fails for every seventh name, answers later for smaller ones, and notes how many calls run at a time."""
+
+    def make():
+        import os
+        import time
+
+        def ask(row):
+            mark = os.path.join(folder, row["name"])
+            open(mark, "w").close()
+            assert len(os.listdir(folder)) <= width, "too many calls"
+            time.sleep(0.002 * (20 - int(row["name"][1:]) % 20))
+            os.remove(mark)
+            if int(row["name"][1:]) % 7 == 0:
+                raise TimeoutError(row["name"])
+            return [{"id": row["name"]}]
+
+        return ask
+
+    return make
+
+
+@pytest.mark.parametrize("width", [1, 6])
+def test_calls_in_flight(spark, tmp_path, width):
+    rows = start_unanswered(pois(spark, 60).coalesce(1))
+    filler = client_filler(counting_client(str(tmp_path), width), ["name"], in_flight=width, failures=(TimeoutError,))
+    got = {r["name"]: r["apiResults"] for r in fill_if_null(rows, filler).collect()}
+    assert got == {f"p{i}": [{"id": f"p{i}"}] if i % 7 else None for i in range(60)}
+
+
+def test_other_failures_of_a_client_end_the_task(spark, tmp_path):
+    filler = client_filler(counting_client(str(tmp_path), 4), ["name"], failures=(ConnectionError,))
+    with pytest.raises(Exception, match="TimeoutError"):
+        fill_if_null(start_unanswered(pois(spark)), filler).collect()
+    with pytest.raises(ValueError):
+        client_filler(even_names(), ["name"], in_flight=0)
+
+
+DAY = "2024-01-{:02d} {:02d}:00:00"
+
+
+def deliveries(spark):
+    """Requests a and b by day; the second delivery brings one row in time and one late, the third a late one."""
+    rows = [
+        [("a", 1, 1), ("a", 1, 2), ("b", 2, 3), ("a", 5, 4)],
+        [("a", 2, 5), ("a", 4, 6), ("b", 5, 7), ("b", 8, 8), (None, 8, 9)],
+        [("b", 6, 1), ("b", 7, 2), ("a", 8, 3), ("a", None, 0)],
+    ]
+    made = [[(q, None if day is None else DAY.format(day, hour)) for q, day, hour in part] for part in rows]
+    return [spark.createDataFrame(part, "searched_query string, t string").select(
+        "searched_query", F.col("t").cast("timestamp_ntz").alias("client_received_start_timestamp")) for part in made]
+
+
+def test_counts_of_a_log_that_arrives(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    left_out = []
+    for part in deliveries(spark):
+        part.write.mode("append").parquet(source)
+        left_out.append(count_requests(read_stream(spark, source, part.schema), out, state))
+    got = {r["searched_query"]: r["search_query_counts"] for r in request_counts(spark, out, part.schema).collect()}
+    # On the 5th the 3rd is over, less a day; on the 8th the 6th.
+    assert got == {"a": 2 + 1 + 1 + 1, "b": 1 + 1 + 1 + 1, None: 1}
+    assert left_out == [0, 1, 1]
+    # A run without new rows changes nothing, and neither does a micro-batch written again.
+    count_requests(read_stream(spark, source, part.schema), out, state)
+    assert {r["searched_query"]: r["search_query_counts"] for r in request_counts(spark, out, part.schema).collect()} == got
+    kept = {os.path.basename(p): spark.read.parquet(p).count() for p in glob.glob(f"{out}/batch=*")}
+    assert len(kept) >= 3 and max(kept.values()) <= 4
+
+
+def test_counts_of_a_log_in_time_are_those_of_the_table(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("in", "out", "state"))
+    logs = spark.range(200).select(
+        (F.col("id") % 7).cast("string").alias("searched_query"), (F.col("id") % 3).cast("string").alias("countryName"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, cast(id % 50 as int))").alias("client_received_start_timestamp"),
+    )
+    logs.repartition(5).write.parquet(source)
+    count_requests(read_stream(spark, source, logs.schema, files_per_batch=2), out, state, late="90 days")
+    assert bag(request_counts(spark, out, logs.schema)) == bag(dedup_count(logs))
 
 
 def test_rounds_over_an_empty_table(spark):

@@ -45,6 +45,47 @@ def test_locate_against_brute_force(spark, request, hot):
     assert max(r["count"] for r in cells) <= 4
 
 
+def around(lon):
+    return (lon + 180) % 360 - 180
+
+
+def test_boxes_across_the_date_line_and_at_the_poles(spark):
+    draw = random.Random(11)
+    areas = [(0, "line", -1.0, 1.0, 179.9, -179.9), (1, "beyond", -1.0, 1.0, 179.0, 181.0), (2, "globe", -90.0, 90.0, -180.0, 180.0),
+             (3, "turn", 0.0, 1.0, -200.0, 200.0), (4, "pole", 89.0, 90.0, 0.0, 90.0), (5, "edge", -1.0, 1.0, 170.0, 180.0),
+             (6, "lost", None, 1.0, 0.0, 1.0), (7, "empty", 0.0, 0.0, 1.0, 2.0), (8, "west", -1.0, 1.0, -190.0, -170.0)]
+    for i in range(10, 60):
+        low, left, width = draw.uniform(-90, 80), draw.uniform(-180, 180), draw.choice([0.01, 0.5, 7.0, 200.0])
+        areas.append((i, "a", low, low + draw.choice([0.01, 3.0, 10.0]), left, around(left + width)))
+    points = [(i, draw.uniform(-90, 90), draw.choice([-1, 1]) * draw.uniform(160, 180)) for i in range(400)]
+    points += [(400, 0.0, 180.0), (401, 0.0, -180.0), (402, 90.0, 10.0), (403, 0.5, 179.95), (404, 0.5, -179.95), (405, None, 1.0), (406, 0.5, 185.0), (407, -90.0, 5.0)]
+
+    def inside(p, a):
+        if p[1] is None or a[2] is None:
+            return False
+        if not (a[2] <= p[1] < a[3] or a[3] >= 90 and p[1] == 90):
+            return False
+        x, west, east = around(p[2]), a[4], a[5]
+        if east - west >= 360:
+            return True
+        span = (east - west) % 360 if east != west else 0
+        return (x - west) % 360 < span
+
+    expected = Counter((p[0], a[0]) for p in points for a in areas if inside(p, a))
+    boxes = spark.createDataFrame(areas, AREA)
+    made = locate(spark.createDataFrame(points, "id int, lat double, lon double"), boxes)
+    assert made.columns == ["id", "lat", "lon", "area_id", "area_name", "min_lat", "max_lat", "min_lon", "max_lon"]
+    assert bag(made, "id", "area_id") == expected
+    assert {(403, 0), (404, 0), (400, 0), (401, 1), (402, 4)} <= set(expected)
+    assert max(r["count"] for r in area_cells(boxes).groupBy("area_id").count().collect()) <= 8
+
+
+def test_upside_down_boxes_are_refused(spark):
+    boxes = spark.createDataFrame([(1, "a", 2.0, 1.0, 0.0, 1.0)], AREA)
+    with pytest.raises(Exception, match="min_lat above max_lat"):
+        locate(points(spark).drop("country"), boxes).collect()
+
+
 def test_small_boxes_share_no_large_cell(spark):
     tiles = [(i * 50 + j, "t", i / 100, (i + 1) / 100, j / 100, (j + 1) / 100) for i in range(50) for j in range(50)]
     cells = area_cells(spark.createDataFrame(tiles, AREA)).groupBy("_level", "_lat", "_lon").count()
