@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import hashlib
+import os
 import random
 from collections import Counter, defaultdict
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import bag
+from helpers import bag, plan
 from waymark.operators import filters as f
 from waymark.operators import ranking
 from waymark.operators.backfill import adaptive_backfill, window_edges
@@ -20,6 +23,7 @@ from waymark.operators.dimensions import (
 )
 from waymark.operators.ranking import first_n, order_by_count, random_sample
 from waymark.plans.sampling import finish_sample, sample_logs, sample_name
+from waymark.sources.sinks import write_log_by_day
 
 NOW = dt.datetime(2024, 1, 31)
 SPELLINGS = "country_code string, spelling string"
@@ -236,6 +240,23 @@ def test_missing_developer_column_is_added(spark):
     assert "developer_email" in finish_sample(df, fields(spark)).columns
 
 
+@pytest.mark.parametrize("by", [[], ["country"]])
+def test_a_small_sample_is_one_scan(spark, by, tmp_path):
+    """Both ways take the same rows; the small one reads the table once and shuffles few rows of a task."""
+    path = str(tmp_path / "rows")
+    spark.range(20_000).select(F.when(F.col("id") % 3 > 0, "hot").when(F.col("id") % 9 == 0, None).otherwise("few").alias("country"), F.col("id")).repartition(6).write.parquet(path)
+    rows = spark.read.parquet(path)
+    small = random_sample(rows, 40, 5, by, ["id"])
+    text = plan(small)
+    assert text.count("Scan parquet") == 2 and ("WindowGroupLimit" in text or "TakeOrderedAndProject" in text)
+    own, ranking.TASK_ROWS = ranking.TASK_ROWS, 0
+    try:
+        large = random_sample(rows, 40, 5, by, ["id"])
+        assert bag(large) == bag(small) and small.count() == (40 * 3 if by else 40)
+    finally:
+        ranking.TASK_ROWS = own
+
+
 def test_sample_names():
     assert sample_name(True, dt.date(2022, 11, 9)) == "complete_responses_09-11-2022"
     assert sample_name(False, dt.date(2022, 11, 9)) == "incomplete_responses_09-11-2022"
@@ -265,6 +286,78 @@ def test_backfill_against_brute_force(spark, sample, countries):
     assert bag(got, "window_id", "searched_query", COUNT) == backfilled(rows, sample, 30)
 
 
+def many_countries(spark):
+    """Countries that fill from the first window, later, never, and one that has only old rows."""
+    draw = random.Random(6)
+    rows = [("ES", draw.uniform(15, 30), draw.choice("abcdefghij")) for _ in range(400)]
+    rows += [("FR", draw.uniform(19, 30), draw.choice("abcdefgh")) for _ in range(150)]
+    rows += [("IT", draw.uniform(15, 30), draw.choice("ab")) for _ in range(9)] + [("PT", draw.uniform(28, 30), draw.choice("abcd")) for _ in range(40)]
+    made = [(c, NOW - dt.timedelta(days=d), q) for c, d, q in rows]
+    return made, spark.createDataFrame(made, f"country string, {f.TIMESTAMP} timestamp_ntz, searched_query string")
+
+
+@pytest.mark.parametrize("countries", [None, 4, 30])
+@pytest.mark.parametrize("deduplicate", [True, False])
+def test_backfill_of_several_countries(spark, countries, deduplicate):
+    rows, df = many_countries(spark)
+    got = adaptive_backfill(df, NOW, 7, 30, countries, deduplicate=deduplicate, id_columns=None if deduplicate else [f.TIMESTAMP])
+    for country in ("ES", "FR", "IT", "PT"):
+        own = [(ts, q) for c, ts, q in rows if c == country]
+        if deduplicate:
+            assert bag(got.where(F.col("country") == country), "window_id", "searched_query", COUNT) == backfilled(own, 7, 30)
+        else:
+            edges = window_edges(NOW, 30)
+            want, held = {}, 0
+            for number, (newer, older) in enumerate(zip(edges, edges[1:])):
+                n = min(7, sum(older <= ts < newer for ts, _ in own))
+                if n and held < 7:
+                    want[number], held = n, held + n
+            assert Counter(r["window_id"] for r in got.where(F.col("country") == country).collect()) == want
+
+
+def test_backfill_does_not_read_old_days(spark, tmp_path):
+    """Folders of days that no country needs hold files that cannot be read."""
+    _, df = many_countries(spark)
+    few = df.where("country = 'ES'")
+    path = str(tmp_path / "log")
+    write_log_by_day(few.withColumn("countryName", F.lit("Spain")), path)
+    want = bag(adaptive_backfill(few, NOW, 7, 30, 1))
+    # The first window of the sample reaches back to the sixteenth day.
+    for folder in glob.glob(f"{path}/{f.DAY}=*"):
+        if dt.date.fromisoformat(folder.rsplit("=")[1]) < (NOW - dt.timedelta(days=17)).date():
+            for file in glob.glob(f"{folder}/*.parquet"):
+                with open(file, "wb") as out:
+                    out.write(b"not parquet")
+                os.remove(f"{folder}/.{os.path.basename(file)}.crc")
+    logs_by_day = spark.read.schema(few.withColumn("countryName", F.lit("Spain")).withColumn(f.COUNTRY_NAME, F.lit("x")).withColumn(f.DAY, F.current_date()).schema).parquet(path)
+    got = adaptive_backfill(logs_by_day.drop("countryName", f.COUNTRY_NAME), NOW, 7, 30, 1, day=f.DAY)
+    assert bag(got) == want
+    with pytest.raises(Exception, match="(?i)parquet"):
+        logs_by_day.select("searched_query").collect()
+
+
+def test_a_log_by_day_is_pruned(spark, tmp_path):
+    path = str(tmp_path / "log")
+    logs_ = spark.range(60_000).select(
+        F.col("id"), F.concat(F.lit("Land "), (F.col("id") % 40).cast("string")).alias("countryName"), F.sha2(F.col("id").cast("string"), 256).alias("searched_query"),
+        F.when(F.col("id") % 997 == 0, None).otherwise(F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_interval(0, 0, 0, cast(id % 4 as int), cast(id % 24 as int))")).alias(f.TIMESTAMP),
+    )
+    write_log_by_day(logs_, path, row_group_bytes=64 << 10)
+    back = spark.read.parquet(path)
+    assert bag(back.select(*logs_.columns).select("id", "countryName")) == bag(logs_.select("id", "countryName"))
+    kept = back.where(f.on_days(dt.datetime(2024, 1, 4), 2, 1) & f.country_named(["LAND 7"]))
+    text = plan(kept)
+    assert f"PartitionFilters: [isnotnull({f.DAY}" in text and f"EqualTo({f.COUNTRY_NAME},land 7)" in text.replace("In(", "EqualTo(").replace("[land 7]", "land 7")
+    assert {r["id"] for r in kept.collect()} == {i for i in range(60_000) if i % 997 and i % 40 == 7 and i % 4 == 1}
+    # Within a day a country's rows lie in few row groups.
+    files = [pq.ParquetFile(p) for p in glob.glob(f"{path}/{f.DAY}=2024-01-02/*.parquet")]
+    place = files[0].schema_arrow.get_field_index(f.COUNTRY_NAME)
+    groups = [m.metadata.row_group(i).column(place).statistics for m in files for i in range(m.metadata.num_row_groups)]
+    matching = [g for g in groups if g.min <= "land 7" <= g.max]
+    assert len(groups) >= 8 and len(matching) <= len(groups) / 3
+    assert back.where(F.col(f.DAY).isNull()).count() == 61
+
+
 def test_backfill_needs_more_than_fifteen_days():
     with pytest.raises(ValueError):
         window_edges(NOW, 15)

@@ -5,6 +5,8 @@ counts give the count at which the n-th row lies; among the rows of that count,
 sizes of hash slots give the slot in which it lies. Everything before that slot is kept and dealt out evenly, and only
 the slot, about 1/16**DIGITS of the group, is ranked. A group has few distinct counts (k of them need k*k/2
 rows of log, so `count` must count rows) and 16**DIGITS slots, so the tables of sizes are small.
+
+A small random sample needs none of this: every task keeps its least rows, and those are merged.
 """
 
 from __future__ import annotations
@@ -19,6 +21,10 @@ from waymark.operators.joins import group_join
 
 # Hex digits of the hash that make a slot.
 DIGITS = 4
+# Samples up to this size are kept as the least rows of each task; Spark cuts a task's rows to so many before they are shuffled.
+TASK_ROWS = 1000
+# Tasks' rows meet in so many parts of a group first, so that no task gets those of all tasks.
+TASK_PARTS = 256
 # Numbers that decided rows are dealt out by.
 SPREAD = 1 << 30
 
@@ -39,6 +45,18 @@ def _attach(rows: DataFrame, last: DataFrame, by: list[str], groups: int | None)
     return group_join(rows, last, by, groups) if by else rows.withColumn("_last", last.scalar())
 
 
+def _least_rows(df: DataFrame, n: int, key: list[str], ties: list[str], extra: list[str]) -> DataFrame:
+    """The `n` rows of least hash per group, in one pass: the least of each task, then of some tasks, then of all."""
+    hashed = df.withColumn("_hash", row_hash(ties, *extra))
+    if not key:
+        return hashed.orderBy("_hash", *ties).limit(n)
+    parts = hashed.withColumn("_part", F.pmod(F.spark_partition_id(), F.lit(TASK_PARTS)))
+    for group in ([*key, "_part"], key):
+        place = F.row_number().over(Window.partitionBy(*group).orderBy("_hash", *ties))
+        parts = parts.withColumn("_place", place).where(F.col("_place") <= n)
+    return parts
+
+
 def first_n(
     df: DataFrame, n: int | None, by: Sequence[str] = (), count: str | None = None,
     tie_columns: Sequence[str] | None = None, seed: int | None = None, copies: str | None = None,
@@ -62,6 +80,8 @@ def first_n(
     amount = F.col(copies) if copies else F.lit(1)
     extra = [] if seed is None else [str(seed)]
 
+    if not count and not copies and n <= TASK_ROWS:
+        return _least_rows(df, n, key, ties, extra).select(*columns)
     if count:
         sizes = df.groupBy(*key, F.col(count).alias("_entry")).agg(F.sum(amount).alias("_size"))
         edges = _last(sizes, key, [F.desc("_entry")], n, F.lit(0))
