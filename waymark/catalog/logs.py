@@ -24,7 +24,7 @@ from waymark.operators.ranking import first_n, random_sample
 from waymark.plans.sampling import backfill_logs, country_count, ranked_sample, sample_logs, sample_name
 from waymark.schemas import SAMPLE_COLUMNS
 from waymark.session import new_path
-from waymark.sources.sinks import write_country_samples
+from waymark.sources.sinks import write_country_samples, write_log_by_day
 from waymark.sources.tables import read_by_format, scan_logs
 
 LOGS = ["search_logs"]
@@ -96,6 +96,20 @@ def _date_range(spark: SparkSession, sf: str) -> DataFrame:
     return _logs(spark, sf).where(f.in_date_range(NOW, 25, 10)).select("log_id", time_text(f.TIMESTAMP, "seen"))
 
 
+def _by_day(spark: SparkSession, sf: str) -> DataFrame:
+    path = new_path(spark, "log-by-day")
+    write_log_by_day(_logs(spark, sf), path)
+    return scan_logs(spark, path=path)
+
+
+@query("log_by_day", LOGS, f"""
+SELECT log_id, {KEYS}, {SEEN_SQL} FROM search_logs WHERE lower(countryName) IN ('nation_3', 'nation_11')
+  AND client_received_start_timestamp >= TIMESTAMP '{NOW}' - INTERVAL 12 DAY AND client_received_start_timestamp < TIMESTAMP '{NOW}' - INTERVAL 5 DAY""")
+def _days(spark: SparkSession, sf: str) -> DataFrame:
+    kept = _by_day(spark, sf).where(f.on_days(NOW, 12, 5) & f.country_named(["Nation_3", "NATION_11"]))
+    return kept.select("log_id", *FIXTURE_KEYS, time_text(f.TIMESTAMP, "seen"))
+
+
 @query("filter_full_address", LOGS, "SELECT log_id, who_searched FROM search_logs WHERE who_searched = 'Full Address Search'")
 def _full(spark: SparkSession, sf: str) -> DataFrame:
     return _logs(spark, sf).where(f.full_addresses()).select("log_id", "who_searched")
@@ -317,6 +331,21 @@ def _backfill(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("backfill_by_day", SAMPLER_VIEWS, "SELECT * FROM finished", {
+    "chosen": chosen_sql(None),
+    "windowed": WINDOWED,
+    "counted": counted_sql("windowed", "country, window_id"),
+    "ranked": f"SELECT *, row_number() OVER (PARTITION BY country, window_id ORDER BY {KEY_ORDER}) AS rn FROM counted",
+    "capped": f"SELECT * FROM ranked WHERE rn <= {BACKFILL_SIZE}",
+    "sizes": SIZES, "cut": TAKEN, "decoded": DECODED, "finished": finished_sql("cut", "CAST(window_id AS INTEGER) AS window_id,"),
+})
+def _backfill_by_day(spark: SparkSession, sf: str) -> DataFrame:
+    return backfill_logs(
+        _by_day(spark, sf), _spellings(spark, sf), _fields(spark, sf), NOW, sample=BACKFILL_SIZE, ago=BACKFILL_AGO,
+        developer_emails=DEVELOPER, day=f.DAY,
+    )
+
+
 RANDOM_ORDER = hash_of(["log_id"], "7")
 
 

@@ -16,6 +16,8 @@ from pyspark.sql import functions as F
 from waymark.schemas import FULL_ADDRESS, NEARBY_ENDPOINT
 
 TIMESTAMP = "client_received_start_timestamp"
+# Columns that a log written by day has besides its own: the date, by which it is partitioned, and the lowered country name.
+DAY, COUNTRY_NAME = "log_day", "country_name_lower"
 
 Names = Sequence[str] | str | None
 
@@ -63,6 +65,19 @@ def in_date_range(now: str | dt.datetime, furthest: float, recent: float, column
     return (F.col(column) >= instant(start)) & (F.col(column) < instant(stop))
 
 
+def on_days(now: str | dt.datetime, furthest: float, recent: float = 0, column: str = TIMESTAMP, day: str = DAY) -> Column:
+    """`in_date_range` over a log written by day: the same rows, from the folders of these days alone."""
+    end = as_datetime(now)
+    first, last = (end - dt.timedelta(days=d) for d in (furthest, recent))
+    return F.col(day).between(F.lit(first.date()), F.lit(last.date())) & in_date_range(now, furthest, recent, column)
+
+
+def country_named(names: Names) -> Column:
+    """One of the country names in any case, over a log written by day: compared with the column whose row groups can be left out."""
+    given = as_names(names, "names")
+    return everything() if given is None else F.col(COUNTRY_NAME).isin([n.lower() for n in given])
+
+
 def full_addresses(only: bool = True) -> Column:
     return F.col("who_searched") == FULL_ADDRESS if only else everything()
 

@@ -81,13 +81,14 @@ def sample_logs(
 def backfill_logs(
     logs: DataFrame, spellings: DataFrame, fields: DataFrame, now: str | dt.datetime,
     countries: f.Names = None, sample: int = 10_000, ago: int | str = 365, deduplicate: bool = True,
-    id_columns: Sequence[str] | None = None, seed: int = 0, **selection,
+    id_columns: Sequence[str] | None = None, seed: int = 0, day: str | None = None, **selection,
 ) -> DataFrame:
     """The sample of every country gathered from date windows, newest first: the most repeated requests of each
-    window, or random rows without `deduplicate`."""
+    window, or random rows without `deduplicate`. `day` is the log's partition column of dates, if it has one."""
     chosen = select_logs(logs, spellings, countries, **selection)
     groups = country_count(spellings, countries)
-    return finish_sample(adaptive_backfill(chosen, now, sample, ago, groups, deduplicate=deduplicate, id_columns=id_columns, seed=seed), fields)
+    drawn = adaptive_backfill(chosen, now, sample, ago, groups, deduplicate=deduplicate, id_columns=id_columns, seed=seed, day=day)
+    return finish_sample(drawn.drop(day) if day in drawn.columns else drawn, fields)
 
 
 def ranked_sample(sample: DataFrame) -> DataFrame:

@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from waymark.functions.geo import point_text
+from waymark.operators.filters import COUNTRY_NAME, DAY, TIMESTAMP
+from waymark.operators.joins import content_hash
 from waymark.schemas import SAMPLE_COLUMNS
 
 CSV_OPTIONS = {"quote": '"', "escape": '"', "header": "true"}
@@ -43,6 +45,18 @@ def write_country_samples(
     return folder
 
 
+def write_log_by_day(logs: DataFrame, path: str, mode: str = "overwrite", column: str = TIMESTAMP, row_group_bytes: int = 32 << 20) -> None:
+    """The log in one folder per day, with lowered country names in order within the files.
+
+    Adds DAY, the partition, and COUNTRY_NAME, whose least and greatest value per row group let scans of few countries leave groups out. Tasks are
+    ranges of day, country and content, so neither a day nor a country that holds most rows is one task. Rows without a time are in a
+    partition of their own.
+    """
+    placed = logs.withColumns({DAY: F.to_date(column), COUNTRY_NAME: F.lower("countryName")})
+    placed = placed.repartitionByRange(DAY, COUNTRY_NAME, content_hash(logs)).sortWithinPartitions(DAY, COUNTRY_NAME)
+    placed.write.mode(mode).option("parquet.block.size", row_group_bytes).partitionBy(DAY).parquet(path)
+
+
 def write_parsed(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     _write(df, path, "parquet", "", None, mode)
 
