@@ -58,10 +58,14 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def saved(df: DataFrame, name: str) -> DataFrame:
-    """`df` written to the shared folder and read back, which cuts its lineage and survives lost executors."""
+def saved(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
+    """`df` written to the shared folder and read back, which cuts its lineage and survives lost executors.
+
+    `compression` is Spark's name of a codec, by default the session's.
+    """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    writer = df.write if compression is None else df.write.option("compression", compression)
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
