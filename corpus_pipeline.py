@@ -36,7 +36,7 @@ def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     row = "_row"
     while row in (c.lower() for c in docs.columns):
         row = f"_{row}"
-    numbered = saved(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-numbered")
+    numbered = saved(docs.withColumn(row, F.monotonically_increasing_id()), "pipeline-numbered", "zstd")
     groups = similar_groups(numbered, id=row)
     copies = groups.where(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias(row))
     return numbered.join(copies, row, "left_anti").drop(row)
