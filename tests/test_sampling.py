@@ -22,7 +22,8 @@ from waymark.operators.dimensions import (
     country_to_iso2, decode_fields, decode_fields_join, in_countries, iso2_codes, match_countries, spelling_sets,
 )
 from waymark.operators.ranking import first_n, order_by_count, random_sample
-from waymark.plans.sampling import finish_sample, sample_logs, sample_name
+from waymark.plans import sampling
+from waymark.plans.sampling import finish_sample, most_repeated, sample_logs, sample_name
 from waymark.sources.sinks import write_log_by_day
 
 NOW = dt.datetime(2024, 1, 31)
@@ -257,6 +258,26 @@ def test_a_small_sample_is_one_scan(spark, by, tmp_path):
         ranking.TASK_ROWS = own
 
 
+@pytest.mark.parametrize("sample", [1, 7, 60, 10_000])
+def test_most_repeated_by_digests_and_by_whole_requests(spark, sample, monkeypatch):
+    """Ties at the bound, missing keys, a request with most rows, and requests of one digest."""
+    draw = random.Random(sample)
+    rows = [("ES", "hot", None)] * 300 + [(draw.choice(["ES", "FR"]), f"q{draw.randrange(200)}", draw.choice([None, "", "x"])) for _ in range(600)]
+    chosen = spark.createDataFrame(rows, "country string, searched_query string, developer_email string")
+    by_digest = most_repeated(chosen, sample, 2)
+    assert "LeftSemi" in plan(by_digest)
+    monkeypatch.setattr(sampling, "BROADCAST_ROWS", 0)
+    whole = most_repeated(chosen, sample, 2)
+    assert "LeftSemi" not in plan(whole)
+    assert bag(by_digest) == bag(whole) and by_digest.count() > 0
+
+
+def test_requests_of_one_digest_keep_their_own_counts(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "row_hash", lambda keys: F.md5(F.substring(keys[0], 1, 1)))
+    chosen = spark.createDataFrame([("ES", "a1")] * 3 + [("ES", "a2")] * 2 + [("ES", "b")], "country string, searched_query string")
+    assert bag(most_repeated(chosen, 1, 1)) == Counter({("ES", 3, "a1"): 1, ("ES", 2, "a2"): 1})
+
+
 def test_sample_names():
     assert sample_name(True, dt.date(2022, 11, 9)) == "complete_responses_09-11-2022"
     assert sample_name(False, dt.date(2022, 11, 9)) == "incomplete_responses_09-11-2022"

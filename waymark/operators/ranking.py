@@ -60,13 +60,14 @@ def _least_rows(df: DataFrame, n: int, key: list[str], ties: list[str], extra: l
 def first_n(
     df: DataFrame, n: int | None, by: Sequence[str] = (), count: str | None = None,
     tie_columns: Sequence[str] | None = None, seed: int | None = None, copies: str | None = None,
-    groups: int | None = None,
+    groups: int | None = None, hashed: str | None = None,
 ) -> DataFrame:
     """The first `n` rows of each group in `by`, by `count` descending, then by hash of `tie_columns`.
 
     `copies` names a column saying how many equal rows a row stands for; they count towards `n`, and the
     column comes back as the number taken. The tie columns must otherwise tell rows of a group apart.
-    `groups` is an upper bound on the number of groups, where the caller knows one.
+    `groups` is an upper bound on the number of groups, where the caller knows one. `hashed` names a column that holds the hash of
+    the tie columns already, which then need not be there.
     """
     check_size(n)
     if n is None:
@@ -74,13 +75,13 @@ def first_n(
     if n == 0:
         return df.limit(0)
     columns, key = df.columns, ["_group"] if by else []
-    ties = list(tie_columns or [c for c in columns if c not in (*by, count, copies)])
+    ties = [hashed] if hashed else list(tie_columns or [c for c in columns if c not in (*by, count, copies)])
     # As a struct, missing group values are equal to each other and join like any other.
     df = df.withColumn("_group", F.struct(*by)) if by else df
     amount = F.col(copies) if copies else F.lit(1)
     extra = [] if seed is None else [str(seed)]
 
-    if not count and not copies and n <= TASK_ROWS:
+    if not count and not copies and not hashed and n <= TASK_ROWS:
         return _least_rows(df, n, key, ties, extra).select(*columns)
     if count:
         sizes = df.groupBy(*key, F.col(count).alias("_entry")).agg(F.sum(amount).alias("_size"))
@@ -89,8 +90,8 @@ def first_n(
         near = near.withColumns({"_tied": F.col(count) == F.col("_last._entry"), "_above": F.col("_last._before")}).drop("_last")
     else:
         near = df.withColumns({"_tied": F.lit(True), "_above": F.lit(0).cast("bigint")})
-    hashed = near.withColumn("_hash", F.when(F.col("_tied"), row_hash(ties, *extra)))
-    slotted = hashed.withColumn("_slot", F.substring("_hash", 1, DIGITS))
+    placed = near.withColumn("_hash", F.when(F.col("_tied"), F.col(hashed) if hashed else row_hash(ties, *extra)))
+    slotted = placed.withColumn("_slot", F.substring("_hash", 1, DIGITS))
 
     tied = slotted.where("_tied").groupBy(*key, F.col("_slot").alias("_entry"))
     slots = tied.agg(F.sum(amount).alias("_size"), F.max("_above").alias("_above"))

@@ -8,10 +8,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from waymark.functions.text import row_hash
 from waymark.operators import filters as f
 from waymark.operators.backfill import adaptive_backfill
 from waymark.operators.dedup import COUNT, dedup_count, present_keys
 from waymark.operators.dimensions import decode_fields, match_countries
+from waymark.operators.joins import BROADCAST_ROWS
 from waymark.operators.ordering import row_index
 from waymark.operators.ranking import check_size, first_n, random_sample
 from waymark.schemas import POI_ENDPOINT
@@ -53,6 +55,22 @@ def finish_sample(sample: DataFrame, fields: DataFrame) -> DataFrame:
     return decoded.where(f.readable())
 
 
+def most_repeated(chosen: DataFrame, sample: int | None, groups: int) -> DataFrame:
+    """The `sample` most repeated requests of each country with their counts.
+
+    Requests are counted and ranked by a digest of 16 bytes of their keys, which is also what orders ties; only rows whose digest
+    is drawn are then shuffled with all their columns. They are grouped by the keys themselves, so requests that share a digest
+    are rows of their own. Where more digests are drawn than may be broadcast, whole requests are counted at once.
+    """
+    keys = present_keys(chosen)
+    if sample is None or not 0 < sample * groups <= BROADCAST_ROWS:
+        return first_n(dedup_count(chosen, ["country"]), sample, ["country"], count=COUNT, tie_columns=keys, groups=groups)
+    digested = chosen.withColumn("_digest", row_hash(keys))
+    counts = digested.groupBy("country", "_digest").agg(F.count(F.lit(1)).alias(COUNT))
+    drawn = first_n(counts, sample, ["country"], count=COUNT, hashed="_digest", groups=groups).select("country", "_digest")
+    return dedup_count(digested.join(F.broadcast(drawn), ["country", "_digest"], "left_semi"), ["country"])
+
+
 def sample_logs(
     logs: DataFrame, spellings: DataFrame, fields: DataFrame, now: str | dt.datetime,
     countries: f.Names = None, sample: int | None = 10_000, ago: int | str | None = 365,
@@ -71,8 +89,7 @@ def sample_logs(
     if pre_cap is not None:
         chosen = random_sample(chosen, pre_cap, seed, ["country"], id_columns, groups)
     if deduplicate:
-        counted = dedup_count(chosen, ["country"])
-        drawn = first_n(counted, sample, ["country"], count=COUNT, tie_columns=present_keys(logs), groups=groups)
+        drawn = most_repeated(chosen, sample, groups)
     else:
         drawn = random_sample(chosen, sample, seed, ["country"], id_columns, groups)
     return finish_sample(drawn, fields)
