@@ -84,3 +84,53 @@ named AS (SELECT r, count(*) AS n, string_agg(id, ',' ORDER BY id) AS ids
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(h.n, 0) AS n_hit, coalesce(m.n, 0) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
   coalesce(h.n, 0) > 0 AND 20 * coalesce(h.n, 0) >= len(w) AS contaminated
 FROM docs LEFT JOIN hits h USING (r) LEFT JOIN named m USING (r)"""
+
+
+def field_text(column: str) -> str:
+    """A field as the leaves have it: `-`, or its UTF-8 length, a colon and its text."""
+    text = f"CAST({column} AS VARCHAR)"
+    return f"coalesce(CAST(strlen({text}) AS VARCHAR) || ':' || {text}, '-')"
+
+
+def leaf_sql(n_chars: str) -> str:
+    return f"sha256({' || '.join(field_text(c) for c in ('doc_id', 'source', 'lang', n_chars, 'text'))})"
+
+
+# Fixed value: the reversed polynomial of CRC-32. One step per bit, eight per digit of the id.
+CRC32_SQL = """(SELECT xor(4294967295, list_reduce(list_prepend(CAST(4294967295 AS BIGINT),
+  list_transform(range(8 * strlen(id)), lambda i : CASE WHEN i % 8 = 0 THEN ascii(id[i // 8 + 1]) ELSE 0 END)),
+  lambda crc, byte : CASE WHEN xor(crc, byte) % 2 = 1 THEN xor(xor(crc, byte) // 2, 3988292384) ELSE xor(crc, byte) // 2 END)))"""
+
+
+def tree_sql(name: str, leaves: str, group: str) -> dict[str, str]:
+    """All nodes of the trees over `leaves` (group, i, digest), level by level, and the number of nodes of each level."""
+    return {
+        name: f"""SELECT {group}, 0 AS level, i, digest, count(*) OVER (PARTITION BY {group}) AS n FROM {leaves}
+UNION ALL SELECT {group}, level + 1, i // 2, sha256(string_agg(digest, '' ORDER BY i)), (max(n) + 1) // 2 FROM {name} WHERE n > 1 GROUP BY {group}, level, i // 2""",
+    }
+
+
+_STEPS = {
+    "docs": "SELECT *, row_number() OVER () AS r, CAST(doc_id AS VARCHAR) AS id, coalesce('=' || lang, '-') AS g FROM documents",
+    "leaves": f"""SELECT r, doc_id, g, {leaf_sql('n_chars')} AS digest,
+CASE WHEN {CRC32_SQL} % 7 = 0 THEN {leaf_sql('n_chars + 1')} ELSE {leaf_sql('n_chars')} END AS changed FROM docs""",
+    "ranked": "SELECT *, row_number() OVER (PARTITION BY g ORDER BY doc_id NULLS FIRST, digest, r) - 1 AS i FROM leaves",
+    **tree_sql("nodes", "ranked", "g"),
+    "subroots": "SELECT g, digest AS subroot, 0 AS tree, row_number() OVER (ORDER BY g) - 1 AS i, digest FROM nodes WHERE n = 1",
+    **tree_sql("top", "subroots", "tree"),
+    # Below the root, every node's place and the other node of its run, if there is one.
+    "beside": """SELECT a.g, a.level, a.i, b.digest AS other FROM nodes a LEFT JOIN nodes b ON a.g = b.g AND a.level = b.level AND b.i = xor(a.i, 1) WHERE a.n > 1
+UNION ALL SELECT s.g, 1000 + a.level, a.i, b.digest FROM top a LEFT JOIN top b ON a.level = b.level AND b.i = xor(a.i, 1)
+  JOIN subroots s ON s.i >> a.level = a.i WHERE a.n > 1""",
+    "high": "SELECT g, max(level) + 1 AS depth FROM nodes GROUP BY g",
+    "steps": """SELECT l.r, row_number() OVER (PARTITION BY l.r ORDER BY b.level) AS step, b.other, b.i FROM ranked l JOIN subroots s USING (g)
+JOIN beside b ON b.g = l.g AND b.i = CASE WHEN b.level < 1000 THEN l.i >> b.level ELSE s.i >> (b.level - 1000) END""",
+    "proofs": "SELECT r, sha256(string_agg(coalesce(other, ''), '' ORDER BY step)) AS proof FROM steps GROUP BY r",
+    "folding": """SELECT r, 0 AS step, changed AS digest FROM ranked
+UNION ALL SELECT f.r, f.step + 1, sha256(CASE WHEN s.other IS NULL THEN f.digest WHEN s.i % 2 = 0 THEN f.digest || s.other ELSE s.other || f.digest END)
+FROM folding f JOIN steps s ON s.r = f.r AND s.step = f.step + 1""",
+    "folded": "SELECT r, arg_max(digest, step) AS folded_root FROM folding GROUP BY r",
+}
+MANIFEST = "WITH RECURSIVE " + ",\n".join(f"{name} AS ({sql})" for name, sql in _STEPS.items()) + """
+SELECT doc_id, l.digest AS leaf, s.subroot, t.digest AS root, coalesce(p.proof, sha256('')) AS proof_sha256, f.folded_root, f.folded_root = t.digest AS verified
+FROM ranked l JOIN subroots s USING (g) JOIN folded f USING (r) LEFT JOIN proofs p USING (r), (SELECT digest FROM top WHERE n = 1) t"""

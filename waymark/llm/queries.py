@@ -112,4 +112,5 @@ ORACLES: dict[str, str] = {
     "op1_ngram_join": oracles.NGRAM_JOIN,
     "op4_quality": oracles.QUALITY,
     "op6_decontamination": oracles.DECONTAMINATION,
+    "op13_merkle_manifest": oracles.MANIFEST,
 }
