@@ -72,8 +72,10 @@ FLAG_COLUMNS = {
 
 # Escapes decoded in rebuilt queries, in the order they are replaced.
 ESCAPES = {"%2C": ",", "%20": " ", "%3A": ":", "%27": "'"}
+# These are decoded besides where any escape may occur.
 ALL_ESCAPES = {**ESCAPES, "%28": "(", "%29": ")"}
 
+# The fields of a response that are read.
 RESPONSE_SCHEMA = T.StructType([
     T.StructField("summary", T.StructType([T.StructField("query", T.StringType())])),
     T.StructField("results", T.ArrayType(T.StructType([
