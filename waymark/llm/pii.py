@@ -96,6 +96,7 @@ def _card(written: str, feistel: Feistel) -> str | None:
     return refill(written, [*body, luhn(body)])
 
 
+# Lengths of account numbers by country, from the public registry.
 IBAN_SIZES = {
     "AD": 24, "AE": 23, "AL": 28, "AT": 20, "AZ": 28, "BA": 20, "BE": 16, "BG": 22, "BH": 22, "BI": 27, "BR": 29, "BY": 28, "CH": 21, "CR": 22,
     "CY": 28, "CZ": 24, "DE": 22, "DJ": 27, "DK": 18, "DO": 28, "EE": 20, "EG": 29, "ES": 24, "FI": 18, "FK": 18, "FO": 18, "FR": 27, "GB": 22,
@@ -107,7 +108,7 @@ IBAN_SIZES = {
 }
 
 
-# Lengths and first digits of the known issuers; they only decide which of several valid readings is taken.
+# Lengths and first digits of the known issuers; they only decide which of several valid readings is taken.
 ISSUERS = re.compile(r"4(?:\d{12}|\d{15}|\d{18})|5[1-5]\d{14}|2[2-7]\d{14}|3[47]\d{13}|3[0689]\d{12}|35\d{14}|6\d{15,18}")
 
 
@@ -245,7 +246,7 @@ def _access_key(match: re.Match, feistel: Feistel) -> str | None:
     return match["head"] + fresh
 
 
-# Country codes of one and two digits; all others have three.
+# Country codes of one and two digits; all others have three.
 COUNTRIES = "1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|[2-9]\\d{2}"
 
 # In order of precedence where findings overlap.
