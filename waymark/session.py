@@ -53,9 +53,20 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{context.getConf().get('spark.local.dir', '/tmp').split(',')[0]}/waymark-{context.applicationId}"
 
 
+def run_folder(spark: SparkSession) -> str:
+    """The folder in the shared one that holds all intermediate tables of this application."""
+    return f"{shared_folder(spark)}/waymark-run-{spark.sparkContext.applicationId}"
+
+
+def drop_intermediate(spark: SparkSession) -> None:
+    """Deletes the intermediate tables of this application; call it when all its results are written, since they are read from these."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(run_folder(spark))
+    folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(folder, True)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    """A path in the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    """A path among the application's intermediate tables that nothing else uses."""
+    return f"{run_folder(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def saved(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
