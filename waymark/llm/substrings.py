@@ -2,7 +2,9 @@
 
 A cut depends only on the bytes before it, so the cuts of a passage are the same wherever it stands, and an insertion
 moves only the cuts next to it. Of each repeated chunk the first occurrence (least id, row, place) stays. Neighbouring
-repeated chunks make a span, and a span of at least `least_bytes` is removed; shorter ones are chance or stock phrases.
+repeated chunks with neighbouring first occurrences are a run. Each run is extended on the bytes of both texts, to the
+exact ends of the passage. A run of at least `least_bytes` is removed, and so are runs that lie end to end and have
+that length together; shorter ones are chance or stock phrases. Every removed byte repeats one of an earlier place.
 """
 
 from __future__ import annotations
@@ -14,6 +16,7 @@ from pyspark.sql import functions as F
 
 from waymark.llm.bitmaps import bitmap, marked, parted
 from waymark.llm.common import Work, map_slices, pick, saved
+from waymark.operators.joins import salted_join
 
 CUT_BITS = 5  # a cut after one byte in 32, behind the least length
 LEAST_CHUNK = 16
@@ -21,6 +24,12 @@ MOST_CHUNK = 256
 LEAST_SPAN = 120
 CHUNKS = "doc_id long, _row long, n_bytes long, digests array<long>, ends array<int>"
 SPANS = "array<struct<first:int,past:int>>"
+RUNS = "array<struct<first:int,past:int,from_row:long,from_first:int>>"
+CONTEXTS = "_row long, run int, side int, at int, from_row long, from_at int, context binary"
+EXTENDED = "_row long, run int, side int, at int, from_row long, from_at int, reached int, open boolean"
+# Bytes compared at each end of a run, and by how much more in every further round for ends that are equal so far.
+REACH = 192
+FURTHER = 16
 
 
 def gear_table(seed: int = 0) -> np.ndarray:
@@ -74,7 +83,7 @@ def chunk_texts(rows: DataFrame) -> DataFrame:
 
 
 def repeated_chunks(chunks: DataFrame) -> DataFrame:
-    """_row, first and past of every chunk that occurs earlier, in this or another text."""
+    """_row, first and past of every chunk that occurs earlier, in this or another text, and the first occurrence's row and place."""
     digests = chunks.select(F.explode("digests").alias("digest"))
     repeated = saved(digests.groupBy("digest").agg(F.count(F.lit(1)).alias("_count")).where("_count > 1").select("digest"), "repeated-digests")
     content = chunks.sparkSession.sparkContext.broadcast(bitmap(repeated, "digest"))
@@ -103,56 +112,194 @@ def repeated_chunks(chunks: DataFrame) -> DataFrame:
     # Saved, so that the join has two plain shuffles and Spark may split a digest that is most of the rows.
     kept = saved(found.groupBy("digest").agg(F.min(place).alias("_kept")), "kept-chunks")
     later = found.join(kept, "digest").where((F.col("_row") != F.col("_kept._row")) | (F.col("first") != F.col("_kept.first")))
-    return later.select("_row", "first", "past")
+    return later.select("_row", "first", "past", F.col("_kept._row").alias("from_row"), F.col("_kept.first").alias("from_first"))
 
 
-def long_spans(later: DataFrame, least_bytes: int) -> DataFrame:
-    """Neighbouring chunks of a text put together, those of at least `least_bytes`; one row per text that has any."""
+def seed_runs(later: DataFrame) -> DataFrame:
+    """Neighbouring chunks of a text whose first occurrences are neighbours too put together; one row per text that has any."""
 
     def begin() -> Work:
         def work(row: list[int], chunks: list) -> list:
+            out = []
+            for found in chunks:
+                runs: list[dict] = []
+                for chunk in sorted(found, key=lambda c: c["first"]):
+                    last = runs[-1] if runs else None
+                    shift = chunk["first"] - chunk["from_first"]
+                    if last and last["past"] == chunk["first"] and last["from_row"] == chunk["from_row"] and last["first"] - last["from_first"] == shift:
+                        last["past"] = chunk["past"]
+                    else:
+                        runs.append(chunk)
+                out.append(runs)
+            return [row, out]
+
+        return work
+
+    chunks = later.groupBy("_row").agg(F.collect_list(F.struct("first", "past", "from_row", "from_first")).alias("chunks"))
+    return map_slices(chunks, begin, f"_row long, runs {RUNS}")
+
+
+def run_edges(runs: DataFrame) -> DataFrame:
+    """The left (side 0) and right end of every run, with its place in the first occurrence; not those at a text's start."""
+    each = runs.select("_row", F.posexplode("runs").alias("run", "_run"))
+    size = F.col("_run.past") - F.col("_run.first")
+    ends = F.array(
+        F.struct(F.lit(0).alias("side"), F.col("_run.first").alias("at"), F.col("_run.from_first").alias("from_at")),
+        F.struct(F.lit(1).alias("side"), F.col("_run.past").alias("at"), (F.col("_run.from_first") + size).alias("from_at")),
+    )
+    edges = each.select("_row", "run", F.col("_run.from_row").alias("from_row"), F.explode(ends).alias("_end"))
+    edges = edges.select("_row", "run", "_end.side", "_end.at", "from_row", "_end.from_at")
+    return edges.where("side = 1 or (at > 0 and from_at > 0)")
+
+
+def contexts(rows: DataFrame, edges: DataFrame, reach: int) -> DataFrame:
+    """The bytes outward of every edge, left ones backwards: of its own text, and once without `_row` of each place it is compared with."""
+    own = edges.groupBy("_row").agg(F.collect_list(F.struct("run", "side", "at", "from_row", "from_at")).alias("own"))
+    lent = edges.groupBy(F.col("from_row").alias("_row")).agg(F.collect_set(F.struct("side", "from_at")).alias("lent"))
+    needed = saved(own.join(lent, "_row", "full"), "edges")
+
+    def begin() -> Work:
+        def outward(text: bytes, side: int, at: int) -> bytes:
+            return text[at:at + reach] if side else text[max(0, at - reach):at][::-1]
+
+        def work(row: list[int], texts: list[bytes], own: list, lent: list) -> list:
+            out = []
+            for number, text, edges, places in zip(row, texts, own, lent):
+                for e in edges or ():
+                    context = outward(text, e["side"], e["at"])
+                    if context:
+                        out.append((number, e["run"], e["side"], e["at"], e["from_row"], e["from_at"], context))
+                for p in places or ():
+                    out.append((None, None, p["side"], None, number, p["from_at"], outward(text, p["side"], p["from_at"])))
+            return [list(column) for column in zip(*out)] if out else [[]] * 7
+
+        return work
+
+    _, some = parted(rows.select("_row", "text"), needed, "_row")
+    return map_slices(some.join(needed.hint("merge"), "_row"), begin, CONTEXTS)
+
+
+def common_length(one: bytes, other: bytes) -> int:
+    """How many first bytes are equal."""
+    low, high = 0, min(len(one), len(other))
+    if one[:high] == other[:high]:
+        return high
+    while low + 1 < high:
+        middle = (low + high) // 2
+        if one[low:middle] == other[low:middle]:
+            low = middle
+        else:
+            high = middle
+    return low
+
+
+def extended(rows: DataFrame, runs: DataFrame) -> DataFrame:
+    """_row and for its runs `run`, `side` and `reached`, the equal bytes outward of that end; once for every round that compared it.
+
+    A round compares a fixed number of bytes. Ends equal throughout go on in a further round with more bytes, until none is left.
+    """
+
+    def compare(reach: int) -> DataFrame:
+        def begin() -> Work:
+            def work(row: list, run: list, side: list, at: list, from_row: list, from_at: list, context: list, other: list) -> list:
+                reached = [common_length(a, b) for a, b in zip(context, other)]
+                return [row, run, side, at, from_row, from_at, reached, [r == reach for r in reached]]
+
+            return work
+
+        both = saved(contexts(rows, edges, reach), "contexts")
+        place = ["from_row", "side", "from_at"]
+        lent = both.where("_row is null").select(*place, F.col("context").alias("_other"))
+        # A passage of many texts is one place; its edges are spread over tasks.
+        joined = salted_join(both.where("_row is not null"), lent, place, spread_by=["_row", "run"])
+        joined = joined.select("_row", "run", "side", "at", "from_row", "from_at", "context", "_other")
+        return saved(map_slices(joined, begin, EXTENDED, widest=6), "extended")
+
+    edges, reach = run_edges(runs), REACH
+    out = compare(reach)
+    rounds = out
+    while not out.where("open").isEmpty():
+        step = F.when(F.col("side") == 0, -F.col("reached")).otherwise(F.col("reached"))
+        edges = out.where("open").select("_row", "run", "side", (F.col("at") + step).alias("at"), "from_row", (F.col("from_at") + step).alias("from_at"))
+        reach *= FURTHER
+        out = compare(reach)
+        rounds = rounds.unionByName(out)
+    return rounds.groupBy("_row").agg(F.collect_list(F.struct("run", "side", "reached")).alias("reaches"))
+
+
+def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans that overlap or touch put together."""
+    out: list[tuple[int, int]] = []
+    for first, past in sorted(spans):
+        if out and first <= out[-1][1]:
+            out[-1] = (out[-1][0], max(past, out[-1][1]))
+        else:
+            out.append((first, past))
+    return out
+
+
+def long_spans(rows: DataFrame, later: DataFrame, least_bytes: int) -> DataFrame:
+    """What goes of each text: runs that are long when extended, or long together; one row per text that has any."""
+    runs = saved(seed_runs(later), "runs")
+
+    def begin() -> Work:
+        def work(row: list[int], runs: list, reaches: list) -> list:
             rows, spans = [], []
-            for own, found in zip(row, chunks):
-                edges = np.array(sorted((c["first"], c["past"]) for c in found))
-                gaps = np.flatnonzero(edges[1:, 0] != edges[:-1, 1])
-                first, past = edges[np.concatenate([[0], gaps + 1]), 0], edges[np.concatenate([gaps, [len(edges) - 1]]), 1]
-                long = past - first >= least_bytes
-                if long.any():
+            for own, found, more in zip(row, runs, reaches):
+                first, past = [r["first"] for r in found], [r["past"] for r in found]
+                together = merged(list(zip(first, past)))
+                for reach in more or ():
+                    if reach["side"]:
+                        past[reach["run"]] += reach["reached"]
+                    else:
+                        first[reach["run"]] -= reach["reached"]
+                long = merged([(a, b) for a, b in [*together, *zip(first, past)] if b - a >= least_bytes])
+                if long:
                     rows.append(own)
-                    spans.append([{"first": a, "past": b} for a, b in zip(first[long].tolist(), past[long].tolist())])
+                    spans.append([{"first": a, "past": b} for a, b in long])
             return [rows, spans]
 
         return work
 
-    chunks = later.groupBy("_row").agg(F.collect_list(F.struct("first", "past")).alias("chunks"))
-    return map_slices(chunks, begin, f"_row long, spans {SPANS}")
+    return map_slices(runs.join(extended(rows, runs).hint("merge"), "_row", "left"), begin, f"_row long, spans {SPANS}")
+
+
+def whole_characters(text: bytes, first: int, past: int) -> tuple[int, int]:
+    """The span without the characters that only lie in it in part."""
+    while first < past and text[first] & 0xC0 == 0x80:
+        first += 1
+    while past > first and past < len(text) and text[past] & 0xC0 == 0x80:
+        past -= 1
+    return first, past
 
 
 def remove_repeats(docs: DataFrame, least_bytes: int = LEAST_SPAN, id: str = "doc_id", text: str = "text") -> DataFrame:
     """doc_id, text without repeated spans, n_bytes, n_removed and spans (byte offsets in the original) of every row.
 
     Missing texts stay missing, empty ones empty; neither has spans. Of repeated rows all but one lose their whole text
-    where it is long enough. A missing id counts as the greatest.
+    where it is long enough. A missing id counts as the greatest. A span leaves characters that it holds in part.
     """
     numbered = pick(docs, doc_id=id, text=text).select(F.col("doc_id").cast("long"), "text", F.monotonically_increasing_id().alias("_row"))
     # The numbers follow the splits of the scan, which follow the cores alive; they are made once.
     rows = saved(numbered, "numbered")
     chunks = saved(chunk_texts(rows), "chunks")
-    spans = saved(long_spans(repeated_chunks(chunks), least_bytes), "spans")
+    spans = saved(long_spans(rows, repeated_chunks(chunks), least_bytes), "spans")
 
     def begin() -> Work:
         def work(ids: list, texts: list[bytes | None], spans: list) -> list:
-            out, sizes, removed = [], [], []
+            out, sizes, gone = [], [], []
             for text, own in zip(texts, spans):
-                kept, last = [], 0
+                kept, last, cut = [], 0, []
                 for span in own or ():
-                    kept.append(text[last:span["first"]])
-                    last = span["past"]
-                # A cut may fall inside a character.
-                out.append(None if text is None else b"".join([*kept, text[last:]]).decode(errors="ignore"))
+                    first, past = whole_characters(text, span["first"], span["past"])
+                    if past - first >= least_bytes:
+                        kept.append(text[last:first])
+                        last = past
+                        cut.append({"first": first, "past": past})
+                out.append(None if text is None else b"".join([*kept, text[last:]]).decode())
                 sizes.append(len(text or b""))
-                removed.append(sum(s["past"] - s["first"] for s in own or ()))
-            return [ids, out, sizes, removed, [s or [] for s in spans]]
+                gone.append(cut)
+            return [ids, out, sizes, [sum(s["past"] - s["first"] for s in cut) for cut in gone], gone]
 
         return work
 
