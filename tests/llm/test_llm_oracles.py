@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import textwrap
 from collections import Counter
 
 import duckdb
@@ -45,3 +46,17 @@ def test_odd_rows_agree_with_sql(spark, both):
     agree(similar_groups(rows, 3, 90).drop("class_id"), ORACLES["op1_ngram_join"], connection)
     found = find_benchmark(rows, spark.createDataFrame(ITEMS, "item_id long, text string"))
     agree(found.select("doc_id", "n_words", "n_hit", *items_digest(), "contaminated"), ORACLES["op6_decontamination"], connection)
+
+
+def test_wrapped_texts_and_menus_agree_with_sql(spark, documents):
+    """Lines of many widths, with menus and notices between them."""
+    menu = ["Home", "Previous Next", "Skip to content", "Share on Facebook Tweet", "", "Zurück", "licensed under the MIT Licence", "She baked a cookie."]
+    rows = []
+    for i, r in enumerate(documents.where("length(text) > 200").orderBy("doc_id", "text").limit(150).collect()):
+        lines = [line for part in r["text"].split("\n") for line in textwrap.wrap(part, 15 + i)]
+        for at in range(0, len(lines), 7 + i % 5):
+            lines[at:at] = menu[:i % len(menu) + 1]
+        rows.append((i, "\n".join(lines)))
+    connection = duckdb.connect()
+    connection.register("documents", pa.table({"doc_id": [i for i, _ in rows], "text": [t for _, t in rows]}))
+    agree(clean_lines(spark.createDataFrame(rows, "doc_id long, text string")).drop("clean_text"), ORACLES["op4_quality"], connection)

@@ -1,11 +1,12 @@
 from __future__ import annotations
 
 import re
+import textwrap
 from collections import Counter
 
 import pytest
 
-from waymark.llm.quality import LineRules, clean_lines, repeat_words
+from waymark.llm.quality import LineRules, clean_lines, repeat_words, sentence_ends
 from waymark.llm.queries import op4_quality
 
 WORD = "[^\x20\x09-\x0D]+"
@@ -57,6 +58,13 @@ def test_no_rows(empty):
     ("He said: \"this is the end of the story.\"", False),
     ("All rights reserved.", True),
     ("Released under the MIT License.", True),
+    ("This work is licensed under the GNU General Public License, version 3.", True),
+    ("Please enable JavaScript", True),
+    ("She baked a cookie for her friend that day.", False),
+    ("JavaScript is a programming language.", False),
+    ("The film was released under another title in the north.", False),
+    ("هل هذا سؤال من ثمانية كلمات أو أكثر بقليل؟", False),
+    ("यह वाक्य आठ से अधिक शब्दों का है और पूरा है।", False),
     ("Jede Zeile mit mehr als acht Wörtern endet hier mit einem Punkt.", False),
 ])
 def test_line_rules(line, fails):
@@ -74,3 +82,42 @@ def test_lines_go_and_documents_that_lose_too_much(spark):
 
 def test_windows_do_not_cross_texts():
     assert repeat_words([[b"a", b"b"], [b"c", b"a", b"b", b"c"], [], [b"a"] * 4]) == [0, 0, 0, 4]
+
+
+@pytest.mark.parametrize("columns", [40, 72, 100])
+def test_wrapped_prose_stays(spark, documents, columns):
+    kept = {r["doc_id"] for r in clean_lines(documents).where("kept").collect()}
+
+    def wrapped(text):
+        return "\n".join(textwrap.fill(line, columns, break_long_words=False, break_on_hyphens=False) for line in text.split("\n"))
+
+    rows = [(r["doc_id"], wrapped(r["text"])) for r in documents.where("text is not null").collect() if r["doc_id"] in kept]
+    again = clean_lines(spark.createDataFrame(rows, "doc_id long, text string")).where("kept").count()
+    assert again >= 0.95 * len(rows) > 0
+
+
+@pytest.mark.parametrize(("text", "ends"), [
+    ("", [False]),
+    ("one two three\nfour.", [True, True]),
+    ("one two three\n\nfour.", [False, False, True]),
+    ("one\ntwo three four five six seven.", [False, True]),
+    ("a long line before this one.\nshort\nend.", [True, False, True]),
+    ("one two three\nfour five six", [False, False]),
+    ("one two three.\nfour five six\nseven eight.", [True, True, True]),
+])
+def test_lines_that_go_on(text, ends):
+    assert sentence_ends(text.encode().split(b"\n")) == ends
+
+
+def test_menus_of_short_lines():
+    prose = b"The weather was fine, and so the whole village went out to the lake for the day."
+    menu = [b"Home", b"Previous Next", b"Skip to content", b"Share on Facebook Tweet"]
+    assert LineRules().failures([prose, *menu, prose]) == [False, True, True, True, True, False]
+    assert LineRules().failures([prose, *menu[:3], prose]) == [False] * 5
+    assert LineRules().failures([menu[0], b"", *menu[1:]]) == [False] * 5
+    assert LineRules().failures(menu * 2) == [True] * 8
+
+
+def test_clashing_columns(edge):
+    rows = clean_lines(edge).collect()
+    assert Counter((r["doc_id"], *counted(r)) for r in rows) == Counter((r["doc_id"], *base(r["text"])) for r in edge.collect())

@@ -25,11 +25,11 @@ FROM documents d JOIN found f ON d.doc_id = f.doc_id LEFT JOIN sizes s ON s.doc_
 
 SYMBOLS = "#*$%&|<>"
 # The line rules' numbers, endings and phrases, as in quality.py.
-ENDINGS = "(\\.|!|\\?|:|;|…|。|！|？)$"
+ENDINGS = "(\\.|!|\\?|:|;|…|。|！|？|؟|۔|।|॥)$"
 CLOSED = " \t\n\r\x0b\x0c\"''”’»)]*"
 PHRASES = (
-    "all rights reserved|licensed under|released under the|terms of (?:use|service)|privacy policy|cookie|lorem ipsum"
-    "|javascript|subscribe|sign (?:in|up)|log ?in|click here|read more|share this|copyright"
+    "all rights reserved|(?:licensed|released) under(?: the)?(?:[ -~]{0,60}licen[cs]e)?|terms of (?:use|service)|privacy policy"
+    "|cookies?|lorem ipsum|javascript|subscribe|sign (?:in|up)|log ?in|click here|read more|share this|copyright"
 )
 
 
@@ -53,11 +53,20 @@ lines AS (SELECT r, unnest(l) AS line, generate_subscripts(l, 1) AS i FROM (SELE
 measured AS (SELECT *, len(regexp_extract_all(line, '{SPACED}')) AS n, row_number() OVER (PARTITION BY r, line ORDER BY i) > 1 AS again,
   strlen(line) AS size, strlen(line) - {without('line', SYMBOLS)} AS symbols, strlen(line) - {without('line', '|')} AS bars,
   (strlen(line) - strlen(replace(line, '!!', ''))) // 2 AS shouts, strlen(line) - {without('line', UPPER)} AS upper,
-  strlen(line) - {without('line', UPPER + LOWER)} AS letters FROM lines),
+  strlen(line) - {without('line', UPPER + LOWER)} AS letters, CASE WHEN n > 0 THEN length(line) ELSE 0 END AS width,
+  length(regexp_extract(line, '{SPACED}')) AS first, n > 0 AND regexp_matches(rtrim(line, '{CLOSED}'), '{ENDINGS}') AS ended FROM lines),
+flowing AS (SELECT *, n > 0 AND NOT ended AND coalesce(lead(n) OVER own > 0, false)
+  AND width + 1 + lead(first) OVER own > greatest(coalesce(lag(width) OVER own, 0), lead(width) OVER own) AS goes_on
+  FROM measured WINDOW own AS (PARTITION BY r ORDER BY i)),
+flowed AS (SELECT *, first_value(CASE WHEN NOT goes_on THEN ended END IGNORE NULLS) OVER (PARTITION BY r ORDER BY i
+  ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS ends FROM flowing),
+shortened AS (SELECT *, n BETWEEN 1 AND 4 AND NOT ends AS short FROM flowed),
+runs AS (SELECT *, i - row_number() OVER (PARTITION BY r, short ORDER BY i) AS run FROM shortened),
+menus AS (SELECT *, short AND count(*) OVER (PARTITION BY r, short, run) >= 4 AS menu FROM runs),
 judged AS (SELECT *, again OR 100 * symbols > 8 * size OR (bars >= 2 AND 100 * bars >= 15 * n) OR 100 * shouts >= 50 * n
   OR (upper >= 20 AND 100 * upper > 60 * letters)
-  OR (n >= 8 AND NOT regexp_matches(rtrim(line, '{CLOSED}'), '{ENDINGS}'))
-  OR (n <= 15 AND regexp_matches(line, '(?i)({PHRASES})')) AS failed FROM measured WHERE n > 0),
+  OR (n >= 8 AND NOT ends) OR menu
+  OR (n <= 15 AND 100 * (size - strlen(regexp_replace(line, '(?i)({PHRASES})', '', 'g'))) >= 40 * size) AS failed FROM menus WHERE n > 0),
 by_line AS (SELECT r, count(*) FILTER (WHERE again) AS dups, count(*) FILTER (WHERE failed) AS failures,
   coalesce(sum({squeezed('line')}) FILTER (WHERE NOT failed), 0) AS kept FROM judged GROUP BY r),
 counted AS (SELECT doc_id, len(string_split(t, chr(10))) AS n_lines, coalesce(failures, 0) AS n_failed_lines,

@@ -1,7 +1,9 @@
 """Line-first cleaning: rules per line, failed lines removed, documents that lose too much text rejected.
 
-The rules see one line at a time, so a page's menus and notices go while its prose stays; a document is judged only by
-how much of it is left, and by the base rules on its length and repetition.
+The rules see a line and its neighbours, so a page's menus and notices go while its prose stays, also prose that was
+wrapped: a line that is full, so that the next line's first word would not have fitted, goes on in the next one and has
+that one's sentence end. A document is judged only by how much of it is left, and by the base rules on its length and
+repetition.
 """
 
 from __future__ import annotations
@@ -20,11 +22,12 @@ UPPER = bytes(range(ord("A"), ord("Z") + 1))
 LETTERS = UPPER + UPPER.lower()
 SPACES = b" \t\n\r\x0b\x0c"
 # A sentence may end in these, also behind quotation marks and brackets.
-SENTENCE_ENDS = (".", "!", "?", ":", ";", "…", "。", "！", "？")
+SENTENCE_ENDS = (".", "!", "?", ":", ";", "…", "。", "！", "？", "؟", "۔", "।", "॥")
 CLOSING = " \t\n\r\x0b\x0c\"'”’»)]*"
+# A short line that consists of these for the most part is a notice; prose may name them.
 BOILERPLATE = re.compile(
-    rb"all rights reserved|licensed under|released under the|terms of (?:use|service)|privacy policy|cookie|lorem ipsum"
-    rb"|javascript|subscribe|sign (?:in|up)|log ?in|click here|read more|share this|copyright",
+    rb"all rights reserved|(?:licensed|released) under(?: the)?(?:[ -~]{0,60}licen[cs]e)?|terms of (?:use|service)|privacy policy"
+    rb"|cookies?|lorem ipsum|javascript|subscribe|sign (?:in|up)|log ?in|click here|read more|share this|copyright",
     re.IGNORECASE,
 )
 SCHEMA = (
@@ -44,11 +47,15 @@ class LineRules:
     upper_letters: int = 20
     unpunctuated_words: int = 8
     boilerplate_words: int = 15
+    boilerplate_percent: int = 40
+    menu_words: int = 4
+    menu_lines: int = 4
     loss_percent: int = 50
     base_words: int = 50
     base_repeat_percent: int = 50
 
-    def fails(self, line: bytes) -> bool:
+    def fails(self, line: bytes, ends: bool | None = None) -> bool:
+        """By the line itself; `ends` tells whether its sentence ends, here or in the lines that it goes on in."""
         words = len(line.split())
         size = len(line)
         bars = line.count(b"|")
@@ -61,9 +68,42 @@ class LineRules:
         upper = size - len(line.translate(None, UPPER))
         if upper >= self.upper_letters and 100 * upper > self.upper_percent * (size - len(line.translate(None, LETTERS))):
             return True
-        if words >= self.unpunctuated_words and not line.decode().rstrip(CLOSING).endswith(SENTENCE_ENDS):
+        if words >= self.unpunctuated_words and not (ended(line) if ends is None else ends):
             return True
-        return words <= self.boilerplate_words and BOILERPLATE.search(line) is not None
+        return words <= self.boilerplate_words and 100 * sum(map(len, BOILERPLATE.findall(line))) >= self.boilerplate_percent * size
+
+    def failures(self, lines: list[bytes]) -> list[bool]:
+        """Of each line of a text, whether it fails by itself or stands in a menu: short lines without a sentence end in a row."""
+        ends = sentence_ends(lines)
+        out = [bool(line.strip()) and self.fails(line, end) for line, end in zip(lines, ends)]
+        short = [not end and 0 < len(line.split()) <= self.menu_words for line, end in zip(lines, ends)]
+        first = 0
+        for at in range(len(lines) + 1):
+            if at == len(lines) or not short[at]:
+                if at - first >= self.menu_lines:
+                    out[first:at] = [True] * (at - first)
+                first = at + 1
+        return out
+
+
+def ended(line: bytes) -> bool:
+    return line.decode().rstrip(CLOSING).endswith(SENTENCE_ENDS)
+
+
+def sentence_ends(lines: list[bytes]) -> list[bool]:
+    """Of each line, whether it has a sentence end or goes on in lines of which the last has one.
+
+    A line without an end goes on when the next one has words and its first one would have made this line longer than
+    both neighbours; a line without words counts as of length 0.
+    """
+    words = [line.split() for line in lines]
+    sizes = [len(line.decode()) if own else 0 for line, own in zip(lines, words)]
+    ends = [bool(own) and ended(line) for line, own in zip(lines, words)]
+    for at in range(len(lines) - 2, -1, -1):
+        if words[at] and not ends[at] and words[at + 1]:
+            full = sizes[at] + 1 + len(words[at + 1][0].decode())
+            ends[at] = full > max(sizes[at - 1] if at else 0, sizes[at + 1]) and ends[at + 1]
+    return ends
 
 
 def points(text: bytes) -> int:
@@ -113,14 +153,14 @@ def clean_lines(docs: DataFrame, rules: LineRules | None = None, id: str = "doc_
                 lines = text.split(b"\n")
                 seen: set[bytes] = set()
                 good, duplicates, failed, kept_chars = [], 0, 0, 0
-                for line in lines:
+                for line, fails in zip(lines, rules.failures(lines)):
                     if not line.split():
                         good.append(line)
                         continue
                     again = line in seen
                     seen.add(line)
                     duplicates += again
-                    if again or rules.fails(line):
+                    if again or fails:
                         failed += 1
                     else:
                         good.append(line)
