@@ -54,7 +54,8 @@ def test_nothing_to_learn(empty, edge):
 
 def test_memo_gives_what_the_network_gives(monkeypatch):
     monkeypatch.setattr(language, "MEMO_WORDS", 3)
-    weights = language.train([b"the", b"and", b"le", b"la"], np.array([0, 0, 1, 1]), np.ones(4), 2)
+    words = [b"the", b"and", b"le", b"la"]
+    weights = {**language.train(words, np.array([0, 0, 1, 1]), np.ones(4), 2), "seen": language.seen_bytes(words)}
     texts = [[b"the", b"le", b"the"], [], [b"la", b"and", b"x" * PART], [b"the"]]
     labels = Labels(weights)
     for _ in range(2):
@@ -67,4 +68,21 @@ def test_memo_gives_what_the_network_gives(monkeypatch):
 def test_words_and_letters():
     assert words_of(b"The 2 cats, l'eau") == [b"the", b"cats", b"l", b"eau"]
     assert b"".join(words_of(b"y" * 100)) == b"y" * 100 and max(map(len, words_of(b"y" * 100))) == PART
+    for text in ("é" * 50, "a" + "é" * 50, "日" * 50, "ab" + "\U0001F600" * 20):
+        cut = words_of(text.encode())
+        assert "".join(w.decode() for w in cut) == text and max(map(len, cut)) <= PART
     assert has_letter("é".encode()) and not has_letter("— 12 …".encode()) and not has_letter(None)
+
+
+def test_bytes_that_training_never_saw_are_counted():
+    weights = {**language.train([b"the", b"le"], np.array([0, 1]), np.ones(2), 2), "seen": language.seen_bytes([b"the", b"le"])}
+    assert Labels(weights).totals([[b"the", b"hex"], [], ["é".encode()]])[:, -1].tolist() == [1, 0, 2]
+
+
+def test_over_chance_has_one_scale(spark, documents):
+    """With one language everything is whole; with several an even share is 0."""
+    one = identify_language(documents.where("lang = 'en'").limit(50)).collect()
+    assert {r["over_chance"] for r in one if r["lang_pred"] != UNKNOWN} == {1.0}
+    rows = [r for r in identify_language(documents.where("lang in ('en', 'de')")).collect() if r["lang_pred"] != UNKNOWN]
+    assert all(r["over_chance"] == pytest.approx(2 * r["score"] - 1, abs=1e-6) for r in rows)
+    assert all(0 <= r["n_strange"] <= r["n_letters"] for r in rows)

@@ -37,10 +37,22 @@ LETTERS = bytes(b if 97 <= b <= 122 or b > 127 else b + 32 if 65 <= b <= 90 else
 HAS_ASCII_LETTER = re.compile(b"[A-Za-z]")
 
 
+def parts(word: bytes) -> Iterator[bytes]:
+    """At most PART bytes each, whole characters."""
+    first = 0
+    while len(word) - first > PART:
+        past = first + PART
+        while word[past] & 0xC0 == 0x80:
+            past -= 1
+        yield word[first:past]
+        first = past
+    yield word[first:]
+
+
 def words_of(text: bytes) -> list[bytes]:
     words = text.translate(LETTERS).split()
     if any(len(w) > PART for w in words):
-        return [w[i:i + PART] for w in words for i in range(0, len(w), PART)]
+        return [part for w in words for part in parts(w)]
     return words
 
 
@@ -123,29 +135,43 @@ def label_words(words: list[bytes], weights: gru.Weights) -> np.ndarray:
 
 
 class Labels(dict):
-    """Numbers of distinct words, and the summed label probabilities of each."""
+    """Numbers of distinct words; of each the summed label probabilities and, last, its bytes that training never saw."""
 
     def __init__(self, weights: gru.Weights) -> None:
         self.weights, self.fresh = weights, []
-        self.sums = np.empty((0, len(weights["bias"])), np.float32)
+        self.seen = bytes(np.flatnonzero(weights["seen"]).tolist())
+        self.sums = np.empty((0, len(weights["bias"]) + 1), np.float32)
 
     def __missing__(self, word: bytes) -> int:
         number = self[word] = len(self)
         self.fresh.append(word)
         return number
 
-    def pool(self, texts: list[list[bytes]]) -> np.ndarray:
-        """Mean probabilities over the positions of each text; zero where there is no position."""
+    def totals(self, texts: list[list[bytes]]) -> np.ndarray:
+        """The sums over all words of each text."""
         if len(self) > MEMO_WORDS:
             self.clear()
             self.sums = self.sums[:0]
         sizes = np.array([len(t) for t in texts], np.int64)
         numbers = np.fromiter((self[w] for t in texts for w in t), np.int64, int(sizes.sum()))
-        self.sums = np.concatenate([self.sums, label_words(self.fresh, self.weights)])
+        strange = np.array([len(w.translate(None, self.seen)) for w in self.fresh], np.float32)
+        self.sums = np.concatenate([self.sums, np.column_stack([label_words(self.fresh, self.weights), strange])])
         self.fresh = []
         text = np.repeat(np.arange(len(texts)), sizes)
-        pooled = np.stack([np.bincount(text, self.sums[numbers, k], len(texts)) for k in range(self.sums.shape[1])], axis=1)
-        return pooled / np.maximum(pooled.sum(1, keepdims=True), 1e-9)
+        return np.stack([np.bincount(text, self.sums[numbers, k], len(texts)) for k in range(self.sums.shape[1])], axis=1)
+
+    def pool(self, texts: list[list[bytes]]) -> np.ndarray:
+        """Mean probabilities over the positions of each text; zero where there is no position."""
+        return shares(self.totals(texts))
+
+
+def shares(totals: np.ndarray) -> np.ndarray:
+    return totals[:, :-1] / np.maximum(totals[:, :-1].sum(1, keepdims=True), 1e-9)
+
+
+def seen_bytes(words: list[bytes]) -> np.ndarray:
+    """1 for every byte that occurs."""
+    return (np.bincount(np.frombuffer(b"".join(words), np.uint8), minlength=256) > 0).astype(np.float32)
 
 
 def sample(rows: DataFrame, folds: int, per_language: int) -> DataFrame:
@@ -178,7 +204,8 @@ def fit(rows: DataFrame, folds: int, per_language: int) -> tuple[list[str], gru.
             languages = sorted({lang for lang, _ in pairs})
             numbers = {lang: n for n, lang in enumerate(languages)}
             labels, times = np.array([numbers[lang] for lang, _ in pairs]), np.array([counts[p] for p in pairs])
-            weights = train([w for _, w in pairs], labels, times, len(languages))
+            words = [w for _, w in pairs]
+            weights = {**train(words, labels, times, len(languages)), "seen": seen_bytes(words)}
             yield pa.RecordBatch.from_arrays([pa.array([languages]), pa.array([gru.packed(weights)])], names=["langs", "weights"])
 
     fitted = sample(rows, folds, per_language).coalesce(1).mapInArrow(run, "langs array<string>, weights binary").head()
@@ -189,10 +216,14 @@ def identify_language(
     docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", folds: int = FOLDS,
     per_language: int = DOCS_PER_LANGUAGE, keep: bool = False,
 ) -> DataFrame:
-    """doc_id, held_out, lang_pred and score of every row.
+    """doc_id, held_out, lang_pred, score, over_chance, n_letters and n_strange of every row.
+
+    The score is the language's share of the positions. `over_chance` is how far it lies between an even share of all
+    learned languages (0) and the whole (1), so that it means the same for any number of them. `n_letters` counts the
+    positions, `n_strange` those of bytes that no text of the sample has.
 
     Labels of the held-out fold are never read. A missing text, one without letters, and every text where nothing could
-    be learnt get `und` with score 0. Map-only after training; equal texts get equal results, a missing id is its own
+    be learnt get `und` with score and further numbers 0. Map-only after training; equal texts get equal results, a missing id is its own
     value of the fold. With `keep` the row itself is a last column `_doc`.
     """
     rows = pick(docs, keep, doc_id=id, text=text, lang=lang).withColumns({
@@ -206,16 +237,22 @@ def identify_language(
 
         def work(ids: list, texts: list[bytes | None], held: list[bool]) -> list:
             if labels is None:
-                return [ids, held, [UNKNOWN] * len(ids), [0.0] * len(ids)]
+                return [ids, held, [UNKNOWN] * len(ids), *[[0.0] * len(ids)] * 2, *[[0] * len(ids)] * 2]
             known = [has_letter(t) for t in texts]
-            chances = labels.pool([words_of(t) if ok else [] for t, ok in zip(texts, known)])
+            words = [words_of(t) if ok else [] for t, ok in zip(texts, known)]
+            totals = labels.totals(words)
+            chances = shares(totals)
             best = chances.argmax(1)
+            score = np.where(known, chances.max(1), 0.0)
+            even = 1 / len(languages)
+            over = (score - even) / (1 - even) if len(languages) > 1 else np.ones(len(ids))
             return [
-                ids, held, [languages[b] if ok else UNKNOWN for b, ok in zip(best, known)],
-                [float(row[b]) if ok else 0.0 for row, b, ok in zip(chances, best, known)],
+                ids, held, [languages[b] if ok else UNKNOWN for b, ok in zip(best, known)], score, np.where(known, np.maximum(over, 0), 0.0),
+                [sum(map(len, own)) for own in words], totals[:, -1].astype(np.int64),
             ]
 
         return work
 
     read = rows.select("doc_id", "text", "held_out", *(["_doc"] if keep else []))
-    return map_slices(read, begin, "doc_id long, held_out boolean, lang_pred string, score double", keep=text if keep else None)
+    schema = "doc_id long, held_out boolean, lang_pred string, score double, over_chance double, n_letters long, n_strange long"
+    return map_slices(read, begin, schema, keep=text if keep else None)
