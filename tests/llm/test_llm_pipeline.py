@@ -45,6 +45,33 @@ def test_language_stage_rejects_what_has_no_letters(spark, sf, input_table):
     assert sum(gone.values()) < 12
 
 
+FOREIGN = [
+    "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto, ja heidän on toimittava toisiaan kohtaan veljeyden hengessä.",
+    "Bütün insanlar hür, haysiyet ve haklar bakımından eşit doğarlar. Akıl ve vicdana sahiptirler ve birbirlerine karşı kardeşlik zihniyeti ile hareket etmelidirler.",
+    "Все люди рождаются свободными и равными в своем достоинстве и правах. Они наделены разумом и совестью.",
+    "Όλοι οι άνθρωποι γεννιούνται ελεύθεροι και ίσοι στην αξιοπρέπεια και τα δικαιώματα.",
+    "人人生而自由，在尊严和权利上一律平等。他们赋有理性和良心，并应以兄弟关系的精神相对待。",
+    "सभी मनुष्यों को गौरव और अधिकारों के मामले में जन्मजात स्वतन्त्रता और समानता प्राप्त है।",
+]
+
+
+def test_language_stage_rejects_foreign_texts_and_keeps_short_ones(spark, sf, documents, monkeypatch):
+    """Labelled rows, the first words of held-out texts without a label, and texts in other languages."""
+    monkeypatch.setattr(language, "STEPS", 900)
+    texts = [r["text"] for r in documents.where("text is not null and crc32(cast(doc_id as string)) % 5 = 0").collect()]
+    short = [" ".join(t.split()[:n]) for t in texts for n in (1, 2, 5)]
+    extra = [(100_000 + i, t) for i, t in enumerate([*FOREIGN, *short])]
+    fields = [f"cast(null as {documents.schema[c].dataType.simpleString()}) as {c}" for c in documents.columns if c not in ("doc_id", "text")]
+    unlabelled = spark.createDataFrame(extra, "doc_id long, text string").selectExpr("doc_id", "text", *fields)
+    docs = documents.unionByName(unlabelled.select(*documents.columns))
+    left = {r["doc_id"] for r in corpus_pipeline.language_id(spark, docs, sf).select("doc_id").collect()}
+    assert not left & {100_000 + i for i in range(len(FOREIGN))}
+    letters = [i for i, t in extra[len(FOREIGN):] if any(c.isalpha() for c in t)]
+    assert sum(i in left for i in letters) >= 0.99 * len(letters)
+    known = [r["doc_id"] for r in documents.where("text is not null").collect()]
+    assert sum(i in left for i in known) >= 0.995 * len(known)
+
+
 def test_one_row_of_each_group_stays(spark, sf, input_table):
     numbered = list(enumerate(r["text"] for r in input_table.collect()))
     groups = Counter(component for (_, _, component), n in by_all_pairs(numbered, 5, 80).items() for _ in range(n))
