@@ -21,14 +21,19 @@ from waymark.llm.queries import TRIAL_KEY
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
-# A document is rejected where no language has this share of its positions.
-LEAST_SCORE = 0.3
+# How far above an even share of all learned languages a text's own one must be, from this many letters on; shorter
+# texts need less in proportion, since a few words say less.
+LEAST_OVER_CHANCE = 0.2
+FULL_LETTERS = 100
+# Of the letters' bytes, this percentage may be ones that no learned text has.
+MOST_STRANGE = 25
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the network knows; those without letters or between languages go."""
-    known = identify_language(docs, keep=True).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
-    return known.select("_doc.*")
+    """Documents in a language that the network knows; those without letters, between languages or in unseen letters go."""
+    needed = LEAST_OVER_CHANCE * F.least(F.lit(1.0), F.col("n_letters") / FULL_LETTERS)
+    sure = (F.col("over_chance") >= needed) & (100 * F.col("n_strange") <= MOST_STRANGE * F.col("n_letters"))
+    return identify_language(docs, keep=True).where((F.col("lang_pred") != UNKNOWN) & sure).select("_doc.*")
 
 
 def ngram_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
