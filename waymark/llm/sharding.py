@@ -3,7 +3,8 @@
 The heap runs in two places, so that neither the driver nor a task sees all groups. Groups above 1 / (shards x HEAD)
 of all bytes, at most shards x HEAD of them, are scheduled in one heap on the driver. The others are dealt into blocks
 by a hash, and each block runs the same heap from the room that the large groups have left, scaled to the block's
-bytes; the blocks' errors are about one small text each.
+bytes; the blocks' errors are about one small text each. Rows of groups that are large in bytes or in rows get their
+shard from a broadcast table of bounded size, so that no task has all rows of such a group.
 """
 
 from __future__ import annotations
@@ -62,9 +63,11 @@ def shard_documents(docs: DataFrame, shards: int = 16, id: str = "doc_id", text:
         (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("_size"),
     )
     rows = saved(rows.withColumn("_row", F.monotonically_increasing_id()), "shard-rows")
-    groups = saved(rows.groupBy(*KEY).agg((F.count(F.lit(1)) * F.col("_size")).alias("_bytes")), "shard-groups")
-    count, total = groups.agg(F.count(F.lit(1)), F.coalesce(F.sum("_bytes"), F.lit(0))).first()
-    least = total / (shards * HEAD)
+    counted = rows.groupBy(*KEY).agg(F.count(F.lit(1)).alias("_rows"))
+    groups = saved(counted.withColumn("_bytes", F.col("_rows") * F.col("_size")), "shard-groups")
+    nothing = F.lit(0)
+    count, total, members = groups.agg(F.count(F.lit(1)), F.coalesce(F.sum("_bytes"), nothing), F.coalesce(F.sum("_rows"), nothing)).first()
+    least, least_rows = total / (shards * HEAD), members / (shards * HEAD)
 
     # At most shards x HEAD groups reach `least`.
     large = groups.where(F.col("_bytes") >= least).orderBy(F.desc("_bytes"), *KEY).toPandas()
@@ -77,15 +80,20 @@ def shard_documents(docs: DataFrame, shards: int = 16, id: str = "doc_id", text:
         group = group.sort_values(["_bytes", *KEY], ascending=[False, True, True, True])
         scale = int(group["_bytes"].sum()) / rest
         group["shard"] = least_loaded(group["_bytes"].tolist(), [-share * scale for share in left])
-        return group[[*KEY, "shard"]]
+        return group[[*KEY, "_rows", "shard"]]
 
-    schema = "_hash long, _crc long, _size long, shard int"
+    schema = "_hash long, _crc long, _size long, _rows long, shard int"
     blocks = max(1, math.ceil(count / BLOCK_GROUPS))
     small = groups.where(F.col("_bytes") < least).groupBy(F.pmod("_hash", F.lit(blocks)).alias("_block")).applyInPandas(block, schema)
-    head = spark.createDataFrame(list(large[[*KEY, "shard"]].itertuples(index=False, name=None)), schema)
-    placed = saved(rows.join(small.unionByName(head), KEY), "shard-placed")
-
-    parts = max(1, math.ceil(count / ROWS_PER_SLOT_TASK), math.ceil(placed.count() / shards / ROWS_PER_SLOT_TASK))
+    head = spark.createDataFrame(list(large[[*KEY, "_rows", "shard"]].itertuples(index=False, name=None)), schema)
+    chosen = saved(small.unionByName(head), "shard-chosen")
+    # At most shards x HEAD groups by bytes and as many by rows.
+    hot = (F.col("_rows") * F.col("_size") >= least) | (F.col("_rows") >= least_rows)
+    found = rows.join(F.broadcast(chosen.where(hot).select(*KEY, "shard")), KEY, "left")
+    others = found.where("shard is null").drop("shard").join(chosen.where(~hot).select(*KEY, "shard"), KEY)
+    placed = saved(found.where("shard is not null").unionByName(others), "shard-placed")
+
+    parts = max(1, math.ceil(count / ROWS_PER_SLOT_TASK), math.ceil(members / shards / ROWS_PER_SLOT_TASK))
     placed = placed.withColumn("_part", F.pmod(F.xxhash64("_row"), F.lit(parts)).cast("int"))
     sizes = placed.groupBy("shard", "_part").agg(F.count(F.lit(1)).alias("_rows"))
     before = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
