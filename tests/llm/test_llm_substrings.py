@@ -172,3 +172,15 @@ def test_ends_beyond_the_first_reach_are_found(spark):
 @pytest.mark.parametrize("one, other, want", [(b"", b"a", 0), (b"a", b"b", 0), (b"ab", b"ac", 1), (b"abc", b"abcd", 3), (b"x" * 99 + b"y", b"x" * 120, 99)])
 def test_common_length(one, other, want):
     assert common_length(one, other) == common_length(other, one) == want
+
+
+def test_pieces_of_long_texts_give_the_same_spans(spark, monkeypatch):
+    from waymark.llm import substrings
+
+    shared = [prose(i, 60 + 40 * i) for i in range(6)]
+    rows = [(i, " ".join(f"{prose(500 + 10 * i + k, 30)} {shared[(i * k + k) % 6]}" for k in range(8))) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    whole = sorted((r["doc_id"], r["text"], str(r["spans"])) for r in remove_repeats(docs).collect())
+    monkeypatch.setattr(substrings, "PIECE", 2 * REACH)
+    assert sorted((r["doc_id"], r["text"], str(r["spans"])) for r in remove_repeats(docs).collect()) == whole
+    assert any(spans != "[]" for _, _, spans in whole)

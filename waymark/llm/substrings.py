@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from waymark.llm.bitmaps import bitmap, marked, parted
@@ -24,12 +24,16 @@ MOST_CHUNK = 256
 LEAST_SPAN = 120
 CHUNKS = "doc_id long, _row long, n_bytes long, digests array<long>, ends array<int>"
 SPANS = "array<struct<first:int,past:int>>"
-RUNS = "array<struct<first:int,past:int,from_row:long,from_first:int>>"
 CONTEXTS = "_row long, run int, side int, at int, from_row long, from_at int, context binary"
 EXTENDED = "_row long, run int, side int, at int, from_row long, from_at int, reached int, open boolean"
 # Bytes compared at each end of a run, and by how much more in every further round for ends that are equal so far.
-REACH = 192
+REACH = 64
 FURTHER = 16
+# Ends are looked up in pieces of texts of this many bytes, so that a long text is not one task's work.
+PIECE = 1 << 16
+# Edges are many small Python objects: fewer at a time.
+EDGE_BYTES = 1 << 19
+EDGE_ROWS = 256
 
 
 def gear_table(seed: int = 0) -> np.ndarray:
@@ -115,68 +119,72 @@ def repeated_chunks(chunks: DataFrame) -> DataFrame:
     return later.select("_row", "first", "past", F.col("_kept._row").alias("from_row"), F.col("_kept.first").alias("from_first"))
 
 
-def seed_runs(later: DataFrame) -> DataFrame:
-    """Neighbouring chunks of a text whose first occurrences are neighbours too put together; one row per text that has any."""
-
-    def begin() -> Work:
-        def work(row: list[int], chunks: list) -> list:
-            out = []
-            for found in chunks:
-                runs: list[dict] = []
-                for chunk in sorted(found, key=lambda c: c["first"]):
-                    last = runs[-1] if runs else None
-                    shift = chunk["first"] - chunk["from_first"]
-                    if last and last["past"] == chunk["first"] and last["from_row"] == chunk["from_row"] and last["first"] - last["from_first"] == shift:
-                        last["past"] = chunk["past"]
-                    else:
-                        runs.append(chunk)
-                out.append(runs)
-            return [row, out]
+def in_runs(pieces: DataFrame, starts: Column) -> DataFrame:
+    """`pieces` (of texts, by `first`) with `run`: a new number for each piece of a text where `starts` holds or nothing is before."""
+    before = Window.partitionBy("_row").orderBy("first", "past")
+    begins = F.when(starts, 1).otherwise(0)
+    return pieces.withColumn("_begins", begins).withColumn("run", F.sum("_begins").over(before).cast("int")).drop("_begins")
 
-        return work
 
-    chunks = later.groupBy("_row").agg(F.collect_list(F.struct("first", "past", "from_row", "from_first")).alias("chunks"))
-    return map_slices(chunks, begin, f"_row long, runs {RUNS}")
+def seed_runs(later: DataFrame) -> DataFrame:
+    """Neighbouring chunks of a text whose first occurrences are neighbours too put together: _row, run, first, past, from_row, from_first."""
+    before = Window.partitionBy("_row").orderBy("first", "past")
+    shift = F.col("first") - F.col("from_first")
+    follows = (F.lag("past").over(before) == F.col("first")) & (F.lag("from_row").over(before) == F.col("from_row")) & (F.lag(shift).over(before) == shift)
+    runs = in_runs(later, ~F.coalesce(follows, F.lit(False))).groupBy("_row", "run")
+    return runs.agg(F.min("first").alias("first"), F.max("past").alias("past"), F.min("from_row").alias("from_row"), F.min("from_first").alias("from_first"))
 
 
 def run_edges(runs: DataFrame) -> DataFrame:
     """The left (side 0) and right end of every run, with its place in the first occurrence; not those at a text's start."""
-    each = runs.select("_row", F.posexplode("runs").alias("run", "_run"))
-    size = F.col("_run.past") - F.col("_run.first")
     ends = F.array(
-        F.struct(F.lit(0).alias("side"), F.col("_run.first").alias("at"), F.col("_run.from_first").alias("from_at")),
-        F.struct(F.lit(1).alias("side"), F.col("_run.past").alias("at"), (F.col("_run.from_first") + size).alias("from_at")),
+        F.struct(F.lit(0).alias("side"), F.col("first").alias("at"), F.col("from_first").alias("from_at")),
+        F.struct(F.lit(1).alias("side"), F.col("past").alias("at"), (F.col("from_first") + F.col("past") - F.col("first")).alias("from_at")),
     )
-    edges = each.select("_row", "run", F.col("_run.from_row").alias("from_row"), F.explode(ends).alias("_end"))
+    edges = runs.select("_row", "run", "from_row", F.explode(ends).alias("_end"))
     edges = edges.select("_row", "run", "_end.side", "_end.at", "from_row", "_end.from_at")
     return edges.where("side = 1 or (at > 0 and from_at > 0)")
 
 
+def text_pieces(rows: DataFrame, size: int, reach: int) -> DataFrame:
+    """Every text in pieces of `size` bytes and at least `reach` more at both ends: _row, piece, bytes, and start, where they begin."""
+    data = F.col("text").cast("binary")
+    start = lambda n: F.greatest(n * size - reach, F.lit(0))
+    cut = lambda n: F.struct(F.substring(data, start(n) + 1, F.lit(size + 2 * reach)).alias("bytes"), start(n).alias("start"), n.alias("piece"))
+    numbers = F.sequence(F.lit(0), F.floor(F.octet_length("text") / size).cast("int"))
+    # The pieces are made before they are dealt out, or each would carry the whole text.
+    pieces = rows.select("_row", F.explode(F.transform(numbers, cut)).alias("_piece"))
+    return pieces.select("_row", "_piece.bytes", "_piece.start", "_piece.piece")
+
+
 def contexts(rows: DataFrame, edges: DataFrame, reach: int) -> DataFrame:
     """The bytes outward of every edge, left ones backwards: of its own text, and once without `_row` of each place it is compared with."""
-    own = edges.groupBy("_row").agg(F.collect_list(F.struct("run", "side", "at", "from_row", "from_at")).alias("own"))
-    lent = edges.groupBy(F.col("from_row").alias("_row")).agg(F.collect_set(F.struct("side", "from_at")).alias("lent"))
-    needed = saved(own.join(lent, "_row", "full"), "edges")
+    size = max(PIECE, 2 * reach)
+    piece = lambda at: F.floor(F.col(at) / size).cast("int").alias("piece")
+    own = edges.groupBy("_row", piece("at")).agg(F.collect_list(F.struct("run", "side", "at", "from_row", "from_at")).alias("own"))
+    lent = edges.groupBy(F.col("from_row").alias("_row"), piece("from_at")).agg(F.collect_set(F.struct("side", "from_at")).alias("lent"))
+    needed = saved(own.join(lent, ["_row", "piece"], "full"), "edges")
 
     def begin() -> Work:
         def outward(text: bytes, side: int, at: int) -> bytes:
             return text[at:at + reach] if side else text[max(0, at - reach):at][::-1]
 
-        def work(row: list[int], texts: list[bytes], own: list, lent: list) -> list:
+        def work(row: list[int], pieces: list[bytes], starts: list[int], own: list, lent: list) -> list:
             out = []
-            for number, text, edges, places in zip(row, texts, own, lent):
+            for number, text, start, edges, places in zip(row, pieces, starts, own, lent):
                 for e in edges or ():
-                    context = outward(text, e["side"], e["at"])
+                    context = outward(text, e["side"], e["at"] - start)
                     if context:
                         out.append((number, e["run"], e["side"], e["at"], e["from_row"], e["from_at"], context))
                 for p in places or ():
-                    out.append((None, None, p["side"], None, number, p["from_at"], outward(text, p["side"], p["from_at"])))
+                    out.append((None, None, p["side"], None, number, p["from_at"], outward(text, p["side"], p["from_at"] - start)))
             return [list(column) for column in zip(*out)] if out else [[]] * 7
 
         return work
 
     _, some = parted(rows.select("_row", "text"), needed, "_row")
-    return map_slices(some.join(needed.hint("merge"), "_row"), begin, CONTEXTS)
+    joined = text_pieces(some, size, reach).join(needed.hint("merge"), ["_row", "piece"]).select("_row", "bytes", "start", "own", "lent")
+    return map_slices(joined, begin, CONTEXTS, slice_bytes=EDGE_BYTES, slice_rows=EDGE_ROWS)
 
 
 def common_length(one: bytes, other: bytes) -> int:
@@ -194,7 +202,7 @@ def common_length(one: bytes, other: bytes) -> int:
 
 
 def extended(rows: DataFrame, runs: DataFrame) -> DataFrame:
-    """_row and for its runs `run`, `side` and `reached`, the equal bytes outward of that end; once for every round that compared it.
+    """_row, run, and how many bytes outward of its left and right end are equal.
 
     A round compares a fixed number of bytes. Ends equal throughout go on in a further round with more bytes, until none is left.
     """
@@ -224,44 +232,27 @@ def extended(rows: DataFrame, runs: DataFrame) -> DataFrame:
         reach *= FURTHER
         out = compare(reach)
         rounds = rounds.unionByName(out)
-    return rounds.groupBy("_row").agg(F.collect_list(F.struct("run", "side", "reached")).alias("reaches"))
+    of = lambda side: F.sum(F.when(F.col("side") == side, F.col("reached")).otherwise(0)).cast("int")
+    return rounds.groupBy("_row", "run").agg(of(0).alias("left"), of(1).alias("right"))
 
 
-def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    """Spans that overlap or touch put together."""
-    out: list[tuple[int, int]] = []
-    for first, past in sorted(spans):
-        if out and first <= out[-1][1]:
-            out[-1] = (out[-1][0], max(past, out[-1][1]))
-        else:
-            out.append((first, past))
-    return out
+def merged(spans: DataFrame) -> DataFrame:
+    """Spans (_row, first, past) of a text that overlap or touch put together."""
+    before = Window.partitionBy("_row").orderBy("first", "past").rowsBetween(Window.unboundedPreceding, -1)
+    apart = F.coalesce(F.col("first") > F.max("past").over(before), F.lit(True))
+    whole = in_runs(spans, apart).groupBy("_row", "run").agg(F.min("first").alias("first"), F.max("past").alias("past"))
+    return whole.select("_row", "first", "past")
 
 
 def long_spans(rows: DataFrame, later: DataFrame, least_bytes: int) -> DataFrame:
     """What goes of each text: runs that are long when extended, or long together; one row per text that has any."""
     runs = saved(seed_runs(later), "runs")
-
-    def begin() -> Work:
-        def work(row: list[int], runs: list, reaches: list) -> list:
-            rows, spans = [], []
-            for own, found, more in zip(row, runs, reaches):
-                first, past = [r["first"] for r in found], [r["past"] for r in found]
-                together = merged(list(zip(first, past)))
-                for reach in more or ():
-                    if reach["side"]:
-                        past[reach["run"]] += reach["reached"]
-                    else:
-                        first[reach["run"]] -= reach["reached"]
-                long = merged([(a, b) for a, b in [*together, *zip(first, past)] if b - a >= least_bytes])
-                if long:
-                    rows.append(own)
-                    spans.append([{"first": a, "past": b} for a, b in long])
-            return [rows, spans]
-
-        return work
-
-    return map_slices(runs.join(extended(rows, runs).hint("merge"), "_row", "left"), begin, f"_row long, spans {SPANS}")
+    longer = runs.join(extended(rows, runs), ["_row", "run"], "left").select(
+        "_row", (F.col("first") - F.coalesce("left", F.lit(0))).alias("first"), (F.col("past") + F.coalesce("right", F.lit(0))).alias("past"),
+    )
+    long = F.col("past") - F.col("first") >= least_bytes
+    spans = merged(merged(runs.select("_row", "first", "past")).where(long).unionByName(longer.where(long)))
+    return spans.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct("first", "past"))).alias("spans"))
 
 
 def whole_characters(text: bytes, first: int, past: int) -> tuple[int, int]:
@@ -305,6 +296,9 @@ def remove_repeats(docs: DataFrame, least_bytes: int = LEAST_SPAN, id: str = "do
 
     # Texts without spans stay where they are. The others are always shuffled: their number grows with the table.
     without, some = parted(rows, spans, "_row")
-    joined = some.join(spans.hint("merge"), "_row", "left").unionByName(without.withColumn("spans", F.lit(None).cast(SPANS)))
-    joined = joined.select("doc_id", "text", "spans")
-    return map_slices(joined, begin, f"doc_id long, text string, n_bytes long, n_removed long, spans {SPANS}")
+    cut = map_slices(
+        some.join(spans.hint("merge"), "_row", "left").select("doc_id", "text", "spans"), begin,
+        f"doc_id long, text string, n_bytes long, n_removed long, spans {SPANS}",
+    )
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes")
+    return cut.unionByName(without.select("doc_id", "text", size, F.lit(0).cast("long").alias("n_removed"), F.expr(f"cast(array() as {SPANS})").alias("spans")))
