@@ -14,6 +14,7 @@ from helpers import bag, plan
 from waymark.operators.dedup import dedup_count
 from waymark.plans.geocoding import geocode_file
 from waymark.plans.preprocess import preprocess, preprocess_file
+from waymark.sources import sinks
 from waymark.sources.records import get_records, put_record
 from waymark.sources.sinks import write_country_results, write_country_samples, write_results
 from waymark.sources.tables import path_format, read_by_format, scan_logs
@@ -101,6 +102,17 @@ def test_country_results_and_status(spark, tmp_path):
     assert not (tmp_path / "c" / "country=FR").exists()
 
 
+def test_rows_of_a_country_are_shared_out_by_number(spark, monkeypatch):
+    # Rows all alike, which compress to almost nothing.
+    monkeypatch.setattr(sinks, "ROWS_PER_FILE", 500)
+    df = spark.range(12_000).select(F.when(F.col("id") < 10_000, "ES").when(F.col("id") < 11_000, "NO").alias("country"), F.lit("same").alias("a"))
+    placed = sinks.by_country(df)
+    tasks = [row["count"] for row in placed.groupBy(F.spark_partition_id()).count().collect()]
+    assert max(tasks) < 1000
+    assert bag(placed.groupBy("country").count(), "country", "count") == Counter({("ES", 10_000): 1, ("NO", 1000): 1, (None, 1000): 1})
+    sinks.by_country(df.where("false")).collect()
+
+
 LOG = "n int, method_name string, searched_query string, lib_postal_result string, parsed_request_quertystring string"
 LOGS = [
     (1, "search 2 structuredGeocode", "old", '{"city":"a"}', '{"municipality":"b%20c"}'),
