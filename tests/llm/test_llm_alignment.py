@@ -143,6 +143,31 @@ def test_spans(odd, plain):
         assert not groups or row["groups"][-1]["past"] == len(text.encode()) + 1
 
 
+def test_spans_of_sentencepiece_come_as_offsets(plain, monkeypatch):
+    # Its proto costs an object per token.
+    tokenizers = Tokenizers(read_vocabulary(None, "byte_bpe_50k.json"), read_model(None, "piece_bpe_32k.model"))
+    kinds, own = set(), tokenizers.b
+
+    class Asked:
+        def encode(self, text, return_type):
+            kinds.add(return_type)
+            return own.encode(text, return_type=return_type)
+
+    monkeypatch.setattr(tokenizers, "b", Asked())
+    for text in filter(None, TEXTS):
+        made = tokenizers.encode(text)
+        groups = plain.groups(text)
+        have_ids = ([], []) if made is None else (made[0].tolist(), made[2].tolist())
+        assert have_ids == tuple([i for g in groups for i in g[n]] for n in (0, 1))
+    assert kinds == {"offset_mapping"}
+
+
+def test_white_space_beside_blanks():
+    tokenizers = Tokenizers(read_vocabulary(None, "byte_bpe_50k.json"), read_model(None, "piece_bpe_32k.model"))
+    for text in [*TEXTS, "a\n\nb c", "a \xa0b c", "\na b\n", " a b", "a b "]:
+        assert tokenizers.words(text) == alignment.BETWEEN.split(text)
+
+
 def test_group_text():
     a, b, a_sizes, b_sizes = map(np.array, ([1, 2, 3, 7], [4, 5, 6, 8], [2, 1, 1], [1, 2, 1]))
     assert group_texts(a, b, a_sizes, b_sizes, np.array([1, 2])) == ["1,2|4;3|5,6", "7|8"]

@@ -1,7 +1,7 @@
 """Cross-tokenizer alignment: where the tokens of two tokenizers end together, and how often their ids end together.
 
-The coarse cuts are the libraries' own spans: character offsets of `tokenizers` and the byte spans of sentencepiece's
-proto. Where a token ends inside a character (byte-level tokens, byte fallback) the spans of its neighbours share the
+The coarse cuts are the libraries' own spans: character offsets of `tokenizers` and the byte offsets of
+sentencepiece. Where a token ends inside a character (byte-level tokens, byte fallback) the spans of its neighbours share the
 character, and the cuts are refined with the bytes that the tokens decode to. Both tokenizers cut at a single blank between
 two words, so texts are taken apart there and equal words of a task are encoded once.
 
@@ -15,6 +15,8 @@ import hashlib
 import json
 import re
 from collections.abc import Callable, Iterator, Sequence
+from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,8 @@ BATCH_ROWS = 2048
 # Ids of either vocabulary have at most so many bits.
 ID_BITS = 20
 BETWEEN = re.compile(r"(?<=\S) (?=\S)")
-UNEVEN = re.compile(r"\s\s|^\s|\s$")
+# A blank beside white space; patterns that begin with a plain character are searched for fast.
+UNEVEN = re.compile(r" (?:(?<=\s )|(?=\s))")
 
 ALIGNED = "doc_id long, _row long, n_a long, n_b long, n_groups long, groups string, a_ids array<int>, b_ids array<int>, times array<int>"
 LINKED = (
@@ -118,8 +121,9 @@ class Tokenizers:
         a_ends = np.array([end for _, end in found.offsets], np.int64)
         if not whole.isascii():
             a_ends = np.concatenate([[0], np.cumsum(byte_lengths(whole))])[a_ends]
-        spans = [(p.id, p.end) for p in self.b.encode(text, return_type="proto").pieces]
-        b_ids, b_ends = np.array(spans, np.int64).reshape(-1, 2).T
+        spans = self.b.encode(text.encode(), return_type="offset_mapping")
+        b_ids = np.array(spans["ids"], np.int64)
+        b_ends = np.array([end for _, end in spans["offsets"]], np.int64)
         bytes_ = whole.encode()
         if b"".join([self.a_bytes[i] for i in a_ids.tolist()]) != bytes_ or b"".join([self.b_bytes[i] for i in b_ids.tolist()]) != bytes_:
             return None
@@ -130,7 +134,8 @@ class Tokenizers:
         """Parts of the text between which both tokenizers always cut, each without the blank before it."""
         if not self.by_word:
             return [text]
-        return BETWEEN.split(text) if UNEVEN.search(text) else text.split(" ")
+        uneven = text[:1] == " " or text[-1:] == " " or UNEVEN.search(text)
+        return BETWEEN.split(text) if uneven else text.split(" ")
 
 
 def grouped(tokens: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -141,6 +146,12 @@ def grouped(tokens: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray, np.
     return shared, a_sizes, b_sizes
 
 
+@cache
+def marked(bits: int) -> list[str]:
+    """Every id of so many bits with each of the four marks behind it."""
+    return [f"{i}{mark}" for i in range(1 << bits) for mark in ",|;#"]
+
+
 def group_texts(a_ids: np.ndarray, b_ids: np.ndarray, a_sizes: np.ndarray, b_sizes: np.ndarray, last: np.ndarray) -> list[str]:
     """`a1,a2|b1;a3|b2,b3` for each word; `last` are the groups that end one."""
     group = np.repeat(np.arange(len(a_sizes)), a_sizes), np.repeat(np.arange(len(b_sizes)), b_sizes)
@@ -153,7 +164,8 @@ def group_texts(a_ids: np.ndarray, b_ids: np.ndarray, a_sizes: np.ndarray, b_siz
     marks[a_past + b_past - b_sizes - 1] = 1
     marks[a_past + b_past - 1] = 2
     marks[(a_past + b_past - 1)[last]] = 3
-    return "".join([f"{i}{',|;#'[m]}" for i, m in zip(ids.tolist(), marks.tolist())]).split("#")[:-1]
+    written = marked(int(ids.max()).bit_length())
+    return "".join(map(written.__getitem__, (ids << 2 | marks).tolist())).split("#")[:-1]
 
 
 class Memo:
@@ -173,20 +185,23 @@ class Memo:
     def _learn(self) -> None:
         """Encodes the words that are new, many together between blanks."""
         new, self.number.new = self.number.new, []
-        found: list[tuple[list[int], np.ndarray, list[str], np.ndarray]] = []
-        batch, size = [], 0
-        for place, word in enumerate(new):
-            # A word at the edge of a text may have white space at its own edge; it cannot stand between others.
-            if not word or word[0].isspace() or word[-1].isspace():
-                found.extend(self._encoded([word], [place]))
-                continue
-            batch.append(place)
-            size += len(word)
-            if len(batch) >= BATCH_WORDS or size >= BATCH_CHARACTERS:
-                found.extend(self._encoded([new[i] for i in batch], batch))
-                batch, size = [], 0
-        if batch:
-            found.extend(self._encoded([new[i] for i in batch], batch))
+        found: list[tuple[Sequence[int], np.ndarray, list[str], np.ndarray]] = []
+        # A word at the edge of a text may have white space at its own edge; it cannot stand between others.
+        alone = [place for place, word in enumerate(new) if not word or word.strip() != word]
+        for place in alone:
+            found.extend(self._encoded([new[place]], [place]))
+        places = range(len(new))
+        if alone:
+            apart = set(alone)
+            places = [place for place in places if place not in apart]
+            new = [new[place] for place in places]
+        ends = np.cumsum(list(map(len, new)))
+        start = 0
+        while start < len(new):
+            before = ends[start - 1] if start else 0
+            stop = min(int(np.searchsorted(ends, before + BATCH_CHARACTERS)) + 1, start + BATCH_WORDS)
+            found.extend(self._encoded(new[start:stop], places[start:stop]))
+            start = stop
         if not found:
             return
         order = np.argsort(np.concatenate([places for places, _, _, _ in found]))
@@ -197,7 +212,7 @@ class Memo:
         texts = [t for _, _, own, _ in found for t in own]
         self.texts += [texts[i] for i in order.tolist()]
 
-    def _encoded(self, words: list[str], places: list[int]) -> Iterator[tuple[list[int], np.ndarray, list[str], np.ndarray]]:
+    def _encoded(self, words: list[str], places: Sequence[int]) -> Iterator[tuple[Sequence[int], np.ndarray, list[str], np.ndarray]]:
         """The words' places, their sizes (A tokens, B tokens, groups), texts, and the two tokens that end each group as one number."""
         made = self.tokenizers.encode(" ".join(words)) if words != [""] else None
         if made is not None:
@@ -224,7 +239,7 @@ class Memo:
         find = self.number.__getitem__
         numbers = [list(map(find, words)) for words in texts]
         self._learn()
-        flat = np.array([n for own in numbers for n in own], np.int64)
+        flat = np.fromiter(chain.from_iterable(numbers), np.int64, sum(map(len, numbers)))
         text = np.repeat(np.arange(len(texts)), [len(words) for words in texts])
         # One word whose bytes cannot be had back leaves its text without tokens.
         spoilt = np.zeros(len(texts), bool)
@@ -232,7 +247,7 @@ class Memo:
         flat, text = flat[~spoilt[text]], text[~spoilt[text]]
         own = self.size[:, flat]
         sizes = np.array([np.bincount(text, weights=s, minlength=len(texts)) for s in own]).astype(np.int64)
-        groups = ["" if bad else ";".join([self.texts[n] for n in own]) for bad, own in zip(spoilt.tolist(), numbers)]
+        groups = ["" if bad else ";".join(map(self.texts.__getitem__, own)) for bad, own in zip(spoilt.tolist(), numbers)]
         ends = np.cumsum(own[2])
         pairs = self.pairs[np.repeat(self.first[flat] - ends + own[2], own[2]) + np.arange(own[2].sum())]
         keys = np.sort(np.repeat(text, own[2]) << 2 * ID_BITS | pairs)
