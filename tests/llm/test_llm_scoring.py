@@ -98,6 +98,28 @@ def test_state_is_carried_across_windows(network):
         assert score == pytest.approx(total, rel=1e-4)
 
 
+def test_windows_of_few_rows_are_looked_up_together(network, monkeypatch):
+    calls = []
+    plain = network.log_probs
+    monkeypatch.setattr(network, "log_probs", lambda states, words: calls.append(len(words)) or plain(states, words))
+    docs = [np.random.default_rng(3).integers(0, 31, n) for n in (4000, 70, 0)]
+    whole = network.score(docs)
+    assert calls == [4070]
+    monkeypatch.setattr(language_model, "POSITIONS", 1)
+    assert network.score(docs) == pytest.approx(whole, rel=1e-6)
+    assert whole[2] == 0 and len(network.score([])) == 0
+
+
+def test_gates_lie_in_a_piece():
+    rng = np.random.default_rng(4)
+    U, b, start = gru.uniform(rng, 4, 12), rng.normal(0, 0.1, 12).astype(np.float32), np.zeros((3, 4), np.float32)
+    xs = rng.normal(0, 1, (5, 3, 12)).astype(np.float32)
+    states, kept = gru.train_forward(gru.apart(xs), start, U, b)
+    assert np.array_equal(states, gru.forward(xs, start, U, b)) and np.array_equal(states[0], gru.step(xs[0], start, U, b)[0])
+    update, reset = kept[1]
+    assert update.flags.c_contiguous and reset.flags.c_contiguous and update.shape == (5, 3, 4)
+
+
 def test_gradients_agree_with_differences():
     rng = np.random.default_rng(0)
     U, b = gru.uniform(rng, 4, 12), rng.normal(0, 0.1, 12).astype(np.float32)

@@ -17,12 +17,14 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import compress, repeat
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from waymark.llm import gru
 from waymark.llm.common import Work, ascii_words, held_out, map_slices, pick, saved
@@ -42,6 +44,7 @@ SLICE = 16 << 20
 SLICE_DOCS = 20_000
 PART = 8192  # numbers per row where weights are added up
 ABREAST = 2048  # documents per step when scoring
+POSITIONS = 8192  # so many at least are looked up in the classes together
 
 
 class Words:
@@ -89,22 +92,26 @@ class Network:
         for weights, axis in ((self.weights["class"], 0), (self.weights["word"], 1)):
             weights /= np.maximum(np.abs(weights).sum(axis, keepdims=True) / 60, 1)
 
-    def _by_class(self, classes: np.ndarray) -> Iterator[tuple[np.ndarray, int, int]]:
-        """Positions whose word is of a class with several words, with the class's first and past-last word."""
+    def _by_class(self, classes: np.ndarray) -> tuple[np.ndarray, list[tuple[slice, int, int]]]:
+        """Positions in order of their words' classes; for each class of several words that is met, its slice of them and its first and
+        past-last word."""
         order = np.argsort(classes.astype(np.uint8), kind="stable")
-        edges = np.cumsum(np.bincount(classes, minlength=CLASSES + 1))
-        for k in range(CLASSES):
-            first, past = int(self.words.starts[k]), int(self.words.starts[k + 1])
-            rows = order[edges[k - 1] if k else 0:edges[k]]
-            if len(rows) and past - first > 1:
-                yield rows, first, past
+        edges = [0, *np.cumsum(np.bincount(classes, minlength=CLASSES + 1)).tolist()]
+        words = list(map(int, self.words.starts))
+        return order, [
+            (slice(edges[k], edges[k + 1]), words[k], words[k + 1])
+            for k in range(CLASSES) if edges[k + 1] > edges[k] and words[k + 1] - words[k] > 1
+        ]
 
     def log_probs(self, states: np.ndarray, words: np.ndarray) -> np.ndarray:
         """Natural log of each word's probability; for words beyond the head that of their class."""
         w, classes = self.weights, self.words.class_of[words]
         out = _log_softmax_at(states @ w["class"], classes)
-        for rows, first, past in self._by_class(classes):
-            out[rows] += _log_softmax_at(states[rows] @ w["word"][first:past].T, words[rows] - first)
+        order, parts = self._by_class(classes)
+        states, words, inner = states[order], words[order], np.zeros(len(words), np.float32)
+        for own, first, past in parts:
+            inner[own] = _log_softmax_at(states[own] @ w["word"][first:past].T, words[own] - first)
+        out[order] += inner
         return out
 
     def train(self, adam: gru.Adam, tokens: np.ndarray) -> None:
@@ -124,7 +131,7 @@ class Network:
             number = int(counts.sum())
             if not number:
                 break
-            out, kept = gru.train_forward(w["in"][symbols], h, w["U"], w["b"])
+            out, kept = gru.train_forward(gru.apart(w["in"]).take(symbols, axis=1), h, w["U"], w["b"])
             h = out[-1]
             states = with_one(out)
             classes = self.words.class_of[target]
@@ -135,11 +142,13 @@ class Network:
             d_states = d @ w["class"][:-1].T
             if number < len(counts):
                 classes = np.where(counts, classes, CLASSES)
-            for rows, first, past in self._by_class(classes):
-                own = states[rows]
-                d = _softmax_gradient(own @ w["word"][first:past].T, target[rows] - first)
-                gradients["word"][first:past] = d.T @ own / number
-                d_states[rows] += d @ w["word"][first:past, :-1]
+            order, parts = self._by_class(classes)
+            states, target, inner = states[order], target[order], np.zeros_like(d_states)
+            for own, first, past in parts:
+                d = _softmax_gradient(states[own] @ w["word"][first:past].T, target[own] - first)
+                gradients["word"][first:past] = d.T @ states[own] / number
+                np.matmul(d, w["word"][first:past, :-1], out=inner[own])
+            d_states[order] += inner
             d_states /= number
             d_x, gradients["U"], gradients["b"] = gru.backward(d_states.reshape(out.shape), kept, w["U"])
             flat = symbols.reshape(-1).astype(np.uint16 if self.words.head < 1 << 16 else np.int64)
@@ -153,27 +162,46 @@ class Network:
     def score(self, docs: list[np.ndarray]) -> np.ndarray:
         """Sum of log_probs over each document's words, which are numbers below head, or head for all others."""
         w = self.weights
+        inputs = gru.apart(w["in"])
         out = np.zeros(len(docs))
+        waiting: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
+        positions = 0
+
+        def add() -> None:
+            """The classes are gone through once for many windows, since long documents leave windows of few rows."""
+            nonlocal positions
+            found = self.log_probs(*(np.concatenate([item[n] for item in waiting]) for n in (0, 1)))
+            ends = np.cumsum([len(words) for _, words, _, _ in waiting])
+            for own, (_, _, inside, docs) in zip(np.split(found, ends[:-1]), waiting):
+                logs = np.zeros(len(inside), np.float32)
+                logs[inside] = own
+                out[docs] += logs.reshape(-1, len(docs)).sum(0, dtype=np.float64)
+            waiting.clear()
+            positions = 0
+
         order = np.argsort([-len(d) for d in docs], kind="stable")
         for first in range(0, len(order), ABREAST):
             group = order[first:first + ABREAST]
             sizes = np.array([len(docs[i]) for i in group])
+            flat = np.concatenate([docs[i] for i in group])
+            begins = np.cumsum(sizes) - sizes
             h = np.zeros((len(group), STATE), np.float32)
             last = np.full(len(group), self.words.end)
             for t in range(0, int(sizes[0]), STEPS):
                 active = int(np.searchsorted(-sizes, -t, side="left"))
-                steps = min(STEPS, int(sizes[0]) - t)
-                words = np.full((active, steps), self.words.end)
-                for row in range(active):
-                    part = docs[group[row]][t:t + steps]
-                    words[row, :len(part)] = part
-                symbols = np.concatenate([last[:active, None], words[:, :-1]], axis=1).T
-                states = gru.forward(w["in"][symbols], h[:active], w["U"], w["b"])
-                h, last = states[-1], words[:, -1]
-                inside = (np.arange(steps)[:, None] + t < sizes[None, :active]).reshape(-1)
-                logs = np.zeros(steps * active, np.float32)
-                logs[inside] = self.log_probs(with_one(states)[inside], words.T.reshape(-1)[inside])
-                out[group[:active]] += logs.reshape(steps, active).sum(0, dtype=np.float64)
+                places = np.arange(t, min(t + STEPS, int(sizes[0])))[:, None]
+                real = places < sizes[:active]
+                words = np.where(real, flat.take(places + begins[:active], mode="clip"), self.words.end)
+                symbols = np.concatenate([last[None, :active], words[:-1]])
+                states = gru.forward(inputs.take(symbols, axis=1), h[:active], w["U"], w["b"])
+                h, last = states[-1], words[-1]
+                inside = real.reshape(-1)
+                waiting.append((with_one(states)[inside], words.reshape(-1)[inside], inside, group[:active]))
+                positions += len(waiting[-1][1])
+                if positions >= POSITIONS:
+                    add()
+        if waiting:
+            add()
         return out
 
 
@@ -310,6 +338,7 @@ PARTS = (
 def score_texts(rows: DataFrame, words: Words | None, weights: gru.Weights | None) -> DataFrame:
     """What each document's score is made of, all but the counts of its rarest words, which it lists."""
     content = rows.sparkSession.sparkContext.broadcast((words and words.parts(), weights))
+    lists = [field.type for field in to_arrow_schema(T.StructType.fromDDL(PARTS))][-2:]
 
     def begin() -> Work:
         parts, weights = content.value
@@ -319,7 +348,10 @@ def score_texts(rows: DataFrame, words: Words | None, weights: gru.Weights | Non
             logs = np.log10(words.counts + SMOOTH)
 
         def work(ids: list, texts: list[bytes | None], row: list[int], held: list[bool]) -> list:
-            sequences, columns = [], [[] for _ in range(7)]
+            sequences, columns = [], [[] for _ in range(5)]
+            rare_words: list[bytes] = []
+            rare_times: list[int] = []
+            bounds = [0]
             for text in texts:
                 own = ascii_words(text)
                 if words is None:
@@ -331,13 +363,18 @@ def score_texts(rows: DataFrame, words: Words | None, weights: gru.Weights | Non
                     inside = found[found >= 0]
                     known, counted = len(inside), float(logs[inside].sum())
                     beyond, outside = float(logs[inside[inside >= words.head]].sum()), int((sequence == words.head).sum())
-                rare = Counter([own[i] for i in np.flatnonzero(found[:-1] < 0)])
+                rare = Counter(compress(own, (found[:-1] < 0).tolist()))
+                rare_words.extend(rare)
+                rare_times.extend(rare.values())
+                bounds.append(len(rare_words))
                 sequences.append(sequence)
-                for column, value in zip(columns, (len(own) + 1, known, counted, beyond, outside, [w.decode() for w in rare], list(rare.values()))):
+                for column, value in zip(columns, (len(own) + 1, known, counted, beyond, outside)):
                     column.append(value)
             scores = np.zeros(len(ids)) if words is None else network.score(sequences) / np.log(10)
-            n, known, counted, beyond, outside, rare, times = columns
-            return [ids, row, held, n, known, counted, scores, beyond, outside, rare, times]
+            n, known, counted, beyond, outside = columns
+            values = pa.array(rare_words, pa.binary()).cast(lists[0].value_type), pa.array(rare_times, lists[1].value_type)
+            rare = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), v, type=kind) for v, kind in zip(values, lists)]
+            return [ids, row, held, n, known, counted, scores, beyond, outside, *rare]
 
         return work
 
